@@ -1,0 +1,43 @@
+"""Tables written once and read by several later steps.
+
+A staged table cuts the lineage: what is read several times is computed once, and a
+lost executor costs a re-read, not a re-run. The folder is the shared one the session
+names in ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_DIR_KEY = "spark.checkpoint.dir"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's shared folder. Only a local session may do without one."""
+    folder = spark.conf.get(_DIR_KEY, None) or spark.sparkContext.getConf().get(_DIR_KEY)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {_DIR_KEY} to a folder that all executors can reach")
+    folder = tempfile.mkdtemp(prefix="rollbook-")
+    spark.conf.set(_DIR_KEY, folder)
+    return folder
+
+
+class Stage:
+    """A fresh sub-folder for the tables of one run."""
+
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        self._spark = spark
+        self.folder = folder or f"{shared_folder(spark)}/rollbook/{uuid.uuid4().hex}"
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def table(self, name: str, df: DataFrame) -> DataFrame:
+        path = self.path(name)
+        df.write.mode("overwrite").parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
