@@ -116,3 +116,64 @@ def department_mapping(spark: SparkSession) -> DataFrame:
 
 def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build.combine(raw_sources(spark, sf_dir), department_mapping(spark), SETTINGS)
+
+
+# --- untidy single columns, each value made from a known one ----------------------
+
+MESSY_IDS = """
+select c_custkey as row_id,
+       case c_custkey % 4 when 0 then 'GlobalTech' when 1 then ' AcquiredCo ' when 2 then 'GlobalTech' else 'Other Ltd' end as company,
+       case c_custkey % 8 when 0 then cast(c_custkey as string) || '.0' when 1 then 'ACQ_' || cast(c_custkey + 1000000 as string)
+            when 2 then ' 00' || cast(c_custkey as string) || ' ' when 4 then '.' || cast(c_custkey as string)
+            when 5 then 'none' when 6 then cast(c_custkey + 990000 as string) || '.75' else 'ACQ_' || cast(c_custkey as string) || '-2' end as raw_id,
+       case when c_custkey % 10 < 2 then null else cast(c_nationkey as string) || '.0' end as raw_manager
+from customer
+"""
+
+MESSY_NAMES = """
+select c_custkey as row_id,
+       case c_custkey % 4 when 0 then '  ' || upper(p_type) || '-' || lower(p_type) when 1 then lower(p_type) || '''' || upper(p_type) || '  '
+            when 2 then '   ' else 'élo' || lower(p_type) || ' 3rd' end as first,
+       case c_custkey % 3 when 0 then null when 1 then upper(c_mktsegment) else 'x_' || lower(c_mktsegment) end as last,
+       case when c_custkey % 7 = 0 then null else '  ' || c_name || '@Example.COM ' end as email
+from customer join part on p_partkey = c_custkey
+"""
+
+_ISO = "cast(cast(o_orderdate as date) as string)"
+MESSY_DATES = f"""
+select o_orderkey as row_id,
+       case o_orderkey % 7 when 0 then ' FT ' when 1 then 'Full Time' when 2 then 'PT' when 3 then 'part-time'
+            when 4 then 'CONTRACT' when 5 then 'intern' else null end as raw_type,
+       case o_orderkey % 9 when 0 then {_ISO} when 1 then {_ISO} || 'T23:30:00-05:00'
+            when 2 then substr({_ISO}, 6, 2) || '/' || substr({_ISO}, 9, 2) || '/' || substr({_ISO}, 1, 4)
+            when 3 then replace({_ISO}, '-', '') when 4 then ' ' || {_ISO} || ' 08:15:30 ' when 5 then '1969-12-31'
+            when 6 then '2999-01-01' when 7 then 'soon' else null end as raw_date
+from orders
+"""
+
+MESSY_SALARIES = """
+select o_orderkey as row_id,
+       case o_orderkey % 5 when 0 then '$' || cast(cast(o_totalprice as decimal(18,2)) as string)
+            when 1 then ' €' || cast(cast(o_totalprice as decimal(18,2)) as string) || ' '
+            when 2 then '1,' || cast(100000 + o_orderkey % 800000 as string) || '.125' when 3 then 'tbd' else '' end as base_salary,
+       case o_orderkey % 6 when 0 then 'USD' when 1 then 'eur' when 2 then ' GBP ' when 3 then 'usd' when 4 then 'JPY' else null end as currency,
+       case o_orderkey % 7 when 0 then 'Annual' when 1 then ' monthly' when 2 then 'Bi-Weekly' when 3 then 'BIWEEKLY'
+            when 4 then 'bi weekly' when 5 then 'weekly' else 'annual' end as pay_frequency
+from orders
+"""
+
+
+def messy_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, MESSY_IDS)
+
+
+def messy_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, MESSY_NAMES)
+
+
+def messy_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, MESSY_DATES)
+
+
+def messy_salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, MESSY_SALARIES)

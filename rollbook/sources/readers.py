@@ -86,31 +86,26 @@ def read_csv_identity(spark: SparkSession, path: str, name: str = "globaltech_hr
 def read_json_identity(
     spark: SparkSession, path: str, name: str = "acquiredco_hris", lines: bool = False
 ) -> DataFrame:
-    """``{"employees": [...]}`` or a bare list, one document per file.
+    """Documents ``{"employees": [...]}`` or bare lists of records.
 
-    A document is one unit of work, so a large export should be a folder of pages, or
-    JSON Lines (``lines=True``), which Spark splits. A malformed document gives no rows.
+    One document per file, or one per line (``lines=True``; a line may also be a single
+    record). A document is one unit of work, so a large export should come as lines,
+    which Spark splits, or as a folder of pages. A malformed document gives no rows.
     """
-    if lines:
-        records = _load(spark, JSON_IDENTITY_SCHEMA, "json", path, mode="DROPMALFORMED")
-        return _stamp(records, name)
     document = T.StructType(
         [T.StructField("employees", T.ArrayType(JSON_IDENTITY_SCHEMA))]
         + JSON_IDENTITY_SCHEMA.fields
         + [T.StructField("_malformed", T.StringType())]
     )
     loaded = _load(
-        spark, document, "json", path, multiLine=True, columnNameOfCorruptRecord="_malformed"
+        spark, document, "json", path, multiLine=not lines, columnNameOfCorruptRecord="_malformed"
     )
-    record = F.struct(*[F.col(f.name) for f in JSON_IDENTITY_SCHEMA])
-    rows = F.when(F.col("employees").isNotNull(), F.col("employees")).when(
-        F.col("_malformed").isNull() & _any_present(JSON_IDENTITY_SCHEMA), F.array(record)
+    fields = [F.col(f.name) for f in JSON_IDENTITY_SCHEMA]
+    filled = F.coalesce(*[F.when(c.isNotNull(), F.lit(True)) for c in fields])
+    records = F.when(F.col("employees").isNotNull(), F.col("employees")).when(
+        F.col("_malformed").isNull() & filled, F.array(F.struct(*fields))
     )
-    return _stamp(loaded.select(F.inline(rows)), name)
-
-
-def _any_present(schema: T.StructType):
-    return F.coalesce(*[F.when(F.col(f.name).isNotNull(), F.lit(True)) for f in schema]).isNotNull()
+    return _stamp(loaded.select(F.inline(records)), name)
 
 
 def read_payroll(
