@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from rollbook.config import Settings
 from rollbook.plans import build
@@ -82,24 +82,21 @@ _TABLES = ("customer", "part", "nation", "supplier", "orders", "events")
 
 
 def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLES if t in sql}
-    named = ", ".join(f"{t} as (select * from {{{t}}})" for t in tables)
-    return spark.sql(f"with {named} {sql}" if named else sql, **tables)
+    used = [t for t in _TABLES if f" {t} " in f"{sql} ".replace("\n", " ")]
+    tables = ", ".join(f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in used)
+    return spark.sql(f"WITH {tables} {sql}" if used else sql)
 
 
 def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four raw feeds, each in the shape its reader returns."""
     a = _derive(spark, sf_dir, HRIS_A)
-    b = _derive(spark, sf_dir, HRIS_B).select(
+    b = _derive(spark, sf_dir, HRIS_B).selectExpr(
         "employee_identifier",
-        F.struct(
-            F.col("first_name").alias("first"),
-            F.col("last_name").alias("last"),
-            F.concat_ws(" ", "first_name", "last_name").alias("full"),
-        ).alias("name"),
-        F.struct("email").alias("contact"),
-        F.struct("department", "role", "location", "hire_timestamp").alias("assignment"),
-        F.struct("type", F.lit("active").alias("status")).alias("employment"),
+        "struct(first_name AS first, last_name AS last, "
+        "concat_ws(' ', first_name, last_name) AS full) AS name",
+        "struct(email) AS contact",
+        "struct(department, role, location, hire_timestamp) AS assignment",
+        "struct(type, 'active' AS status) AS employment",
         "manager_employee_id",
     )
     return {

@@ -8,83 +8,62 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import Column, functions as F
-
 # A signed 64-bit word holds the match vector plus one carry bit.
 WORD_BITS = 61
 
 
-def characters(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit("(?s)(.)"), F.lit(1))
+def characters(text: str) -> str:
+    return f"regexp_extract_all({text}, '(?s)(.)', 1)"
 
 
-def character_masks(text: Column) -> Column:
+def character_masks(text: str) -> str:
     """Each distinct character of ``text`` to a bit set of the positions it occupies.
 
     Depends on one string only, so it is computed once per string, not once per pair.
     Null for a string that does not fit one word.
     """
     chars = characters(text)
-
-    def mask(char: Column) -> Column:
-        places = F.transform(
-            chars,
-            lambda c, i: F.when(c == char, F.call_function("shiftleft", F.lit(1).cast("bigint"), i))
-            .otherwise(F.lit(0).cast("bigint")),
-        )
-        return F.aggregate(places, F.lit(0).cast("bigint"), lambda m, bit: m.bitwiseOR(bit))
-
-    distinct = F.array_distinct(chars)
-    return F.when(
-        F.length(text) <= WORD_BITS, F.map_from_arrays(distinct, F.transform(distinct, mask))
-    )
+    bits = f"transform({chars}, (d, i) -> IF(d = c, shiftleft(1L, i), 0L))"
+    mask = f"aggregate({bits}, 0L, (m, bit) -> m | bit)"
+    distinct = f"array_distinct({chars})"
+    masks = f"map_from_arrays({distinct}, transform({distinct}, c -> {mask}))"
+    return f"CASE WHEN length({text}) <= {WORD_BITS} THEN {masks} END"
 
 
-def lcs_length(left: Column, left_masks: Column, right: Column) -> Column:
+def lcs_length(left: str, left_masks: str, right: str) -> str:
     """Length of the longest common subsequence.
 
     One step per character of ``right`` on a bit vector over ``left``; strings longer
     than a word use the row-by-row recurrence.
     """
-    full = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.length(left)) - F.lit(1)
-    steps = F.transform(
-        characters(right),
-        lambda c: F.coalesce(F.try_element_at(left_masks, c), F.lit(0).cast("bigint")),
-    )
-
-    def advance(vector: Column, mask: Column) -> Column:
-        hit = vector.bitwiseAND(mask)
-        return (vector + hit).bitwiseOR(vector - hit).bitwiseAND(full)
+    full = f"(shiftleft(1L, length({left})) - 1L)"
+    steps = f"transform({characters(right)}, c -> coalesce(try_element_at({left_masks}, c), 0L))"
+    advance = f"((v + (v & m)) | (v - (v & m))) & {full}"
+    in_word = f"aggregate({steps}, {full}, (v, m) -> {advance}, v -> bit_count(~v & {full}))"
+    return f"CASE WHEN {left_masks} IS NOT NULL THEN {in_word} ELSE {_lcs_by_rows(left, right)} END"
 
-    in_word = F.aggregate(
-        steps, full, advance, lambda v: F.bit_count(F.bitwise_not(v).bitwiseAND(full))
-    )
-    return F.when(left_masks.isNotNull(), in_word).otherwise(_lcs_by_rows(left, right))
 
-
-def _lcs_by_rows(left: Column, right: Column) -> Column:
+def _lcs_by_rows(left: str, right: str) -> str:
     other = characters(right)
-    places = F.transform(other, lambda _, i: i)
-    zeros = F.transform(other, lambda _: F.lit(0))
-
-    def next_row(row: Column, char: Column) -> Column:
-        def put(done: Column, i: Column) -> Column:
-            extended = F.coalesce(F.get(row, i - 1), F.lit(0)) + 1
-            carried = F.greatest(F.coalesce(F.get(done, i - 1), F.lit(0)), F.get(row, i))
-            value = F.when(F.get(other, i) == char, extended).otherwise(carried)
-            return F.concat(done, F.array(value))
-
-        return F.aggregate(places, F.array().cast("array<int>"), put)
-
-    return F.aggregate(
-        characters(left), zeros, next_row, lambda r: F.coalesce(F.array_max(r), F.lit(0))
+    extended = "coalesce(get(above, i - 1), 0) + 1"
+    carried = "greatest(coalesce(get(done, i - 1), 0), get(above, i))"
+    cell = f"IF(get({other}, i) = c, {extended}, {carried})"
+    places = f"transform({other}, (d, i) -> i)"
+    row = (
+        f"aggregate({places}, CAST(array() AS ARRAY<INT>), "
+        f"(done, i) -> concat(done, array({cell})))"
+    )
+    start = f"transform({other}, d -> 0)"
+    return (
+        f"aggregate({characters(left)}, {start}, (above, c) -> {row}, "
+        "last -> coalesce(array_max(last), 0))"
     )
 
 
-def score(total_length: Column, lcs: Column) -> Column:
+def score(total_length: str, lcs: str) -> str:
     """The published form of the score; other algebraically equal forms round differently."""
-    distance = (total_length - lcs * 2).cast("double")
-    return (F.lit(1.0) - distance / total_length) * F.lit(100.0)
+    distance = f"CAST({total_length} - {lcs} * 2 AS DOUBLE)"
+    return f"(1D - {distance} / ({total_length})) * 100D"
 
 
 class Threshold:
@@ -97,21 +76,21 @@ class Threshold:
         self._numerator = exact.numerator
         self._hundred = 100 * exact.denominator
 
-    def reached(self, total_length: Column, lcs: Column) -> Column:
-        return lcs * (2 * self._hundred) >= total_length * self._numerator
+    def reached(self, total_length: str, lcs: str) -> str:
+        return f"{lcs} * {2 * self._hundred} >= ({total_length}) * {self._numerator}"
 
-    def budget(self, length: Column, other: Column) -> Column:
+    def budget(self, length: str, other: str) -> str:
         """Largest Indel distance two strings of these lengths may have.
 
-        The distance has the parity of the length difference.
+        The distance has the parity of the two lengths added.
         """
-        total = length + other
-        most = F.floor(total * (self._hundred - self._numerator) / self._hundred).cast("int")
-        return most - F.pmod(most - (length - other), F.lit(2)).cast("int")
+        spare = self._hundred - self._numerator
+        most = f"(({length} + {other}) * {spare} div {self._hundred})"
+        return f"CAST({most} - pmod({most} - ({length} + {other}), 2) AS INT)"
 
-    def partner_lengths(self, length: Column) -> Column:
+    def partner_lengths(self, length: str) -> str:
         """All lengths a partner may have: the length difference alone costs that much."""
         num, top = self._numerator, 2 * self._hundred - self._numerator
-        low = F.ceil(length * num / top).cast("int")
-        high = F.floor(length * top / num).cast("int")
-        return F.sequence(F.greatest(low, F.lit(1)), high)
+        low = f"CAST(({length} * {num} + {top - 1}) div {top} AS INT)"
+        high = f"CAST({length} * {top} div {num} AS INT)"
+        return f"sequence(greatest({low}, 1), {high})"

@@ -1,65 +1,73 @@
-"""Text normalisation as column expressions; nothing here leaves the JVM."""
+"""Text normalisation; nothing here leaves the JVM."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 # The code points that count as white space when a value is stripped.
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-_SPACE_RUN = "[" + WHITE_SPACE + "]+"
+_SPACES = "".join(f"\\u{ord(c):04x}" for c in WHITE_SPACE)
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 _CASE_RUNS = f"([{_CASED}]+|[^{_CASED}]+)"
 
 
-def strip(value: Column) -> Column:
+def literal(value: object) -> str:
+    """A quoted SQL string."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def strip(value: str) -> str:
     """Drop leading and trailing Unicode white space (``trim`` drops blanks only)."""
-    return F.btrim(value, F.lit(WHITE_SPACE))
+    return f"btrim({value}, '{_SPACES}')"
 
 
-def strip_lower(value: Column) -> Column:
-    return F.lower(strip(value))
+def strip_lower(value: str) -> str:
+    return f"lower({strip(value)})"
 
 
-def compatibility_form(value: Column) -> Column:
+def compatibility_form(value: str) -> str:
     """Unicode NFKC.
 
     ASCII text is its own NFKC form. Anything else goes through the ICU library that
     Spark itself ships, so no Python worker is needed.
     """
-    normal = F.reflect(
-        F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), value, F.lit(True)
-    )
-    return F.when(value.rlike(r"\P{ASCII}"), normal).otherwise(value)
+    icu = f"reflect('com.ibm.icu.text.Normalizer', 'compose', {value}, true)"
+    return rf"CASE WHEN {value} RLIKE r'\P{{ASCII}}' THEN {icu} ELSE {value} END"
 
 
-def title_case(value: Column) -> Column:
+def title_case(value: str) -> str:
     """Upper-case the first letter of each run of letters, lower-case the others.
 
     ``initcap`` alone starts words only after blanks (``O'brien``, ``Jean-luc``), so
     it is applied to each run; plain words need no split.
     """
-    runs = F.regexp_extract_all(value, F.lit(_CASE_RUNS), F.lit(1))
-    return F.when(value.rlike("^[A-Za-z ]*$"), F.initcap(value)).otherwise(
-        F.array_join(F.transform(runs, F.initcap), "")
-    )
+    runs = f"regexp_extract_all({value}, r'{_CASE_RUNS}', 1)"
+    each = f"array_join(transform({runs}, run -> initcap(run)), '')"
+    return f"CASE WHEN {value} RLIKE '^[A-Za-z ]*$' THEN initcap({value}) ELSE {each} END"
+
+
+def tidy(value: str) -> str:
+    """NFKC and stripped."""
+    return strip(compatibility_form(value))
+
+
+def title_or_null(tidied: str) -> str:
+    return f"CASE WHEN {tidied} <> '' THEN {title_case(tidied)} END"
 
 
-def person_name(value: Column) -> Column:
+def person_name(value: str) -> str:
     """NFKC, stripped, title case; blank becomes null."""
-    text = strip(compatibility_form(value))
-    return F.when(text != "", title_case(text))
+    return title_or_null(tidy(value))
 
 
-def full_name(first: Column, last: Column) -> Column:
+def full_name(first: str, last: str) -> str:
     """The parts that are present, joined by one blank; null when both are missing."""
-    return F.nullif(F.concat_ws(" ", first, last), F.lit(""))
+    return f"nullif(concat_ws(' ', {first}, {last}), '')"
 
 
-def sorted_tokens(value: Column) -> Column:
+def sorted_tokens(value: str) -> str:
     """Words in code-point order joined by one blank: the form in which names are compared."""
-    words = F.filter(F.split(value, _SPACE_RUN), lambda w: w != "")
-    return F.array_join(F.array_sort(words), " ")
+    words = f"filter(split({value}, '[{_SPACES}]+'), word -> word <> '')"
+    return f"array_join(array_sort({words}), ' ')"

@@ -1,111 +1,117 @@
-"""Ids, categories, dates and money as column expressions."""
+"""Ids, categories, dates and money."""
 
 from __future__ import annotations
 
 import datetime as dt
-
-from pyspark.sql import Column, functions as F
+from collections.abc import Mapping
 
 from rollbook.config import DEFAULT_SETTINGS, Settings
-from rollbook.functions.text import strip, strip_lower
+from rollbook.functions.text import literal, strip, strip_lower
 
 EARLIEST_DATE = "1970-01-01"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}([T ].*)?$"
-_ZONE = r"(Z|[+-]\d{2}(:?\d{2})?)$"
+_ZONE = r":.*(Z|[+-]\d{2}(:?\d{2})?)$"
 
 
-def _lookup(values: dict, key: Column, as_literal=F.lit) -> Column:
-    pairs = [x for k, v in values.items() for x in (F.lit(k), as_literal(v))]
-    return F.try_element_at(F.create_map(*pairs), key)
+def _lookup(values: Mapping[str, object], key: str, kind: str = "string") -> str:
+    """The entry for ``key`` in a constant map; null where there is none."""
+    entries = ", ".join(
+        f"{literal(k)}, CAST({literal(v)} AS {kind})" for k, v in values.items()
+    )
+    return f"try_element_at(map({entries}), {key})"
 
 
-def employee_key(
-    value: Column, company: Column, settings: Settings = DEFAULT_SETTINGS
-) -> Column:
+def employee_key(value: str, company: str, settings: Settings = DEFAULT_SETTINGS) -> str:
     """``1042`` / ``1042.0`` / ``ACQ_01042`` of a known company to ``GT-001042`` etc.
 
     The whole part of a number, else the first digit run, padded to at least six
     digits and never cut. Digits are kept exactly, however long the id is.
     """
     raw = strip(value)
-    prefix = _lookup(settings.id_prefixes, strip(company))
-    digits = F.when(raw.rlike(r"^\.\d+$"), F.lit("0")).otherwise(
-        F.regexp_extract(raw, r"(\d+)", 1)
+    digits = (
+        f"CASE WHEN {raw} RLIKE r'^\\.[0-9]+$' THEN '0' "
+        f"ELSE regexp_extract({raw}, '([0-9]+)', 1) END"
     )
-    short = F.regexp_replace(digits, "^0+", "")
-    padded = F.when(F.length(short) >= 6, short).otherwise(F.lpad(short, 6, "0"))
-    return F.when(digits != "", F.concat(prefix, F.lit("-"), padded))
+    short = f"trim(LEADING '0' FROM {digits})"
+    padded = f"lpad({short}, greatest(6, length({short})), '0')"
+    prefix = _lookup(settings.id_prefixes, strip(company))
+    return f"CASE WHEN {digits} <> '' THEN concat({prefix}, '-', {padded}) END"
 
 
-def employment_type(value: Column, settings: Settings = DEFAULT_SETTINGS) -> Column:
+def employment_type(value: str, settings: Settings = DEFAULT_SETTINGS) -> str:
     return _lookup(settings.employment_types, strip_lower(value))
 
 
-def as_of_date(as_of: dt.date | None) -> Column:
-    return F.current_date() if as_of is None else F.lit(as_of)
+def as_of_date(as_of: dt.date | None) -> str:
+    """The start of the day that counts as today, without a zone."""
+    day = "current_date()" if as_of is None else f"DATE'{as_of.isoformat()}'"
+    return f"CAST({day} AS TIMESTAMP_NTZ)"
+
 
+def standard_date(value: str, settings: Settings = DEFAULT_SETTINGS) -> str:
+    """Text to a zone-free UTC timestamp; unparsed or out of [1970-01-01, as_of] is null."""
+    return date_in_range(parsed_date(value, settings), settings)
 
-def standard_date(value: Column, settings: Settings = DEFAULT_SETTINGS) -> Column:
-    """Text to a zone-free UTC timestamp; unparsed or out of [1970-01-01, as_of] is null.
+
+def date_in_range(date: str, settings: Settings = DEFAULT_SETTINGS) -> str:
+    low, high = f"TIMESTAMP_NTZ'{EARLIEST_DATE}'", as_of_date(settings.as_of)
+    return f"CASE WHEN {date} BETWEEN {low} AND {high} THEN {date} END"
+
+
+def parsed_date(value: str, settings: Settings = DEFAULT_SETTINGS) -> str:
+    """Text in ISO 8601 or one of the declared layouts to a zone-free UTC timestamp.
 
     A value with an offset is moved to UTC, one without is taken as it stands, whatever
     the session time zone is.
     """
     text = strip(value)
-    zoned = F.convert_timezone(
-        None, F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz")
-    )
-    iso = F.when(text.rlike(_ZONE) & text.contains(":"), zoned).otherwise(
-        text.try_cast("timestamp_ntz")
-    )
-    attempts = [F.when(text.rlike(_ISO_DATE), iso)]
+    zoned = f"convert_timezone('UTC', CAST(try_cast({text} AS TIMESTAMP) AS TIMESTAMP_NTZ))"
+    cases = [
+        f"WHEN {text} RLIKE r'{_ISO_DATE}' THEN CASE WHEN {text} RLIKE r'{_ZONE}' "
+        f"THEN {zoned} ELSE try_cast({text} AS TIMESTAMP_NTZ) END"
+    ]
+    layouts: dict[str, list[str]] = {}
     for shape, pattern in settings.date_layouts:
-        attempts.append(
-            F.when(
-                text.rlike(shape),
-                F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz"),
-            )
-        )
-    parsed = F.coalesce(*attempts)
-    first = F.lit(EARLIEST_DATE).cast("timestamp_ntz")
-    last = as_of_date(settings.as_of).cast("timestamp_ntz")
-    return F.when(parsed.between(first, last), parsed)
+        layouts.setdefault(shape, []).append(f"try_to_timestamp({text}, {literal(pattern)})")
+    for shape, attempts in layouts.items():
+        parsed = f"CAST(coalesce({', '.join(attempts)}) AS TIMESTAMP_NTZ)"
+        cases.append(f"WHEN {text} RLIKE r'{shape}' THEN {parsed}")
+    return f"CASE {' '.join(cases)} END"
 
 
-def _amount_text(value: Column) -> Column:
-    bare = strip(F.translate(strip(value), "$,€£", ""))
-    return F.when(bare.rlike(_NUMBER), bare)
+def _amount_text(value: str) -> str:
+    bare = strip(f"translate({strip(value)}, '$,€£', '')")
+    return f"regexp_substr({bare}, r'{_NUMBER}')"
 
 
-def salary_amount(value: Column) -> Column:
+def salary_amount(value: str) -> str:
     """``$85,000`` to 85000.0; blank or unparsable is null."""
-    return _amount_text(value).try_cast("double")
+    return f"try_cast({_amount_text(value)} AS DOUBLE)"
 
 
 def salary_usd_annual(
-    value: Column, currency: Column, frequency: Column, settings: Settings = DEFAULT_SETTINGS
-) -> Column:
+    value: str, currency: str, frequency: str, settings: Settings = DEFAULT_SETTINGS
+) -> str:
     """Amount x rate x periods per year to two places; any unknown part gives null.
 
     The arithmetic is decimal, so that the cents do not depend on the engine.
     """
-    amount = _amount_text(value).try_cast("decimal(24, 6)")
-    key = F.concat(F.upper(strip(currency)), F.lit("|"), strip_lower(frequency))
-    factor = _lookup(settings.usd_factors(), key, lambda v: F.lit(v).cast("decimal(10, 4)"))
-    return F.round(amount * factor, 2).cast("double")
+    amount = f"try_cast({_amount_text(value)} AS DECIMAL(24, 6))"
+    key = f"concat(upper({strip(currency)}), '|', {strip_lower(frequency)})"
+    factor = _lookup(settings.usd_factors(), key, "DECIMAL(10, 4)")
+    return f"CAST(round({amount} * {factor}, 2) AS DOUBLE)"
 
 
-def day_gap(left: Column, right: Column) -> Column:
+def day_gap(left: str, right: str) -> str:
     """Whole days between two timestamps: the signed difference floored, then absolute."""
-    days = F.datediff(left.cast("date"), right.cast("date"))
-    borrowed = (_time_of_day(left) < _time_of_day(right)).cast("int")
-    return F.abs(days - borrowed)
+    borrowed = f"CAST({_time_of_day(left)} < {_time_of_day(right)} AS INT)"
+    return f"abs(datediff(CAST({left} AS DATE), CAST({right} AS DATE)) - {borrowed})"
 
 
-def _time_of_day(value: Column) -> Column:
-    return value - value.cast("date").cast("timestamp_ntz")
+def _time_of_day(value: str) -> str:
+    return f"({value} - CAST(CAST({value} AS DATE) AS TIMESTAMP_NTZ))"
 
 
-def day_number(value: Column) -> Column:
-    return F.unix_date(value.cast("date"))
+def day_number(value: str) -> str:
+    return f"unix_date(CAST({value} AS DATE))"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from rollbook.config import DEFAULT_SETTINGS, Settings
 from rollbook.functions import text, values
@@ -17,70 +17,64 @@ def clean(
     department_mapping: DataFrame | None = None,
     settings: Settings = DEFAULT_SETTINGS,
 ) -> DataFrame:
-    """Apply every normalisation to an aligned frame: two projections and no shuffle."""
-    company = F.col("company_origin")
-    cleaned: dict[str, Column] = {
-        "first_name": text.person_name(F.col("first_name")),
-        "last_name": text.person_name(F.col("last_name")),
-        "email": text.strip_lower(F.col("email")),
-        "employee_id": values.employee_key(F.col("employee_id"), company, settings),
-        "manager_id": values.employee_key(F.col("manager_id"), company, settings),
-        "employment_type": values.employment_type(F.col("employment_type"), settings),
-        "salary_usd_annual": values.salary_usd_annual(
-            F.col("salary_original"), F.col("currency"), F.col("pay_frequency"), settings
-        ),
-        **{c: values.standard_date(F.col(c), settings) for c in DATE_COLUMNS},
-    }
-    extra = [ORDINAL] if ORDINAL in aligned.columns else []
-    first_pass = aligned.select(
-        [cleaned.get(f.name, F.col(f.name)).alias(f.name) for f in CLEANED_SCHEMA] + extra
-    )
-    names = text.full_name(F.col("first_name"), F.col("last_name"))
-    # the names are computed once, below; this projection only joins them
-    result = first_pass.select(
-        [
-            (names if f.name == "full_name" else F.col(f.name)).cast(f.dataType).alias(f.name)
-            for f in CLEANED_SCHEMA
-        ]
-        + extra
-    )
-    return result if department_mapping is None else map_departments(result, department_mapping)
-
+    """Apply every normalisation to an aligned frame: projections only, no shuffle.
 
-def clean_sources(
-    aligned: Mapping[str, DataFrame],
-    department_mapping: DataFrame | None = None,
-    settings: Settings = DEFAULT_SETTINGS,
-) -> dict[str, DataFrame]:
-    return {name: clean(df, department_mapping, settings) for name, df in aligned.items()}
+    Three projections, each using what the one before computed, so that no costly step
+    is repeated within a row.
+    """
+    company = "company_origin"
+    steps = [
+        {
+            "first_name": text.tidy("first_name"),
+            "last_name": text.tidy("last_name"),
+            "email": text.strip_lower("email"),
+            "employee_id": values.employee_key("employee_id", company, settings),
+            "manager_id": values.employee_key("manager_id", company, settings),
+            "employment_type": values.employment_type("employment_type", settings),
+            "salary_usd_annual": values.salary_usd_annual(
+                "salary_original", "currency", "pay_frequency", settings
+            ),
+            **{c: values.parsed_date(c, settings) for c in DATE_COLUMNS},
+        },
+        {
+            "first_name": text.title_or_null("first_name"),
+            "last_name": text.title_or_null("last_name"),
+            **{c: values.date_in_range(c, settings) for c in DATE_COLUMNS},
+        },
+        {"full_name": text.full_name("first_name", "last_name")},
+    ]
+    extra = [ORDINAL] if ORDINAL in aligned.columns else []
+    result = aligned
+    for step in steps:
+        result = result.selectExpr(
+            *[f"{step.get(c, c)} AS {c}" for c in CLEANED_SCHEMA.names], *extra
+        )
+    if department_mapping is None:
+        return result
+    return map_departments(result, department_mapping)
 
 
-def combine_sources(cleaned: Mapping[str, DataFrame]) -> DataFrame:
-    """All cleaned feeds as one long table."""
+def combine_sources(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """All feeds as one long table."""
     return reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), list(cleaned.values())
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), list(frames.values())
     )
 
 
 def _keyed(mapping: DataFrame) -> DataFrame:
     """The lookup by normalised key; a key given twice fails the query, naming the key."""
-    system = text.strip_lower(F.col("source_system"))
-    department = text.strip_lower(F.col("source_department"))
-    repeated = F.raise_error(
-        F.concat(
-            F.lit("department mapping has more than one row for "),
-            F.col("_system"), F.lit("/"), F.col("_department"),
-        )
-    ).cast("string")
-    return (
-        mapping.groupBy(system.alias("_system"), department.alias("_department"))
-        .agg(F.count("*").alias("_rows"), F.min("standard_department").alias("_standard"))
-        .select(
-            "_system",
-            "_department",
-            F.lit(True).alias("_known"),
-            F.when(F.col("_rows") > 1, repeated).otherwise(F.col("_standard")).alias("_standard"),
-        )
+    keys = mapping.selectExpr(
+        f"{text.strip_lower('source_system')} AS _system",
+        f"{text.strip_lower('source_department')} AS _name",
+        "standard_department",
+    )
+    counted = keys.groupBy("_system", "_name").agg({"*": "count", "standard_department": "min"})
+    repeated = "concat('department mapping repeats ', _system, '/', _name)"
+    return counted.selectExpr(
+        "_system",
+        "_name",
+        f"IF(`count(1)` > 1, CAST(raise_error({repeated}) AS STRING), "
+        "`min(standard_department)`) AS _standard",
     )
 
 
@@ -90,16 +84,14 @@ def map_departments(df: DataFrame, mapping: DataFrame) -> DataFrame:
     No broadcast is forced: Spark compares the lookup's size with its broadcast limit
     and ships the usual few dozen rows to the scan, without a shuffle of ``df``.
     """
-    keyed = _keyed(mapping).drop("_known")
-    found = df.withColumn("_system", text.strip_lower(F.col("source_system"))).withColumn(
-        "_department", text.strip_lower(F.col("department"))
+    found = df.selectExpr(
+        "*",
+        f"{text.strip_lower('source_system')} AS _system",
+        f"{text.strip_lower('department')} AS _name",
     )
-    joined = found.join(keyed, ["_system", "_department"], "left")
-    return joined.select(
-        [
-            F.col("_standard").alias(c) if c == "department_standardized" else F.col(c)
-            for c in df.columns
-        ]
+    joined = found.join(_keyed(mapping), ["_system", "_name"], "left")
+    return joined.selectExpr(
+        [f"_standard AS {c}" if c == "department_standardized" else c for c in df.columns]
     )
 
 
@@ -109,18 +101,13 @@ def unmapped_departments(df: DataFrame, mapping: DataFrame) -> DataFrame:
     Pairs are made distinct before the join, so a popular department is one row there.
     """
     pairs = (
-        df.filter(F.col("department").isNotNull())
-        .select(
-            text.strip(F.col("source_system")).alias("source_system"),
-            text.strip(F.col("department")).alias("department"),
+        df.filter("department IS NOT NULL")
+        .selectExpr(
+            f"{text.strip('source_system')} AS source_system",
+            f"{text.strip('department')} AS department",
         )
         .distinct()
+        .selectExpr("*", "lower(source_system) AS _system", "lower(department) AS _name")
     )
-    keyed = _keyed(mapping).select("_system", "_department")
-    unknown = pairs.join(
-        keyed,
-        (F.lower(pairs["source_system"]) == keyed["_system"])
-        & (F.lower(pairs["department"]) == keyed["_department"]),
-        "left_anti",
-    )
-    return unknown.orderBy("source_system", "department")
+    unknown = pairs.join(_keyed(mapping), ["_system", "_name"], "left_anti")
+    return unknown.select("source_system", "department").orderBy("source_system", "department")

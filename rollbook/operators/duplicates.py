@@ -9,17 +9,17 @@ from rollbook.operators.groups import HEAVY_GROUPS, rows_of_groups
 
 def duplicate_ids(golden: DataFrame, heavy_groups: int = HEAVY_GROUPS) -> DataFrame:
     """Rows whose employee id occurs more than once; missing ids equal each other."""
-    groups = golden.groupBy("employee_id").agg(F.count("*").alias("n"))
-    rows = rows_of_groups(golden, groups, "employee_id", F.col("n") > 1, heavy_groups)
+    groups = golden.groupBy("employee_id").agg(F.expr("count(*) AS n"))
+    rows = rows_of_groups(golden, groups, "employee_id", "n > 1", heavy_groups)
     return rows.withColumn("duplicate_check", F.lit("employee_id"))
 
 
 def duplicate_emails(golden: DataFrame, heavy_groups: int = HEAVY_GROUPS) -> DataFrame:
     """Rows whose email is used in at least two companies."""
-    rows = golden.filter(F.col("email").isNotNull())
+    rows = golden.filter("email IS NOT NULL")
     groups = rows.groupBy("email").agg(
-        F.count("*").alias("n"),
-        (F.min("company_origin") < F.max("company_origin")).alias("_shared"),
+        F.expr("count(*) AS n"),
+        F.expr("min(company_origin) < max(company_origin) AS _shared"),
     )
-    shared = rows_of_groups(rows, groups, "email", F.col("_shared"), heavy_groups)
+    shared = rows_of_groups(rows, groups, "email", "_shared", heavy_groups)
     return shared.drop("_shared").withColumn("duplicate_check", F.lit("cross_company_email"))

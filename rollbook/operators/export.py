@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from rollbook.functions.values import salary_amount
 from rollbook.schema import DATE_COLUMNS, GOLDEN_COLUMNS
@@ -29,26 +29,23 @@ MATCH_EXPORT_COLUMNS = (
 def golden_export(golden: DataFrame) -> DataFrame:
     """Stable column types: text, timestamp, number, boolean. Bad values become null."""
     special = {
-        **{c: F.col(c).try_cast("timestamp_ntz") for c in DATE_COLUMNS},
-        "salary_original": salary_amount(F.col("salary_original").cast("string")),
-        "salary_usd_annual": F.col("salary_usd_annual").try_cast("double"),
-        "benefits_enrolled": F.coalesce(F.col("benefits_enrolled"), F.lit(False)),
+        **{c: f"try_cast({c} AS TIMESTAMP_NTZ)" for c in DATE_COLUMNS},
+        "salary_original": salary_amount("CAST(salary_original AS STRING)"),
+        "salary_usd_annual": "try_cast(salary_usd_annual AS DOUBLE)",
+        "benefits_enrolled": "coalesce(benefits_enrolled, false)",
     }
-    return golden.select(
-        [
-            special.get(c, F.col(c).cast("string")).alias(c)
-            for c in GOLDEN_COLUMNS
-            if c in golden.columns
-        ]
+    columns = [c for c in GOLDEN_COLUMNS if c in golden.columns]
+    return golden.selectExpr(
+        *[f"{special.get(c, f'CAST({c} AS STRING)')} AS {c}" for c in columns]
     )
 
 
 def match_export(matches: DataFrame) -> DataFrame:
     values = {
-        "record_1_id": F.col("left_employee_id"),
-        "record_2_id": F.col("right_employee_id"),
-        "similarity_score": F.coalesce(F.col("name_similarity_score"), F.lit(100.0)),
-        "hire_date_diff_days": F.col("hire_date_gap_days"),
-        "recommended_action": F.lit("HR_REVIEW"),
+        "record_1_id": "left_employee_id",
+        "record_2_id": "right_employee_id",
+        "similarity_score": "coalesce(name_similarity_score, 100D)",
+        "hire_date_diff_days": "hire_date_gap_days",
+        "recommended_action": "'HR_REVIEW'",
     }
-    return matches.select([values.get(c, F.col(c)).alias(c) for c in MATCH_EXPORT_COLUMNS])
+    return matches.selectExpr(*[f"{values.get(c, c)} AS {c}" for c in MATCH_EXPORT_COLUMNS])

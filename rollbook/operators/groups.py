@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # How many of the largest groups are joined by broadcast. It bounds the broadcast table
 # (one row per group), and every group left to the shuffle holds less than 1 in
@@ -14,10 +14,10 @@ def rows_of_groups(
     rows: DataFrame,
     groups: DataFrame,
     key: str,
-    keep: Column,
+    keep: str,
     heavy_groups: int = HEAVY_GROUPS,
 ) -> DataFrame:
-    """``rows`` inner-joined with the groups that satisfy ``keep``; null is a key too.
+    """``rows`` inner-joined with the groups for which ``keep`` holds; null is a key too.
 
     ``groups`` is an aggregate with one row for each key in ``rows``, its row count in
     ``n`` and the other columns to add. The largest groups are never shuffled: their
@@ -26,7 +26,7 @@ def rows_of_groups(
     exactly once. The order that picks the large groups is total, so each use of it,
     and each retry, picks the same ones.
     """
-    flagged = groups.withColumn("_keep", F.coalesce(keep, F.lit(False)))
+    flagged = groups.selectExpr("*", f"coalesce({keep}, false) AS _keep")
     heavy = flagged.orderBy(F.desc("n"), F.asc_nulls_first(key)).limit(heavy_groups)
 
     in_place = _join(rows, F.broadcast(heavy.filter("_keep")), key, "inner")

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rollbook.config import ENRICHMENT_SOURCES, IDENTITY_SOURCES
+from rollbook.functions.text import literal
 from rollbook.operators.groups import HEAVY_GROUPS, rows_of_groups
 from rollbook.schema import (
     COMPLETENESS_COLUMNS,
@@ -22,59 +23,59 @@ from rollbook.schema import (
 )
 
 ID = "employee_id"
+_SURVIVOR_KEY = ("source_system", "email", "hire_date")
+
+
+def _from(sources: Sequence[str]) -> str:
+    return f"source_system IN ({', '.join(map(literal, sources))})"
 
 
 def identity_records(combined: DataFrame) -> DataFrame:
-    rows = combined.filter(F.col("source_system").isin(*IDENTITY_SOURCES))
+    rows = combined.filter(_from(IDENTITY_SOURCES))
     return rows.select(*IDENTITY_COLUMNS, *_ordinal(combined))
 
 
 def enrichment_records(combined: DataFrame) -> DataFrame:
-    return combined.filter(F.col("source_system").isin(*ENRICHMENT_SOURCES))
+    return combined.filter(_from(ENRICHMENT_SOURCES))
 
 
-def completeness(columns: Iterable[str]) -> Column:
+def completeness(columns: Iterable[str]) -> str:
     """How many of the identity columns are filled in."""
     present = [c for c in COMPLETENESS_COLUMNS if c in set(columns)]
-    return sum((F.col(c).isNotNull().cast("int") for c in present), F.lit(0))
+    return " + ".join(f"CAST({c} IS NOT NULL AS INT)" for c in present) or "0"
 
 
 def _ordinal(df: DataFrame) -> list[str]:
     return [ORDINAL] if ORDINAL in df.columns else []
 
 
-def _preference(df: DataFrame, columns: Sequence[str]) -> Column:
+def _preference(df: DataFrame, columns: Sequence[str]) -> str:
     """A record whose smallest value is the survivor.
 
     Fuller rows first, then the source name, then the row order where a feed has one,
     then all other columns, so that no tie is left to chance.
     """
     rest = [c for c in columns if c not in (ID, "source_system")]
-    return F.struct(
-        (-completeness(columns)).alias("_emptiness"), "source_system", *_ordinal(df), *rest
-    )
+    fields = ["source_system", *_ordinal(df), *rest]
+    return f"struct(-({completeness(columns)}) AS _emptiness, {', '.join(fields)})"
 
 
-def _latest_pay(df: DataFrame) -> Column:
+def _latest_pay(df: DataFrame) -> str:
     """A record whose largest value is the latest payroll row.
 
     Null is the smallest value, so undated rows come last; among equal dates the
     earlier row wins where the feed has a row order.
     """
-    earlier = [(-F.col(c)).alias("_earlier") for c in _ordinal(df)]
+    earlier = [f"-{c} AS _earlier" for c in _ordinal(df)]
     rest = [c for c in PAYROLL_COLUMNS if c != "compensation_effective_date"]
-    return F.struct("compensation_effective_date", *earlier, *rest)
-
-
-def _source_list(flags: dict[str, Column]) -> Column:
-    return F.concat_ws("|", *[F.when(flags[name], F.lit(name)) for name in sorted(flags)])
+    return f"struct({', '.join(['compensation_effective_date', *earlier, *rest])})"
 
 
 def surviving_identities(identities: DataFrame) -> DataFrame:
     """One identity row per employee id; rows without an id form one group."""
     columns = [c for c in identities.columns if c != ORDINAL]
-    best = identities.groupBy(ID).agg(F.min(_preference(identities, columns)).alias("_best"))
-    return best.select([F.col(c) if c == ID else F.col(f"_best.{c}") for c in columns])
+    best = identities.groupBy(ID).agg(F.expr(f"min({_preference(identities, columns)}) AS _best"))
+    return best.selectExpr([c if c == ID else f"_best.{c}" for c in columns])
 
 
 def duplicate_identity_review(
@@ -89,45 +90,43 @@ def duplicate_identity_review(
     groups = (
         identities.groupBy(ID)
         .agg(
-            F.count("*").alias("n"),
-            F.min(_preference(identities, columns)).alias("_best"),
-        )
-        .select(
-            ID,
-            "n",
-            *[F.col(f"_best.{c}").alias(f"_{c}") for c in ("source_system", "email", "hire_date")],
+            F.expr("count(*) AS n"),
+            F.expr(f"min({_preference(identities, columns)}) AS _best"),
         )
+        .selectExpr(ID, "n", *[f"_best.{c} AS _{c}" for c in _SURVIVOR_KEY])
     )
-    rows = rows_of_groups(identities, groups, ID, F.col("n") > 1, heavy_groups)
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("source_system", "email", "hire_date")]
-    return rows.select(
-        *columns,
-        F.lit("hris_employee_id").alias("duplicate_check"),
-        (same[0] & same[1] & same[2]).alias("kept_in_golden"),
+    rows = rows_of_groups(identities, groups, ID, "n > 1", heavy_groups)
+    same = " AND ".join(f"{c} <=> _{c}" for c in _SURVIVOR_KEY)
+    return rows.selectExpr(
+        *columns, "'hris_employee_id' AS duplicate_check", f"({same}) AS kept_in_golden"
     )
 
 
 def latest_payroll(enrichment: DataFrame) -> DataFrame:
     """The payroll row with the latest effective date for each id."""
-    payroll = enrichment.filter(F.col("source_system") == "payroll")
-    latest = payroll.groupBy(ID).agg(F.max(_latest_pay(payroll)).alias("_pay"))
-    return latest.select(ID, *[F.col(f"_pay.{c}") for c in PAYROLL_COLUMNS])
+    payroll = enrichment.filter("source_system = 'payroll'")
+    latest = payroll.groupBy(ID).agg(F.expr(f"max({_latest_pay(payroll)}) AS _pay"))
+    return latest.selectExpr(ID, *[f"_pay.{c}" for c in PAYROLL_COLUMNS])
 
 
 def benefits_summary(enrichment: DataFrame) -> DataFrame:
     """Enrolled flag and earliest enrollment date for each id."""
-    benefits = enrichment.filter((F.col("source_system") == "benefits") & F.col(ID).isNotNull())
+    benefits = enrichment.filter(f"source_system = 'benefits' AND {ID} IS NOT NULL")
     return benefits.groupBy(ID).agg(
-        F.bool_or(F.lit(True)).alias("benefits_enrolled"),
-        F.min("benefits_enrollment_date").alias("benefits_enrollment_date"),
+        F.expr("bool_or(true) AS benefits_enrolled"),
+        F.expr("min(benefits_enrollment_date) AS benefits_enrollment_date"),
     )
 
 
 def source_systems(combined: DataFrame) -> DataFrame:
-    """Sorted, pipe-separated feeds in which each id occurs."""
+    """Sorted, pipe-separated feeds in which each id occurs.
+
+    Repeats are dropped before the shuffle; what is collected per id is the handful of
+    feed names.
+    """
     named = combined.select(ID, "source_system").dropna()
     return named.groupBy(ID).agg(
-        F.concat_ws("|", F.array_sort(F.collect_set("source_system"))).alias("source_systems")
+        F.expr("concat_ws('|', array_sort(collect_set(source_system))) AS source_systems")
     )
 
 
@@ -137,63 +136,57 @@ def golden_records(combined: DataFrame) -> DataFrame:
     ``combined`` holds the four configured feeds. An id found only in payroll or
     benefits makes no record; a record without an id is not enriched.
     """
-    source = F.col("source_system")
-    feeds = IDENTITY_SOURCES + ENRICHMENT_SOURCES
+    feeds = sorted(IDENTITY_SOURCES + ENRICHMENT_SOURCES)
+    who = f"IF({_from(IDENTITY_SOURCES)}, {_preference(combined, IDENTITY_COLUMNS)}, NULL)"
+    pay = f"IF(source_system = 'payroll', {_latest_pay(combined)}, NULL)"
+    enrolled = "IF(source_system = 'benefits', benefits_enrollment_date, NULL)"
     grouped = combined.groupBy(ID).agg(
-        F.min(
-            F.when(source.isin(*IDENTITY_SOURCES), _preference(combined, IDENTITY_COLUMNS))
-        ).alias("_who"),
-        F.max(F.when(source == "payroll", _latest_pay(combined))).alias("_pay"),
-        F.min(F.when(source == "benefits", F.col("benefits_enrollment_date"))).alias("_enrolled"),
-        *[F.bool_or(source == name).alias(f"_in_{name}") for name in feeds],
+        F.expr(f"min({who}) AS _who"),
+        F.expr(f"max({pay}) AS _pay"),
+        F.expr(f"min({enrolled}) AS _enrolled"),
+        *[F.expr(f"bool_or(source_system = {literal(f)}) AS _in_{f}") for f in feeds],
     )
-    has_id = F.col(ID).isNotNull()
-    in_feed = {name: F.col(f"_in_{name}") for name in feeds}
+    found_in = ", ".join(f"IF(_in_{f}, {literal(f)}, NULL)" for f in feeds)
     values = {
-        ID: F.col(ID),
-        **{c: F.col(f"_who.{c}") for c in IDENTITY_COLUMNS if c != ID},
-        **{c: F.when(has_id, F.col(f"_pay.{c}")) for c in PAYROLL_COLUMNS},
-        "benefits_enrolled": has_id & in_feed["benefits"],
-        "benefits_enrollment_date": F.when(has_id, F.col("_enrolled")),
-        "source_systems": F.when(has_id, _source_list(in_feed)).otherwise(
-            F.col("_who.source_system")
-        ),
-        "dedup_method": F.lit("exact_employee_id"),
+        ID: ID,
+        **{c: f"_who.{c}" for c in IDENTITY_COLUMNS if c != ID},
+        **{c: f"IF({ID} IS NULL, NULL, _pay.{c})" for c in PAYROLL_COLUMNS},
+        "benefits_enrolled": f"{ID} IS NOT NULL AND _in_benefits",
+        "benefits_enrollment_date": f"IF({ID} IS NULL, NULL, _enrolled)",
+        "source_systems": f"IF({ID} IS NULL, _who.source_system, concat_ws('|', {found_in}))",
+        "dedup_method": "'exact_employee_id'",
     }
-    return grouped.filter(F.col("_who").isNotNull()).select(
-        [values[c].alias(c) for c in GOLDEN_COLUMNS]
+    return grouped.filter("_who IS NOT NULL").selectExpr(
+        *[f"{values[c]} AS {c}" for c in GOLDEN_COLUMNS]
     )
 
 
-def _enrichment_groups(combined: DataFrame) -> DataFrame:
-    """For each id: its enrichment rows, and whether an identity feed knows it."""
-    source = F.col("source_system")
-    groups = combined.groupBy(ID).agg(
-        F.count_if(source.isin(*ENRICHMENT_SOURCES)).alias("n"),
-        F.bool_or(source.isin(*IDENTITY_SOURCES)).alias("_identity"),
-    )
-    known = (F.col(ID).isNotNull() & F.col("_identity")).alias("_known")
-    return groups.filter("n > 0").select(ID, "n", known)
-
-
 def ghost_records(combined: DataFrame, heavy_groups: int = HEAVY_GROUPS) -> DataFrame:
     """Enrichment rows whose id is missing or unknown to the identity feeds."""
-    return _enrichment_rows(combined, ~F.col("_known"), heavy_groups)
+    return _enrichment_rows(combined, "NOT _known", heavy_groups)
 
 
 def matched_enrichment(combined: DataFrame, heavy_groups: int = HEAVY_GROUPS) -> DataFrame:
     """Enrichment rows whose id an identity feed knows."""
-    return _enrichment_rows(combined, F.col("_known"), heavy_groups)
+    return _enrichment_rows(combined, "_known", heavy_groups)
 
 
-def _enrichment_rows(combined: DataFrame, keep: Column, heavy_groups: int) -> DataFrame:
-    rows = enrichment_records(combined)
-    groups = _enrichment_groups(combined)
-    return rows_of_groups(rows, groups, ID, keep, heavy_groups).drop("_known", ORDINAL)
+def _enrichment_rows(combined: DataFrame, keep: str, heavy_groups: int) -> DataFrame:
+    # for each id: its enrichment rows, and whether an identity feed knows it
+    groups = (
+        combined.groupBy(ID)
+        .agg(
+            F.expr(f"count_if({_from(ENRICHMENT_SOURCES)}) AS n"),
+            F.expr(f"bool_or({_from(IDENTITY_SOURCES)}) AS _identity"),
+        )
+        .filter("n > 0")
+        .selectExpr(ID, "n", f"{ID} IS NOT NULL AND _identity AS _known")
+    )
+    rows = rows_of_groups(enrichment_records(combined), groups, ID, keep, heavy_groups)
+    return rows.drop("_known", ORDINAL)
 
 
 def assert_unique(df: DataFrame, key: str, name: str) -> None:
     """Raise when a key occurs twice (two missing keys count as equal)."""
-    repeated = df.groupBy(key).count().filter("count > 1").limit(1).count()
-    if repeated:
+    if not df.groupBy(key).count().filter("count > 1").isEmpty():
         raise ValueError(f"{name} contains duplicate {key} values")

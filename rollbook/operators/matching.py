@@ -11,42 +11,44 @@ come straight from a shuffle, as adaptive skew handling requires.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from rollbook.config import DEFAULT_SETTINGS, Settings
+from rollbook.config import DEFAULT_SETTINGS
 from rollbook.functions import similarity
-from rollbook.functions.text import sorted_tokens
+from rollbook.functions.text import literal, sorted_tokens
 from rollbook.functions.values import day_gap, day_number
 
 SAME_NAME = "same_full_name_hire_date_window"
 SIMILAR_NAME = "fuzzy_name_hire_date_window"
 
-_SIDE_COLUMNS = ("employee_id", "company_origin", "full_name", "email", "hire_date")
+_KEYS = ("employee_id", "company_origin", "full_name")
+_DETAILS = ("email", "hire_date")
+_GAP = day_gap("left_hire_date", "right_hire_date")
 
 
 def _people(golden: DataFrame) -> DataFrame:
-    named = golden.select(*_SIDE_COLUMNS)
-    return named.filter(F.col("full_name").isNotNull() & F.col("hire_date").isNotNull())
+    return golden.select(*_KEYS, *_DETAILS).filter(
+        "full_name IS NOT NULL AND hire_date IS NOT NULL"
+    )
 
 
-def _bucket(day: Column, gap: int) -> Column:
-    return F.floor(day / F.lit(2 * (gap + 1))).cast("int")
+def _bucket(day: str, gap: int) -> str:
+    return f"CAST(floor(({day}) / {2 * (gap + 1)}) AS INT)"
 
 
-def _own_bucket(people: DataFrame, gap: int) -> DataFrame:
-    return people.withColumn("_bucket", _bucket(day_number(F.col("hire_date")), gap))
+def _own_bucket(gap: int) -> str:
+    return f"{_bucket(day_number('hire_date'), gap)} AS _bucket"
 
 
-def _reached_buckets(people: DataFrame, gap: int) -> DataFrame:
+def _reached_buckets(gap: int) -> str:
     """One row for each bucket that holds any date within the band: one or two."""
-    day = day_number(F.col("hire_date"))
-    reach = F.array(_bucket(day - (gap + 1), gap), _bucket(day + gap, gap))
-    return people.withColumn("_bucket", F.explode(F.array_distinct(reach)))
+    day = day_number("hire_date")
+    first, last = _bucket(f"{day} - {gap + 1}", gap), _bucket(f"{day} + {gap}", gap)
+    return f"explode(array_distinct(array({first}, {last}))) AS _bucket"
 
 
 def _side(df: DataFrame, side: str) -> DataFrame:
-    return df.select([F.col(c).alias(f"{side}{c}" if c[0] == "_" else f"{side}_{c}")
-                      for c in df.columns])
+    return df.selectExpr(*[f"{c} AS {side}{'' if c[0] == '_' else '_'}{c}" for c in df.columns])
 
 
 def same_name_matches(
@@ -54,17 +56,16 @@ def same_name_matches(
 ) -> DataFrame:
     """Pairs of rows with equal full names in two companies; left is the first company."""
     people = _people(golden)
-    left = _side(_reached_buckets(people, max_gap_days), "left")
-    right = _side(_own_bucket(people, max_gap_days), "right")
-    gap = day_gap(F.col("left_hire_date"), F.col("right_hire_date"))
+    left = _side(people.selectExpr("*", _reached_buckets(max_gap_days)), "left")
+    right = _side(people.selectExpr("*", _own_bucket(max_gap_days)), "right")
     pairs = left.join(
         right,
-        (left["left_full_name"] == right["right_full_name"])
-        & (left["left_bucket"] == right["right_bucket"])
-        & (left["left_company_origin"] < right["right_company_origin"])
-        & (gap <= max_gap_days),
+        F.expr(
+            "left_full_name = right_full_name AND left_bucket = right_bucket "
+            f"AND left_company_origin < right_company_origin AND {_GAP} <= {max_gap_days}"
+        ),
     )
-    return _pair_columns(pairs, SAME_NAME, gap, None)
+    return _pair_columns(pairs, SAME_NAME)
 
 
 def similar_name_matches(
@@ -80,31 +81,29 @@ def similar_name_matches(
     the same name in the same bucket collapse before the comparison and are expanded
     after it. Hire dates are compared as timestamps, both ends included.
     """
-    people = _people(golden).withColumn("_name", sorted_tokens(F.col("full_name")))
-    left = _reached_buckets(people.filter(F.col("company_origin") == left_company), max_gap_days)
-    right = _own_bucket(people.filter(F.col("company_origin") == right_company), max_gap_days)
+    people = _people(golden).selectExpr("*", f"{sorted_tokens('full_name')} AS _name")
+    left = people.filter(f"company_origin = {literal(left_company)}").selectExpr(
+        "*", _reached_buckets(max_gap_days)
+    )
+    right = people.filter(f"company_origin = {literal(right_company)}").selectExpr(
+        "*", _own_bucket(max_gap_days)
+    )
     similar = similar_names(
         left.select("_bucket", "_name").distinct(),
         right.select("_bucket", "_name").distinct(),
         threshold,
     )
 
-    left, right = _side(left, "left"), _side(right, "right")
-    pairs = left.join(
-        similar,
-        (left["left_bucket"] == similar["_bucket"]) & (left["left_name"] == similar["_left"]),
-    ).join(
-        right,
-        (F.col("_bucket") == right["right_bucket"]) & (F.col("_right") == right["right_name"]),
-    )
-    band = F.expr(f"interval '{int(max_gap_days)}' day")
-    pairs = pairs.filter(
-        F.col("right_hire_date").between(
-            F.col("left_hire_date") - band, F.col("left_hire_date") + band
+    band = f"INTERVAL '{int(max_gap_days)}' DAY"
+    pairs = (
+        _side(left, "left")
+        .join(similar, F.expr("left_bucket = _bucket AND left_name = _left"))
+        .join(_side(right, "right"), F.expr("right_bucket = _bucket AND right_name = _right"))
+        .filter(
+            f"right_hire_date BETWEEN left_hire_date - {band} AND left_hire_date + {band}"
         )
     )
-    gap = day_gap(F.col("left_hire_date"), F.col("right_hire_date"))
-    return _pair_columns(pairs, SIMILAR_NAME, gap, F.col("_score"))
+    return _pair_columns(pairs, SIMILAR_NAME, "_score AS name_similarity_score")
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -118,129 +117,95 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     equi-join, where comparing every pair in a bucket would grow with its square.
     """
     rule = similarity.Threshold(threshold)
-    right_keys = right.select(
-        "_bucket",
-        F.col("_name").alias("_right"),
-        F.explode(_piece_keys(F.col("_name"), rule)).alias("_piece"),
+    right_keys = right.selectExpr(
+        "_bucket", "_name AS _right", f"explode({_piece_keys('_name', rule)}) AS _piece"
     )
-    left_keys = left.select(
-        F.col("_bucket").alias("_left_bucket"),
-        F.col("_name").alias("_left"),
-        similarity.character_masks(F.col("_name")).alias("_masks"),
-        F.explode(_probe_keys(F.col("_name"), rule)).alias("_left_piece"),
+    left_keys = left.selectExpr(
+        "_bucket AS _left_bucket",
+        "_name AS _left",
+        f"{similarity.character_masks('_name')} AS _masks",
+        f"explode({_probe_keys('_name', rule)}) AS _left_piece",
     )
-    budget = rule.budget(F.length("_right"), F.length("_left"))
+    # Levenshtein distance counts a substitution once where Indel distance counts it
+    # twice, so it never exceeds it, and Spark evaluates it fast
+    budget = rule.budget("length(_left)", "length(_right)")
     candidates = left_keys.join(
         right_keys,
-        (F.col("_left_piece") == F.col("_piece"))
-        & (F.col("_left_bucket") == F.col("_bucket"))
-        # a substitution is one edit here and two there, so this never exceeds the Indel
-        # distance, and Spark evaluates it fast
-        & (F.levenshtein(F.col("_left"), F.col("_right")) <= budget),
+        F.expr(
+            "_left_piece = _piece AND _left_bucket = _bucket "
+            f"AND levenshtein(_left, _right) <= {budget}"
+        ),
     )
-    total = F.length("_left") + F.length("_right")
-    lcs = similarity.lcs_length(F.col("_left"), F.col("_masks"), F.col("_right"))
-    scored = candidates.select("_bucket", "_left", "_right", lcs.alias("_lcs"))
+    total = "length(_left) + length(_right)"
+    lcs = similarity.lcs_length("_left", "_masks", "_right")
     # several pieces may have met: one row per pair of names
     return (
-        scored.filter(rule.reached(total, F.col("_lcs")))
+        candidates.selectExpr("_bucket", "_left", "_right", f"{lcs} AS _lcs")
+        .filter(rule.reached(total, "_lcs"))
         .dropDuplicates(["_bucket", "_left", "_right"])
-        .select("_bucket", "_left", "_right", similarity.score(total, F.col("_lcs")).alias("_score"))
+        .selectExpr("_bucket", "_left", "_right", f"{similarity.score(total, '_lcs')} AS _score")
     )
 
 
-def _key(bucket: Column, length: Column, other: Column, piece: Column, text: Column) -> Column:
-    return F.xxhash64(bucket, length, other, piece, text)
-
-
-def _piece_bounds(length: Column, budget: Column, piece: Column) -> tuple[Column, Column]:
-    pieces = budget + 1
-    start = F.floor(length * piece / pieces).cast("int")
-    return start, F.floor(length * (piece + 1) / pieces).cast("int") - start
-
-
-def _piece_keys(name: Column, rule: similarity.Threshold) -> Column:
-    """For every partner length: the pieces of this (right) name."""
-    length, bucket = F.length(name), F.col("_bucket")
+def _piece(length: str, budget: str) -> tuple[str, str]:
+    """Start and size of piece ``p`` of a string cut into ``budget + 1`` even pieces."""
+    start = f"CAST({length} * p div ({budget} + 1) AS INT)"
+    end = f"CAST({length} * (p + 1) div ({budget} + 1) AS INT)"
+    return start, f"({end} - {start})"
 
-    def for_length(other: Column) -> Column:
-        budget = rule.budget(length, other)
 
-        def piece_key(piece: Column) -> Column:
-            start, size = _piece_bounds(length, budget, piece)
-            return _key(bucket, length, other, piece, F.substr(name, start + 1, size))
+def _piece_keys(name: str, rule: similarity.Threshold) -> str:
+    """For every partner length ``n``: the pieces of this (right) name."""
+    length = f"length({name})"
+    budget = rule.budget(length, "n")
+    start, size = _piece(length, budget)
+    key = f"xxhash64(_bucket, {length}, n, p, substr({name}, {start} + 1, {size}))"
+    keys = f"transform(sequence(0, {budget}), p -> {key})"
+    return f"flatten(transform({rule.partner_lengths(length)}, n -> {keys}))"
 
-        return F.transform(F.sequence(F.lit(0), budget), piece_key)
 
-    return F.array_distinct(F.flatten(F.transform(rule.partner_lengths(length), for_length)))
+def _probe_keys(name: str, rule: similarity.Threshold) -> str:
+    """For every partner length ``n``: where a piece of it may reappear in this (left) name.
 
-
-def _probe_keys(name: Column, rule: similarity.Threshold) -> Column:
-    """For every partner length: the parts of this (left) name where a piece may reappear.
-
-    Walk the pieces from the left and count errors: some untouched piece i has exactly
-    i errors before it and at most d - i after it. Each error moves the text by one
-    place, so the piece is shifted by -i, -i + 2, ... or i, and what remains of the
+    Walk the pieces from the left and count errors: some untouched piece p has exactly
+    p errors before it and at most d - p after it. Each error moves the text by one
+    place, so the piece is shifted by -p, -p + 2, ... or p, and what remains of the
     length difference must fit the errors that remain.
     """
-    length, bucket = F.length(name), F.col("_bucket")
-
-    def for_length(other: Column) -> Column:
-        budget = rule.budget(other, length)
-        drift = length - other
-
-        def for_piece(piece: Column) -> Column:
-            start, size = _piece_bounds(other, budget, piece)
-            shifts = F.filter(
-                F.sequence(-piece, piece, F.lit(2)),
-                lambda s: (F.abs(drift - s) <= budget - piece)
-                & (start + s >= 0)
-                & (start + s + size <= length),
-            )
-            return F.transform(
-                shifts,
-                lambda s: _key(bucket, other, length, piece, F.substr(name, start + s + 1, size)),
-            )
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), budget), for_piece))
-
-    return F.array_distinct(F.flatten(F.transform(rule.partner_lengths(length), for_length)))
-
-
-def _pair_columns(
-    pairs: DataFrame, match_type: str, gap: Column, score: Column | None
-) -> DataFrame:
-    sides = [f"{side}_{c}" for c in _SIDE_COLUMNS[:3] for side in ("left", "right")]
-    tail = [f"{side}_{c}" for c in _SIDE_COLUMNS[3:] for side in ("left", "right")]
-    scored = [] if score is None else [score.alias("name_similarity_score")]
-    return pairs.select(
-        F.lit(match_type).alias("match_type"),
-        *sides,
-        *scored,
-        *tail,
-        gap.alias("hire_date_gap_days"),
-        F.lit(True).alias("review_required"),
+    length = f"length({name})"
+    budget = rule.budget(length, "n")
+    start, size = _piece("n", budget)
+    fits = (
+        f"abs({length} - n - s) <= {budget} - p AND {start} + s >= 0 "
+        f"AND {start} + s + {size} <= {length}"
+    )
+    shifts = f"filter(sequence(-p, p, 2), s -> {fits})"
+    key = f"xxhash64(_bucket, n, {length}, p, substr({name}, {start} + s + 1, {size}))"
+    keys = f"transform(sequence(0, {budget}), p -> transform({shifts}, s -> {key}))"
+    every = f"transform({rule.partner_lengths(length)}, n -> flatten({keys}))"
+    return f"array_distinct(flatten({every}))"
+
+
+def _pair_columns(pairs: DataFrame, match_type: str, *score: str) -> DataFrame:
+    def both(columns: tuple[str, ...]) -> list[str]:
+        return [f"{side}_{c}" for c in columns for side in ("left", "right")]
+
+    return pairs.selectExpr(
+        f"{literal(match_type)} AS match_type",
+        *both(_KEYS),
+        *score,
+        *both(_DETAILS),
+        f"{_GAP} AS hire_date_gap_days",
+        "true AS review_required",
     )
 
 
 def probable_matches(same_name: DataFrame, similar_name: DataFrame) -> DataFrame:
     """Both kinds of match, one row per pair of records; the same-name finding wins."""
     both = same_name.unionByName(similar_name, allowMissingColumns=True)
-    priority = F.when(F.col("match_type") == SAME_NAME, 1).otherwise(2)
+    # every column takes part, so that a pair found twice has one fixed winner
+    order = [F.expr(f"IF(match_type = {literal(SAME_NAME)}, 1, 2)"), "hire_date_gap_days"]
+    order += ["left_hire_date", "right_hire_date", "left_full_name", "right_full_name"]
     pair = Window.partitionBy("left_employee_id", "right_employee_id")
-    ranked = both.withColumn(
-        "_rank",
-        F.row_number().over(
-            pair.orderBy(
-                priority,
-                "hire_date_gap_days",
-                "left_hire_date",
-                "right_hire_date",
-                "left_full_name",
-                "right_full_name",
-                "left_email",
-                "right_email",
-            )
-        ),
-    )
-    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+    first = F.row_number().over(pair.orderBy(*order, "left_email", "right_email"))
+    return both.withColumn("_rank", first).filter("_rank = 1").drop("_rank")

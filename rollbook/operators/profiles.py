@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rollbook.functions.values import as_of_date
 
@@ -25,16 +26,16 @@ def headcount_by_country(golden: DataFrame, top_n: int = 15) -> DataFrame:
 
 
 def _headcount(golden: DataFrame, column: str) -> DataFrame:
-    named = F.coalesce(F.col(column), F.lit("Unknown")).alias(column)
-    return golden.groupBy(named).agg(F.count("*").alias("employee_count"))
+    named = F.expr(f"coalesce({column}, 'Unknown') AS {column}")
+    return golden.groupBy(named).agg(F.expr("count(*) AS employee_count"))
 
 
 def benefits_rate_by_department(golden: DataFrame) -> DataFrame:
-    enrolled = F.coalesce(F.col("benefits_enrolled"), F.lit(False)).cast("int")
+    rate = "avg(CAST(coalesce(benefits_enrolled, false) AS INT)) AS enrollment_rate"
     return (
-        golden.filter(F.col("department_standardized").isNotNull())
+        golden.filter("department_standardized IS NOT NULL")
         .groupBy("department_standardized")
-        .agg(F.avg(enrolled).alias("enrollment_rate"))
+        .agg(F.expr(rate))
         .orderBy("enrollment_rate", "department_standardized")
     )
 
@@ -47,112 +48,95 @@ def salary_box(golden: DataFrame) -> DataFrame:
     QUANTILE_CELLS cells per type in each step: no type's salaries are ever gathered or
     sorted in one place, as the built-in exact percentile would.
     """
-    cents = F.round(F.col("salary_usd_annual").cast("decimal(28, 2)") * 100).cast("bigint")
     salaries = (
-        golden.filter(F.col("salary_usd_annual").isNotNull() & F.col("employment_type").isNotNull())
-        .groupBy("employment_type", cents.alias("_cents"))
-        .agg(F.count("*").alias("_n"))
-    )
-    spread = salaries.groupBy("employment_type").agg(
-        F.sum("_n").alias("employee_count"),
-        F.min("_cents").alias("_low"),
-        F.max("_cents").alias("_high"),
+        golden.filter("salary_usd_annual IS NOT NULL AND employment_type IS NOT NULL")
+        .groupBy(
+            "employment_type",
+            F.expr("CAST(CAST(salary_usd_annual AS DECIMAL(28, 2)) * 100 AS BIGINT) AS _cents"),
+        )
+        .agg(F.expr("count(*) AS _n"))
     )
-    quartiles = _quartiles(salaries, spread)
-
     # quarter cents keep the interpolated quartiles and the fences whole numbers
-    reach = 3 * (F.col("_q3") - F.col("_q1"))
-    fenced = quartiles.withColumns(
-        {"_floor": 2 * F.col("_q1") - reach, "_ceiling": 2 * F.col("_q3") + reach}
+    fenced = _quartiles(salaries).selectExpr(
+        "*",
+        "2 * _q1 - 3 * (_q3 - _q1) AS _floor",
+        "2 * _q3 + 3 * (_q3 - _q1) AS _ceiling",
     )
-    eighth = F.col("_cents") * 8
-    inside = eighth.between(F.col("_floor"), F.col("_ceiling"))
-    whiskers = (
+    inside = "8 * _cents BETWEEN _floor AND _ceiling"
+    box = (
         salaries.join(F.broadcast(fenced), "employment_type")
-        .groupBy("employment_type")
+        .groupBy("employment_type", "employee_count", "_q1", "_q2", "_q3")
         .agg(
-            F.max("employee_count").alias("employee_count"),
-            *[F.max(q).alias(q) for q in ("_q1", "_q2", "_q3")],
-            F.min(F.when(inside, F.col("_cents") * 4)).alias("_inside_low"),
-            F.max(F.when(inside, F.col("_cents") * 4)).alias("_inside_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outlier_count"),
+            F.expr(f"min(4 * _cents) FILTER (WHERE {inside}) AS _low"),
+            F.expr(f"max(4 * _cents) FILTER (WHERE {inside}) AS _high"),
+            F.expr(f"coalesce(sum(_n) FILTER (WHERE NOT ({inside})), 0) AS outlier_count"),
         )
     )
-    return whiskers.select(
+    return box.selectExpr(
         "employment_type",
         "employee_count",
-        (F.col("_q1") / 400).alias("q1"),
-        (F.col("_q2") / 400).alias("median"),
-        (F.col("_q3") / 400).alias("q3"),
+        "_q1 / 400 AS q1",
+        "_q2 / 400 AS median",
+        "_q3 / 400 AS q3",
         # a whisker never ends inside the box
-        (F.least("_inside_low", "_q1") / 400).alias("whisker_low"),
-        (F.greatest("_inside_high", "_q3") / 400).alias("whisker_high"),
+        "least(_low, _q1) / 400 AS whisker_low",
+        "greatest(_high, _q3) / 400 AS whisker_high",
         "outlier_count",
     ).orderBy("employment_type")
 
 
-def _quartiles(salaries: DataFrame, spread: DataFrame) -> DataFrame:
+def _quartiles(salaries: DataFrame) -> DataFrame:
     """Quartiles in quarter cents, by linear interpolation between neighbouring ranks."""
-    position = F.col("_quarter") * (F.col("employee_count") - 1)
-    wanted = spread.select(
-        "*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("_quarter")
-    ).select(
-        "*",
-        F.pmod(position, F.lit(4)).alias("_part"),
-        F.explode(
-            F.array_distinct(
-                F.array(F.floor(position / 4), F.least(F.floor(position / 4) + 1,
-                                                       F.col("employee_count") - 1))
-            )
-        ).alias("_rank"),
-    )
-    ranks = wanted.select(
-        "employment_type", "_rank", "_low", "_high", F.lit(0).cast("bigint").alias("_below")
+    spread = salaries.groupBy("employment_type").agg(
+        F.expr("sum(_n) AS employee_count"),
+        F.expr("min(_cents) AS _low"),
+        F.expr("max(_cents) AS _high"),
+    )
+    position = "_quarter * (employee_count - 1)"
+    neighbours = f"{position} div 4, least({position} div 4 + 1, employee_count - 1)"
+    wanted = spread.selectExpr("*", "explode(array(1, 2, 3)) AS _quarter").selectExpr(
+        "*", f"{position} % 4 AS _part", f"explode(array_distinct(array({neighbours}))) AS _rank"
+    )
+    ranks = wanted.selectExpr(
+        "employment_type", "_rank", "_low", "_high", "0L AS _below"
     ).distinct()
     for _ in range(2):
         ranks = _narrow(salaries, ranks)
-    values = _pick(salaries, ranks)
-    found = wanted.join(values, ["employment_type", "_rank"])
-    lower, upper = F.min("_cents"), F.max("_cents")
-    quartile = (
-        found.groupBy("employment_type", "employee_count", "_quarter")
-        .agg((lower * 4 + (upper - lower) * F.max("_part")).alias("_value"))
+    value = "4 * min(_cents) + (max(_cents) - min(_cents)) * max(_part)"
+    quartiles = (
+        wanted.join(_pick(salaries, ranks), ["employment_type", "_rank"])
+        .groupBy("employment_type", "employee_count", "_quarter")
+        .agg(F.expr(f"{value} AS _value"))
     )
-    return quartile.groupBy("employment_type", "employee_count").agg(
-        *[F.max(F.when(F.col("_quarter") == q, F.col("_value"))).alias(f"_q{q}") for q in (1, 2, 3)]
+    return quartiles.groupBy("employment_type", "employee_count").agg(
+        *[F.expr(f"max(_value) FILTER (WHERE _quarter = {q}) AS _q{q}") for q in (1, 2, 3)]
     )
 
 
-def _cell_width(low: Column, high: Column) -> Column:
-    return F.ceil((high - low + 1) / F.lit(QUANTILE_CELLS))
+_HOLDS_RANK = "_rank - _below < _upto AND _rank - _below >= _upto - _n"
 
 
 def _narrow(salaries: DataFrame, ranks: DataFrame) -> DataFrame:
     """Shrink each rank's range of cents to the one cell of it that holds the rank."""
-    ranges = ranks.select("employment_type", "_low", "_high").distinct()
-    width = _cell_width(F.col("_low"), F.col("_high"))
+    span = ["employment_type", "_low", "_high"]
+    width = f"((_high - _low + {QUANTILE_CELLS}) div {QUANTILE_CELLS})"
     cells = (
-        salaries.join(F.broadcast(ranges), "employment_type")
-        .filter(F.col("_cents").between(F.col("_low"), F.col("_high")))
-        .groupBy(
-            "employment_type", "_low", "_high",
-            F.floor((F.col("_cents") - F.col("_low")) / width).alias("_cell"),
-        )
-        .agg(F.sum("_n").alias("_n"))
+        salaries.join(F.broadcast(ranks.select(span).distinct()), "employment_type")
+        .filter("_cents BETWEEN _low AND _high")
+        .groupBy(*span, F.expr(f"(_cents - _low) div {width} AS _cell"))
+        .agg(F.expr("sum(_n) AS _n"))
     )
-    upward = Window.partitionBy("employment_type", "_low", "_high").orderBy("_cell")
-    totals = cells.withColumn("_upto", F.sum("_n").over(upward))
-    low = F.col("_low") + F.col("_cell") * width
-    at = F.col("_rank") - F.col("_below")
+    upward = Window.partitionBy(span).orderBy("_cell")
     return (
-        totals.join(F.broadcast(ranks), ["employment_type", "_low", "_high"])
-        .filter((at < F.col("_upto")) & (at >= F.col("_upto") - F.col("_n")))
-        .select(
+        cells.withColumn("_upto", F.sum("_n").over(upward))
+        .join(F.broadcast(ranks), span)
+        .filter(_HOLDS_RANK)
+        .selectExpr(
             "employment_type",
             "_rank",
-            low.alias("_low"),
-            F.least(F.col("_high"), low + width - 1).alias("_high"),
-            (F.col("_below") + F.col("_upto") - F.col("_n")).alias("_below"),
+            f"_low + _cell * {width} AS _low",
+            f"least(_high, _low + (_cell + 1) * {width} - 1) AS _high",
+            "_below + _upto - _n AS _below",
         )
     )
 
@@ -160,15 +144,11 @@ def _narrow(salaries: DataFrame, ranks: DataFrame) -> DataFrame:
 def _pick(salaries: DataFrame, ranks: DataFrame) -> DataFrame:
     """The value at each rank; two narrowings leave few distinct values to order."""
     near = salaries.join(F.broadcast(ranks), "employment_type").filter(
-        F.col("_cents").between(F.col("_low"), F.col("_high"))
+        "_cents BETWEEN _low AND _high"
     )
     upward = Window.partitionBy("employment_type", "_rank").orderBy("_cents")
-    at = F.col("_rank") - F.col("_below")
-    return (
-        near.withColumn("_upto", F.sum("_n").over(upward))
-        .filter((at < F.col("_upto")) & (at >= F.col("_upto") - F.col("_n")))
-        .select("employment_type", "_rank", "_cents")
-    )
+    picked = near.withColumn("_upto", F.sum("_n").over(upward)).filter(_HOLDS_RANK)
+    return picked.select("employment_type", "_rank", "_cents")
 
 
 def tenure_histogram(
@@ -180,40 +160,36 @@ def tenure_histogram(
     at most) and everything after that is small. Bin membership is decided in whole
     days, without rounding.
     """
-    today = as_of_date(as_of).cast("timestamp_ntz")
-    days = F.datediff(today, F.col("hire_date")) - (
-        F.col("hire_date") > F.col("hire_date").cast("date").cast("timestamp_ntz")
-    ).cast("int")
+    # a hire later in the day leaves one whole day less
+    late = "CAST(hire_date > CAST(CAST(hire_date AS DATE) AS TIMESTAMP_NTZ) AS INT)"
+    days = f"datediff(CAST({as_of_date(as_of)} AS DATE), CAST(hire_date AS DATE)) - {late}"
     daily = (
-        golden.filter(F.col("hire_date").isNotNull())
-        .groupBy(days.alias("_days"))
-        .agg(F.count("*").alias("_n"))
+        golden.filter("hire_date IS NOT NULL")
+        .groupBy(F.expr(f"{days} AS _days"))
+        .agg(F.expr("count(*) AS _n"))
     )
-    whole = Window.partitionBy(F.lit(0))
-    ranged = daily.select(
-        "*", F.min("_days").over(whole).alias("_low"), F.max("_days").over(whole).alias("_high")
+    everything = Window.partitionBy(F.lit(0))
+    ranged = daily.withColumns(
+        {"_low": F.min("_days").over(everything), "_high": F.max("_days").over(everything)}
     )
-    span = F.col("_high") - F.col("_low")
-    place = F.floor((F.col("_days") - F.col("_low")) * bins / span)
     # with a single value the range is taken as half a year to each side of it
-    bin_ = F.when(span == 0, F.lit(bins // 2)).otherwise(F.least(place, F.lit(bins - 1)))
-    counts = ranged.groupBy(bin_.cast("int").alias("bin")).agg(
-        F.sum("_n").alias("_n"), F.min("_low").alias("_low"), F.max("_high").alias("_high")
-    )
-    every = counts.agg(F.min("_low").alias("_low"), F.max("_high").alias("_high")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    ).filter(F.col("_low").isNotNull())
-    flat = F.col("_low") == F.col("_high")
-    low = F.col("_low") / 365.25 - F.when(flat, 0.5).otherwise(0.0)
-    high = F.col("_high") / 365.25 + F.when(flat, 0.5).otherwise(0.0)
-    width = (high - low) / bins
+    place = f"IF(_low = _high, {bins // 2}, (_days - _low) * {bins} div (_high - _low))"
+    filled = ranged.groupBy(
+        "_low", "_high", F.expr(f"CAST(least({place}, {bins - 1}) AS INT) AS bin")
+    ).agg(F.expr("sum(_n) AS _n"))
+    counts = filled.groupBy("_low", "_high").agg(
+        F.expr("map_from_entries(collect_list(struct(bin, _n))) AS _counts")
+    )
+    start = "(_low / 365.25D - IF(_low = _high, 0.5D, 0D))"
+    end = "(_high / 365.25D + IF(_low = _high, 0.5D, 0D))"
+    width = f"({end} - {start}) / {bins}"
     return (
-        every.join(counts.select("bin", "_n"), "bin", "left")
-        .select(
+        counts.selectExpr("*", f"explode(sequence(0, {bins - 1})) AS bin")
+        .selectExpr(
             "bin",
-            F.round(low + width * F.col("bin"), 6).alias("from_years"),
-            F.round(low + width * (F.col("bin") + 1), 6).alias("to_years"),
-            F.coalesce(F.col("_n"), F.lit(0)).alias("employee_count"),
+            f"round({start} + {width} * bin, 6) AS from_years",
+            f"round({start} + {width} * (bin + 1), 6) AS to_years",
+            "coalesce(try_element_at(_counts, bin), 0L) AS employee_count",
         )
         .orderBy("bin")
     )
@@ -221,14 +197,5 @@ def tenure_histogram(
 
 def quality_series(report: DataFrame) -> DataFrame:
     """The validation report as two series, passed and failed, per check."""
-    return report.select(
-        "check",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(s).alias("series"), F.col(s).alias("row_count"))
-                    for s in ("passed", "failed")
-                ]
-            )
-        ),
-    )
+    series = ", ".join(f"struct('{s}' AS series, {s} AS row_count)" for s in ("passed", "failed"))
+    return report.selectExpr("check", f"inline(array({series}))")

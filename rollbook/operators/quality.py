@@ -12,9 +12,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rollbook.config import DEFAULT_SETTINGS, Settings
+from rollbook.functions.text import literal
 from rollbook.functions.values import as_of_date
 from rollbook.operators.groups import HEAVY_GROUPS, rows_of_groups
 
@@ -23,11 +24,11 @@ REPORT_COLUMNS = ("check", "description", "total", "passed", "failed", "pass_rat
 
 @dataclass(frozen=True)
 class RowRule:
-    """Passes where ``predicate`` is true; null counts as a failure."""
+    """Passes where the SQL ``predicate`` is true; null counts as a failure."""
 
     name: str
     description: str
-    predicate: Column
+    predicate: str
 
 
 @dataclass(frozen=True)
@@ -54,17 +55,12 @@ Rule = RowRule | UniqueRule | ReferenceRule
 
 def standard_rules(as_of: dt.date | None = None) -> list[Rule]:
     """The fourteen published rules. Names, texts and limits are fixed values."""
-
-    def col(name: str) -> Column:
-        return F.col(name)
-
-    earliest = F.lit("1990-01-01").cast("timestamp_ntz")
-    latest = as_of_date(as_of).cast("timestamp_ntz")
+    earliest, latest = "TIMESTAMP_NTZ'1990-01-01'", as_of_date(as_of)
     return [
         RowRule(
             "employee_id_not_null",
             "employee_id must not be null",
-            col("employee_id").isNotNull(),
+            "employee_id IS NOT NULL",
         ),
         UniqueRule(
             "employee_id_unique",
@@ -74,50 +70,53 @@ def standard_rules(as_of: dt.date | None = None) -> list[Rule]:
         RowRule(
             "employee_id_format",
             "employee_id must match GT-000001 or AC-000001 format",
-            col("employee_id").rlike(r"^(GT|AC)-[0-9]{6}$"),
+            "employee_id RLIKE '^(GT|AC)-[0-9]{6}$'",
         ),
         RowRule(
             "full_name_not_null",
             "full_name must not be null",
-            col("full_name").isNotNull(),
+            "full_name IS NOT NULL",
+        ),
+        RowRule(
+            "email_not_null",
+            "email must not be null",
+            "email IS NOT NULL",
         ),
-        RowRule("email_not_null", "email must not be null", col("email").isNotNull()),
         RowRule(
             "email_format",
             "email must be in a valid format",
-            col("email").rlike(r"(?U)^[^@\s]+@[^@\s]+\.[^@\s]+$"),
+            r"email RLIKE r'(?U)^[^@\s]+@[^@\s]+\.[^@\s]+$'",
         ),
         RowRule(
             "company_origin_allowed",
             "company_origin must be GlobalTech or AcquiredCo",
-            col("company_origin").isin("GlobalTech", "AcquiredCo"),
+            "company_origin IN ('GlobalTech', 'AcquiredCo')",
         ),
         RowRule(
             "employment_type_allowed",
             "employment_type must be Full-Time, Part-Time, or Contractor",
-            col("employment_type").isNull()
-            | col("employment_type").isin("Full-Time", "Part-Time", "Contractor"),
+            "employment_type IS NULL "
+            "OR employment_type IN ('Full-Time', 'Part-Time', 'Contractor')",
         ),
         RowRule(
             "department_standardized_not_null",
             "department_standardized must not be null",
-            col("department_standardized").isNotNull(),
+            "department_standardized IS NOT NULL",
         ),
         RowRule(
             "hire_date_not_null",
             "hire_date must not be null",
-            col("hire_date").isNotNull(),
+            "hire_date IS NOT NULL",
         ),
         RowRule(
             "hire_date_plausible_range",
             "hire_date must be between 1990-01-01 and today",
-            col("hire_date").between(earliest, latest),
+            f"hire_date BETWEEN {earliest} AND {latest}",
         ),
         RowRule(
             "salary_usd_annual_range",
             "salary_usd_annual must be between 20,000 and 2,000,000 when present",
-            col("salary_usd_annual").isNull()
-            | col("salary_usd_annual").between(20_000, 2_000_000),
+            "salary_usd_annual IS NULL OR salary_usd_annual BETWEEN 20000 AND 2000000",
         ),
         ReferenceRule(
             "manager_id_referential_integrity",
@@ -128,7 +127,7 @@ def standard_rules(as_of: dt.date | None = None) -> list[Rule]:
         RowRule(
             "benefits_enrolled_boolean",
             "benefits_enrolled must be boolean",
-            col("benefits_enrolled").isNotNull(),
+            "benefits_enrolled IS NOT NULL",
         ),
     ]
 
@@ -149,49 +148,28 @@ class Validator:
     def run(self, df: DataFrame) -> DataFrame:
         """One row per rule, in rule order. Reads ``df`` once per kind of rule."""
         row_rules = [(i, r) for i, r in enumerate(self.rules) if isinstance(r, RowRule)]
-        counted = [self._count_key_rule(df, i, r)
-                   for i, r in enumerate(self.rules) if not isinstance(r, RowRule)]
+        counted = [
+            _count_key_rule(df, i, r)
+            for i, r in enumerate(self.rules)
+            if not isinstance(r, RowRule)
+        ]
         if row_rules:
-            counted.append(self._count_row_rules(df, row_rules))
-        counts = reduce(DataFrame.unionByName, counted)
-        return self._report(counts)
-
-    @staticmethod
-    def _count_row_rules(df: DataFrame, rules: list[tuple[int, RowRule]]) -> DataFrame:
-        totals = df.agg(
-            F.count("*").alias("total"),
-            *[F.count_if(r.predicate).alias(f"passed_{i}") for i, r in rules],
-        )
-        each = F.array(
-            *[F.struct(F.lit(i).alias("ord"), F.col(f"passed_{i}").alias("passed"))
-              for i, _ in rules]
-        )
-        return totals.select("total", F.inline(each))
-
-    @staticmethod
-    def _count_key_rule(df: DataFrame, ord: int, rule: UniqueRule | ReferenceRule) -> DataFrame:
-        keys = _key_counts(df, rule)
-        counts = keys.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-            F.coalesce(F.sum(F.when(~F.col("_failed"), F.col("n"))), F.lit(0)).alias("passed"),
-        )
-        return counts.withColumn("ord", F.lit(ord))
+            counted.append(_count_row_rules(df, row_rules))
+        return self._report(reduce(DataFrame.unionByName, counted))
 
     def _report(self, counts: DataFrame) -> DataFrame:
-        names = F.array(*[F.lit(r.name) for r in self.rules])
-        descriptions = F.array(*[F.lit(r.description) for r in self.rules])
-        total, passed = F.col("total"), F.col("passed")
+        names = ", ".join(literal(r.name) for r in self.rules)
+        descriptions = ", ".join(literal(r.description) for r in self.rules)
         # per cent to two places in whole numbers: the share times 10,000, rounded half up
-        hundredths = F.floor((passed * 20_000 + total) / (total * 2))
-        rate = F.when(total > 0, hundredths / 100).otherwise(F.lit(0.0))
-        return counts.orderBy("ord").select(
-            F.get(names, F.col("ord")).alias("check"),
-            F.get(descriptions, F.col("ord")).alias("description"),
-            total,
-            passed,
-            (total - passed).alias("failed"),
-            rate.alias("pass_rate"),
-            F.when(total == passed, "PASS").otherwise("FAIL").alias("status"),
+        rate = "((passed * 20000 + total) div (total * 2)) / 100D"
+        return counts.orderBy("ord").selectExpr(
+            f"get(array({names}), ord) AS check",
+            f"get(array({descriptions}), ord) AS description",
+            "total",
+            "passed",
+            "total - passed AS failed",
+            f"IF(total > 0, {rate}, 0D) AS pass_rate",
+            "IF(total = passed, 'PASS', 'FAIL') AS status",
         )
 
     def gate(self, report: DataFrame) -> None:
@@ -211,29 +189,45 @@ class Validator:
         if rule is None:
             raise ValueError(f"unknown validation check: {check}")
         if isinstance(rule, RowRule):
-            rows = df.filter(~F.coalesce(rule.predicate, F.lit(False)))
+            rows = df.filter(f"NOT coalesce({rule.predicate}, false)")
         else:
             groups = _key_counts(df, rule)
-            rows = rows_of_groups(df, groups, rule.column, F.col("_failed"), heavy_groups)
-            rows = rows.drop("_failed")
-        return rows.withColumns(
-            {
-                "failed_check": F.lit(rule.name),
-                "failed_check_description": F.lit(rule.description),
-            }
+            rows = rows_of_groups(df, groups, rule.column, "_failed", heavy_groups)
+        return rows.drop("_failed").selectExpr(
+            "*",
+            f"{literal(rule.name)} AS failed_check",
+            f"{literal(rule.description)} AS failed_check_description",
         )
 
 
+def _count_row_rules(df: DataFrame, rules: list[tuple[int, RowRule]]) -> DataFrame:
+    """All row rules in one pass: a count per rule, then one row per count."""
+    totals = df.agg(
+        F.expr("count(*) AS total"),
+        *[F.expr(f"count_if({r.predicate}) AS passed_{i}") for i, r in rules],
+    )
+    each = ", ".join(f"struct({i} AS ord, passed_{i} AS passed)" for i, _ in rules)
+    return totals.selectExpr("total", f"inline(array({each}))")
+
+
+def _count_key_rule(df: DataFrame, ord: int, rule: UniqueRule | ReferenceRule) -> DataFrame:
+    return _key_counts(df, rule).agg(
+        F.expr("coalesce(sum(n), 0) AS total"),
+        F.expr(f"{ord} AS ord"),
+        F.expr("coalesce(sum(n) FILTER (WHERE NOT _failed), 0) AS passed"),
+    )
+
+
 def _key_counts(df: DataFrame, rule: UniqueRule | ReferenceRule) -> DataFrame:
     """For each value of the rule's column: its rows ``n`` and whether they fail."""
     if isinstance(rule, UniqueRule):
-        return df.groupBy(rule.column).agg(F.count("*").alias("n")).withColumn(
-            "_failed", F.col("n") > 1
-        )
-    uses = df.select(F.col(rule.column), F.lit(1).alias("_used"))
-    targets = df.select(F.col(rule.target).alias(rule.column), F.lit(0).alias("_used"))
-    keys = uses.unionByName(targets).groupBy(rule.column).agg(
-        F.sum("_used").alias("n"), F.bool_or(F.col("_used") == 0).alias("_exists")
+        counts = df.groupBy(rule.column).agg(F.expr("count(*) AS n"))
+        return counts.selectExpr("*", "n > 1 AS _failed")
+    uses = df.selectExpr(rule.column, "1 AS _used")
+    targets = df.selectExpr(f"{rule.target} AS {rule.column}", "0 AS _used")
+    keys = uses.union(targets).groupBy(rule.column).agg(
+        F.expr("sum(_used) AS n"), F.expr("bool_or(_used = 0) AS _exists")
+    )
+    return keys.filter("n > 0").selectExpr(
+        rule.column, "n", f"{rule.column} IS NOT NULL AND NOT _exists AS _failed"
     )
-    failed = F.col(rule.column).isNotNull() & ~F.col("_exists")
-    return keys.filter("n > 0").select(rule.column, "n", failed.alias("_failed"))

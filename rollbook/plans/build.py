@@ -41,9 +41,9 @@ def combine(
     department_mapping: DataFrame | None,
     settings: Settings = DEFAULT_SETTINGS,
 ) -> DataFrame:
-    """Aligned, cleaned and stacked feeds. One pass over each feed, no shuffle."""
-    aligned = align.align_sources(raw)
-    return clean.combine_sources(clean.clean_sources(aligned, department_mapping, settings))
+    """Aligned, stacked and cleaned feeds. One pass over each feed, no shuffle."""
+    aligned = clean.combine_sources(align.align_sources(raw))
+    return clean.clean(aligned, department_mapping, settings)
 
 
 def review_tables(

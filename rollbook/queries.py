@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from rollbook import fixtures
 from rollbook.fixtures import AS_OF, SETTINGS
@@ -69,46 +69,40 @@ def align_benefits(spark, sf_dir):
 
 @query
 def clean_ids(spark, sf_dir):
-    raw = fixtures.messy_ids(spark, sf_dir)
-    return raw.select(
+    return fixtures.messy_ids(spark, sf_dir).selectExpr(
         "row_id",
-        values.employee_key(F.col("raw_id"), F.col("company")).alias("employee_id"),
-        values.employee_key(F.col("raw_manager"), F.col("company")).alias("manager_id"),
+        f"{values.employee_key('raw_id', 'company')} AS employee_id",
+        f"{values.employee_key('raw_manager', 'company')} AS manager_id",
     )
 
 
 @query
 def clean_names(spark, sf_dir):
-    raw = fixtures.messy_names(spark, sf_dir)
-    named = raw.select(
+    named = fixtures.messy_names(spark, sf_dir).selectExpr(
         "row_id",
-        text.person_name(F.col("first")).alias("first_name"),
-        text.person_name(F.col("last")).alias("last_name"),
-        text.strip_lower(F.col("email")).alias("email"),
-    )
-    return named.withColumn(
-        "full_name", text.full_name(F.col("first_name"), F.col("last_name"))
+        f"{text.person_name('first')} AS first_name",
+        f"{text.person_name('last')} AS last_name",
+        f"{text.strip_lower('email')} AS email",
     )
+    return named.selectExpr("*", f"{text.full_name('first_name', 'last_name')} AS full_name")
 
 
 @query
 def clean_types_dates(spark, sf_dir):
-    raw = fixtures.messy_dates(spark, sf_dir)
-    return raw.select(
+    return fixtures.messy_dates(spark, sf_dir).selectExpr(
         "row_id",
-        values.employment_type(F.col("raw_type")).alias("employment_type"),
-        values.standard_date(F.col("raw_date"), SETTINGS).alias("hire_date"),
+        f"{values.employment_type('raw_type')} AS employment_type",
+        f"{values.standard_date('raw_date', SETTINGS)} AS hire_date",
     )
 
 
 @query
 def salary_usd(spark, sf_dir):
-    raw = fixtures.messy_salaries(spark, sf_dir)
-    salary, currency, period = F.col("base_salary"), F.col("currency"), F.col("pay_frequency")
-    return raw.select(
+    usd = values.salary_usd_annual("base_salary", "currency", "pay_frequency")
+    return fixtures.messy_salaries(spark, sf_dir).selectExpr(
         "row_id",
-        values.salary_amount(salary).alias("salary_amount"),
-        values.salary_usd_annual(salary, currency, period).alias("salary_usd_annual"),
+        f"{values.salary_amount('base_salary')} AS salary_amount",
+        f"{usd} AS salary_usd_annual",
     )
 
 
@@ -252,21 +246,17 @@ def match_export(spark, sf_dir):
 def token_sort_scores(spark, sf_dir):
     """The score itself, for every part name against the next one."""
     parts = spark.read.parquet(f"{sf_dir}/part.parquet")
-    left = parts.select("p_partkey", text.sorted_tokens(F.col("p_name")).alias("a"))
-    right = parts.select(
-        (F.col("p_partkey") - 1).alias("p_partkey"), text.sorted_tokens(F.col("p_name")).alias("b")
-    )
-    pairs = left.join(right, "p_partkey")
-    masks = similarity.character_masks(F.col("a"))
-    total = F.length("a") + F.length("b")
-    lcs = similarity.lcs_length(F.col("a"), masks, F.col("b"))
-    return pairs.select(
-        "p_partkey",
-        "a",
-        "b",
-        lcs.cast("int").alias("lcs"),
-        similarity.score(total, lcs).alias("score"),
+    tokens = text.sorted_tokens("p_name")
+    left = parts.selectExpr("p_partkey", f"{tokens} AS a")
+    right = parts.selectExpr("p_partkey - 1 AS p_partkey", f"{tokens} AS b")
+    masks = similarity.character_masks("a")
+    lcs = similarity.lcs_length("a", "_masks", "b")
+    measured = (
+        left.selectExpr("*", f"{masks} AS _masks")
+        .join(right, "p_partkey")
+        .selectExpr("p_partkey", "a", "b", f"CAST({lcs} AS INT) AS lcs")
     )
+    return measured.selectExpr("*", f"{similarity.score('length(a) + length(b)', 'lcs')} AS score")
 
 
 # --- quality ----------------------------------------------------------------------
@@ -357,12 +347,12 @@ def source_csv(spark, sf_dir):
     return readers.read_csv_identity(spark, path)
 
 
-def _flat_people(people: DataFrame) -> DataFrame:
-    columns = ("employee_identifier", "name.first", "name.last", "name.full", "contact.email",
-               "assignment.department", "assignment.role", "assignment.location",
-               "assignment.hire_timestamp", "employment.type", "employment.status",
-               "manager_employee_id", "source_system")
-    return people.select([F.col(c).alias(c.replace(".", "_")) for c in columns])
+_PERSON = (
+    "employee_identifier", "name.first", "name.last", "name.full", "contact.email",
+    "assignment.department", "assignment.role", "assignment.location",
+    "assignment.hire_timestamp", "employment.type", "employment.status",
+    "manager_employee_id", "source_system",
+)
 
 
 @query
@@ -371,7 +361,8 @@ def source_json(spark, sf_dir):
     path = Stage(spark).path("hris.json")
     raw = fixtures.raw_sources(spark, sf_dir)["acquiredco_hris"]
     raw.write.json(path)
-    return _flat_people(readers.read_json_identity(spark, path, lines=True))
+    people = readers.read_json_identity(spark, path, lines=True)
+    return people.selectExpr(*[f"{c} AS {c.replace('.', '_')}" for c in _PERSON])
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 # The 23 canonical columns in their published order.
 CANONICAL_COLUMNS = (
@@ -77,15 +77,12 @@ CLEANED_SCHEMA = T.StructType(
 )
 
 
-def as_text(df: DataFrame, name: str):
+def as_text(df: DataFrame, name: str) -> str:
     """A column as text; fractional numbers keep a plain (never exponent) notation."""
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        number = F.col(name)
-        plain = F.regexp_replace(
-            F.expr(f"try_cast(`{name}` as decimal(38, 6))").cast("string"), r"(\.\d+?)0+$", "$1"
-        )
-        return F.when(~F.isnan(number), plain)
-    return F.col(name).cast("string")
+    if name in df.columns and isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        plain = f"CAST(try_cast({name} AS DECIMAL(38, 6)) AS STRING)"
+        return rf"regexp_replace({plain}, r'(\.\d+?)0+$', '$1')"
+    return f"CAST({name} AS STRING)"
 
 
 def conform(df: DataFrame, schema: T.StructType = ALIGNED_SCHEMA) -> DataFrame:
@@ -95,12 +92,14 @@ def conform(df: DataFrame, schema: T.StructType = ALIGNED_SCHEMA) -> DataFrame:
     """
     columns = []
     for field in schema:
+        kind = field.dataType.simpleString()
         if field.name not in df.columns:
-            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+            value = f"CAST(NULL AS {kind})"
         elif isinstance(field.dataType, T.StringType):
-            columns.append(as_text(df, field.name).alias(field.name))
+            value = as_text(df, field.name)
         else:
-            columns.append(F.col(field.name).cast(field.dataType).alias(field.name))
+            value = f"CAST({field.name} AS {kind})"
+        columns.append(f"{value} AS {field.name}")
     if ORDINAL in df.columns:
-        columns.append(F.col(ORDINAL).cast("bigint").alias(ORDINAL))
-    return df.select(columns)
+        columns.append(f"CAST({ORDINAL} AS BIGINT) AS {ORDINAL}")
+    return df.selectExpr(*columns)

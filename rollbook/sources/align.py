@@ -3,115 +3,83 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from rollbook.functions.text import strip
 from rollbook.schema import ORDINAL, as_text, conform
 
-
-@dataclass(frozen=True)
-class AlignSpec:
-    """Canonical column to the feed's expression for it.
-
-    ``columns`` maps to a column name (dotted for struct fields); ``expressions`` to a
-    ready Column, for constants and derived values.
-    """
-
-    columns: Mapping[str, str]
-    expressions: Mapping[str, Column]
-
-
-def _nested(df: DataFrame, path: str) -> Column:
-    # a name read as text, so that numbers from typed tables keep plain notation
-    return as_text(df, path) if path in df.columns else F.col(path).cast("string")
+# Canonical column to the feed's SQL expression for it, per feed.
+AlignSpec = Mapping[str, str]
+
+ALIGN_SPECS: dict[str, AlignSpec] = {
+    "globaltech_hris": {
+        "employee_id": "employee_id",
+        "source_employee_id": "employee_id",
+        "company_origin": "'GlobalTech'",
+        "first_name": "first_name",
+        "last_name": "last_name",
+        "full_name": f"concat_ws(' ', {strip('first_name')}, {strip('last_name')})",
+        "email": "email",
+        "department": "department",
+        "job_title": "job_title",
+        "hire_date": "hire_date",
+        "country": "country",
+        "employment_type": "employment_type",
+        "manager_id": "manager_id",
+        "source_system": "'globaltech_hris'",
+    },
+    "acquiredco_hris": {
+        "employee_id": "employee_identifier",
+        "source_employee_id": "employee_identifier",
+        "company_origin": "'AcquiredCo'",
+        "first_name": "name.first",
+        "last_name": "name.last",
+        "full_name": "name.full",
+        "email": "contact.email",
+        "department": "assignment.department",
+        "job_title": "assignment.role",
+        "country": "assignment.location",
+        "hire_date": "assignment.hire_timestamp",
+        "employment_type": "employment.type",
+        "manager_id": "manager_employee_id",
+        "source_system": "'acquiredco_hris'",
+    },
+    "payroll": {
+        "employee_id": "employee_id",
+        "source_employee_id": "employee_id",
+        "company_origin": "source",
+        "salary_original": "base_salary",
+        "currency": "currency",
+        "pay_frequency": "pay_frequency",
+        "compensation_effective_date": "effective_date",
+        "source_system": "'payroll'",
+    },
+    # every enrollment is taken to belong to the first company; pass another spec where
+    # the feed states the company
+    "benefits": {
+        "employee_id": "employee_id",
+        "source_employee_id": "employee_id",
+        "company_origin": "'GlobalTech'",
+        "benefits_enrolled": "true",
+        "benefits_enrollment_date": "enrollment_date",
+        "source_system": "'benefits'",
+    },
+}
 
 
 def align(df: DataFrame, spec: AlignSpec) -> DataFrame:
-    mapped = [_nested(df, path).alias(name) for name, path in spec.columns.items()]
-    mapped += [value.alias(name) for name, value in spec.expressions.items()]
+    mapped = [
+        f"{as_text(df, value) if value in df.columns else value} AS {name}"
+        for name, value in spec.items()
+    ]
     if ORDINAL in df.columns:
-        mapped.append(F.col(ORDINAL))
-    return conform(df.select(mapped))
-
-
-def align_specs() -> dict[str, AlignSpec]:
-    """The published mapping of each feed. Built on call: expressions need a session."""
-    return {
-        "globaltech_hris": AlignSpec(
-            columns={
-                "employee_id": "employee_id",
-                "source_employee_id": "employee_id",
-                "first_name": "first_name",
-                "last_name": "last_name",
-                "email": "email",
-                "department": "department",
-                "job_title": "job_title",
-                "hire_date": "hire_date",
-                "country": "country",
-                "employment_type": "employment_type",
-                "manager_id": "manager_id",
-            },
-            expressions={
-                "company_origin": F.lit("GlobalTech"),
-                "full_name": F.concat_ws(
-                    " ", strip(F.col("first_name")), strip(F.col("last_name"))
-                ),
-                "source_system": F.lit("globaltech_hris"),
-            },
-        ),
-        "acquiredco_hris": AlignSpec(
-            columns={
-                "employee_id": "employee_identifier",
-                "source_employee_id": "employee_identifier",
-                "first_name": "name.first",
-                "last_name": "name.last",
-                "full_name": "name.full",
-                "email": "contact.email",
-                "department": "assignment.department",
-                "job_title": "assignment.role",
-                "country": "assignment.location",
-                "hire_date": "assignment.hire_timestamp",
-                "employment_type": "employment.type",
-                "manager_id": "manager_employee_id",
-            },
-            expressions={
-                "company_origin": F.lit("AcquiredCo"),
-                "source_system": F.lit("acquiredco_hris"),
-            },
-        ),
-        "payroll": AlignSpec(
-            columns={
-                "employee_id": "employee_id",
-                "source_employee_id": "employee_id",
-                "company_origin": "source",
-                "salary_original": "base_salary",
-                "currency": "currency",
-                "pay_frequency": "pay_frequency",
-                "compensation_effective_date": "effective_date",
-            },
-            expressions={"source_system": F.lit("payroll")},
-        ),
-        # every enrollment is taken to belong to the first company; pass another spec
-        # where the feed states the company
-        "benefits": AlignSpec(
-            columns={
-                "employee_id": "employee_id",
-                "source_employee_id": "employee_id",
-                "benefits_enrollment_date": "enrollment_date",
-            },
-            expressions={
-                "company_origin": F.lit("GlobalTech"),
-                "benefits_enrolled": F.lit(True),
-                "source_system": F.lit("benefits"),
-            },
-        ),
-    }
+        mapped.append(ORDINAL)
+    return conform(df.selectExpr(*mapped))
 
 
 def align_sources(
-    raw: Mapping[str, DataFrame], specs: Mapping[str, AlignSpec] | None = None
+    raw: Mapping[str, DataFrame], specs: Mapping[str, AlignSpec] = ALIGN_SPECS
 ) -> dict[str, DataFrame]:
-    specs = align_specs() if specs is None else specs
+    """Feeds without a spec are left out."""
     return {name: align(df, specs[name]) for name, df in raw.items() if name in specs}
