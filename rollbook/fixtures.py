@@ -9,7 +9,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollbook.config import Settings
+from rollbook.config import IDENTITY_SOURCES, Settings
+from rollbook.operators import identity
 from rollbook.plans import build
 
 AS_OF = dt.date(2024, 12, 31)
@@ -87,10 +88,8 @@ def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(f"WITH {tables} {sql}" if used else sql)
 
 
-def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The four raw feeds, each in the shape its reader returns."""
-    a = _derive(spark, sf_dir, HRIS_A)
-    b = _derive(spark, sf_dir, HRIS_B).selectExpr(
+def _person_documents(rows: DataFrame) -> DataFrame:
+    return rows.selectExpr(
         "employee_identifier",
         "struct(first_name AS first, last_name AS last, "
         "concat_ws(' ', first_name, last_name) AS full) AS name",
@@ -99,20 +98,35 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "struct(type, 'active' AS status) AS employment",
         "manager_employee_id",
     )
-    return {
-        "globaltech_hris": a,
-        "acquiredco_hris": b,
-        "payroll": _derive(spark, sf_dir, PAYROLL),
-        "benefits": _derive(spark, sf_dir, BENEFITS),
-    }
+
+
+FEEDS = {
+    "globaltech_hris": HRIS_A,
+    "acquiredco_hris": HRIS_B,
+    "payroll": PAYROLL,
+    "benefits": BENEFITS,
+}
+
+
+def raw_sources(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """The raw feeds (all four unless named), each in the shape its reader returns."""
+    feeds = {name: _derive(spark, sf_dir, FEEDS[name]) for name in names or FEEDS}
+    if "acquiredco_hris" in feeds:
+        feeds["acquiredco_hris"] = _person_documents(feeds["acquiredco_hris"])
+    return feeds
 
 
 def department_mapping(spark: SparkSession) -> DataFrame:
     return spark.sql(DEPARTMENT_MAPPING)
 
 
-def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build.combine(raw_sources(spark, sf_dir), department_mapping(spark), SETTINGS)
+def combined(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    raw = raw_sources(spark, sf_dir, *names)
+    return build.combine(raw, department_mapping(spark), SETTINGS)
+
+
+def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identity.identity_records(combined(spark, sf_dir, *IDENTITY_SOURCES))
 
 
 # --- untidy single columns, each value made from a known one ----------------------

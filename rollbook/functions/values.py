@@ -22,21 +22,29 @@ def _lookup(values: Mapping[str, object], key: str, kind: str = "string") -> str
     return f"try_element_at(map({entries}), {key})"
 
 
-def employee_key(value: str, company: str, settings: Settings = DEFAULT_SETTINGS) -> str:
-    """``1042`` / ``1042.0`` / ``ACQ_01042`` of a known company to ``GT-001042`` etc.
+def id_digits(stripped: str) -> str:
+    """The whole part of a number, else the first digit run, without leading zeros.
 
-    The whole part of a number, else the first digit run, padded to at least six
-    digits and never cut. Digits are kept exactly, however long the id is.
+    Empty for zero, null where there is no digit. Digits are kept exactly, however long
+    the id is.
     """
-    raw = strip(value)
-    digits = (
-        f"CASE WHEN {raw} RLIKE r'^\\.[0-9]+$' THEN '0' "
-        f"ELSE regexp_extract({raw}, '([0-9]+)', 1) END"
-    )
-    short = f"trim(LEADING '0' FROM {digits})"
-    padded = f"lpad({short}, greatest(6, length({short})), '0')"
-    prefix = _lookup(settings.id_prefixes, strip(company))
-    return f"CASE WHEN {digits} <> '' THEN concat({prefix}, '-', {padded}) END"
+    # ".5" is a number with nothing before the point
+    number = f"IF(startswith({stripped}, '.') AND {stripped} RLIKE r'^\\.[0-9]+$', '0', {stripped})"
+    return f"trim(LEADING '0' FROM get(regexp_extract_all({number}, '[0-9]+', 0), 0))"
+
+
+def company_prefix(company: str, settings: Settings = DEFAULT_SETTINGS) -> str:
+    return _lookup(settings.id_prefixes, strip(company))
+
+
+def padded_key(prefix: str, digits: str) -> str:
+    """Prefix, hyphen and at least six digits; longer ids are never cut."""
+    return f"concat({prefix}, '-', lpad({digits}, greatest(6, length({digits})), '0'))"
+
+
+def employee_key(value: str, company: str, settings: Settings = DEFAULT_SETTINGS) -> str:
+    """``1042`` / ``1042.0`` / ``ACQ_01042`` of a known company to ``GT-001042`` etc."""
+    return padded_key(company_prefix(company, settings), id_digits(strip(value)))
 
 
 def employment_type(value: str, settings: Settings = DEFAULT_SETTINGS) -> str:
@@ -51,7 +59,7 @@ def as_of_date(as_of: dt.date | None) -> str:
 
 def standard_date(value: str, settings: Settings = DEFAULT_SETTINGS) -> str:
     """Text to a zone-free UTC timestamp; unparsed or out of [1970-01-01, as_of] is null."""
-    return date_in_range(parsed_date(value, settings), settings)
+    return date_in_range(parsed_date(strip(value), settings), settings)
 
 
 def date_in_range(date: str, settings: Settings = DEFAULT_SETTINGS) -> str:
@@ -59,13 +67,13 @@ def date_in_range(date: str, settings: Settings = DEFAULT_SETTINGS) -> str:
     return f"CASE WHEN {date} BETWEEN {low} AND {high} THEN {date} END"
 
 
-def parsed_date(value: str, settings: Settings = DEFAULT_SETTINGS) -> str:
+def parsed_date(stripped: str, settings: Settings = DEFAULT_SETTINGS) -> str:
     """Text in ISO 8601 or one of the declared layouts to a zone-free UTC timestamp.
 
     A value with an offset is moved to UTC, one without is taken as it stands, whatever
     the session time zone is.
     """
-    text = strip(value)
+    text = stripped
     zoned = f"convert_timezone('UTC', CAST(try_cast({text} AS TIMESTAMP) AS TIMESTAMP_NTZ))"
     cases = [
         f"WHEN {text} RLIKE r'{_ISO_DATE}' THEN CASE WHEN {text} RLIKE r'{_ZONE}' "
@@ -80,26 +88,34 @@ def parsed_date(value: str, settings: Settings = DEFAULT_SETTINGS) -> str:
     return f"CASE {' '.join(cases)} END"
 
 
-def _amount_text(value: str) -> str:
-    bare = strip(f"translate({strip(value)}, '$,€£', '')")
-    return f"regexp_substr({bare}, r'{_NUMBER}')"
+def bare_amount(value: str) -> str:
+    """An amount without currency signs, thousands commas and outer white space."""
+    return strip(f"translate({strip(value)}, '$,€£', '')")
 
 
 def salary_amount(value: str) -> str:
     """``$85,000`` to 85000.0; blank or unparsable is null."""
-    return f"try_cast({_amount_text(value)} AS DOUBLE)"
+    # the pattern keeps out what only the cast would accept, such as "85000d"
+    return f"try_cast(regexp_substr({bare_amount(value)}, r'{_NUMBER}') AS DOUBLE)"
+
+
+def salary_factor(
+    currency: str, frequency: str, settings: Settings = DEFAULT_SETTINGS
+) -> str:
+    """Rate x periods per year; null where either is unknown."""
+    key = f"concat(upper({strip(currency)}), '|', {strip_lower(frequency)})"
+    return _lookup(settings.usd_factors(), key, "DECIMAL(10, 4)")
 
 
 def salary_usd_annual(
     value: str, currency: str, frequency: str, settings: Settings = DEFAULT_SETTINGS
 ) -> str:
-    """Amount x rate x periods per year to two places; any unknown part gives null.
+    """Amount x factor to two places; any unknown part gives null.
 
     The arithmetic is decimal, so that the cents do not depend on the engine.
     """
-    amount = f"try_cast({_amount_text(value)} AS DECIMAL(24, 6))"
-    key = f"concat(upper({strip(currency)}), '|', {strip_lower(frequency)})"
-    factor = _lookup(settings.usd_factors(), key, "DECIMAL(10, 4)")
+    amount = f"try_cast({bare_amount(value)} AS DECIMAL(24, 6))"
+    factor = salary_factor(currency, frequency, settings)
     return f"CAST(round({amount} * {factor}, 2) AS DOUBLE)"
 
 

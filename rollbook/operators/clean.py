@@ -22,33 +22,36 @@ def clean(
     Three projections, each using what the one before computed, so that no costly step
     is repeated within a row.
     """
-    company = "company_origin"
+    ids = ("employee_id", "manager_id")
+    names = ("first_name", "last_name")
     steps = [
         {
-            "first_name": text.tidy("first_name"),
-            "last_name": text.tidy("last_name"),
+            **{c: text.tidy(c) for c in names},
+            **{c: text.strip(c) for c in (*ids, *DATE_COLUMNS)},
             "email": text.strip_lower("email"),
-            "employee_id": values.employee_key("employee_id", company, settings),
-            "manager_id": values.employee_key("manager_id", company, settings),
             "employment_type": values.employment_type("employment_type", settings),
             "salary_usd_annual": values.salary_usd_annual(
                 "salary_original", "currency", "pay_frequency", settings
             ),
+            "_prefix": values.company_prefix("company_origin", settings),
+        },
+        {
+            **{c: text.title_or_null(c) for c in names},
+            **{c: values.id_digits(c) for c in ids},
             **{c: values.parsed_date(c, settings) for c in DATE_COLUMNS},
+            "_prefix": "_prefix",
         },
         {
-            "first_name": text.title_or_null("first_name"),
-            "last_name": text.title_or_null("last_name"),
+            "full_name": text.full_name("first_name", "last_name"),
+            **{c: values.padded_key("_prefix", c) for c in ids},
             **{c: values.date_in_range(c, settings) for c in DATE_COLUMNS},
         },
-        {"full_name": text.full_name("first_name", "last_name")},
     ]
     extra = [ORDINAL] if ORDINAL in aligned.columns else []
     result = aligned
     for step in steps:
-        result = result.selectExpr(
-            *[f"{step.get(c, c)} AS {c}" for c in CLEANED_SCHEMA.names], *extra
-        )
+        columns = dict.fromkeys((*CLEANED_SCHEMA.names, *step, *extra))
+        result = result.selectExpr(*[f"{step.get(c, c)} AS {c}" for c in columns])
     if department_mapping is None:
         return result
     return map_departments(result, department_mapping)

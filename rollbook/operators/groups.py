@@ -27,7 +27,10 @@ def rows_of_groups(
     and each retry, picks the same ones.
     """
     flagged = groups.selectExpr("*", f"coalesce({keep}, false) AS _keep")
-    heavy = flagged.orderBy(F.desc("n"), F.asc_nulls_first(key)).limit(heavy_groups)
+    # n and key alone make the order total; naming every column keeps all uses of the
+    # aggregate alike, so that Spark computes and shuffles it once
+    order = [F.asc_nulls_first(c) for c in (key, *flagged.columns) if c != "n"]
+    heavy = flagged.orderBy(F.desc("n"), *order).limit(heavy_groups)
 
     in_place = _join(rows, F.broadcast(heavy.filter("_keep")), key, "inner")
     others = _join(rows, F.broadcast(heavy.select(key)), key, "left_anti")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rollbook import fixtures
+from rollbook.config import IDENTITY_SOURCES
 from rollbook.fixtures import AS_OF, SETTINGS
 from rollbook.functions import similarity, text, values
 from rollbook.operators import (
@@ -33,14 +34,20 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _aligned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return align.align_sources(fixtures.raw_sources(spark, sf_dir))
+def _aligned(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    raw = fixtures.raw_sources(spark, sf_dir, *names)
+    return clean.combine_sources(align.align_sources(raw))
 
 
 def _golden(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.golden_records(fixtures.combined(spark, sf_dir))
 
 
+def _staged(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """For queries that read the cleaned feeds more than once: written, then read back."""
+    return Stage(spark).table("combined", fixtures.combined(spark, sf_dir, *names))
+
+
 def _staged_golden(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """For queries that read the golden table more than once: written, then read back."""
     golden = _golden(spark, sf_dir)
@@ -52,19 +59,17 @@ def _staged_golden(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame
 
 @query
 def align_hris(spark, sf_dir):
-    frames = _aligned(spark, sf_dir)
-    both = [frames[n].drop(ORDINAL) for n in ("globaltech_hris", "acquiredco_hris")]
-    return both[0].unionByName(both[1])
+    return _aligned(spark, sf_dir, *IDENTITY_SOURCES).drop(ORDINAL)
 
 
 @query
 def align_payroll(spark, sf_dir):
-    return _aligned(spark, sf_dir)["payroll"].drop(ORDINAL)
+    return _aligned(spark, sf_dir, "payroll").drop(ORDINAL)
 
 
 @query
 def align_benefits(spark, sf_dir):
-    return _aligned(spark, sf_dir)["benefits"].drop(ORDINAL)
+    return _aligned(spark, sf_dir, "benefits").drop(ORDINAL)
 
 
 @query
@@ -108,16 +113,13 @@ def salary_usd(spark, sf_dir):
 
 @query
 def clean_records(spark, sf_dir):
-    aligned = _aligned(spark, sf_dir)["globaltech_hris"]
+    aligned = _aligned(spark, sf_dir, "globaltech_hris")
     return clean.clean(aligned, fixtures.department_mapping(spark), SETTINGS).drop(ORDINAL)
 
 
 @query
 def department_map(spark, sf_dir):
-    frames = _aligned(spark, sf_dir)
-    both = frames["globaltech_hris"].unionByName(
-        frames["acquiredco_hris"], allowMissingColumns=True
-    )
+    both = _aligned(spark, sf_dir, *IDENTITY_SOURCES)
     mapped = clean.map_departments(both, fixtures.department_mapping(spark))
     return mapped.select(
         "source_system", "source_employee_id", "department", "department_standardized"
@@ -126,10 +128,7 @@ def department_map(spark, sf_dir):
 
 @query
 def unmapped_departments(spark, sf_dir):
-    frames = _aligned(spark, sf_dir)
-    both = frames["globaltech_hris"].unionByName(
-        frames["acquiredco_hris"], allowMissingColumns=True
-    )
+    both = _aligned(spark, sf_dir, *IDENTITY_SOURCES)
     return clean.unmapped_departments(both, fixtures.department_mapping(spark))
 
 
@@ -143,24 +142,24 @@ def union_sources(spark, sf_dir):
 
 @query
 def hris_survivor(spark, sf_dir):
-    records = identity.identity_records(fixtures.combined(spark, sf_dir))
+    records = fixtures.identities(spark, sf_dir)
     return identity.surviving_identities(records)
 
 
 @query
 def hris_duplicate_review(spark, sf_dir):
-    records = identity.identity_records(fixtures.combined(spark, sf_dir))
+    records = identity.identity_records(_staged(spark, sf_dir, *IDENTITY_SOURCES))
     return identity.duplicate_identity_review(records)
 
 
 @query
 def payroll_latest(spark, sf_dir):
-    return identity.latest_payroll(fixtures.combined(spark, sf_dir))
+    return identity.latest_payroll(fixtures.combined(spark, sf_dir, "payroll"))
 
 
 @query
 def benefits_summary(spark, sf_dir):
-    return identity.benefits_summary(fixtures.combined(spark, sf_dir))
+    return identity.benefits_summary(fixtures.combined(spark, sf_dir, "benefits"))
 
 
 @query
@@ -180,12 +179,12 @@ def golden_export(spark, sf_dir):
 
 @query
 def ghosts(spark, sf_dir):
-    return identity.ghost_records(fixtures.combined(spark, sf_dir))
+    return identity.ghost_records(_staged(spark, sf_dir))
 
 
 @query
 def matched_enrichment(spark, sf_dir):
-    return identity.matched_enrichment(fixtures.combined(spark, sf_dir))
+    return identity.matched_enrichment(_staged(spark, sf_dir))
 
 
 # --- duplicate checks and match candidates ----------------------------------------
@@ -200,7 +199,7 @@ def duplicate_ids(spark, sf_dir):
 @query
 def duplicate_ids_in_feeds(spark, sf_dir):
     """The same check where it finds something: before survivorship."""
-    records = identity.identity_records(fixtures.combined(spark, sf_dir)).drop(ORDINAL)
+    records = identity.identity_records(_staged(spark, sf_dir, *IDENTITY_SOURCES)).drop(ORDINAL)
     return duplicates.duplicate_ids(records)
 
 
@@ -295,7 +294,7 @@ def manager_failures(spark, sf_dir):
 def unique_failures(spark, sf_dir):
     """The uniqueness rule where it finds something: before survivorship."""
     rules = quality.Validator(settings=SETTINGS)
-    records = identity.identity_records(fixtures.combined(spark, sf_dir)).drop(ORDINAL)
+    records = identity.identity_records(_staged(spark, sf_dir, *IDENTITY_SOURCES)).drop(ORDINAL)
     return rules.failed_rows(records, "employee_id_unique")
 
 
@@ -339,7 +338,7 @@ def dq_series(spark, sf_dir):
 @query
 def source_csv(spark, sf_dir):
     path = Stage(spark).path("hris.csv")
-    raw = fixtures.raw_sources(spark, sf_dir)["globaltech_hris"]
+    raw = fixtures.raw_sources(spark, sf_dir, "globaltech_hris")["globaltech_hris"]
     # blanks around a value are part of it
     raw.drop(ORDINAL).write.options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
@@ -359,7 +358,7 @@ _PERSON = (
 def source_json(spark, sf_dir):
     """JSON Lines, the form that Spark splits; tests cover whole documents."""
     path = Stage(spark).path("hris.json")
-    raw = fixtures.raw_sources(spark, sf_dir)["acquiredco_hris"]
+    raw = fixtures.raw_sources(spark, sf_dir, "acquiredco_hris")["acquiredco_hris"]
     raw.write.json(path)
     people = readers.read_json_identity(spark, path, lines=True)
     return people.selectExpr(*[f"{c} AS {c.replace('.', '_')}" for c in _PERSON])
@@ -368,7 +367,7 @@ def source_json(spark, sf_dir):
 @query
 def source_xml(spark, sf_dir):
     path = Stage(spark).path("benefits.xml")
-    raw = fixtures.raw_sources(spark, sf_dir)["benefits"]
+    raw = fixtures.raw_sources(spark, sf_dir, "benefits")["benefits"]
     rows = raw.select("employee_id", "enrollment_date")
     rows.write.format("xml").options(rowTag="enrollment", rootTag="enrollments").save(path)
     return readers.read_benefits(spark, path).select(
@@ -379,7 +378,7 @@ def source_xml(spark, sf_dir):
 @query
 def source_payroll(spark, sf_dir):
     path = Stage(spark).path("payroll")
-    raw = fixtures.raw_sources(spark, sf_dir)["payroll"]
+    raw = fixtures.raw_sources(spark, sf_dir, "payroll")["payroll"]
     raw.drop(ORDINAL).write.parquet(path)
     return readers.read_payroll(spark, path, "parquet").drop("bonus_target_pct")
 
@@ -394,7 +393,7 @@ def sink_golden(spark, sf_dir):
 @query
 def sink_review(spark, sf_dir):
     path = Stage(spark).path("ghost_employee_records.csv")
-    sinks.write_review(identity.ghost_records(fixtures.combined(spark, sf_dir)), path)
+    sinks.write_review(identity.ghost_records(_staged(spark, sf_dir)), path)
     review = spark.read.options(header=True, escape='"').csv(path)
     return review.select(
         "employee_id", "source_employee_id", "company_origin", "source_system", "salary_original"
