@@ -4,9 +4,8 @@ Candidates are only proposed for review; nothing is merged.
 
 Both joins are band joins on the hire date. The date axis is cut into buckets twice as
 wide as the band, so a left row reaches at most two buckets while a right row lies in
-one, and a pair meets exactly once. Bucket and name together are the join key, which
-leaves Spark an equi-join it can sort-merge, and split where a key is hot: both inputs
-come straight from a shuffle, as adaptive skew handling requires.
+one, and a pair meets exactly once. Bucket and name together are the key of an
+equi-join; a key with many rows on both sides is split (see ``pairs``).
 """
 
 from __future__ import annotations
@@ -17,6 +16,8 @@ from rollbook.config import DEFAULT_SETTINGS
 from rollbook.functions import similarity
 from rollbook.functions.text import literal, sorted_tokens
 from rollbook.functions.values import day_gap, day_number
+from rollbook.operators.pairs import CELL_ROWS, join_pairs
+from rollbook.staging import Stage
 
 SAME_NAME = "same_full_name_hire_date_window"
 SIMILAR_NAME = "fuzzy_name_hire_date_window"
@@ -48,22 +49,25 @@ def _reached_buckets(gap: int) -> str:
 
 
 def _side(df: DataFrame, side: str) -> DataFrame:
-    return df.selectExpr(*[f"{c} AS {side}{'' if c[0] == '_' else '_'}{c}" for c in df.columns])
+    """Columns with the side's name in front; helper columns are keys and keep theirs."""
+    return df.selectExpr(*[c if c[0] == "_" else f"{c} AS {side}_{c}" for c in df.columns])
 
 
 def same_name_matches(
-    golden: DataFrame, max_gap_days: int = DEFAULT_SETTINGS.max_hire_date_gap_days
+    golden: DataFrame,
+    max_gap_days: int = DEFAULT_SETTINGS.max_hire_date_gap_days,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Pairs of rows with equal full names in two companies; left is the first company."""
-    people = _people(golden)
-    left = _side(people.selectExpr("*", _reached_buckets(max_gap_days)), "left")
-    right = _side(people.selectExpr("*", _own_bucket(max_gap_days)), "right")
-    pairs = left.join(
-        right,
-        F.expr(
-            "left_full_name = right_full_name AND left_bucket = right_bucket "
-            f"AND left_company_origin < right_company_origin AND {_GAP} <= {max_gap_days}"
-        ),
+    people = _people(golden).selectExpr("*", "full_name AS _name")
+    pairs = join_pairs(
+        _side(people.selectExpr("*", _reached_buckets(max_gap_days)), "left"),
+        _side(people.selectExpr("*", _own_bucket(max_gap_days)), "right"),
+        keys=["_name", "_bucket"],
+        left_id="left_employee_id",
+        right_id="right_employee_id",
+        condition=f"left_company_origin < right_company_origin AND {_GAP} <= {max_gap_days}",
+        cell_rows=cell_rows,
     )
     return _pair_columns(pairs, SAME_NAME)
 
@@ -74,13 +78,17 @@ def similar_name_matches(
     max_gap_days: int = DEFAULT_SETTINGS.max_hire_date_gap_days,
     left_company: str = "AcquiredCo",
     right_company: str = "GlobalTech",
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Pairs of rows of two companies whose names score at least ``threshold``.
 
     Names are compared once per (bucket, name), not once per pair of rows: rows with
     the same name in the same bucket collapse before the comparison and are expanded
     after it. Hire dates are compared as timestamps, both ends included.
+
+    Runs jobs when called: what is used twice is staged in the shared folder.
     """
+    stage = Stage(golden.sparkSession)
     people = _people(golden).selectExpr("*", f"{sorted_tokens('full_name')} AS _name")
     left = people.filter(f"company_origin = {literal(left_company)}").selectExpr(
         "*", _reached_buckets(max_gap_days)
@@ -92,21 +100,37 @@ def similar_name_matches(
         left.select("_bucket", "_name").distinct(),
         right.select("_bucket", "_name").distinct(),
         threshold,
+        stage,
+        cell_rows,
+    )
+    # one left row per similar name, under that name; then the right rows of the name
+    named = _side(left, "left").withColumnRenamed("_name", "_left")
+    wanted = stage.table(
+        "wanted",
+        named.join(similar, ["_bucket", "_left"])
+        .drop("_left")
+        .withColumnRenamed("_right", "_name"),
     )
-
     band = f"INTERVAL '{int(max_gap_days)}' DAY"
-    pairs = (
-        _side(left, "left")
-        .join(similar, F.expr("left_bucket = _bucket AND left_name = _left"))
-        .join(_side(right, "right"), F.expr("right_bucket = _bucket AND right_name = _right"))
-        .filter(
-            f"right_hire_date BETWEEN left_hire_date - {band} AND left_hire_date + {band}"
-        )
+    pairs = join_pairs(
+        wanted,
+        _side(right, "right"),
+        keys=["_name", "_bucket"],
+        left_id="left_employee_id",
+        right_id="right_employee_id",
+        condition=f"right_hire_date BETWEEN left_hire_date - {band} AND left_hire_date + {band}",
+        cell_rows=cell_rows,
     )
     return _pair_columns(pairs, SIMILAR_NAME, "_score AS name_similarity_score")
 
 
-def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+def similar_names(
+    left: DataFrame,
+    right: DataFrame,
+    threshold: float,
+    stage: Stage,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
     """All (_bucket, _left, _right, _score) with a token-sort score of at least ``threshold``.
 
     Inputs are distinct (_bucket, _name) with names already token-sorted. The candidate
@@ -117,24 +141,32 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     equi-join, where comparing every pair in a bucket would grow with its square.
     """
     rule = similarity.Threshold(threshold)
-    right_keys = right.selectExpr(
-        "_bucket", "_name AS _right", f"explode({_piece_keys('_name', rule)}) AS _piece"
+    left_names = stage.table(
+        "left_names",
+        left.selectExpr(
+            "_bucket",
+            "_name AS _left",
+            f"{similarity.character_masks('_name')} AS _masks",
+            f"{_probe_keys('_name', rule)} AS _pieces",
+        ),
     )
-    left_keys = left.selectExpr(
-        "_bucket AS _left_bucket",
-        "_name AS _left",
-        f"{similarity.character_masks('_name')} AS _masks",
-        f"explode({_probe_keys('_name', rule)}) AS _left_piece",
+    right_names = stage.table(
+        "right_names",
+        right.selectExpr(
+            "_bucket AS _other", "_name AS _right", f"{_piece_keys('_name', rule)} AS _pieces"
+        ),
     )
     # Levenshtein distance counts a substitution once where Indel distance counts it
     # twice, so it never exceeds it, and Spark evaluates it fast
     budget = rule.budget("length(_left)", "length(_right)")
-    candidates = left_keys.join(
-        right_keys,
-        F.expr(
-            "_left_piece = _piece AND _left_bucket = _bucket "
-            f"AND levenshtein(_left, _right) <= {budget}"
-        ),
+    candidates = join_pairs(
+        left_names.selectExpr("_bucket", "_left", "_masks", "explode(_pieces) AS _piece"),
+        right_names.selectExpr("_other", "_right", "explode(_pieces) AS _piece"),
+        keys=["_piece"],
+        left_id="_left",
+        right_id="_right",
+        condition=f"_bucket = _other AND levenshtein(_left, _right) <= {budget}",
+        cell_rows=cell_rows,
     )
     total = "length(_left) + length(_right)"
     lcs = similarity.lcs_length("_left", "_masks", "_right")

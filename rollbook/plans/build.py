@@ -18,7 +18,7 @@ from rollbook.operators import (
     quality,
 )
 from rollbook.plans import sinks
-from rollbook.plans.staging import Stage
+from rollbook.staging import Stage
 from rollbook.sources import align, readers
 
 
