@@ -33,8 +33,8 @@ def id_digits(stripped: str) -> str:
     return f"trim(LEADING '0' FROM get(regexp_extract_all({number}, '[0-9]+', 0), 0))"
 
 
-def company_prefix(company: str, settings: Settings = DEFAULT_SETTINGS) -> str:
-    return _lookup(settings.id_prefixes, strip(company))
+def company_prefix(stripped: str, settings: Settings = DEFAULT_SETTINGS) -> str:
+    return _lookup(settings.id_prefixes, stripped)
 
 
 def padded_key(prefix: str, digits: str) -> str:
@@ -44,11 +44,16 @@ def padded_key(prefix: str, digits: str) -> str:
 
 def employee_key(value: str, company: str, settings: Settings = DEFAULT_SETTINGS) -> str:
     """``1042`` / ``1042.0`` / ``ACQ_01042`` of a known company to ``GT-001042`` etc."""
-    return padded_key(company_prefix(company, settings), id_digits(strip(value)))
+    return padded_key(company_prefix(strip(company), settings), id_digits(strip(value)))
+
+
+def type_of(lowered: str, settings: Settings = DEFAULT_SETTINGS) -> str:
+    return _lookup(settings.employment_types, lowered)
 
 
 def employment_type(value: str, settings: Settings = DEFAULT_SETTINGS) -> str:
-    return _lookup(settings.employment_types, strip_lower(value))
+    """Any known spelling to its category; unknown ones are null."""
+    return type_of(strip_lower(value), settings)
 
 
 def as_of_date(as_of: dt.date | None) -> str:
@@ -90,7 +95,11 @@ def parsed_date(stripped: str, settings: Settings = DEFAULT_SETTINGS) -> str:
 
 def bare_amount(value: str) -> str:
     """An amount without currency signs, thousands commas and outer white space."""
-    return strip(f"translate({strip(value)}, '$,€£', '')")
+    return strip(without_signs(value))
+
+
+def without_signs(value: str) -> str:
+    return f"translate({value}, '$,€£', '')"
 
 
 def salary_amount(value: str) -> str:
@@ -99,24 +108,26 @@ def salary_amount(value: str) -> str:
     return f"try_cast(regexp_substr({bare_amount(value)}, r'{_NUMBER}') AS DOUBLE)"
 
 
-def salary_factor(
-    currency: str, frequency: str, settings: Settings = DEFAULT_SETTINGS
-) -> str:
-    """Rate x periods per year; null where either is unknown."""
-    key = f"concat(upper({strip(currency)}), '|', {strip_lower(frequency)})"
+def salary_factor(currency: str, frequency: str, settings: Settings = DEFAULT_SETTINGS) -> str:
+    """Rate x periods per year for stripped texts; null where either is unknown."""
+    key = f"concat(upper({currency}), '|', lower({frequency}))"
     return _lookup(settings.usd_factors(), key, "DECIMAL(10, 4)")
 
 
-def salary_usd_annual(
-    value: str, currency: str, frequency: str, settings: Settings = DEFAULT_SETTINGS
-) -> str:
-    """Amount x factor to two places; any unknown part gives null.
+def annual_usd(bare: str, factor: str) -> str:
+    """Bare amount x factor to two places.
 
     The arithmetic is decimal, so that the cents do not depend on the engine.
     """
-    amount = f"try_cast({bare_amount(value)} AS DECIMAL(24, 6))"
-    factor = salary_factor(currency, frequency, settings)
-    return f"CAST(round({amount} * {factor}, 2) AS DOUBLE)"
+    return f"CAST(round(try_cast({bare} AS DECIMAL(24, 6)) * {factor}, 2) AS DOUBLE)"
+
+
+def salary_usd_annual(
+    value: str, currency: str, frequency: str, settings: Settings = DEFAULT_SETTINGS
+) -> str:
+    """Raw amount, currency and frequency to annual USD; any unknown part gives null."""
+    factor = salary_factor(strip(currency), strip(frequency), settings)
+    return annual_usd(bare_amount(value), factor)
 
 
 def day_gap(left: str, right: str) -> str:

@@ -19,33 +19,37 @@ def clean(
 ) -> DataFrame:
     """Apply every normalisation to an aligned frame: projections only, no shuffle.
 
-    Three projections, each using what the one before computed, so that no costly step
-    is repeated within a row.
+    Each projection uses what the one before computed, so that no costly step is
+    repeated within a row. Names come last: Spark moves the projections before them
+    below the union of the feeds, where the columns a feed lacks cost nothing.
     """
     ids = ("employee_id", "manager_id")
     names = ("first_name", "last_name")
+    lowered = f"lower({text.strip_column('employment_type')})"
     steps = [
         {
-            **{c: text.tidy(c) for c in names},
-            **{c: text.strip(c) for c in (*ids, *DATE_COLUMNS)},
-            "email": text.strip_lower("email"),
-            "employment_type": values.employment_type("employment_type", settings),
-            "salary_usd_annual": values.salary_usd_annual(
-                "salary_original", "currency", "pay_frequency", settings
+            **{c: text.strip_column(c) for c in (*ids, *DATE_COLUMNS)},
+            "email": f"lower({text.strip_column('email')})",
+            "employment_type": values.type_of(lowered, settings),
+            "_prefix": values.company_prefix(text.strip_column("company_origin"), settings),
+            "_amount": values.without_signs("salary_original"),
+            "_factor": values.salary_factor(
+                text.strip_column("currency"), text.strip_column("pay_frequency"), settings
             ),
-            "_prefix": values.company_prefix("company_origin", settings),
         },
         {
-            **{c: text.title_or_null(c) for c in names},
             **{c: values.id_digits(c) for c in ids},
             **{c: values.parsed_date(c, settings) for c in DATE_COLUMNS},
+            "salary_usd_annual": values.annual_usd(text.strip_column("_amount"), "_factor"),
             "_prefix": "_prefix",
         },
         {
-            "full_name": text.full_name("first_name", "last_name"),
             **{c: values.padded_key("_prefix", c) for c in ids},
             **{c: values.date_in_range(c, settings) for c in DATE_COLUMNS},
         },
+        {c: text.tidy(c) for c in names},
+        {c: text.title_or_null(c) for c in names},
+        {"full_name": text.full_name(*names)},
     ]
     extra = [ORDINAL] if ORDINAL in aligned.columns else []
     result = aligned
@@ -89,8 +93,8 @@ def map_departments(df: DataFrame, mapping: DataFrame) -> DataFrame:
     """
     found = df.selectExpr(
         "*",
-        f"{text.strip_lower('source_system')} AS _system",
-        f"{text.strip_lower('department')} AS _name",
+        f"lower({text.strip_column('source_system')}) AS _system",
+        f"lower({text.strip_column('department')}) AS _name",
     )
     joined = found.join(_keyed(mapping), ["_system", "_name"], "left")
     return joined.selectExpr(
