@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from rollbook.config import IDENTITY_SOURCES, Settings
 from rollbook.operators import identity
@@ -82,10 +83,22 @@ select * from (values
 _TABLES = ("customer", "part", "nation", "supplier", "orders", "events")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table. Its footer is read once per process, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     used = [t for t in _TABLES if f" {t} " in f"{sql} ".replace("\n", " ")]
-    tables = ", ".join(f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in used)
-    return spark.sql(f"WITH {tables} {sql}" if used else sql)
+    ctes = ", ".join(f"{t} AS (SELECT * FROM {{{t}}})" for t in used)
+    tables = {t: table(spark, sf_dir, t) for t in used}
+    return spark.sql(f"WITH {ctes} {sql}" if used else sql, **tables)
 
 
 def _person_documents(rows: DataFrame) -> DataFrame:

@@ -244,7 +244,7 @@ def match_export(spark, sf_dir):
 @query
 def token_sort_scores(spark, sf_dir):
     """The score itself, for every part name against the next one."""
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    parts = fixtures.table(spark, sf_dir, "part")
     tokens = text.sorted_tokens("p_name")
     left = parts.selectExpr("p_partkey", f"{tokens} AS a")
     right = parts.selectExpr("p_partkey - 1 AS p_partkey", f"{tokens} AS b")
