@@ -144,28 +144,34 @@ def similar_names(
     left_names = stage.table(
         "left_names",
         left.selectExpr(
-            "_bucket",
-            "_name AS _left",
-            f"{similarity.character_masks('_name')} AS _masks",
-            f"{_probe_keys('_name', rule)} AS _pieces",
+            "_bucket", "_name AS _left", f"{similarity.character_masks('_name')} AS _masks"
         ),
     )
     right_names = stage.table(
-        "right_names",
-        right.selectExpr(
-            "_bucket AS _other", "_name AS _right", f"{_piece_keys('_name', rule)} AS _pieces"
-        ),
+        "right_names", right.selectExpr("_bucket AS _other_bucket", "_name AS _right")
+    )
+    left_keys = _with_pieces(left_names, "_left", _probes(rule)).selectExpr(
+        "_bucket",
+        "_left",
+        "_masks",
+        "xxhash64(_bucket, _other, length(_left), _p, substr(_left, _from, _size)) AS _piece",
+    )
+    right_keys = _with_pieces(right_names, "_right", _pieces(rule)).selectExpr(
+        "_other_bucket",
+        "_right",
+        "xxhash64(_other_bucket, length(_right), _other, _p, substr(_right, _from, _size)) "
+        "AS _piece",
     )
     # Levenshtein distance counts a substitution once where Indel distance counts it
     # twice, so it never exceeds it, and Spark evaluates it fast
     budget = rule.budget("length(_left)", "length(_right)")
     candidates = join_pairs(
-        left_names.selectExpr("_bucket", "_left", "_masks", "explode(_pieces) AS _piece"),
-        right_names.selectExpr("_other", "_right", "explode(_pieces) AS _piece"),
+        left_keys,
+        right_keys,
         keys=["_piece"],
         left_id="_left",
         right_id="_right",
-        condition=f"_bucket = _other AND levenshtein(_left, _right) <= {budget}",
+        condition=f"_bucket = _other_bucket AND levenshtein(_left, _right) <= {budget}",
         cell_rows=cell_rows,
     )
     total = "length(_left) + length(_right)"
@@ -179,43 +185,58 @@ def similar_names(
     )
 
 
-def _piece(length: str, budget: str) -> tuple[str, str]:
+# Which pieces a name has depends on its length alone. Up to this length they are listed
+# once per length and sent to the names, a table of a few ten thousand rows at most;
+# longer names, which are rare, work out their own.
+LISTED_LENGTHS = 64
+
+
+def _with_pieces(names: DataFrame, name: str, layout: str) -> DataFrame:
+    """One row per piece: partner length, piece number, where it starts and its size."""
+    lengths = names.sparkSession.range(1, LISTED_LENGTHS + 1, 1, 1)
+    listed = lengths.selectExpr("CAST(id AS INT) AS _length").selectExpr(
+        "_length", f"inline({layout})"
+    )
+    own = names.selectExpr("*", f"length({name}) AS _length")
+    short = own.join(F.broadcast(listed), "_length")
+    long = own.filter(f"_length > {LISTED_LENGTHS}").selectExpr("*", f"inline({layout})")
+    return short.unionByName(long)
+
+
+def _cut(length: str, budget: str) -> tuple[str, str]:
     """Start and size of piece ``p`` of a string cut into ``budget + 1`` even pieces."""
     start = f"CAST({length} * p div ({budget} + 1) AS INT)"
     end = f"CAST({length} * (p + 1) div ({budget} + 1) AS INT)"
     return start, f"({end} - {start})"
 
 
-def _piece_keys(name: str, rule: similarity.Threshold) -> str:
-    """For every partner length ``n``: the pieces of this (right) name."""
-    length = f"length({name})"
-    budget = rule.budget(length, "n")
-    start, size = _piece(length, budget)
-    key = f"xxhash64(_bucket, {length}, n, p, substr({name}, {start} + 1, {size}))"
-    keys = f"transform(sequence(0, {budget}), p -> {key})"
-    return f"flatten(transform({rule.partner_lengths(length)}, n -> {keys}))"
+def _pieces(rule: similarity.Threshold) -> str:
+    """For every partner length ``n``: the pieces of a (right) name of ``_length``."""
+    budget = rule.budget("_length", "n")
+    start, size = _cut("_length", budget)
+    piece = f"struct(n AS _other, p AS _p, {start} + 1 AS _from, {size} AS _size)"
+    every = f"transform(sequence(0, {budget}), p -> {piece})"
+    return f"flatten(transform({rule.partner_lengths('_length')}, n -> {every}))"
 
 
-def _probe_keys(name: str, rule: similarity.Threshold) -> str:
-    """For every partner length ``n``: where a piece of it may reappear in this (left) name.
+def _probes(rule: similarity.Threshold) -> str:
+    """For every partner length ``n``: where its pieces may reappear in a (left) name.
 
     Walk the pieces from the left and count errors: some untouched piece p has exactly
     p errors before it and at most d - p after it. Each error moves the text by one
     place, so the piece is shifted by -p, -p + 2, ... or p, and what remains of the
     length difference must fit the errors that remain.
     """
-    length = f"length({name})"
-    budget = rule.budget(length, "n")
-    start, size = _piece("n", budget)
+    budget = rule.budget("_length", "n")
+    start, size = _cut("n", budget)
     fits = (
-        f"abs({length} - n - s) <= {budget} - p AND {start} + s >= 0 "
-        f"AND {start} + s + {size} <= {length}"
+        f"abs(_length - n - s) <= {budget} - p AND {start} + s >= 0 "
+        f"AND {start} + s + {size} <= _length"
     )
     shifts = f"filter(sequence(-p, p, 2), s -> {fits})"
-    key = f"xxhash64(_bucket, n, {length}, p, substr({name}, {start} + s + 1, {size}))"
-    keys = f"transform(sequence(0, {budget}), p -> transform({shifts}, s -> {key}))"
-    every = f"transform({rule.partner_lengths(length)}, n -> flatten({keys}))"
-    return f"array_distinct(flatten({every}))"
+    probe = f"struct(n AS _other, p AS _p, {start} + s + 1 AS _from, {size} AS _size)"
+    every = f"transform(sequence(0, {budget}), p -> transform({shifts}, s -> {probe}))"
+    return f"flatten(transform({rule.partner_lengths('_length')}, n -> flatten({every})))"
 
 
 def _pair_columns(pairs: DataFrame, match_type: str, *score: str) -> DataFrame:
