@@ -7,9 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rollbook.functions.values import as_of_date
+from rollbook.staging import Stage
 
 # Cells per refinement step when an exact quantile is located.
 QUANTILE_CELLS = 65_536
+# Employment types are a handful of categories; more than this is not cleaned data.
+MAX_TYPES = 1000
 
 
 def headcount_by_department(golden: DataFrame) -> DataFrame:
@@ -43,21 +46,34 @@ def benefits_rate_by_department(golden: DataFrame) -> DataFrame:
 def salary_box(golden: DataFrame) -> DataFrame:
     """Exact quartiles, 1.5 IQR whiskers and outlier count of salary by employment type.
 
-    Salaries are whole cents, so rows first shrink to one per (type, cents). Each rank
-    a quartile needs is then located by narrowing a range of cents twice, with at most
-    QUANTILE_CELLS cells per type in each step: no type's salaries are ever gathered or
-    sorted in one place, as the built-in exact percentile would.
+    Salaries are whole cents, so rows first shrink to one per (type, cents), which is
+    staged because it is read several times. Each rank a quartile needs is then located
+    by narrowing a range of cents twice, with at most QUANTILE_CELLS cells per type in
+    each step: no type's salaries are ever gathered or sorted in one place, as the
+    built-in exact percentile would. What is broadcast has a few rows per type, and the
+    number of types is checked.
     """
-    salaries = (
+    salaries = Stage(golden.sparkSession).table(
+        "salaries",
         golden.filter("salary_usd_annual IS NOT NULL AND employment_type IS NOT NULL")
         .groupBy(
             "employment_type",
             F.expr("CAST(CAST(salary_usd_annual AS DECIMAL(28, 2)) * 100 AS BIGINT) AS _cents"),
         )
-        .agg(F.expr("count(*) AS _n"))
+        .agg(F.expr("count(*) AS _n")),
+    )
+    spread = salaries.groupBy("employment_type").agg(
+        F.expr("sum(_n) AS employee_count"),
+        F.expr("min(_cents) AS _low"),
+        F.expr("max(_cents) AS _high"),
     )
+    types = spread.limit(MAX_TYPES + 1).collect()
+    if len(types) > MAX_TYPES:
+        raise ValueError(f"more than {MAX_TYPES} employment types")
+    spread = golden.sparkSession.createDataFrame(types, spread.schema)
+
     # quarter cents keep the interpolated quartiles and the fences whole numbers
-    fenced = _quartiles(salaries).selectExpr(
+    fenced = _quartiles(salaries, spread).selectExpr(
         "*",
         "2 * _q1 - 3 * (_q3 - _q1) AS _floor",
         "2 * _q3 + 3 * (_q3 - _q1) AS _ceiling",
@@ -85,13 +101,8 @@ def salary_box(golden: DataFrame) -> DataFrame:
     ).orderBy("employment_type")
 
 
-def _quartiles(salaries: DataFrame) -> DataFrame:
+def _quartiles(salaries: DataFrame, spread: DataFrame) -> DataFrame:
     """Quartiles in quarter cents, by linear interpolation between neighbouring ranks."""
-    spread = salaries.groupBy("employment_type").agg(
-        F.expr("sum(_n) AS employee_count"),
-        F.expr("min(_cents) AS _low"),
-        F.expr("max(_cents) AS _high"),
-    )
     position = "_quarter * (employee_count - 1)"
     neighbours = f"{position} div 4, least({position} div 4 + 1, employee_count - 1)"
     wanted = spread.selectExpr("*", "explode(array(1, 2, 3)) AS _quarter").selectExpr(
@@ -156,9 +167,9 @@ def tenure_histogram(
 ) -> DataFrame:
     """Counts in ``bins`` equal-width bins of tenure years; the last bin is closed.
 
-    Tenure is a whole number of days, so rows shrink to one per day (a few ten thousand
-    at most) and everything after that is small. Bin membership is decided in whole
-    days, without rounding.
+    Tenure is a whole number of days, so rows shrink to one per day of the calendar (a
+    few ten thousand for cleaned dates), and everything after that is small, one window
+    over all days included. Bin membership is decided in whole days, without rounding.
     """
     # a hire later in the day leaves one whole day less
     late = "CAST(hire_date > CAST(CAST(hire_date AS DATE) AS TIMESTAMP_NTZ) AS INT)"

@@ -22,6 +22,13 @@ from rollbook.staging import Stage
 from rollbook.sources import align, readers
 
 
+# Order of the rows in the review files; the others keep the order they come in.
+REVIEW_ORDER = {
+    "duplicate_email_records.csv": ("email", "employee_id"),
+    "probable_match_review.csv": ("record_1_id", "record_2_id"),
+}
+
+
 @dataclass(frozen=True)
 class Outputs:
     """Folders of one published run."""
@@ -108,7 +115,7 @@ def run(
     sinks.write_golden(golden, outputs.golden)
     tables = {"combined": combined, "golden": golden, "report": report}
     for name, table in review_tables(combined, golden, settings).items():
-        sinks.write_review(table, outputs.report(name))
+        sinks.write_review(table, outputs.report(name), REVIEW_ORDER.get(name, ()))
         tables[name.removesuffix(".csv")] = table
     for name, table in profile_tables(golden, report, settings).items():
         sinks.write_review(table, outputs.report(f"figures/{name}"))

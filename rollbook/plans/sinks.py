@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from rollbook.operators.export import golden_export
@@ -12,10 +14,16 @@ def write_golden(golden: DataFrame, path: str) -> None:
     golden_export(golden).write.mode("overwrite").partitionBy("company_origin").parquet(path)
 
 
-def write_review(review: DataFrame, path: str) -> None:
-    """A review table as CSV with a header, which an empty table has too."""
-    # backslashes in the data stay as they are: quotes are doubled, not escaped
-    review.write.mode("overwrite").options(header=True, escape='"').csv(path)
+def write_review(review: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
+    """A review table as CSV with a header, which an empty table has too.
+
+    ``order_by`` sorts the rows across the files; end it with a column that differs
+    from row to row, so that equal leading values can be spread over several files.
+    """
+    rows = review.orderBy(*order_by) if order_by else review
+    # blanks are part of a value, and quotes are doubled, not escaped
+    options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.mode("overwrite").options(header=True, escape='"', **options).csv(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
