@@ -50,8 +50,8 @@ def salary_box(golden: DataFrame) -> DataFrame:
     staged because it is read several times. Each rank a quartile needs is then located
     by narrowing a range of cents twice, with at most QUANTILE_CELLS cells per type in
     each step: no type's salaries are ever gathered or sorted in one place, as the
-    built-in exact percentile would. What is broadcast has a few rows per type, and the
-    number of types is checked.
+    built-in exact percentile would. The ranks, six per type at most, are what steps
+    hand on and broadcast; the number of types is checked.
     """
     salaries = Stage(golden.sparkSession).table(
         "salaries",
@@ -67,10 +67,7 @@ def salary_box(golden: DataFrame) -> DataFrame:
         F.expr("min(_cents) AS _low"),
         F.expr("max(_cents) AS _high"),
     )
-    types = spread.limit(MAX_TYPES + 1).collect()
-    if len(types) > MAX_TYPES:
-        raise ValueError(f"more than {MAX_TYPES} employment types")
-    spread = golden.sparkSession.createDataFrame(types, spread.schema)
+    spread = _settled(spread, MAX_TYPES)
 
     # quarter cents keep the interpolated quartiles and the fences whole numbers
     fenced = _quartiles(salaries, spread).selectExpr(
@@ -101,6 +98,14 @@ def salary_box(golden: DataFrame) -> DataFrame:
     ).orderBy("employment_type")
 
 
+def _settled(few: DataFrame, most: int) -> DataFrame:
+    """A table of at most ``most`` rows, computed now, so that later steps only read it."""
+    rows = few.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {MAX_TYPES} employment types")
+    return few.sparkSession.createDataFrame(rows, few.schema)
+
+
 def _quartiles(salaries: DataFrame, spread: DataFrame) -> DataFrame:
     """Quartiles in quarter cents, by linear interpolation between neighbouring ranks."""
     position = "_quarter * (employee_count - 1)"
@@ -112,7 +117,7 @@ def _quartiles(salaries: DataFrame, spread: DataFrame) -> DataFrame:
         "employment_type", "_rank", "_low", "_high", "0L AS _below"
     ).distinct()
     for _ in range(2):
-        ranks = _narrow(salaries, ranks)
+        ranks = _settled(_narrow(salaries, ranks), 6 * MAX_TYPES)
     value = "4 * min(_cents) + (max(_cents) - min(_cents)) * max(_part)"
     quartiles = (
         wanted.join(_pick(salaries, ranks), ["employment_type", "_rank"])
