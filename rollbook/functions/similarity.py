@@ -88,6 +88,11 @@ class Threshold:
         most = f"(({length} + {other}) * {spare} div {self._hundred})"
         return f"CAST({most} - pmod({most} - ({length} + {other}), 2) AS INT)"
 
+    def longest_within(self, budget: int) -> float:
+        """The length up to which two strings of equal length have at most this budget."""
+        spare = self._hundred - self._numerator
+        return budget * self._hundred / (2 * spare) if spare else float("inf")
+
     def partner_lengths(self, length: str) -> str:
         """All lengths a partner may have: the length difference alone costs that much."""
         num, top = self._numerator, 2 * self._hundred - self._numerator

@@ -29,8 +29,9 @@ def strip_column(column: str) -> str:
     Text that begins and ends with a visible ASCII character is left alone; the ends are
     compared, which is cheaper than a search in the set of white space.
     """
-    visible = f"{column} >= '!' AND {column} < '\\u007f' AND substr({column}, -1) BETWEEN '!' AND '~'"
-    return f"CASE WHEN {visible} THEN {column} ELSE {strip(column)} END"
+    first = f"{column} >= '!' AND {column} < '\\u007f'"
+    last = f"substr({column}, -1) BETWEEN '!' AND '~'"
+    return f"CASE WHEN {first} AND {last} THEN {column} ELSE {strip(column)} END"
 
 
 def strip_lower(value: str) -> str:

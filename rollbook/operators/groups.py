@@ -23,8 +23,8 @@ def rows_of_groups(
     ``n`` and the other columns to add. The largest groups are never shuffled: their
     rows meet a broadcast of those few group records where they lie. The rest, now
     without a large group, take an ordinary shuffle join. Both parts cover all rows
-    exactly once. The order that picks the large groups is total, so each use of it,
-    and each retry, picks the same ones.
+    exactly once. The order that picks the large groups is total, so each use of it, and
+    each retry, picks the same ones. ``rows`` is read twice: stage it if it is costly.
     """
     flagged = groups.selectExpr("*", f"coalesce({keep}, false) AS _keep")
     # n and key alone make the order total; naming every column keeps all uses of the

@@ -150,20 +150,19 @@ def similar_names(
     right_names = stage.table(
         "right_names", right.selectExpr("_bucket AS _other_bucket", "_name AS _right")
     )
-    left_keys = _with_pieces(left_names, "_left", _probes(rule)).selectExpr(
+    left_keys = _with_pieces(left_names, "_left", rule, _probes(rule)).selectExpr(
         "_bucket",
         "_left",
-        "_masks",
         "xxhash64(_bucket, _other, length(_left), _p, substr(_left, _from, _size)) AS _piece",
     )
-    right_keys = _with_pieces(right_names, "_right", _pieces(rule)).selectExpr(
+    right_keys = _with_pieces(right_names, "_right", rule, _pieces(rule)).selectExpr(
         "_other_bucket",
         "_right",
         "xxhash64(_other_bucket, length(_right), _other, _p, substr(_right, _from, _size)) "
         "AS _piece",
     )
     # Levenshtein distance counts a substitution once where Indel distance counts it
-    # twice, so it never exceeds it, and Spark evaluates it fast
+    # twice, so it never exceeds it; Spark stops counting at the budget and returns -1
     budget = rule.budget("length(_left)", "length(_right)")
     candidates = join_pairs(
         left_keys,
@@ -171,35 +170,40 @@ def similar_names(
         keys=["_piece"],
         left_id="_left",
         right_id="_right",
-        condition=f"_bucket = _other_bucket AND levenshtein(_left, _right) <= {budget}",
+        condition=f"_bucket = _other_bucket AND levenshtein(_left, _right, {budget}) >= 0",
         cell_rows=cell_rows,
     )
     total = "length(_left) + length(_right)"
     lcs = similarity.lcs_length("_left", "_masks", "_right")
     # several pieces may have met: one row per pair of names
+    pairs = candidates.select("_bucket", "_left", "_right").distinct()
     return (
-        candidates.selectExpr("_bucket", "_left", "_right", f"{lcs} AS _lcs")
+        pairs.join(left_names, ["_bucket", "_left"])
+        .selectExpr("_bucket", "_left", "_right", f"{lcs} AS _lcs")
         .filter(rule.reached(total, "_lcs"))
-        .dropDuplicates(["_bucket", "_left", "_right"])
         .selectExpr("_bucket", "_left", "_right", f"{similarity.score(total, '_lcs')} AS _score")
     )
 
 
-# Which pieces a name has depends on its length alone. Up to this length they are listed
-# once per length and sent to the names, a table of a few ten thousand rows at most;
-# longer names, which are rare, work out their own.
-LISTED_LENGTHS = 64
+# Which pieces a name has depends on its length alone. Where both are small, length and
+# edit budget, pieces are listed once per length and sent to the names: at the published
+# threshold some ten thousand rows. Longer names, which are rare, work out their own.
+LISTED_LENGTH = 64
+LISTED_BUDGET = 16
 
 
-def _with_pieces(names: DataFrame, name: str, layout: str) -> DataFrame:
+def _with_pieces(
+    names: DataFrame, name: str, rule: similarity.Threshold, layout: str
+) -> DataFrame:
     """One row per piece: partner length, piece number, where it starts and its size."""
-    lengths = names.sparkSession.range(1, LISTED_LENGTHS + 1, 1, 1)
+    longest = int(min(LISTED_LENGTH, rule.longest_within(LISTED_BUDGET)))
+    lengths = names.sparkSession.range(1, longest + 1, 1, 1)
     listed = lengths.selectExpr("CAST(id AS INT) AS _length").selectExpr(
         "_length", f"inline({layout})"
     )
     own = names.selectExpr("*", f"length({name}) AS _length")
     short = own.join(F.broadcast(listed), "_length")
-    long = own.filter(f"_length > {LISTED_LENGTHS}").selectExpr("*", f"inline({layout})")
+    long = own.filter(f"_length > {longest}").selectExpr("*", f"inline({layout})")
     return short.unionByName(long)
 
 

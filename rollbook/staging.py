@@ -17,10 +17,12 @@ _DIR_KEY = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's shared folder. Only a local session may do without one."""
-    folder = spark.conf.get(_DIR_KEY, None) or spark.sparkContext.getConf().get(_DIR_KEY)
+    context = spark.sparkContext
+    folder = spark.conf.get(_DIR_KEY, None) or context.getConf().get(_DIR_KEY)
+    folder = folder or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_DIR_KEY} to a folder that all executors can reach")
     folder = tempfile.mkdtemp(prefix="rollbook-")
     spark.conf.set(_DIR_KEY, folder)
