@@ -313,8 +313,7 @@ def headcount_country_top15(spark, sf_dir):
 
 @query
 def salary_box(spark, sf_dir):
-    salaries = _staged_golden(spark, sf_dir, "employment_type", "salary_usd_annual")
-    return profiles.salary_box(salaries)
+    return profiles.salary_box(_golden(spark, sf_dir))
 
 
 @query
