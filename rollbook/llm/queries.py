@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollbook.llm.exact_dedup import exact_duplicates
+from rollbook.llm.line_dedup import drop_shared_lines
 from rollbook.llm.tables import table
+from rollbook.llm.token_counts import token_counts
+
+# A document with more tokens does not fit one training sequence.
+TOKEN_LIMIT = 2048
+
+
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    found = token_counts(table(spark, folder, "documents"))
+    return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = drop_shared_lines(spark, table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,5 +30,7 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }

@@ -3,6 +3,26 @@
 from __future__ import annotations
 
 STATEMENTS: dict[str, str] = {
+    "op8_line_dedup": """
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+    FROM documents
+), keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), shared AS (
+    SELECT key, max(doc_id) AS keep_id FROM keyed
+    WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), flagged AS (
+    SELECT k.*, coalesce(k.doc_id <> s.keep_id, false) AS lost
+    FROM keyed k LEFT JOIN shared s USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+FROM flagged GROUP BY doc_id
+""",
     "op9_exact_dedup": """
 WITH rows AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS text
