@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollbook.llm.exact_dedup import exact_duplicates
 from rollbook.llm.line_dedup import drop_shared_lines
+from rollbook.llm.sentence_pieces import encode_and_decode
 from rollbook.llm.tables import table
 from rollbook.llm.token_counts import token_counts
 
@@ -29,8 +30,13 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(spark, table(spark, folder, "documents"))
 
 
+def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_and_decode(table(spark, folder, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_sentence_pieces": op10_sentence_pieces,
 }

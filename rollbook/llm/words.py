@@ -7,6 +7,7 @@ a white space character, where the callers' units end anyway.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -16,6 +17,7 @@ import pyarrow.compute as pc
 
 # Bytes of text that are worked on at a time.
 PART_BYTES = 4_000_000
+_WHITE = re.compile("[ \\t\\n]")
 
 
 @dataclass
@@ -48,12 +50,11 @@ def _words(lists: pa.Array) -> Words:
     return Words(coded.dictionary, np.asarray(coded.indices, dtype=np.int64), bounds)
 
 
-def parts(texts: pa.Array, at: str = " \t\n", part_bytes: int = PART_BYTES) -> Iterator[tuple[np.ndarray, pa.Array]]:
+def parts(texts: pa.Array, at: re.Pattern = _WHITE, part_bytes: int = PART_BYTES) -> Iterator[tuple[np.ndarray, pa.Array]]:
     """(row numbers, texts) of at most about ``part_bytes``; nulls as empty texts.
 
-    Texts longer than that come as several items of the same row number, in order, each
-    but the last ending before a character of ``at``, which starts the next. A long text without such a
-    character stays whole.
+    Texts longer than that come as several items of the same row number, in order; each
+    but the first begins with a match of ``at``. A text without a match stays whole.
     """
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     sizes = np.asarray(pc.binary_length(texts))
@@ -76,17 +77,11 @@ def parts(texts: pa.Array, at: str = " \t\n", part_bytes: int = PART_BYTES) -> I
         yield np.array(rows), texts.take(pa.array(rows))
 
 
-def _pieces(text: str, at: str, length: int) -> Iterator[str]:
+def _pieces(text: str, at: re.Pattern, length: int) -> Iterator[str]:
     start = 0
-    while len(text) - start > length:
-        cut = max(text.rfind(c, start + 1, start + length) for c in at)
-        if cut <= start:
-            later = [i for c in at if (i := text.find(c, start + length)) >= 0]
-            if not later:
-                break
-            cut = min(later)
-        yield text[start:cut]
-        start = cut
+    while found := at.search(text, start + length):
+        yield text[start : found.start()]
+        start = found.start()
     yield text[start:]
 
 
