@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollbook.llm.exact_dedup import exact_duplicates
 from rollbook.llm.line_dedup import drop_shared_lines
+from rollbook.llm.packing import pack
 from rollbook.llm.sentence_pieces import encode_and_decode
 from rollbook.llm.tables import table
 from rollbook.llm.token_counts import token_counts
@@ -21,6 +22,10 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(spark, table(spark, folder, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = drop_shared_lines(spark, table(spark, folder, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -36,6 +41,7 @@ def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sentence_pieces": op10_sentence_pieces,
