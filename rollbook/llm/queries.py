@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollbook.llm.exact_dedup import exact_duplicates
 from rollbook.llm.line_dedup import drop_shared_lines
+from rollbook.llm.near_dedup import near_duplicates
 from rollbook.llm.packing import pack
 from rollbook.llm.sentence_pieces import encode_and_decode
 from rollbook.llm.tables import table
@@ -22,6 +23,10 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(spark, table(spark, folder, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(spark, table(spark, folder, "documents"))
 
@@ -41,6 +46,7 @@ def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_near_dedup": op3_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
