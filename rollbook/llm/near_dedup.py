@@ -14,7 +14,8 @@ near the bound of two levels are summarised at both, so any two alike sets share
 Documents with the same set are one document to all this. Within a group of candidates the
 pairs are not listed: every document is first compared with few others, the links found
 make components, and only candidates that are still in different components are compared
-with the rest. What is left out lies within one component, where it changes nothing.
+with the rest. What is left out lies within one component, where it changes nothing, or
+has so many shingles of its own that no link is possible.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ _NOWHERE = re.compile("(?!)")
 _MANTISSA_BITS = 10
 _BAND_BYTES = 8  # four registers of 16 bits
 # Star rounds before all candidates in different components are compared.
-_MOST_STARS = 6
+_MOST_STARS = 4
 # Pairs left, for each row in a candidate group, at which they are compared at once.
 _PAIRS_A_ROW = 4
 
@@ -216,7 +217,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, likeness: Likeness = L
             F.first("registers").alias("registers"),
         ),
     )
-    links = _links(spark, staged, docs, sets, likeness)
+    links = _links(staged, docs, sets, likeness)
     labels = _components(staged, "all", links)
     named = sets.join(labels, "id", "left").select(
         "set_id", "n", F.coalesce("label", "id").alias("component_id")
@@ -229,7 +230,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, likeness: Likeness = L
     )
 
 
-def _links(spark: SparkSession, staged, docs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
+def _links(staged, docs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
     """Confirmed links (a, b) that join all documents that any confirmed links would join."""
     grouped = _candidate_groups(staged, sets, likeness)
     alike = staged.table(
@@ -245,19 +246,23 @@ def _links(spark: SparkSession, staged, docs: DataFrame, sets: DataFrame, likene
     star = grouped.groupBy(F.col("id").alias("a")).agg(F.min("hub").alias("b")).filter("a <> b")
     tested = staged.table("pairs_0", star)
     links = compare("0", tested)
+    labels = _components(staged, "0", links)
+    apart = staged.table("apart", _open(grouped.select("key", "id"), labels))
+    live = staged.table("live", _linkable(apart, alike, sets, likeness))
+    grouped = staged.table("live_groups", grouped.select("key", "id").join(live, "id"))
     for number in range(1, _MOST_STARS + 1):
-        labels = _components(staged, str(number), links)
         open_rows = staged.table(f"open_{number}", _open(grouped, labels))
         rows, rest = open_rows.agg(F.count("*"), F.coalesce(F.sum("others"), F.lit(0))).first()
         if not rows:
             return links
         last = rest <= _PAIRS_A_ROW * rows or number == _MOST_STARS
-        pairs = _across(open_rows) if last else _star(open_rows, number)
+        pairs = _across(open_rows, likeness) if last else _star(open_rows, number, likeness)
         fresh = staged.table(f"pairs_{number}", pairs.join(tested, ["a", "b"], "left_anti"))
         links = links.unionByName(compare(str(number), fresh))
-        tested = tested.unionByName(fresh)
         if last:
             return links
+        tested = tested.unionByName(fresh)
+        labels = _components(staged, str(number), links)
     return links
 
 
@@ -278,13 +283,12 @@ def _candidate_groups(staged, sets: DataFrame, likeness: Likeness) -> DataFrame:
 
 
 def _open(grouped: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, id, label, first, others): the groups that hold several components.
+    """Rows of the groups that hold several components, with (label, first, others).
 
-    ``first`` is the smallest component of a group; ``others`` is, for a document outside
+    ``first`` is the largest component of a group; ``others`` is, for a document outside
     it, the number of documents in the group.
     """
-    own = F.coalesce("label", "id").alias("label")
-    labelled = grouped.join(labels, "id", "left").select("key", "id", own)
+    labelled = grouped.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     spread = (
         labelled.groupBy("key", "label")
         .agg(F.count("*").alias("m"))
@@ -294,32 +298,67 @@ def _open(grouped: DataFrame, labels: DataFrame) -> DataFrame:
         .drop("labels")
     )
     others = F.when(F.col("label") != F.col("first"), F.col("n")).otherwise(0)
-    return join_groups(labelled, spread, ["key"], F.col("id"), "inner").select(
-        "key", "id", "label", "first", others.alias("others")
+    joined = join_groups(labelled, spread, ["key"], F.col("id"), "inner")
+    return joined.withColumn("others", others).drop("n")
+
+
+def _linkable(rows: DataFrame, alike: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
+    """(id, size, own): the documents that may be linked with another one of ``rows``.
+
+    ``own`` counts a document's shingles that no other document of ``rows`` has. No link
+    has them in common, so too many of them rule out every link of the document.
+    """
+    ids = rows.select("id").distinct()
+    size = likeness.shingle_words
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for numbers, part in parts(batch.column("text"), _NOWHERE):
+                found = shingle_sets(part, size)
+                owners = np.repeat(numbers, [len(x) for x in found])
+                hashes = np.concatenate(found).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(owners)), pa.array(hashes)], ["id", "shingle"])
+
+    kind = dict(alike.dtypes)["id"]
+    shingles = alike.join(ids, "id").select("id", "text").mapInArrow(listed, f"id {kind}, shingle long")
+    own = (
+        shingles.groupBy("shingle")
+        .agg(F.min("id").alias("id"), F.max("id").alias("last"))
+        .filter("id = last")
+        .groupBy("id")
+        .agg(F.count("*").alias("own"))
     )
+    counted = sets.join(ids, "id").join(own, "id", "left").select("id", "size", F.coalesce("own", F.lit(0)).alias("own"))
+    return counted.filter(f"100 * (size - own) >= {likeness.percent} * size")
 
 
 def _pair(a: str, b: str) -> list:
     return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
 
 
-def _star(rows: DataFrame, number: int) -> DataFrame:
+def _allowed(a: str, b: str, likeness: Likeness) -> str:
+    """Whether sizes and own shingles of two documents leave room for a link."""
+    common = f"least({a}size - {a}own, {b}size - {b}own)"
+    either = f"greatest({a}size + {b}own, {b}size + {a}own)"
+    return f"100 * {common} >= {likeness.percent} * {either}"
+
+
+def _star(rows: DataFrame, number: int, likeness: Likeness) -> DataFrame:
     """Each document with one drawn from each of its groups, unless they are joined already."""
     drawn = rows.groupBy("key").agg(
-        F.count("*").alias("n"), F.min_by(F.struct("id", "label"), F.xxhash64("id", F.lit(number))).alias("hub")
+        F.count("*").alias("n"), F.min_by(F.struct("id", "label", "size", "own"), F.xxhash64("id", F.lit(number))).alias("hub")
     )
-    joined = join_groups(rows, drawn, ["key"], F.col("id"), "inner").filter("label <> hub.label")
-    return joined.select("id", F.col("hub.id").alias("hub")).select(*_pair("id", "hub")).distinct()
+    joined = join_groups(rows, drawn, ["key"], F.col("id"), "inner")
+    wanted = joined.filter("label <> hub.label").filter(_allowed("", "hub.", likeness))
+    return wanted.select("id", F.col("hub.id").alias("hub")).select(*_pair("id", "hub")).distinct()
 
 
-def _across(rows: DataFrame) -> DataFrame:
+def _across(rows: DataFrame, likeness: Likeness) -> DataFrame:
     """All pairs of a group in different components: the few outside its largest one with all."""
-    outside = rows.filter("label <> first").select(
-        "key", F.col("id").alias("outer"), F.col("label").alias("outer_label")
-    )
-    met = outside.join(rows.select("key", "id", "label", "first"), "key")
-    wanted = met.filter("label <> outer_label AND (label = first OR id < outer)")
-    return wanted.select(*_pair("outer", "id")).distinct()
+    outside = rows.filter("label <> first").select("key", *[F.col(c).alias(f"o_{c}") for c in ("id", "label", "size", "own")])
+    met = outside.join(rows.select("key", "id", "label", "first", "size", "own"), "key")
+    wanted = met.filter("label <> o_label AND (label = first OR id < o_id)").filter(_allowed("", "o_", likeness))
+    return wanted.select(*_pair("o_id", "id")).distinct()
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
