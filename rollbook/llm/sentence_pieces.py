@@ -29,6 +29,7 @@ SPACE = "▁"
 # A space that starts a unit: pieces may hold several spaces in a row.
 _APART = re.compile(f"(?<![ {SPACE}]) ")
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
+_NEVER = float("-inf")
 
 
 class PieceModel:
@@ -63,6 +64,9 @@ class PieceModel:
         self.ids = {self.pieces[i]: i for i in normal}
         self.scores = {self.pieces[i]: proto.pieces[i].score for i in normal}
         self.bytes = {int(self.pieces[i][3:5], 16): i for i, kind in enumerate(self.kinds) if kind == _BYTE}
+        self.others = {i for i, kind in enumerate(self.kinds) if kind != _NORMAL}
+        self.spaced = [piece.replace(SPACE, " ") for piece in self.pieces]
+        self.digits = [str(i) for i in range(len(self.pieces))]
         self.characters = {c for piece in self.ids for c in piece}
         self._pairs: dict[tuple[str, str], bool] = {}
         # pieces that merging never makes cannot stand in a merged text
@@ -98,14 +102,16 @@ class PieceModel:
 
     def merged(self, text: str) -> list[str]:
         """The text's characters merged by score, best first and leftmost among equals."""
-        symbols = list(text)
-        while len(symbols) > 1:
-            scored = [(self.scores.get(a + b), -i) for i, (a, b) in enumerate(zip(symbols, symbols[1:]))]
-            best = max((s for s in scored if s[0] is not None), default=None)
-            if best is None:
-                break
-            i = -best[1]
+        symbols, scores = list(text), self.scores
+        found = [scores.get(a + b, _NEVER) for a, b in zip(symbols, symbols[1:])]
+        while found and (best := max(found)) > _NEVER:
+            i = found.index(best)
             symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+            del found[i]
+            if i:
+                found[i - 1] = scores.get(symbols[i - 1] + symbols[i], _NEVER)
+            if i < len(found):
+                found[i] = scores.get(symbols[i] + symbols[i + 1], _NEVER)
         return symbols
 
     def fit(self, left: str, right: str) -> bool:
@@ -114,7 +120,8 @@ class PieceModel:
         if known is None:
             if len(self._pairs) > 500_000:
                 self._pairs.clear()
-            known = self._pairs[left, right] = self.merged(left + right) == [left, right]
+            known = left + right not in self.made and self.merged(left + right) == [left, right]
+            self._pairs[left, right] = known
         return known
 
     def split(self, text: str) -> list[str]:
@@ -123,60 +130,58 @@ class PieceModel:
             return [text]
         longest = [0] * len(text)
         for end, length in self.automaton.iter(text):
-            start = end - length + 1
-            if length > longest[start]:
-                longest[start] = length
+            longest[end - length + 1] = length  # ends come in order: the last is the longest
+        made, fit = self.made, self.fit
         failed = 0  # bit i: no accepted sequence goes on from position i
         found: list[str] = []
         start, length = 0, longest[0]
         while start < len(text):
-            accepted = False
+            before = found[-1] if found else None
             while length:
                 piece = text[start : start + length]
                 if (
-                    not failed >> (start + length) & 1
-                    and piece in self.made
-                    and (not found or self.fit(found[-1], piece))
+                    piece in made
+                    and not failed >> (start + length) & 1
+                    and (before is None or fit(before, piece))
                 ):
-                    accepted = True
                     break
                 length -= 1
-            if accepted:
+            if length:
                 found.append(piece)
                 start += length
                 length = longest[start] if start < len(text) else 0
-            else:
-                failed |= 1 << start
-                if not found:
-                    raise ValueError(f"no merged form of {text!r}")
-                length = len(found[-1])
-                start -= length
-                found.pop()
-                length -= 1
+                continue
+            failed |= 1 << start
+            if before is None:
+                raise ValueError(f"no merged form of {text!r}")
+            found.pop()
+            length = len(before) - 1
+            start -= len(before)
         return found
 
     def unit_ids(self, unit: str) -> list[int]:
         """The ids of one unit; characters outside all pieces become their bytes."""
+        if self.characters.issuperset(unit):
+            return self._known_ids(unit)
         out: list[int] = []
         known = ""
-        for c in unit + "\0":  # the end mark is in no piece
-            if c in self.characters and c != "\0":
+        for c in unit:
+            if c in self.characters:
                 known += c
                 continue
             if known:
                 out += self._known_ids(known)
                 known = ""
             out += [self.bytes[b] for b in c.encode()]
-        return out[: len(out) - 1]
+        return out + self._known_ids(known) if known else out
 
     def _known_ids(self, text: str) -> list[int]:
-        out = []
-        for piece in self.split(text):
-            if piece in self.ids:
-                out.append(self.ids[piece])
-            else:  # a character that only occurs inside longer pieces
-                out += [self.bytes[b] for b in piece.encode()]
-        return out
+        ids = self.ids
+        pieces = self.split(text)
+        try:
+            return [ids[piece] for piece in pieces]
+        except KeyError:  # a character that only occurs inside longer pieces
+            return [i for p in pieces for i in ([ids[p]] if p in ids else [self.bytes[b] for b in p.encode()])]
 
     def units(self, text: str) -> list[str]:
         return self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -186,6 +191,9 @@ class PieceModel:
 
     def decode(self, ids: list[int]) -> str:
         """The text of any ids: spaces restored, the one in front dropped, bytes joined."""
+        if self.others.isdisjoint(ids):
+            text = "".join([self.spaced[i] for i in ids])
+            return text[1:] if ids and self.pieces[ids[0]].startswith(SPACE) else text
         out, held = [], bytearray()
         first = True
         for i in ids:
@@ -198,11 +206,9 @@ class PieceModel:
                 first = False
             if self.kinds[i] == _CONTROL:
                 continue
-            piece = " ⁇ " if self.kinds[i] == _UNKNOWN else self.pieces[i]
-            if first and piece.startswith(SPACE):
-                piece = piece[1:]
+            text = " ⁇ " if self.kinds[i] == _UNKNOWN else self.spaced[i]
+            out.append(text[1:] if first and self.pieces[i].startswith(SPACE) else text)
             first = False
-            out.append(piece.replace(SPACE, " "))
         if held:
             out.append(_bytes_text(bytes(held)))
         return "".join(out)
@@ -261,7 +267,8 @@ class _DigestEncoder:
         for unit in units:
             ids = self.model.unit_ids(unit)
             decoded = self.model.decode([self.model.ids["a"], *ids])[1:]
-            out.append((len(ids), ",".join(map(str, ids)).encode(), decoded.encode()))
+            digits = ",".join([self.model.digits[i] for i in ids])
+            out.append((len(ids), digits.encode(), decoded.encode()))
         return out
 
     def _words(self, words: list[str]) -> list[tuple[int, bytes, bytes]]:
