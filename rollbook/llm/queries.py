@@ -10,9 +10,11 @@ from rollbook.llm.exact_dedup import exact_duplicates
 from rollbook.llm.line_dedup import drop_shared_lines
 from rollbook.llm.near_dedup import near_duplicates
 from rollbook.llm.packing import pack
+from rollbook.llm.quality_rules import apply_rules
 from rollbook.llm.sentence_pieces import encode_and_decode
 from rollbook.llm.tables import table
 from rollbook.llm.token_counts import token_counts
+from rollbook.llm.url_filters import judge
 
 # A document with more tokens does not fit one training sequence.
 TOKEN_LIMIT = 2048
@@ -31,6 +33,15 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(spark, table(spark, folder, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = apply_rules(spark, table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.drop("n_lines", "failed_rules")
+
+
+def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(spark, table(spark, folder, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = drop_shared_lines(spark, table(spark, folder, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -48,6 +59,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_near_dedup": op3_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_quality_rules": op5_quality_rules,
+    "op7_url_filters": op7_url_filters,
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sentence_pieces": op10_sentence_pieces,
