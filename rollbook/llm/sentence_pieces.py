@@ -21,9 +21,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from rollbook.llm.words import Memo, parts, split_spaces
+from rollbook.llm.words import Memo, parts, per_worker, split_spaces
 
 MODEL = "piece_bpe_32k.model"
+# How many a worker remembers, about 400 bytes each.
+MOST_WORDS, MOST_UNITS = 200_000, 500_000
 # How sentence pieces write a space.
 SPACE = "▁"
 # A space that starts a unit: pieces may hold several spaces in a row.
@@ -240,7 +242,7 @@ def encode_and_decode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _DigestEncoder(load_model(model))
+        encoder = per_worker(f"pieces {model}", lambda: _DigestEncoder(load_model(model)))
         for batch in batches:
             counts, ids, texts = encoder.digests(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
@@ -258,8 +260,8 @@ class _DigestEncoder:
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.units = Memo(self._units)
-        self.words = Memo(self._words)
+        self.units = Memo(self._units, MOST_UNITS)
+        self.words = Memo(self._words, MOST_WORDS)
 
     def _units(self, units: list[str]) -> list[tuple[int, bytes, bytes]]:
         """Of each unit: how many ids, the ids in decimal, its decoded text with all spaces."""

@@ -18,10 +18,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from rollbook.llm.words import Memo, parts, split_white
+from rollbook.llm.words import Memo, parts, per_worker, split_white
 
 TOKENIZER = "word_bpe_49k.json"
 
+# How many a worker remembers, about 200 bytes each.
+MOST_WORDS, MOST_UNITS = 300_000, 800_000
+
 # Where a word may be cut: after a run of Latin letters, before ASCII punctuation or a
 # digit. The tokenizer's pattern takes letters on their own, and no character combines
 # with an ASCII one that follows it. Whatever is written otherwise stays in one piece.
@@ -41,8 +44,15 @@ def load_tokenizer(name: str = TOKENIZER):
     return Tokenizer.from_file(public_tokenizers.path(name))
 
 
-def unit_encoder(name: str = TOKENIZER, most: int = 400_000) -> Callable[[list[str]], list[bytes]]:
-    """Encodes white-space-free words: the ids of each as little-endian unsigned 32-bit."""
+def unit_encoder(name: str = TOKENIZER) -> Callable[[list[str]], list[bytes]]:
+    """Encodes white-space-free words: the ids of each as little-endian unsigned 32-bit.
+
+    One encoder serves all tasks of a worker process.
+    """
+    return per_worker(f"encoder {name}", lambda: _unit_encoder(name))
+
+
+def _unit_encoder(name: str) -> Callable[[list[str]], list[bytes]]:
     tokenizer = load_tokenizer(name)
 
     def encode(units: list[str]) -> list[bytes]:
@@ -54,14 +64,14 @@ def unit_encoder(name: str = TOKENIZER, most: int = 400_000) -> Callable[[list[s
     for probe in _PROBES:
         if b"".join(encode([u for w in probe.split(" ") for u in _UNITS.findall(w)])) != encode([probe])[0]:
             raise ValueError(f"{name} encodes words together; it cannot be used here")
-    units = Memo(encode, most)
+    units = Memo(encode, MOST_UNITS)
 
     def words(batch: list[str]) -> list[bytes]:
         cut = [_UNITS.findall(word) for word in batch]
         ids = iter(units([unit for word in cut for unit in word]))
         return [b"".join([next(ids) for _ in word]) for word in cut]
 
-    return Memo(words, most)
+    return Memo(words, MOST_WORDS)
 
 
 def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:

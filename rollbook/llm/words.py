@@ -8,8 +8,11 @@ a white space character, where the callers' units end anyway.
 from __future__ import annotations
 
 import re
+import sys
+import types
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -105,6 +108,19 @@ class Memo:
         return found
 
 
+def per_worker(key: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, made once per Python worker, so that later tasks reuse it.
+
+    It lies in a module of its own: the code of a task is unpickled for every task, and its
+    globals with it.
+    """
+    name = "rollbook_worker_objects"
+    kept = vars(sys.modules.setdefault(name, types.ModuleType(name)))
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers start, start + 1, ... of each range, one range after the other."""
     ends = np.cumsum(lengths)
