@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -34,12 +33,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollbook.llm.tables import join_groups, stage, texts
-from rollbook.llm.words import parts, split_white
+from rollbook.llm.words import NOWHERE, parts, split_white
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-# matches nothing
-_NOWHERE = re.compile("(?!)")
 _MANTISSA_BITS = 10
 _BAND_BYTES = 8  # four registers of 16 bits
 # Star rounds before all candidates in different components are compared.
@@ -169,7 +166,7 @@ def signatures(docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:
         for batch in batches:
             ids = batch.column("doc_id")
             # a text is never cut here: its shingles reach over any place
-            for rows, part in parts(batch.column("text"), _NOWHERE):
+            for rows, part in parts(batch.column("text"), NOWHERE):
                 sizes, names, times, found = [], [], [], []
                 for hashes in shingle_sets(part, size):
                     levels = likeness.levels(len(hashes)) if len(hashes) else []
@@ -313,7 +310,7 @@ def _linkable(rows: DataFrame, alike: DataFrame, sets: DataFrame, likeness: Like
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for numbers, part in parts(batch.column("text"), _NOWHERE):
+            for numbers, part in parts(batch.column("text"), NOWHERE):
                 found = shingle_sets(part, size)
                 owners = np.repeat(numbers, [len(x) for x in found])
                 hashes = np.concatenate(found).view(np.int64)

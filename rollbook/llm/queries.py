@@ -10,6 +10,7 @@ from rollbook.llm.exact_dedup import exact_duplicates
 from rollbook.llm.line_dedup import drop_shared_lines
 from rollbook.llm.near_dedup import near_duplicates
 from rollbook.llm.packing import pack
+from rollbook.llm.quality_classifier import classify
 from rollbook.llm.quality_rules import apply_rules
 from rollbook.llm.sentence_pieces import encode_and_decode
 from rollbook.llm.tables import table
@@ -38,6 +39,10 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("n_lines", "failed_rules")
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classify(spark, table(spark, folder, "documents"))
+
+
 def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judge(spark, table(spark, folder, "pages"))
 
@@ -60,6 +65,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": op3_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_url_filters": op7_url_filters,
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,

@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 # Bytes of text that are worked on at a time.
 PART_BYTES = 4_000_000
 _WHITE = re.compile("[ \\t\\n]")
+# For ``parts`` of whole texts: it matches no place.
+NOWHERE = re.compile("(?!)")
 
 
 @dataclass
