@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rollbook.llm.words import NOWHERE, parts, split_white
 
@@ -237,7 +237,11 @@ def train(docs: DataFrame, most_fitted: int = MOST_FITTED) -> Model:
     return Model(share, accuracy, weights, bias)
 
 
-def classify(spark: SparkSession, docs: DataFrame, model: Model | None = None, keep_from: float = KEEP_FROM) -> DataFrame:
+def _score(features: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(features @ weights + bias, -30, 30).astype(np.float64)))
+
+
+def classify(docs: DataFrame, model: Model | None = None, keep_from: float = KEEP_FROM) -> DataFrame:
     """One row per document: doc_id, score, weak_label, kept.
 
     ``score`` is the scorer's probability that the document is good, ``weak_label`` the
@@ -253,7 +257,7 @@ def classify(spark: SparkSession, docs: DataFrame, model: Model | None = None, k
         for batch in batches:
             for rows, part in parts(batch.column("text"), NOWHERE, 1_000_000):
                 values, features = measure(part)
-                score = 1 / (1 + np.exp(-np.clip(features @ weights + bias, -30, 30).astype(np.float64)))
+                score = _score(features, weights, bias)
                 weak = 1 - posterior(votes(values), accuracy)
                 ids = batch.column("doc_id").take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(score), pa.array(weak)], ["doc_id", "score", "weak_label"])
@@ -262,3 +266,18 @@ def classify(spark: SparkSession, docs: DataFrame, model: Model | None = None, k
     schema = f"doc_id {doc_id}, score double, weak_label double"
     found = docs.select("doc_id", "text").mapInArrow(scored, schema)
     return found.withColumn("kept", F.col("score") >= keep_from)
+
+
+def keep_good(docs: DataFrame, model: Model | None = None, keep_from: float = KEEP_FROM) -> DataFrame:
+    """The rows of ``docs`` that ``classify`` keeps, all columns as they are; nothing is
+    shuffled."""
+    model = model or train(docs)
+    weights, bias = model.weights, model.bias
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, part in parts(batch.column("text"), NOWHERE, 1_000_000):
+                score = _score(measure(part)[1], weights, bias)
+                yield batch.take(pa.array(rows[score >= keep_from]))
+
+    return docs.mapInArrow(kept, docs.schema)

@@ -15,6 +15,7 @@ from rollbook.llm.quality_rules import apply_rules
 from rollbook.llm.sentence_pieces import encode_and_decode
 from rollbook.llm.tables import table
 from rollbook.llm.token_counts import token_counts
+from rollbook.llm.toxicity import toxicity
 from rollbook.llm.url_filters import judge
 
 # A document with more tokens does not fit one training sequence.
@@ -26,6 +27,10 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(spark, table(spark, folder, "documents"))
 
@@ -40,7 +45,7 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    return classify(spark, table(spark, folder, "documents"))
+    return classify(table(spark, folder, "documents"))
 
 
 def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,6 +67,7 @@ def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
     "op3_near_dedup": op3_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
