@@ -39,10 +39,10 @@ _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MANTISSA_BITS = 10
 _BAND_BYTES = 8  # four registers of 16 bits
-# Star rounds before all candidates in different components are compared.
-_MOST_STARS = 4
-# Pairs left, for each row in a candidate group, at which they are compared at once.
-_PAIRS_A_ROW = 4
+# Rounds before all candidates in different components are compared in any case.
+_MOST_STARS = 3
+# Pairs left to weigh, for each row in a candidate group, at which this is done at once.
+_PAIRS_A_ROW = 256
 
 
 @dataclass(frozen=True)
@@ -214,8 +214,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, likeness: Likeness = L
             F.first("registers").alias("registers"),
         ),
     )
-    links = _links(staged, docs, sets, likeness)
-    labels = _components(staged, "all", links)
+    labels = _labels(staged, docs, sets, likeness)
     named = sets.join(labels, "id", "left").select(
         "set_id", "n", F.coalesce("label", "id").alias("component_id")
     )
@@ -227,44 +226,41 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, likeness: Likeness = L
     )
 
 
-def _links(staged, docs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
-    """Confirmed links (a, b) that join all documents that any confirmed links would join."""
+def _labels(staged, docs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
+    """(id, label): the component of every document that some link joins to another."""
     grouped = _candidate_groups(staged, sets, likeness)
+    ids = staged.table("ids", grouped.select("id").distinct())
     alike = staged.table(
-        "texts",
-        texts(docs).join(grouped.select(F.col("id").alias("doc_id")).distinct(), "doc_id").withColumnRenamed("doc_id", "id"),
+        "texts", texts(docs).join(ids, F.col("doc_id") == F.col("id"), "inner").select("id", "text")
     )
+    live = staged.table("live", _linkable(ids, alike, sets, likeness))
+    rows = staged.table("rows", grouped.join(live, "id").withColumn("label", F.col("id")))
 
     def compare(name: str, pairs: DataFrame) -> DataFrame:
-        possible = staged.table(f"possible_{name}", _possible(pairs, sets, likeness))
-        return staged.table(f"links_{name}", _confirmed(possible, alike, likeness))
+        return staged.table(f"links_{name}", _confirmed(_possible(pairs, sets, likeness), alike, likeness))
 
-    # Every document with the smallest candidate of all its groups.
-    star = grouped.groupBy(F.col("id").alias("a")).agg(F.min("hub").alias("b")).filter("a <> b")
-    tested = staged.table("pairs_0", star)
+    # Every document with the most central candidate of all its groups.
+    star = _star(rows, likeness).groupBy("id").agg(F.min(F.struct("own", "hub")).alias("best"))
+    tested = staged.table("pairs_0", star.select("id", "best.hub").select(*_pair("id", "hub")).distinct())
     links = compare("0", tested)
-    labels = _components(staged, "0", links)
-    apart = staged.table("apart", _open(grouped.select("key", "id"), labels))
-    live = staged.table("live", _linkable(apart, alike, sets, likeness))
-    grouped = staged.table("live_groups", grouped.select("key", "id").join(live, "id"))
     for number in range(1, _MOST_STARS + 1):
-        open_rows = staged.table(f"open_{number}", _open(grouped, labels))
-        rows, rest = open_rows.agg(F.count("*"), F.coalesce(F.sum("others"), F.lit(0))).first()
-        if not rows:
-            return links
-        last = rest <= _PAIRS_A_ROW * rows or number == _MOST_STARS
-        pairs = _across(open_rows, likeness) if last else _star(open_rows, number, likeness)
+        labels = _components(staged, str(number), links)
+        left = staged.table(f"open_{number}", _open(rows.drop("label"), labels))
+        n, rest = left.agg(F.count("*"), F.coalesce(F.sum("others"), F.lit(0))).first()
+        if not n:
+            return labels
+        last = rest <= _PAIRS_A_ROW * n or number == _MOST_STARS
+        pairs = _across(left, likeness) if last else _star(left, likeness).select(*_pair("id", "hub")).distinct()
         fresh = staged.table(f"pairs_{number}", pairs.join(tested, ["a", "b"], "left_anti"))
-        links = links.unionByName(compare(str(number), fresh))
+        found = compare(str(number), fresh)
         if last:
-            return links
-        tested = tested.unionByName(fresh)
-        labels = _components(staged, str(number), links)
-    return links
+            return labels if found.isEmpty() else _components(staged, "all", links.unionByName(found))
+        links, tested = links.unionByName(found), tested.unionByName(fresh)
+    return labels
 
 
 def _candidate_groups(staged, sets: DataFrame, likeness: Likeness) -> DataFrame:
-    """(key, id, n, hub): the documents with an equal band, and the smallest of them."""
+    """(key, id): the documents that have a band equal to another's, by the band."""
     at = F.explode(F.arrays_zip("times", "registers")).alias("level")
     band = F.explode(F.sequence(F.lit(0), F.lit(likeness.bands - 1))).alias("band")
     registers = F.substring(F.col("level.registers"), F.col("band") * _BAND_BYTES + 1, F.lit(_BAND_BYTES))
@@ -274,9 +270,9 @@ def _candidate_groups(staged, sets: DataFrame, likeness: Likeness) -> DataFrame:
         .select(F.xxhash64(registers, "band", "level.times").alias("key"), "id")
     )
     groups = staged.table(
-        "groups", banded.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("hub")).filter("n > 1")
+        "groups", banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     )
-    return staged.table("grouped", join_groups(banded, groups, ["key"], F.col("id"), "inner"))
+    return staged.table("grouped", join_groups(banded, groups, ["key"], F.col("id"), "inner").select("key", "id"))
 
 
 def _open(grouped: DataFrame, labels: DataFrame) -> DataFrame:
@@ -299,13 +295,12 @@ def _open(grouped: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.withColumn("others", others).drop("n")
 
 
-def _linkable(rows: DataFrame, alike: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
-    """(id, size, own): the documents that may be linked with another one of ``rows``.
+def _linkable(ids: DataFrame, alike: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
+    """(id, size, own): the documents that may be linked with another one of ``ids``.
 
-    ``own`` counts a document's shingles that no other document of ``rows`` has. No link
-    has them in common, so too many of them rule out every link of the document.
+    ``own`` counts a document's shingles that no other of these documents has. No link has
+    them in common, so too many of them rule out every link of the document.
     """
-    ids = rows.select("id").distinct()
     size = likeness.shingle_words
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +312,7 @@ def _linkable(rows: DataFrame, alike: DataFrame, sets: DataFrame, likeness: Like
                 yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(owners)), pa.array(hashes)], ["id", "shingle"])
 
     kind = dict(alike.dtypes)["id"]
-    shingles = alike.join(ids, "id").select("id", "text").mapInArrow(listed, f"id {kind}, shingle long")
+    shingles = alike.select("id", "text").mapInArrow(listed, f"id {kind}, shingle long")
     own = (
         shingles.groupBy("shingle")
         .agg(F.min("id").alias("id"), F.max("id").alias("last"))
@@ -340,22 +335,35 @@ def _allowed(a: str, b: str, likeness: Likeness) -> str:
     return f"100 * {common} >= {likeness.percent} * {either}"
 
 
-def _star(rows: DataFrame, number: int, likeness: Likeness) -> DataFrame:
-    """Each document with one drawn from each of its groups, unless they are joined already."""
+def _star(rows: DataFrame, likeness: Likeness) -> DataFrame:
+    """Each document with the most central one of each of its groups, the one with fewest
+    shingles of its own, unless they are joined already: (id, hub, own), own the hub's."""
     drawn = rows.groupBy("key").agg(
-        F.count("*").alias("n"), F.min_by(F.struct("id", "label", "size", "own"), F.xxhash64("id", F.lit(number))).alias("hub")
+        F.count("*").alias("n"), F.min(F.struct("own", "id", "label", "size")).alias("hub")
     )
-    joined = join_groups(rows, drawn, ["key"], F.col("id"), "inner")
+    joined = join_groups(rows, drawn.filter("n > 1"), ["key"], F.col("id"), "inner")
     wanted = joined.filter("label <> hub.label").filter(_allowed("", "hub.", likeness))
-    return wanted.select("id", F.col("hub.id").alias("hub")).select(*_pair("id", "hub")).distinct()
+    return wanted.select("id", F.col("hub.id").alias("hub"), F.col("hub.own").alias("own"))
 
 
 def _across(rows: DataFrame, likeness: Likeness) -> DataFrame:
-    """All pairs of a group in different components: the few outside its largest one with all."""
-    outside = rows.filter("label <> first").select("key", *[F.col(c).alias(f"o_{c}") for c in ("id", "label", "size", "own")])
-    met = outside.join(rows.select("key", "id", "label", "first", "size", "own"), "key")
-    wanted = met.filter("label <> o_label AND (label = first OR id < o_id)").filter(_allowed("", "o_", likeness))
-    return wanted.select(*_pair("o_id", "id")).distinct()
+    """All pairs of a group in different components: the few outside its largest one with all.
+
+    A pair that shares several groups is listed in the one with the smallest key only.
+    """
+    keys = rows.groupBy("id").agg(F.collect_set("key").alias("keys"))  # one a band and level
+    earlier = F.filter("keys", lambda k: k < F.col("key")).alias("earlier")
+    rows = rows.join(keys, "id").select("key", "id", "label", "first", "size", "own", earlier)
+    outside = rows.filter("label <> first").select(
+        "key", *[F.col(c).alias(f"o_{c}") for c in ("id", "label", "size", "own", "earlier")]
+    )
+    met = outside.join(rows, "key")
+    wanted = (
+        met.filter("label <> o_label AND (label = first OR id < o_id)")
+        .filter(_allowed("", "o_", likeness))
+        .filter("NOT arrays_overlap(earlier, o_earlier)")
+    )
+    return wanted.select(*_pair("o_id", "id"))
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
@@ -411,22 +419,18 @@ def _confirmed(pairs: DataFrame, alike: DataFrame, likeness: Likeness) -> DataFr
 
 def _components(staged, name: str, links: DataFrame) -> DataFrame:
     """(id, label): the smallest id that links lead to, for every id in a link."""
-    ways = staged.table(
-        f"ways_{name}",
-        links.select(F.col("a").alias("id"), F.col("b").alias("to")).union(links.select("b", "a")),
-    )
+    ways = links.select(F.col("a").alias("id"), F.col("b").alias("to")).union(links.select("b", "a"))
     labels = staged.table(
         f"labels_{name}_0", ways.groupBy("id").agg(F.min("to").alias("to")).select("id", F.least("id", "to").alias("label"))
     )
     number = 0
     while True:
         number += 1
+        # the smallest label beside each id, and one step further, the label of that label
         beside = labels.select(F.col("id").alias("to"), F.col("label").alias("beside"))
         lowest = ways.join(beside, "to").groupBy("id").agg(F.min("beside").alias("beside"))
         lower = labels.join(lowest, "id").select("id", F.col("label").alias("old"), F.least("label", "beside").alias("label"))
-        lower = staged.table(f"lower_{name}_{number}", lower)
-        # and one step further, to the label of the label
-        jump = lower.select(F.col("id").alias("label"), F.col("label").alias("next"))
+        jump = labels.select(F.col("id").alias("label"), F.col("label").alias("next"))
         labels = staged.table(
             f"labels_{name}_{number}",
             lower.join(jump, "label").select("id", "old", F.least("label", "next").alias("label")),
