@@ -107,9 +107,17 @@ def similar_name_matches(
     named = _side(left, "left").withColumnRenamed("_name", "_left")
     wanted = stage.table(
         "wanted",
-        named.join(similar, ["_bucket", "_left"])
-        .drop("_left")
-        .withColumnRenamed("_right", "_name"),
+        join_pairs(
+            named,
+            similar,
+            keys=["_bucket", "_left"],
+            left_id="left_employee_id",
+            right_id="_right",
+            condition="true",
+            cell_rows=cell_rows,
+        )
+        .withColumnRenamed("_right", "_name")
+        .select("_name", "_bucket", "_score", *[c for c in named.columns if c[0] != "_"]),
     )
     band = f"INTERVAL '{int(max_gap_days)}' DAY"
     pairs = join_pairs(
@@ -150,6 +158,7 @@ def similar_names(
     right_names = stage.table(
         "right_names", right.selectExpr("_bucket AS _other_bucket", "_name AS _right")
     )
+    # Keys are many times the names, so they are worked out once: the join counts them first.
     left_keys = _with_pieces(left_names, "_left", rule, _probes(rule)).selectExpr(
         "_bucket",
         "_left",
@@ -161,6 +170,8 @@ def similar_names(
         "xxhash64(_other_bucket, length(_right), _other, _p, substr(_right, _from, _size)) "
         "AS _piece",
     )
+    left_keys = stage.table("left_keys", left_keys)
+    right_keys = stage.table("right_keys", right_keys)
     # Levenshtein distance counts a substitution once where Indel distance counts it
     # twice, so it never exceeds it; Spark stops counting at the budget and returns -1
     budget = rule.budget("length(_left)", "length(_right)")
@@ -170,7 +181,7 @@ def similar_names(
         keys=["_piece"],
         left_id="_left",
         right_id="_right",
-        condition=f"_bucket = _other_bucket AND levenshtein(_left, _right, {budget}) >= 0",
+        condition=f"_bucket - _other_bucket = 0 AND levenshtein(_left, _right, {budget}) >= 0",
         cell_rows=cell_rows,
     )
     total = "length(_left) + length(_right)"

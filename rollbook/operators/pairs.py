@@ -4,8 +4,9 @@ The pairs of one key grow with the product of its rows on the two sides, so a ke
 be too much for one task long before its rows look large: adaptive skew handling, which
 weighs bytes, does not see it. Such a key's pairs are laid out as a grid. Left rows are
 dealt to grid rows and sent to every cell of their row, right rows to columns and every
-cell of their column; each pair meets in exactly one cell, and cells are separate join
-keys that run in separate tasks.
+cell of their column; each pair meets in exactly one cell. Cells are separate join keys,
+and they are dealt to a fixed number of tasks, as adaptive execution would put cells of
+few bytes together again, however many pairs they make.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# Rows of either side per grid cell, and how many keys get a grid. The latter bounds the
-# broadcast table; the keys that get one are those with the most pairs.
-CELL_ROWS = 20_000
-GRID_KEYS = 1000
+# Rows of either side per grid cell: a cell has at most its square of pairs, four million.
+CELL_ROWS = 2_000
+# Tasks for each partition that the session's shuffles have.
+TASKS_A_PARTITION = 4
 
 
 def join_pairs(
@@ -28,13 +29,14 @@ def join_pairs(
     right_id: str,
     condition: str,
     cell_rows: int = CELL_ROWS,
-    grid_keys: int = GRID_KEYS,
 ) -> DataFrame:
     """``left`` and ``right`` joined on the equally named ``keys`` and ``condition``.
 
     ``left_id`` and ``right_id`` are SQL expressions that tell rows of one key apart;
     they deal the rows to the grid, and being computed from the row itself they deal
     them alike in every retry. All keys take part; the grid only splits the large ones.
+    ``condition`` must not equate a left and a right column: Spark would take these for
+    further keys and shuffle once more; write ``x - y = 0``.
     """
     sizes = (
         left.selectExpr(*keys, "1L AS _l", "0L AS _r")
@@ -42,16 +44,13 @@ def join_pairs(
         .groupBy(*keys)
         .agg(F.expr("sum(_l) AS _l"), F.expr("sum(_r) AS _r"))
     )
-    # products as doubles: they only rank the keys, and the keys break ties
-    large = (
-        sizes.filter(f"_l > 0 AND _r > 0 AND greatest(_l, _r) > {cell_rows}")
-        .orderBy(F.expr("CAST(_l AS DOUBLE) * _r DESC"), *keys)
-        .limit(grid_keys)
-        .selectExpr(
-            *[f"{k} AS _grid_{k}" for k in keys],
-            f"CAST(ceil(_l / {cell_rows}) AS INT) AS _rows",
-            f"CAST(ceil(_r / {cell_rows}) AS INT) AS _columns",
-        )
+    # Every key whose pairs exceed a cell gets a grid. Such keys have two cells' edges of
+    # rows or more, so their table is that much shorter than the inputs; whether it is
+    # small enough to broadcast is for Spark to measure.
+    large = sizes.filter(f"CAST(_l AS DOUBLE) * _r > {cell_rows}D * {cell_rows}").selectExpr(
+        *[f"{k} AS _grid_{k}" for k in keys],
+        f"CAST(ceil(_l / {cell_rows}) AS INT) AS _rows",
+        f"CAST(ceil(_r / {cell_rows}) AS INT) AS _columns",
     )
     cells = ["_row", "_column"]
     left = _dealt(left, large, keys, own="_row", dealt_by=left_id, others="_column")
@@ -60,6 +59,10 @@ def join_pairs(
         *[f"{c} AS _right_{c}" if c in (*keys, *cells) else c for c in right.columns]
     )
     same = " AND ".join(f"{c} = _right_{c}" for c in (*keys, *cells))
+    spark = left.sparkSession
+    tasks = TASKS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left = left.repartition(tasks, *keys, *cells)
+    right = right.repartition(tasks, *[f"_right_{c}" for c in (*keys, *cells)])
     joined = left.join(right, F.expr(f"{same} AND ({condition})"))
     return joined.drop(*cells, *[f"_right_{c}" for c in (*keys, *cells)])
 
@@ -70,8 +73,8 @@ def _dealt(
     """Rows of large keys get their own grid line and are sent along all others."""
     counts = {"_row": "coalesce(_rows, 1)", "_column": "coalesce(_columns, 1)"}
     found = F.expr(" AND ".join(f"{k} = _grid_{k}" for k in keys))
-    return side.join(F.broadcast(large), found, "left").selectExpr(
+    return side.join(large, found, "left").selectExpr(
         *side.columns,
-        f"pmod(xxhash64({dealt_by}), {counts[own]}) AS {own}",
+        f"CAST(pmod(xxhash64({dealt_by}), {counts[own]}) AS INT) AS {own}",
         f"explode(sequence(0, {counts[others]} - 1)) AS {others}",
     )

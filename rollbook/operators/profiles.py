@@ -11,8 +11,6 @@ from rollbook.staging import Stage
 
 # Cells per refinement step when an exact quantile is located.
 QUANTILE_CELLS = 65_536
-# Employment types are a handful of categories; more than this is not cleaned data.
-MAX_TYPES = 1000
 
 
 def headcount_by_department(golden: DataFrame) -> DataFrame:
@@ -48,18 +46,20 @@ def salary_box(golden: DataFrame) -> DataFrame:
 
     Salaries are whole cents, so rows first shrink to one per (type, cents), which is
     staged because it is read several times. Each rank a quartile needs is then located
-    by narrowing a range of cents twice, with at most QUANTILE_CELLS cells per type in
-    each step: no type's salaries are ever gathered or sorted in one place, as the
-    built-in exact percentile would. The ranks, six per type at most, are what steps
-    hand on and broadcast; the number of types is checked.
+    by narrowing a range of cents until one value is left, with at most QUANTILE_CELLS
+    cells per rank in each step: no type's salaries are ever gathered or sorted in one
+    place, as the built-in exact percentile would. The ranks, six per type at most, stay
+    tables, joined by type, however many types there are. Amounts of 10^28 or more are
+    no salaries and left out.
     """
-    salaries = Stage(golden.sparkSession).table(
+    stage = Stage(golden.sparkSession)
+    salaries = stage.table(
         "salaries",
-        golden.filter("salary_usd_annual IS NOT NULL AND employment_type IS NOT NULL")
-        .groupBy(
-            "employment_type",
-            F.expr("CAST(CAST(salary_usd_annual AS DECIMAL(28, 2)) * 100 AS BIGINT) AS _cents"),
+        golden.selectExpr(
+            "employment_type", "try_cast(salary_usd_annual AS DECIMAL(30, 2)) AS _salary"
         )
+        .filter("_salary IS NOT NULL AND employment_type IS NOT NULL")
+        .groupBy("employment_type", F.expr(f"CAST(_salary * 100 AS {_WHOLE}) AS _cents"))
         .agg(F.expr("count(*) AS _n")),
     )
     spread = salaries.groupBy("employment_type").agg(
@@ -67,17 +67,17 @@ def salary_box(golden: DataFrame) -> DataFrame:
         F.expr("min(_cents) AS _low"),
         F.expr("max(_cents) AS _high"),
     )
-    spread = _settled(spread, MAX_TYPES)
+    spread = stage.table("spread", spread)
 
     # quarter cents keep the interpolated quartiles and the fences whole numbers
-    fenced = _quartiles(salaries, spread).selectExpr(
+    fenced = _quartiles(salaries, spread, stage).selectExpr(
         "*",
         "2 * _q1 - 3 * (_q3 - _q1) AS _floor",
         "2 * _q3 + 3 * (_q3 - _q1) AS _ceiling",
     )
     inside = "8 * _cents BETWEEN _floor AND _ceiling"
     box = (
-        salaries.join(F.broadcast(fenced), "employment_type")
+        salaries.join(fenced, "employment_type")
         .groupBy("employment_type", "employee_count", "_q1", "_q2", "_q3")
         .agg(
             F.expr(f"min(4 * _cents) FILTER (WHERE {inside}) AS _low"),
@@ -88,25 +88,21 @@ def salary_box(golden: DataFrame) -> DataFrame:
     return box.selectExpr(
         "employment_type",
         "employee_count",
-        "_q1 / 400 AS q1",
-        "_q2 / 400 AS median",
-        "_q3 / 400 AS q3",
+        "CAST(_q1 AS DOUBLE) / 400 AS q1",
+        "CAST(_q2 AS DOUBLE) / 400 AS median",
+        "CAST(_q3 AS DOUBLE) / 400 AS q3",
         # a whisker never ends inside the box
-        "least(_low, _q1) / 400 AS whisker_low",
-        "greatest(_high, _q3) / 400 AS whisker_high",
+        "CAST(least(_low, _q1) AS DOUBLE) / 400 AS whisker_low",
+        "CAST(greatest(_high, _q3) AS DOUBLE) / 400 AS whisker_high",
         "outlier_count",
     ).orderBy("employment_type")
 
 
-def _settled(few: DataFrame, most: int) -> DataFrame:
-    """A table of at most ``most`` rows, computed now, so that later steps only read it."""
-    rows = few.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {MAX_TYPES} employment types")
-    return few.sparkSession.createDataFrame(rows, few.schema)
+# Amounts in cents and their small multiples.
+_WHOLE = "DECIMAL(34, 0)"
 
 
-def _quartiles(salaries: DataFrame, spread: DataFrame) -> DataFrame:
+def _quartiles(salaries: DataFrame, spread: DataFrame, stage: Stage) -> DataFrame:
     """Quartiles in quarter cents, by linear interpolation between neighbouring ranks."""
     position = "_quarter * (employee_count - 1)"
     neighbours = f"{position} div 4, least({position} div 4 + 1, employee_count - 1)"
@@ -116,13 +112,18 @@ def _quartiles(salaries: DataFrame, spread: DataFrame) -> DataFrame:
     ranks = wanted.selectExpr(
         "employment_type", "_rank", "_low", "_high", "0L AS _below"
     ).distinct()
-    for _ in range(2):
-        ranks = _settled(_narrow(salaries, ranks), 6 * MAX_TYPES)
-    value = "4 * min(_cents) + (max(_cents) - min(_cents)) * max(_part)"
+    # each step divides the widest range by the number of cells
+    step = 0
+    while not ranks.filter("_low < _high").isEmpty():
+        step += 1
+        ranks = stage.table(f"ranks_{step}", _narrow(salaries, ranks))
+    value = "4 * min(_low) + (max(_low) - min(_low)) * max(_part)"
+    found = ranks.select("employment_type", "_rank", "_low")
     quartiles = (
-        wanted.join(_pick(salaries, ranks), ["employment_type", "_rank"])
+        wanted.drop("_low", "_high")
+        .join(found, ["employment_type", "_rank"])
         .groupBy("employment_type", "employee_count", "_quarter")
-        .agg(F.expr(f"{value} AS _value"))
+        .agg(F.expr(f"CAST({value} AS {_WHOLE}) AS _value"))
     )
     return quartiles.groupBy("employment_type", "employee_count").agg(
         *[F.expr(f"max(_value) FILTER (WHERE _quarter = {q}) AS _q{q}") for q in (1, 2, 3)]
@@ -132,41 +133,38 @@ def _quartiles(salaries: DataFrame, spread: DataFrame) -> DataFrame:
 _HOLDS_RANK = "_rank - _below < _upto AND _rank - _below >= _upto - _n"
 
 
+def _quotient(dividend: str, divisor: str) -> str:
+    """Whole division of amounts that ``div``, which gives a BIGINT, would not hold."""
+    return f"CAST((({dividend}) - ({dividend}) % {divisor}) / {divisor} AS {_WHOLE})"
+
+
 def _narrow(salaries: DataFrame, ranks: DataFrame) -> DataFrame:
     """Shrink each rank's range of cents to the one cell of it that holds the rank."""
     span = ["employment_type", "_low", "_high"]
-    width = f"((_high - _low + {QUANTILE_CELLS}) div {QUANTILE_CELLS})"
+    spans = ranks.select(span).distinct().withColumn(
+        "_width", F.expr(_quotient(f"_high - _low + {QUANTILE_CELLS}", str(QUANTILE_CELLS)))
+    )
     cells = (
-        salaries.join(F.broadcast(ranks.select(span).distinct()), "employment_type")
+        salaries.join(spans, "employment_type")
         .filter("_cents BETWEEN _low AND _high")
-        .groupBy(*span, F.expr(f"(_cents - _low) div {width} AS _cell"))
+        .groupBy(*span, "_width", F.expr(f"{_quotient('_cents - _low', '_width')} AS _cell"))
         .agg(F.expr("sum(_n) AS _n"))
     )
     upward = Window.partitionBy(span).orderBy("_cell")
     return (
         cells.withColumn("_upto", F.sum("_n").over(upward))
-        .join(F.broadcast(ranks), span)
+        .join(ranks, span)
         .filter(_HOLDS_RANK)
         .selectExpr(
             "employment_type",
             "_rank",
-            f"_low + _cell * {width} AS _low",
-            f"least(_high, _low + (_cell + 1) * {width} - 1) AS _high",
+            f"CAST(_low + _cell * _width AS {_WHOLE}) AS _low",
+            f"CAST(least(_high, _low + (_cell + 1) * _width - 1) AS {_WHOLE}) AS _high",
             "_below + _upto - _n AS _below",
         )
     )
 
 
-def _pick(salaries: DataFrame, ranks: DataFrame) -> DataFrame:
-    """The value at each rank; two narrowings leave few distinct values to order."""
-    near = salaries.join(F.broadcast(ranks), "employment_type").filter(
-        "_cents BETWEEN _low AND _high"
-    )
-    upward = Window.partitionBy("employment_type", "_rank").orderBy("_cents")
-    picked = near.withColumn("_upto", F.sum("_n").over(upward)).filter(_HOLDS_RANK)
-    return picked.select("employment_type", "_rank", "_cents")
-
-
 def tenure_histogram(
     golden: DataFrame, as_of: dt.date | None = None, bins: int = 30
 ) -> DataFrame:

@@ -104,6 +104,15 @@ def run(
     mapping = readers.read_department_mapping(spark, mapping_path)
     combined = stage.table("combined", combine(raw, mapping, settings))
     golden = stage.table("golden", identity.golden_records(combined))
+    identity.assert_unique(golden, "employee_id", "golden table")
+    sinks.write_review(
+        readers.malformed_records(spark, sources), outputs.report("malformed_records.csv")
+    )
+    if mapping is not None:
+        sinks.write_review(
+            clean.unmapped_departments(clean.combine_sources(align.align_sources(raw)), mapping),
+            outputs.report("unmapped_departments.csv"),
+        )
 
     validator = quality.Validator(settings=settings)
     report = stage.table("report", validator.run(golden).coalesce(1))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -73,14 +74,30 @@ MISSING_TEXTS = (
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """Where a feed lies and how it is stored: csv, json, json_lines, xml or parquet."""
+    """Where a feed lies and how it is stored: csv, json, json_lines, xml or parquet.
+
+    ``multi_line``: CSV values may contain line breaks; a file is then one unit of work.
+    """
 
     path: str
     format: str
+    multi_line: bool = False
+
 
+# The formats of each feed that its reader knows.
+FORMATS = {
+    "globaltech_hris": ("csv",),
+    "acquiredco_hris": ("json", "json_lines"),
+    "payroll": ("csv", "parquet"),
+    "benefits": ("xml",),
+}
+_MALFORMED = "_malformed"
 
-def read_csv_identity(spark: SparkSession, path: str, name: str = "globaltech_hris") -> DataFrame:
-    return _stamp(_read_csv(spark, path, CSV_IDENTITY_SCHEMA), name)
+
+def read_csv_identity(
+    spark: SparkSession, path: str, name: str = "globaltech_hris", multi_line: bool = False
+) -> DataFrame:
+    return _stamp(_read_csv(spark, path, CSV_IDENTITY_SCHEMA, multi_line), name)
 
 
 def read_json_identity(
@@ -90,16 +107,10 @@ def read_json_identity(
 
     One document per file, or one per line (``lines=True``; a line may also be a single
     record). A document is one unit of work, so a large export should come as lines,
-    which Spark splits, or as a folder of pages. A malformed document gives no rows.
+    which Spark splits, or as a folder of pages. A malformed document gives no rows;
+    ``malformed_records`` lists it.
     """
-    document = T.StructType(
-        [T.StructField("employees", T.ArrayType(JSON_IDENTITY_SCHEMA))]
-        + JSON_IDENTITY_SCHEMA.fields
-        + [T.StructField("_malformed", T.StringType())]
-    )
-    loaded = _load(
-        spark, document, "json", path, multiLine=not lines, columnNameOfCorruptRecord="_malformed"
-    )
+    loaded = _load_documents(spark, path, lines)
     fields = [F.col(f.name) for f in JSON_IDENTITY_SCHEMA]
     filled = F.coalesce(*[F.when(c.isNotNull(), F.lit(True)) for c in fields])
     records = F.when(F.col("employees").isNotNull(), F.col("employees")).when(
@@ -108,12 +119,49 @@ def read_json_identity(
     return _stamp(loaded.select(F.inline(records)), name)
 
 
+def _load_documents(spark: SparkSession, path: str, lines: bool) -> DataFrame:
+    document = T.StructType(
+        [T.StructField("employees", T.ArrayType(JSON_IDENTITY_SCHEMA))]
+        + JSON_IDENTITY_SCHEMA.fields
+        + [T.StructField(_MALFORMED, T.StringType())]
+    )
+    return _load(
+        spark, document, "json", path, multiLine=not lines, columnNameOfCorruptRecord=_MALFORMED
+    )
+
+
+def malformed_records(spark: SparkSession, sources: Mapping[str, SourceSpec]) -> DataFrame:
+    """(source_system, record): the JSON and XML records that could not be read, as text."""
+    found = spark.createDataFrame([], "source_system string, record string")
+    for name, spec in sources.items():
+        if spec.format in ("json", "json_lines"):
+            loaded = _load_documents(spark, spec.path, spec.format == "json_lines")
+            field = "employee_identifier"
+        elif spec.format == "xml":
+            schema = T.StructType([*BENEFITS_SCHEMA.fields, T.StructField(_MALFORMED, T.StringType())])
+            loaded = _load(
+                spark, schema, "xml", spec.path, rowTag="enrollment", columnNameOfCorruptRecord=_MALFORMED
+            )
+            field = "employee_id"
+        else:
+            continue
+        # Spark parses records only if it is asked for a field of theirs too: no part of one
+        record = F.concat(F.col(_MALFORMED), F.substring(F.coalesce(field, F.lit("")), 1, 0))
+        broken = loaded.select(F.lit(name).alias("source_system"), record.alias("record"))
+        found = found.unionByName(broken.filter("record IS NOT NULL"))
+    return found
+
+
 def read_payroll(
-    spark: SparkSession, path: str, format: str = "csv", name: str = "payroll"
+    spark: SparkSession,
+    path: str,
+    format: str = "csv",
+    name: str = "payroll",
+    multi_line: bool = False,
 ) -> DataFrame:
     """The payroll table, landed as CSV or Parquet with the same columns."""
     if format == "csv":
-        return _stamp(_read_csv(spark, path, PAYROLL_SCHEMA), name)
+        return _stamp(_read_csv(spark, path, PAYROLL_SCHEMA, multi_line), name)
     try:
         stored = spark.read.format(format).load(path)
     except AnalysisException as error:
@@ -146,16 +194,23 @@ def read_department_mapping(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_sources(spark: SparkSession, sources: Mapping[str, SourceSpec]) -> dict[str, DataFrame]:
-    """Read every configured feed; names without a reader are reported and left out."""
+    """Read every configured feed; names without a reader are reported and left out.
+
+    A format that a feed's reader does not know is an error, not a guess.
+    """
     frames = {}
     for name, spec in sources.items():
+        if name in FORMATS and spec.format not in FORMATS[name]:
+            raise ValueError(f"{name}: format {spec.format!r} is none of {FORMATS[name]}")
         if name == "globaltech_hris":
-            frames[name] = read_csv_identity(spark, spec.path)
+            frames[name] = read_csv_identity(spark, spec.path, multi_line=spec.multi_line)
         elif name == "acquiredco_hris":
             lines = spec.format == "json_lines"
             frames[name] = read_json_identity(spark, spec.path, lines=lines)
         elif name == "payroll":
-            frames[name] = read_payroll(spark, spec.path, spec.format)
+            frames[name] = read_payroll(
+                spark, spec.path, spec.format, multi_line=spec.multi_line
+            )
         elif name == "benefits":
             frames[name] = read_benefits(spark, spec.path)
         else:
@@ -167,12 +222,44 @@ def _stamp(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn("source_system", F.lit(name))
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Columns are found by header name, in whatever order the file has them."""
+def _read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
+    """Columns are found by header name, in whatever order each file has them.
+
+    The files of a folder may have different headers: those with the same one are read
+    together, and each header by itself.
+    """
+    options = {"header": True, "encoding": "UTF-8", "escape": '"', "multiLine": multi_line}
     try:
-        stored = spark.read.options(header=True, encoding="UTF-8", escape='"').csv(path)
+        first = spark.read.options(**options).csv(path)
     except AnalysisException as error:
         return _empty(spark, schema, path, error)
+    frames = [
+        _by_header(spark.read.options(**options).csv(files), schema)
+        for files in _files_by_header(first, spark, path)
+    ]
+    frames = frames or [_by_header(first, schema)]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _files_by_header(first: DataFrame, spark: SparkSession, path: str) -> list[list[str]]:
+    """The files below a path, those with the same first line together.
+
+    A list of the files, and one line of each, come to the driver: as much as Spark's own
+    listing of the folder brings there.
+    """
+    if len(first.inputFiles()) < 2:
+        return []
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    heads = lines.filter("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("head"))
+    files: dict[str, list[str]] = {}
+    for row in heads.collect():
+        files.setdefault(row["head"], []).append(row["file_path"])
+    return [sorted(files[head]) for head in sorted(files)]
+
+
+def _by_header(stored: DataFrame, schema: T.StructType) -> DataFrame:
     return stored.select(
         [
             _present(F.col(f"`{f.name}`")).alias(f.name)

@@ -2,9 +2,11 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from test_functions import score
 
 from rollbook.operators import export, matching
+from rollbook.operators.pairs import join_pairs
 from rollbook.staging import Stage
 
 SCHEMA = (
@@ -144,6 +146,26 @@ def test_one_name_for_a_third_of_all_rows(spark):
     assert jo.select("left_employee_id", "right_employee_id").distinct().count() == 30 * 30
 
 
+def test_a_name_common_on_both_sides_is_spread_over_tasks(spark):
+    """At the defaults, without help from a broadcast: no task gets most of the pairs."""
+    n = 10_000
+    side = spark.range(n).selectExpr("CAST(id div 100000 AS STRING) AS k", "id", "id % 7 AS x")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_pairs(
+            side.withColumnRenamed("x", "a").withColumnRenamed("id", "left_id"),
+            side.withColumnRenamed("x", "b").withColumnRenamed("id", "right_id"),
+            ["k"], "left_id", "right_id", "a - b = 0 AND left_id % 50 = 0",
+        )
+        tasks = joined.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    found = sorted(r["count"] for r in tasks)
+    assert sum(found) == sum(len(range(i % 7, n, 7)) for i in range(0, n, 50))
+    assert len(found) >= 6 and found[-1] <= sum(found) / 2
+
+
 def test_probable_matches_keep_one_row_per_pair(spark):
     rows = [
         ("A-1", "AcquiredCo", "Ann Lee", "a@x", DAY),

@@ -42,6 +42,16 @@ def test_salary_box_against_numpy(spark, monkeypatch, cells):
         assert (row["employee_count"], row["outlier_count"]) == (len(x), len(x) - len(inside))
 
 
+def test_salary_box_of_many_types_and_large_amounts(spark):
+    groups = {f"type {i}": [i, i + 1.5, i + 4] for i in range(1200)}
+    groups["large"] = [50_000, 60_000, 70_000, 2e16, 1e17]
+    found = {r["employment_type"]: r for r in profiles.salary_box(salaries_table(spark, groups)).collect()}
+    assert len(found) == 1201
+    assert (found["type 7"]["q1"], found["type 7"]["median"]) == (7.75, 8.5)
+    assert (found["large"]["median"], found["large"]["q3"]) == (70_000, 2e16)
+    assert found["large"]["outlier_count"] == 1
+
+
 def test_tenure_histogram_against_numpy(spark):
     rng = random.Random(4)
     dates = [

@@ -142,3 +142,34 @@ def test_alignment_of_nested_records(spark, tmp_path):
     assert row["employee_id"] == row["source_employee_id"] == "ACQ_00007"
     assert (row["company_origin"], row["full_name"], row["country"]) == ("AcquiredCo", "Ann Lee", "UK")
     assert row["jurisdiction"] is None
+
+
+def test_csv_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("employee_id,first_name,last_name\n1,Ann,Lee\n")
+    (tmp_path / "b.csv").write_text("first_name,employee_id,last_name\nBob,2,Ray\n")
+    (tmp_path / "c.csv").write_text("employee_id,first_name,last_name\n3,Cy,Fox\n")
+    found = readers.read_csv_identity(spark, str(tmp_path)).select("employee_id", "first_name", "last_name")
+    assert sorted(tuple(r) for r in found.collect()) == [("1", "Ann", "Lee"), ("2", "Bob", "Ray"), ("3", "Cy", "Fox")]
+
+
+def test_csv_values_with_line_breaks(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('employee_id,first_name,last_name\n1,"Ann\nMarie",Lee\n')
+    spec = readers.SourceSpec(str(path), "csv", multi_line=True)
+    rows = readers.load_sources(spark, {"globaltech_hris": spec})["globaltech_hris"].collect()
+    assert [(r["employee_id"], r["first_name"], r["last_name"]) for r in rows] == [("1", "Ann\nMarie", "Lee")]
+
+
+def test_unknown_formats_are_refused(spark):
+    with pytest.raises(ValueError, match="parquet"):
+        readers.load_sources(spark, {"globaltech_hris": readers.SourceSpec("x", "parquet")})
+
+
+def test_malformed_json_lines_are_listed(spark, tmp_path):
+    path = tmp_path / "a.json"
+    path.write_text('{"employee_identifier": "1"}\n{"employee_identifier": \n{"employee_identifier": "3"}\n')
+    sources = {"acquiredco_hris": readers.SourceSpec(str(path), "json_lines")}
+    rows = readers.load_sources(spark, sources)["acquiredco_hris"].collect()
+    assert [r["employee_identifier"] for r in rows] == ["1", "3"]
+    rejected = readers.malformed_records(spark, sources).collect()
+    assert [tuple(r) for r in rejected] == [("acquiredco_hris", '{"employee_identifier": ')]
