@@ -185,7 +185,8 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
     parts_in = 1_000_000
     wanted = min(parts_in, int(most_labelled * parts_in / max(1, size)))
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(parts_in)) < wanted)
-    sample = docs.select("doc_id", "text").join(drawn, "doc_id")
+    # the draw bounds the ids, so they go to the documents, not the documents to them
+    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = CharacterModel(triples)
