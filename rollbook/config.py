@@ -66,7 +66,7 @@ class Settings:
     pay_periods: dict[str, int] = field(default_factory=lambda: dict(PAY_PERIODS))
     employment_types: dict[str, str] = field(default_factory=lambda: dict(EMPLOYMENT_TYPES))
     date_layouts: tuple[tuple[str, str], ...] = DATE_LAYOUTS
-    similarity_threshold: int = 88
+    similarity_threshold: float = 88
     max_hire_date_gap_days: int = 30
     max_failed_checks: int = 2
 

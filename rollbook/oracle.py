@@ -384,7 +384,26 @@ _SEG = "(upper(c_mktsegment[1]) || lower(c_mktsegment[2:]))"
 _MESSY_LAST = f"case c_custkey % 3 when 0 then null when 1 then {_SEG} else 'X_' || {_SEG} end"
 
 
+# Files hold the rows of the query they are written from.
+_READ_BACK = {
+    "q_sink_duplicate_emails": "q_duplicate_emails",
+    "q_sink_duplicate_hris": "q_hris_duplicate_review",
+    "q_sink_matches": "q_match_export",
+    "q_sink_salary_failures": "q_salary_failures",
+    "q_sink_report": "q_validation_report",
+}
+
+
 def statements() -> dict[str, str]:
+    found = _statements()
+    found |= {name: found[source] for name, source in _READ_BACK.items()}
+    found["q_gate_failures"] = (
+        f'select "check", failed from ({found["q_validation_report"]}) where status = \'FAIL\''
+    )
+    return found
+
+
+def _statements() -> dict[str, str]:
     plain_id = "lpad(cast({} as varchar), 6, '0')"
     return {
         "q_align_hris": _final("aligned_hris", f"select {_C} from aligned_hris"),

@@ -39,8 +39,10 @@ def _aligned(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     return clean.combine_sources(align.align_sources(raw))
 
 
-def _golden(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identity.golden_records(fixtures.combined(spark, sf_dir))
+def _golden(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """The golden table; of ``names`` alone where only their columns are wanted. The
+    identity feeds decide on its rows."""
+    return identity.golden_records(fixtures.combined(spark, sf_dir, *names))
 
 
 def _staged(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
@@ -303,27 +305,27 @@ def unique_failures(spark, sf_dir):
 
 @query
 def headcount_department(spark, sf_dir):
-    return profiles.headcount_by_department(_golden(spark, sf_dir))
+    return profiles.headcount_by_department(_golden(spark, sf_dir, *IDENTITY_SOURCES))
 
 
 @query
 def headcount_country_top15(spark, sf_dir):
-    return profiles.headcount_by_country(_golden(spark, sf_dir))
+    return profiles.headcount_by_country(_golden(spark, sf_dir, *IDENTITY_SOURCES))
 
 
 @query
 def salary_box(spark, sf_dir):
-    return profiles.salary_box(_golden(spark, sf_dir))
+    return profiles.salary_box(_golden(spark, sf_dir, *IDENTITY_SOURCES, "payroll"))
 
 
 @query
 def tenure_histogram(spark, sf_dir):
-    return profiles.tenure_histogram(_golden(spark, sf_dir), AS_OF)
+    return profiles.tenure_histogram(_golden(spark, sf_dir, *IDENTITY_SOURCES), AS_OF)
 
 
 @query
 def benefits_rate(spark, sf_dir):
-    return profiles.benefits_rate_by_department(_golden(spark, sf_dir))
+    return profiles.benefits_rate_by_department(_golden(spark, sf_dir, *IDENTITY_SOURCES, "benefits"))
 
 
 @query
@@ -397,3 +399,47 @@ def sink_review(spark, sf_dir):
     return review.select(
         "employee_id", "source_employee_id", "company_origin", "source_system", "salary_original"
     )
+
+
+def _read_back(spark: SparkSession, name: str, table: DataFrame, *order_by: str) -> DataFrame:
+    """A review table as its file gives it, every column of it."""
+    path = Stage(spark).path(name)
+    sinks.write_review(table, path, order_by)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return spark.read.schema(table.schema).options(header=True, escape='"', **blanks).csv(path)
+
+
+@query
+def sink_duplicate_emails(spark, sf_dir):
+    table = REGISTRY["q_duplicate_emails"](spark, sf_dir)
+    return _read_back(spark, "duplicate_email_records.csv", table, "email", "employee_id")
+
+
+@query
+def sink_duplicate_hris(spark, sf_dir):
+    table = REGISTRY["q_hris_duplicate_review"](spark, sf_dir)
+    return _read_back(spark, "duplicate_hris_records.csv", table)
+
+
+@query
+def sink_matches(spark, sf_dir):
+    table = REGISTRY["q_match_export"](spark, sf_dir)
+    return _read_back(spark, "probable_match_review.csv", table, "record_1_id", "record_2_id")
+
+
+@query
+def sink_salary_failures(spark, sf_dir):
+    table = REGISTRY["q_salary_failures"](spark, sf_dir)
+    return _read_back(spark, "salary_usd_annual_range_failures.csv", table)
+
+
+@query
+def sink_report(spark, sf_dir):
+    table = _report(spark, sf_dir).coalesce(1)
+    return _read_back(spark, "data_quality_validation_report.csv", table)
+
+
+@query
+def gate_failures(spark, sf_dir):
+    """The rules that the gate counts against a run."""
+    return _report(spark, sf_dir).filter("status = 'FAIL'").select("check", "failed")
