@@ -43,8 +43,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and their places in sequences."""
-    return pack(spark, docs)
+    """The pieces of the documents and their places in sequences.
+
+    Executors still hold memory of the earlier stages, so encoders remember fewer words.
+    """
+    return pack(spark, docs, remembered=200_000)
 
 
 STAGES = [

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 
 from rollbook.llm.tables import stage
-from rollbook.llm.token_counts import TOKENIZER, unit_encoder
+from rollbook.llm.token_counts import MOST_UNITS, TOKENIZER, unit_encoder
 from rollbook.llm.words import parts, ranges, split_white
 
 CAPACITY = 2048
@@ -131,7 +131,13 @@ def _best_fit(left: dict[int, int], capacity: int) -> list[Pattern]:
     return done + [p for patterns in open_by_gap.values() for p in patterns]
 
 
-def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(
+    docs: DataFrame,
+    tokenizer: str = TOKENIZER,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    remembered: int = MOST_UNITS,
+) -> DataFrame:
     """The documents' pieces: doc_id, piece, start, length, ids_crc32.
 
     A document is its token ids and then ``end_id``; one that is longer than ``capacity``
@@ -142,7 +148,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY
     step = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = unit_encoder(tokenizer)
+        encode = unit_encoder(tokenizer, remembered)
         for batch in batches:
             ids = batch.column("doc_id")
             open_row, held = -1, bytearray()  # a text that comes in several parts
@@ -205,6 +211,7 @@ def pack(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     ranked_rows: int = RANKED_ROWS,
+    remembered: int = MOST_UNITS,
 ) -> DataFrame:
     """One row per piece: those of ``pieces``, sequence_id, offset.
 
@@ -213,7 +220,7 @@ def pack(
     Other columns of ``docs`` are not read; an empty table gives an empty result.
     """
     staged = stage(spark)
-    found = staged.table("pieces", pieces(docs, tokenizer, capacity, end_id))
+    found = staged.table("pieces", pieces(docs, tokenizer, capacity, end_id, remembered))
     # as many parts as a shuffle has, so that a common length is not one task's work
     shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_parts = max(shuffled, -(-found.count() // ranked_rows))

@@ -22,8 +22,8 @@ from rollbook.llm.words import Memo, parts, per_worker, split_white
 
 TOKENIZER = "word_bpe_49k.json"
 
-# How many a worker remembers, about 200 bytes each.
-MOST_WORDS, MOST_UNITS = 300_000, 800_000
+# How many units a worker remembers, about 200 bytes each.
+MOST_UNITS = 800_000
 
 # Where a word may be cut: after a run of Latin letters, before ASCII punctuation or a
 # digit. The tokenizer's pattern takes letters on their own, and no character combines
@@ -44,15 +44,16 @@ def load_tokenizer(name: str = TOKENIZER):
     return Tokenizer.from_file(public_tokenizers.path(name))
 
 
-def unit_encoder(name: str = TOKENIZER) -> Callable[[list[str]], list[bytes]]:
+def unit_encoder(name: str = TOKENIZER, remembered: int = MOST_UNITS) -> Callable[[list[str]], list[bytes]]:
     """Encodes white-space-free words: the ids of each as little-endian unsigned 32-bit.
 
-    One encoder serves all tasks of a worker process.
+    One encoder serves all tasks of a worker process. It remembers ``remembered`` units at
+    most, and three words for every eight units.
     """
-    return per_worker(f"encoder {name}", lambda: _unit_encoder(name))
+    return per_worker(f"encoder {name} {remembered}", lambda: _unit_encoder(name, remembered))
 
 
-def _unit_encoder(name: str) -> Callable[[list[str]], list[bytes]]:
+def _unit_encoder(name: str, remembered: int) -> Callable[[list[str]], list[bytes]]:
     tokenizer = load_tokenizer(name)
 
     def encode(units: list[str]) -> list[bytes]:
@@ -64,14 +65,14 @@ def _unit_encoder(name: str) -> Callable[[list[str]], list[bytes]]:
     for probe in _PROBES:
         if b"".join(encode([u for w in probe.split(" ") for u in _UNITS.findall(w)])) != encode([probe])[0]:
             raise ValueError(f"{name} encodes words together; it cannot be used here")
-    units = Memo(encode, MOST_UNITS)
+    units = Memo(encode, remembered)
 
     def words(batch: list[str]) -> list[bytes]:
         cut = [_UNITS.findall(word) for word in batch]
         ids = iter(units([unit for word in cut for unit in word]))
         return [b"".join([next(ids) for _ in word]) for word in cut]
 
-    return Memo(words, MOST_WORDS)
+    return Memo(words, 3 * remembered // 8)
 
 
 def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:

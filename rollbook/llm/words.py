@@ -80,6 +80,8 @@ def parts(texts: pa.Array, at: re.Pattern = _WHITE, part_bytes: int = PART_BYTES
         held += size
     if rows:
         yield np.array(rows), texts.take(pa.array(rows))
+    # workers live on from stage to stage: what one needed is not kept from the next
+    pa.default_memory_pool().release_unused()
 
 
 def _pieces(text: str, at: re.Pattern, length: int) -> Iterator[str]:
