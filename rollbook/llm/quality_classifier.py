@@ -43,7 +43,7 @@ _USUAL = (
 N_HEURISTICS = len(MEASURES) + len(_USUAL)
 
 # Documents on whose weak labels the scorer is fitted, at most about so many.
-MOST_FITTED = 20_000
+MOST_FITTED = 10_000
 BUCKETS = 1024
 KEEP_FROM = 0.3
 _STEPS = 200
@@ -232,8 +232,10 @@ def train(docs: DataFrame, most_fitted: int = MOST_FITTED) -> Model:
     found.sort(key=lambda r: (r["features"], r["good"]))
     if not found:
         return Model(share, accuracy, np.zeros(BUCKETS, dtype=np.float32), float(np.log((1 - share) / share)))
+    good = np.array([r["good"] for r in found], dtype=np.float32)
     features = np.frombuffer(b"".join(r["features"] for r in found), dtype="<f2").reshape(len(found), -1)
-    weights, bias = fit_scorer(features.astype(np.float32), np.array([r["good"] for r in found], dtype=np.float32))
+    del found
+    weights, bias = fit_scorer(features.astype(np.float32), good)
     return Model(share, accuracy, weights, bias)
 
 
