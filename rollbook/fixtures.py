@@ -1,6 +1,7 @@
 """Feeds of the right shape derived from the TPC-H-like test tables.
 
-The same SQL text runs in Spark and in DuckDB.
+The same SQL text runs in Spark and in DuckDB. Every customer, supplier and order is in a
+feed; ghosts, and people whose manager does not exist, are rows added with ids of their own.
 """
 
 from __future__ import annotations
@@ -29,15 +30,20 @@ select case when c_custkey % 3 = 0 then cast(c_custkey as string) || '.0' else c
        cast(cast(floor(c_custkey / 10) as bigint) as string) || '.0' as manager_id,
        0 as row_ord
 from customer join part on p_partkey = c_custkey join nation on n_nationkey = c_nationkey
-where c_custkey % 50 <> 49
 union all
 select cast(c_custkey as string), split_part(p_name, ' ', 1),
        split_part(p_name, ' ', 2) || ' ' || cast(c_custkey % 10 as string), cast(null as string),
        cast(null as string), p_type,
        cast(date '1995-01-01' + cast((c_custkey * 37) % 2000 as int) as string),
        cast(null as string), 'FT', cast(null as string), 1
-from customer join part on p_partkey = c_custkey
-where c_custkey % 50 <> 49 and c_custkey % 20 = 0
+from supplier join customer on c_custkey = s_suppkey * 14 + 5 join part on p_partkey = c_custkey
+union all
+select cast(s_suppkey + 8000000000 as string), upper(split_part(p_name, ' ', 1)),
+       split_part(p_name, ' ', 2) || ' ' || cast(s_suppkey % 10 as string), cast(null as string),
+       'HOUSEHOLD', p_type,
+       cast(date '1995-01-01' + cast((s_suppkey * 37) % 2000 as int) as string),
+       n_name, 'FT', cast(s_suppkey + 7000000000 as string), 0
+from supplier join part on p_partkey = s_suppkey * 7 + 3 join nation on n_nationkey = s_nationkey
 """
 
 HRIS_B = """
@@ -64,12 +70,23 @@ from orders
 union all
 select 'ACQ_' || lpad(cast(s_suppkey as string), 5, '0'), 'AcquiredCo',
        cast(cast(s_acctbal as decimal(18,2)) * 10 as string), 'USD', 'annual', '2001-01-01', -1 - s_suppkey
-from supplier where s_suppkey % 3 <> 0
+from supplier
+union all
+select cast(s_suppkey + 9000000000 as string), 'GlobalTech',
+       cast(cast(s_acctbal as decimal(18,2)) * 10 as string), 'USD', 'annual', '2001-01-01', -9000000000 - s_suppkey
+from supplier
+union all
+select 'ACQ_' || cast(s_suppkey + 9000000000 as string), 'AcquiredCo',
+       cast(cast(s_acctbal as decimal(18,2)) * 10 as string), 'USD', 'annual', '2001-01-01', -18000000000 - s_suppkey
+from supplier
 """
 
 BENEFITS = """
 select cast(user_id as string) as employee_id, cast(cast(ts as date) as string) as enrollment_date, event_id as row_ord
 from events where event_type = 'signup'
+union all
+select cast(s_suppkey + 9000000000 as string), '2001-01-01', -1 - s_suppkey
+from supplier
 """
 
 DEPARTMENT_MAPPING = """

@@ -77,3 +77,19 @@ def test_groups_are_shuffled_once(combined):
 def test_name_and_date_bucket_are_the_join_key(golden):
     text = plan(matching.same_name_matches(golden))
     assert "SortMergeJoin [_name" in text
+
+
+def test_feeds_keep_every_customer_supplier_and_order(spark):
+    raw = fixtures.raw_sources(spark, FOLDER, "globaltech_hris", "payroll")
+    ids = {r[0].removesuffix(".0") for r in raw["globaltech_hris"].select("employee_id").collect()}
+    customers = fixtures.table(spark, FOLDER, "customer").select("c_custkey").collect()
+    assert {str(r[0]) for r in customers} <= ids
+    paid = {r[0] for r in raw["payroll"].filter("source = 'AcquiredCo'").select("employee_id").collect()}
+    suppliers = fixtures.table(spark, FOLDER, "supplier").select("s_suppkey").collect()
+    assert {f"ACQ_{r[0]:05d}" for r in suppliers} <= paid
+
+
+def test_ghosts_are_added_rows_of_both_enrichment_feeds(combined):
+    found = identity.ghost_records(combined).select("source_system", "employee_id").collect()
+    assert {r[0] for r in found} == {"payroll", "benefits"}
+    assert all(r[1].split("-")[1].startswith("9000000") for r in found)
