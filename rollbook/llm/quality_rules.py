@@ -1,12 +1,12 @@
 """Quality rules whose cutoffs keep the false rejections of good documents below a bound.
 
 Each rule rejects documents in which a share, such as symbols per word, exceeds a cutoff.
-Cutoffs are chosen on labelled documents, per stratum: a cutoff is allowed if its false
-rejections among the good documents there show, by the exact binomial distribution, that
-the true rate lies below the bound. The bound is divided among the rules, so that it holds
-for all of them together. The error probability is divided among all tests of rules and
-strata. Cutoffs of one rule need no further division: they are tested from the loosest to
-the strictest, and as rejections only grow on the way, one that fails ends the sequence.
+The cutoffs of all rules are chosen together, on labelled documents, per stratum. They come
+from one fixed sequence of levels, from loose to strict, each of which tightens one rule. A
+level is allowed if what all rules together reject of the good documents there shows, by
+the exact binomial distribution, that the true rate lies below the bound. The error
+probability is divided among the strata. Levels need no further division: rejections only
+grow on the way, so one that fails ends the sequence.
 Where labels are too few to show anything, nothing is rejected.
 """
 
@@ -46,7 +46,7 @@ class Risk:
     """At most ``rate`` of a stratum's good documents are rejected, but for a probability
     of ``error`` that this fails anywhere.
 
-    Of the allowed cutoffs the one is taken that rejects the most junk, a good document
+    Of the allowed levels the one is taken that rejects the most junk, a good document
     that it rejects weighing as much as ``worth`` of junk; among equals the loosest.
     """
 
@@ -132,6 +132,13 @@ def _log_tail(n: Column, x: Column, rate: float) -> Column:
     return F.aggregate(steps, F.struct(first.alias("term"), first.alias("sum")), add)["sum"]
 
 
+def levels(rules: tuple[Rule, ...]) -> list[tuple[int, float]]:
+    """The sequence of levels: the number of a rule and its next cutoff. All rules go from
+    their loosest to their strictest cutoff at the same pace."""
+    steps = [((i + 1) / len(r.cutoffs), k, c) for k, r in enumerate(rules) for i, c in enumerate(sorted(r.cutoffs, reverse=True))]
+    return [(k, c) for _, k, c in sorted(steps, key=lambda s: s[:2])]
+
+
 def select_cutoffs(found: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] = RULES, risk: Risk = Risk()) -> DataFrame:
     """(stratum, n, cutoffs): for each rule, by its name, the cutoff or null if none is allowed.
 
@@ -140,37 +147,35 @@ def select_cutoffs(found: DataFrame, labels: DataFrame, rules: tuple[Rule, ...]
     labelled several times counts once, as junk if any label says so.
     """
     once = labels.filter("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    labelled = found.filter(~base_failed()).join(once, "doc_id")
+    steps = levels(rules)
+    # the first level that rejects the document; one past the last if none does
+    first = F.least(
+        F.lit(len(steps)),
+        *[F.coalesce(*[F.when(_exceeds(rules[k], c), F.lit(i)) for i, (k, c) in enumerate(steps) if k == r], F.lit(len(steps))) for r in range(len(rules))],
+    )
+    labelled = found.filter(~base_failed()).join(once, "doc_id").select("stratum", "quality", first.alias("first"))
     good = F.col("quality") == 1
     sums = [
-        F.array(
-            *[
-                F.struct(
-                    F.lit(cutoff).alias("cutoff"),
-                    F.count_if(_exceeds(rule, cutoff) & good).alias("lost"),
-                    F.count_if(_exceeds(rule, cutoff) & ~good).alias("junk"),
-                )
-                for cutoff in rule.cutoffs
-            ]
-        ).alias(rule.name)
-        for rule in rules
-    ]
-    counted = labelled.groupBy("stratum").agg(F.count("*").alias("n"), F.count_if(good).alias("good"), *sums)
-    tests = counted.agg((F.count("*") * len(rules)).alias("tests"))
-    rate = risk.rate / len(rules)
-
-    def chosen(rule: Rule) -> Column:
-        few = lambda c: c["lost"] < F.col("good") * rate
-        shown = lambda c: _log_tail(F.col("good"), c["lost"], rate) <= F.log(risk.error / F.col("tests"))
-        allowed = F.filter(F.col(rule.name), lambda c: F.when(few(c), shown(c)).otherwise(False))
-        ranked = F.transform(
-            allowed,
-            lambda c: F.struct((c["junk"] - risk.worth * c["lost"]).alias("gain"), c["cutoff"].alias("cutoff")),
+        F.struct(
+            F.lit(i).alias("level"),
+            F.count_if((F.col("first") <= i) & good).alias("lost"),
+            F.count_if((F.col("first") <= i) & ~good).alias("junk"),
         )
-        return F.array_max(ranked)["cutoff"]  # of equal gains the largest cutoff
-
-    picked = counted.join(F.broadcast(tests))
-    return picked.select("stratum", "n", *[chosen(rule).alias(f"cutoff_{rule.name}") for rule in rules])
+        for i in range(len(steps))
+    ]
+    counted = labelled.groupBy("stratum").agg(F.count("*").alias("n"), F.count_if(good).alias("good"), F.array(*sums).alias("levels"))
+    tests = counted.agg(F.count("*").alias("tests"))
+    few = lambda c: c["lost"] < F.col("good") * risk.rate
+    shown = lambda c: _log_tail(F.col("good"), c["lost"], risk.rate) <= F.log(risk.error / F.col("tests"))
+    allowed = F.filter("levels", lambda c: F.when(few(c), shown(c)).otherwise(False))
+    # of equal gains the loosest level
+    ranked = F.transform(allowed, lambda c: F.struct((c["junk"] - risk.worth * c["lost"]).alias("gain"), (-c["level"]).alias("back")))
+    picked = counted.join(F.broadcast(tests)).select("stratum", "n", (-F.array_max(ranked)["back"]).alias("level"))
+
+    def chosen(rule: int) -> Column:
+        return F.coalesce(*[F.when(F.col("level") >= i, F.lit(c)) for i, (k, c) in reversed([*enumerate(steps)]) if k == rule])
+
+    return picked.select("stratum", "n", *[chosen(k).alias(f"cutoff_{rule.name}") for k, rule in enumerate(rules)])
 
 
 def base_failed() -> Column:

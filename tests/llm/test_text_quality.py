@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollbook.llm.quality_classifier import classify, fit_votes, keep_good, measure, train, votes
-from rollbook.llm.quality_rules import RULES, Risk, Rule, apply_rules, features, select_cutoffs
+from rollbook.llm.quality_rules import RULES, Risk, Rule, apply_rules, features, levels, select_cutoffs
 from rollbook.llm.toxicity import CharacterModel, letter_triples, restore, score_texts, toxicity, train as train_toxicity
 from rollbook.llm.url_filters import PATTERN_RULES, SITE_RULES, Rule as UrlRule, file_rules, judge, parse
 
@@ -178,3 +178,16 @@ def test_held_out_rows_teach_nothing(spark):
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
     changed = labels.withColumn("toxic", F.when(F.expr("crc32(cast(doc_id AS string)) % 3 = 1"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert train_toxicity(docs, labels).odds == train_toxicity(docs, changed).odds
+
+
+def test_cutoffs_of_all_rules_are_tested_together(spark):
+    """600 good documents of a language are enough for four rules, 300 are not."""
+    rows = [(i, "en" if i < 900 else "fr", 100, 500, 60 if i % 3 == 0 else 1, 10, 0, 0) for i in range(1350)]
+    found_ = spark.createDataFrame(
+        rows, "doc_id long, stratum string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
+    )
+    labels = spark.createDataFrame([(r[0], int(r[0] % 3 != 0)) for r in rows], "doc_id long, quality int")
+    got = {r["stratum"]: r for r in select_cutoffs(found_, labels).collect()}
+    assert got["en"]["cutoff_symbols"] == 0.5
+    assert all(got["fr"][f"cutoff_{r.name}"] is None for r in RULES)
+    assert sorted(levels(RULES)) == sorted((k, c) for k, r in enumerate(RULES) for c in r.cutoffs)
