@@ -4,8 +4,9 @@ A disguised word is taken as a clean one sent through a noisy channel that swaps
 for signs that look alike, repeats letters, and puts gaps between them. The signs a reader
 sees make a lattice of the letters that may be meant, and the Viterbi algorithm finds the
 path through it that a character language model and the channel together make likeliest.
-The language model counts the letter triples of all documents. Words that show no sign of
-disguise have one path only and stay as they are.
+The language model counts the letter triples of all documents. Single letters in a row are
+one lattice, in which each blank may be a gap or the edge of a word. Words that show no
+sign of disguise have one path only and stay as they are.
 
 The score is learned from labels: restored words and the beginnings of words are features,
 each with the odds at which texts that have it are toxic.
@@ -20,7 +21,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollbook.llm.words import NOWHERE, Memo, parts, split_white
@@ -36,10 +36,15 @@ _SWAPPED, _REPEATED, _DROPPED = math.log(0.05), math.log(0.1), math.log(0.02)
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _EDGE = 26  # the letter code of a word's edge
 _SIGNS = re.escape("".join(LOOK_ALIKES))
-# A word with letters on both sides of a look-alike, or a letter three times in a row.
-_DISGUISED = re.compile(rf"[a-z][{_SIGNS}]+[a-z]|^[{_SIGNS}]+[a-z]{{2}}|([a-z])\1\1|[a-z]([.\-_*])[a-z]\2[a-z]")
-# Three or more single letters in a row, as if a word were spaced out.
-_SPACED = re.compile(rf"(?<![^\s])(?:[a-z{_SIGNS}][ .\-_]){{3,}}[a-z{_SIGNS}](?![^\s])")
+# A word with a look-alike, a letter twice in a row, or a mark between letters.
+_DISGUISED = re.compile(rf"[{_SIGNS}]|([a-z])\1|[a-z][^\w\s]+[a-z]|[a-z]_+[a-z]")
+_MARK = re.compile(r"[" + re.escape("".join(c for c in LOOK_ALIKES if not c.isalnum())) + "]")
+# No word of single letters has this. Of those in a row so many must have a sign of a letter.
+_NOT_SINGLE = re.compile(r"[^\W_]{2}")
+_LETTER = re.compile(rf"[a-z{_SIGNS}]")
+_LEAST_SINGLE = 3
+# The same sign more often than twice says no more than twice.
+_LONG = re.compile(r"(.)\1{2,}", re.DOTALL)
 _ENDS = ".,;:!?\"'()[]{}«»“”…"
 
 # Features: words, and beginnings of these lengths.
@@ -87,46 +92,63 @@ def letter_triples(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def restore(word: str, model: CharacterModel) -> str:
-    """The likeliest clean word behind a disguised one (lower case).
+def restore(word: str, model: CharacterModel, marks: bool = True) -> str:
+    """The likeliest clean word behind a disguised one (lower case), or the words behind
+    single letters with blanks between them.
 
-    Each sign of the word may be read as itself, if it is a letter, as a letter it looks
-    like, as a repetition of the letter before it, or, if it is like no letter, as a gap.
+    Each sign may be read as itself, if it is a letter, as a letter it looks like, as a
+    repetition of the letter before it, or, if it is neither letter nor digit, as a gap; a
+    digit that is like no letter is one, too. A blank is a gap or the edge of a word.
+    Without ``marks``, signs that look like a letter are no gaps.
     """
     logs = model.logs
-    # state: the two letters before; value: its best log-probability and the word so far
-    states: dict[tuple[int, int], tuple[float, str]] = {(_EDGE, _EDGE): (0.0, "")}
-    for sign in word:
+    # state: the two letters before; value: its best log-probability and the path so far
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(_EDGE, _EDGE): (0.0, None)}
+    for sign in _LONG.sub(r"\1\1", word):
         readings: list[tuple[int, float]] = []
         if "a" <= sign <= "z":
             readings.append((ord(sign) - 97, 0.0))
         readings += [(ord(c) - 97, _SWAPPED) for c in LOOK_ALIKES.get(sign, "")]
-        gap = not readings
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+        blank = sign == " "
+        gap = 0.0 if blank else _DROPPED
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
 
-        def reach(state: tuple[int, int], value: float, text: str) -> None:
+        def reach(state: tuple[int, int], value: float, path: tuple | None) -> None:
             if state not in after or after[state][0] < value:
-                after[state] = (value, text)
+                after[state] = (value, path)
 
-        for (first, second), (value, text) in states.items():
+        for (first, second), (value, path) in states.items():
             for letter, odds in readings:
-                reach((second, letter), value + odds + logs[first][second][letter], text + _LETTERS[letter])
+                reach((second, letter), value + odds + logs[first][second][letter], (path, _LETTERS[letter]))
                 if letter == second:
-                    reach((first, second), value + odds + _REPEATED, text)
-            if gap:
-                reach((first, second), value + _DROPPED, text)
+                    reach((first, second), value + odds + _REPEATED, path)
+            if not readings or (marks and not sign.isalnum()):
+                reach((first, second), value + gap, path)
+            if blank and second != _EDGE:
+                reach((second, _EDGE), value + logs[first][second][_EDGE], (path, " "))
         states = after
-    return max((value + logs[a][b][_EDGE], text) for (a, b), (value, text) in states.items())[1]
+    path = max(((v + (logs[a][b][_EDGE] if b != _EDGE else 0.0), p) for (a, b), (v, p) in states.items()), key=lambda x: x[0])[1]
+    out = []
+    while path is not None:
+        path, letter = path
+        out.append(letter)
+    return "".join(reversed(out))
 
 
 def readings(word: str, model: CharacterModel) -> list[str]:
-    """What a word of a text may say: itself without marks at its ends, and restored."""
+    """What a word of a text may say: itself without marks at its ends, and restored. Single
+    letters with blanks between them say the words that are restored from them."""
     plain = word.lower()
+    if " " in plain:
+        return restore(plain, model).split()
     bare = plain.strip(_ENDS + "#*$%&|<>")
     out = [bare] if bare else []
     core = plain.strip(".,;:?\"'")
-    if 3 <= len(core) <= 40 and _DISGUISED.search(core):
+    if len(core) >= 3 and _DISGUISED.search(core):
         out.append(restore(core, model))
+        # a mark may be a letter where a gap is likelier, as in "a$$"
+        if _MARK.search(core):
+            out.append(restore(core, model, marks=False))
     return out
 
 
@@ -134,7 +156,7 @@ def word_features(word: str, model: CharacterModel) -> tuple[str, ...]:
     """The features of a word: what it may say, and the beginnings of that."""
     out: dict[str, None] = {}
     for text in readings(word, model):
-        if 3 <= len(text) <= 60:
+        if len(text) >= 3:
             out[text] = None
             for n in _BEGINNINGS:
                 if len(text) > n:
@@ -143,18 +165,24 @@ def word_features(word: str, model: CharacterModel) -> tuple[str, ...]:
 
 
 def text_words(texts: pa.Array) -> tuple[list[str], list[list[int]]]:
-    """The different words of texts, and the numbers of each text's words; words that were
-    spaced out are joined, and count besides their letters."""
+    """The different words of texts, and the numbers of each text's words; single letters in
+    a row, with one blank between them, count besides as one word."""
     words = split_white(texts)
     unique = words.unique.to_pylist()
     numbers = {word: i for i, word in enumerate(unique)}
     bounds = words.bounds
     lists = [np.unique(words.codes[a:b]).tolist() for a, b in zip(bounds[:-1], bounds[1:])]
-    # only texts with single letters in a row can have a word spaced out
-    spaced = pc.match_substring_regex(texts, r"(^|\s)\S[ .\-_]\S[ .\-_]\S[ .\-_]\S(\s|[ .\-_]|$)")
-    for row in np.flatnonzero(np.asarray(spaced)).tolist():
-        for found in _SPACED.finditer(texts[row].as_py().lower()):
-            joined = re.sub(r"[ .\-_]", "", found.group())
+    lower = [word.lower() for word in unique]
+    single = np.array([not _NOT_SINGLE.search(word) for word in lower], dtype=bool)
+    letter = np.array([bool(_LETTER.search(word)) for word in lower], dtype=bool)
+    for row, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+        codes = np.asarray(words.codes[a:b])
+        inside = np.concatenate(([0], single[codes].astype(np.int8), [0]))
+        turns = np.flatnonzero(np.diff(inside))
+        for start, end in zip(turns[::2].tolist(), turns[1::2].tolist()):
+            if end - start < _LEAST_SINGLE or letter[codes[start:end]].sum() < _LEAST_SINGLE:
+                continue
+            joined = " ".join(lower[i] for i in codes[start:end].tolist())
             if joined not in numbers:
                 numbers[joined] = len(unique)
                 unique.append(joined)

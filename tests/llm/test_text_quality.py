@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rollbook.llm.quality_classifier import classify, fit_votes, keep_good, measure, train, votes
 from rollbook.llm.quality_rules import RULES, Risk, Rule, apply_rules, features, levels, select_cutoffs
-from rollbook.llm.toxicity import CharacterModel, letter_triples, restore, score_texts, toxicity, train as train_toxicity
+from rollbook.llm.toxicity import CharacterModel, letter_triples, restore, score_texts, text_words, toxicity, train as train_toxicity, word_features
 from rollbook.llm.url_filters import PATTERN_RULES, SITE_RULES, Rule as UrlRule, file_rules, judge, parse
 
 
@@ -191,3 +191,20 @@ def test_cutoffs_of_all_rules_are_tested_together(spark):
     assert got["en"]["cutoff_symbols"] == 0.5
     assert all(got["fr"][f"cutoff_{r.name}"] is None for r in RULES)
     assert sorted(levels(RULES)) == sorted((k, c) for k, r in enumerate(RULES) for c in r.cutoffs)
+
+
+@pytest.mark.parametrize(
+    "text, clean",
+    [
+        ("you are a s t u p i d man", "stupid"), ("you s t u p i d, man", "stupid"), ("s t u p i d!", "stupid"),
+        ("(s c u m)", "scum"), ("s c u m.", "scum"), ("i d i o t i s", "idiot"), ("s  c  u  m", "scum"),
+        ("s / c / u / m", "scum"), ("s * c * u * m", "scum"), ("s/c/u/m", "scum"), ("idi07", "idiot"), ("dum8", "dumb"),
+        ("1d107", "idiot"), ("tra5#", "trash"), ("a$$", "ass"), ("idi" + "o" * 60 + "t", "idiot"),
+    ],
+)
+def test_disguises_reach_the_lattice(spark, text, clean):
+    texts = ["the idiot is a stupid man and you are dumb scum", "what trash, an ass, a stupid idiot is a dumb man, you scum"] * 60
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    characters = CharacterModel(letter_triples(docs))
+    unique, lists = text_words(pa.array([text], pa.large_string()))
+    assert clean in {f for n in lists[0] for f in word_features(unique[n], characters)}
