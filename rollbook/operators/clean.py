@@ -118,3 +118,45 @@ def unmapped_departments(df: DataFrame, mapping: DataFrame) -> DataFrame:
     )
     unknown = pairs.join(_keyed(mapping), ["_system", "_name"], "left_anti")
     return unknown.select("source_system", "department").orderBy("source_system", "department")
+
+
+def rejected_values(aligned: DataFrame, settings: Settings = DEFAULT_SETTINGS) -> DataFrame:
+    """(source_system, column, reason, raw_value, n): every value that ``clean`` turns to
+    null, or leaves out of the annual salary, though it is not blank. Equal values of a
+    source and column are counted; blanks at the ends do not make them different."""
+    texts = (
+        "employee_id", "manager_id", "employment_type", *DATE_COLUMNS,
+        "salary_original", "currency", "pay_frequency",
+    )
+    bare = aligned.selectExpr(
+        "source_system",
+        f"{values.company_prefix(text.strip('company_origin'), settings)} AS _prefix",
+        *[f"nullif({text.strip(c)}, '') AS {c}" for c in texts],
+    )
+    parsed = bare.selectExpr("*", *[f"{values.parsed_date(c, settings)} AS _{c}" for c in DATE_COLUMNS])
+
+    def known(entries: Mapping[str, object]) -> str:
+        return ", ".join(text.literal(e) for e in entries)
+
+    reasons = {
+        **{
+            c: f"CASE WHEN _prefix IS NULL THEN 'unknown company' WHEN {values.id_digits(c)} IS NULL THEN 'no digits' END"
+            for c in ("employee_id", "manager_id")
+        },
+        "employment_type": f"IF({values.type_of('lower(employment_type)', settings)} IS NULL, 'unknown', NULL)",
+        **{
+            c: f"CASE WHEN _{c} IS NULL THEN 'unparsed' WHEN {values.date_in_range(f'_{c}', settings)} IS NULL THEN 'out of range' END"
+            for c in DATE_COLUMNS
+        },
+        "salary_original": f"IF(try_cast({values.bare_amount('salary_original')} AS DECIMAL(24, 6)) IS NULL, 'unparsed', NULL)",
+        "currency": f"IF(upper(currency) NOT IN ({known(settings.usd_rates)}), 'unknown', NULL)",
+        "pay_frequency": f"IF(lower(pay_frequency) NOT IN ({known(settings.pay_periods)}), 'unknown', NULL)",
+    }
+    pairs = ", ".join(
+        f"named_struct('column', '{c}', 'reason', {reason}, 'raw_value', {c})" for c, reason in reasons.items()
+    )
+    found = parsed.selectExpr(
+        "source_system",
+        f"inline(filter(array({pairs}), x -> x.raw_value IS NOT NULL AND x.reason IS NOT NULL))",
+    )
+    return found.groupBy("source_system", "column", "reason", "raw_value").count().withColumnRenamed("count", "n")

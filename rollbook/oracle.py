@@ -82,6 +82,12 @@ _TYPE_CASE = (
     "when 'contractor' then 'Contractor' when 'ct' then 'Contractor' end"
 )
 
+_NO_DIGIT = "not regexp_matches({}, '[0-9]')"
+_BAD_DATE = (
+    "case when try_cast(substr({0}, 1, 10) as date) is null then 'unparsed' "
+    "when try_cast(substr({0}, 1, 10) as date) not between date '1970-01-01' and date '2024-12-31' then 'out of range' end"
+)
+
 _A = "employee_id first_name last_name email department job_title hire_date country employment_type manager_id".split()
 
 _BLOCKS: dict[str, tuple[str, str]] = {}  # name: (blocks it needs, sql)
@@ -454,6 +460,24 @@ from orders""",
             "select distinct source_system, trim(department) as department from cleaned_hris "
             "where department is not null and department_standardized is null",
         ),
+        "q_rejected_values": _final(
+            "aligned_hris fx_pay fx_ben",
+            'select source_system, "column", reason, trim(raw) as raw_value, count(*) as n from ('
+            "select source_system, 'employment_type' as \"column\", 'unknown' as reason, employment_type as raw "
+            f"from aligned_hris where ({_TYPE_CASE}) is null "
+            f"union all select source_system, 'employee_id', 'no digits', employee_id from aligned_hris where {_NO_DIGIT.format('employee_id')} "
+            f"union all select source_system, 'manager_id', 'no digits', manager_id from aligned_hris where {_NO_DIGIT.format('manager_id')} "
+            f"union all select 'payroll', 'employee_id', 'no digits', employee_id from fx_pay where {_NO_DIGIT.format('employee_id')} "
+            f"union all select 'benefits', 'employee_id', 'no digits', employee_id from fx_ben where {_NO_DIGIT.format('employee_id')} "
+            f"union all select source_system, 'hire_date', {_BAD_DATE.format('hire_date')}, hire_date from aligned_hris "
+            f"union all select 'payroll', 'compensation_effective_date', {_BAD_DATE.format('effective_date')}, effective_date from fx_pay "
+            f"union all select 'benefits', 'benefits_enrollment_date', {_BAD_DATE.format('enrollment_date')}, enrollment_date from fx_ben "
+            f"union all select 'payroll', 'salary_original', 'unparsed', base_salary from fx_pay where ({_bare('base_salary')}) is null "
+            "union all select 'payroll', 'currency', 'unknown', currency from fx_pay where upper(trim(currency)) not in ('USD', 'EUR', 'GBP') "
+            "union all select 'payroll', 'pay_frequency', 'unknown', pay_frequency from fx_pay "
+            "where lower(trim(pay_frequency)) not in ('annual', 'monthly', 'bi-weekly', 'biweekly', 'bi weekly')"
+            ") where reason is not null and trim(raw) <> '' group by all",
+        ),
         "q_union_sources": _final("combined", f"select {_C} from combined"),
         "q_hris_survivor": _final("survivors", "select * from survivors"),
         "q_hris_duplicate_review": _final(

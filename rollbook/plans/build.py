@@ -108,6 +108,10 @@ def run(
     sinks.write_review(
         readers.malformed_records(spark, sources), outputs.report("malformed_records.csv")
     )
+    sinks.write_review(
+        clean.rejected_values(clean.combine_sources(align.align_sources(raw)), settings),
+        outputs.report("rejected_values.csv"),
+    )
     if mapping is not None:
         sinks.write_review(
             clean.unmapped_departments(clean.combine_sources(align.align_sources(raw)), mapping),

@@ -134,6 +134,11 @@ def unmapped_departments(spark, sf_dir):
     return clean.unmapped_departments(both, fixtures.department_mapping(spark))
 
 
+@query
+def rejected_values(spark, sf_dir):
+    return clean.rejected_values(_aligned(spark, sf_dir), SETTINGS)
+
+
 @query
 def union_sources(spark, sf_dir):
     return fixtures.combined(spark, sf_dir).drop(ORDINAL)

@@ -173,3 +173,26 @@ def test_malformed_json_lines_are_listed(spark, tmp_path):
     assert [r["employee_identifier"] for r in rows] == ["1", "3"]
     rejected = readers.malformed_records(spark, sources).collect()
     assert [tuple(r) for r in rejected] == [("acquiredco_hris", '{"employee_identifier": ')]
+
+
+def test_rejected_values_are_counted(spark):
+    import datetime as dt
+
+    from rollbook.config import Settings
+    from rollbook.operators import clean
+    from rollbook.schema import conform
+
+    rows = [
+        ("GlobalTech", "1", "intern", "soon", "tbd", "JPY", "weekly"),
+        ("GlobalTech", "none", " intern ", "2999-01-01", "$5", "usd", "Annual"),
+        ("Other", "7", "FT", " ", None, None, None),
+    ]
+    names = "company_origin employee_id employment_type hire_date salary_original currency pay_frequency".split()
+    aligned = conform(spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names)).selectExpr("*", "'x' AS source_system"))
+    got = clean.rejected_values(aligned, Settings(as_of=dt.date(2024, 12, 31))).collect()
+    assert {tuple(r)[1:] for r in got} == {
+        ("employee_id", "no digits", "none", 1), ("employee_id", "unknown company", "7", 1),
+        ("employment_type", "unknown", "intern", 2), ("hire_date", "unparsed", "soon", 1),
+        ("hire_date", "out of range", "2999-01-01", 1), ("salary_original", "unparsed", "tbd", 1),
+        ("currency", "unknown", "JPY", 1), ("pay_frequency", "unknown", "weekly", 1),
+    }
