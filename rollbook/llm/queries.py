@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rollbook.llm.alignment import align
 from rollbook.llm.exact_dedup import exact_duplicates
 from rollbook.llm.line_dedup import drop_shared_lines
 from rollbook.llm.near_dedup import near_duplicates
@@ -17,6 +18,7 @@ from rollbook.llm.tables import table
 from rollbook.llm.token_counts import token_counts
 from rollbook.llm.toxicity import toxicity
 from rollbook.llm.url_filters import judge
+from rollbook.llm.whitening import whitened_components
 
 # A document with more tokens does not fit one training sequence.
 TOKEN_LIMIT = 2048
@@ -65,6 +67,14 @@ def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return encode_and_decode(table(spark, folder, "documents"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened_components(table(spark, folder, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align(spark, table(spark, folder, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -76,4 +86,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sentence_pieces": op10_sentence_pieces,
+    "op12_whitening": op12_whitening,
+    "op13_token_alignment": op13_token_alignment,
 }
