@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollbook.llm.alignment import align
 from rollbook.llm.exact_dedup import exact_duplicates
+from rollbook.llm.language_model import score
 from rollbook.llm.line_dedup import drop_shared_lines
 from rollbook.llm.near_dedup import near_duplicates
 from rollbook.llm.packing import pack
@@ -67,6 +68,10 @@ def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return encode_and_decode(table(spark, folder, "documents"))
 
 
+def op11_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return score(spark, table(spark, folder, "documents"))
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitened_components(table(spark, folder, "embeddings"))
 
@@ -86,6 +91,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sentence_pieces": op10_sentence_pieces,
+    "op11_language_model": op11_language_model,
     "op12_whitening": op12_whitening,
     "op13_token_alignment": op13_token_alignment,
 }
