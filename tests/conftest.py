@@ -1,4 +1,3 @@
-import os
 import sys
 import tempfile
 from pathlib import Path
@@ -9,8 +8,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from rollbook.session import local_session  # noqa: E402
 
-TESTDATA = Path(os.environ.get("TESTDATA", "/root/testdata"))
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -1,7 +1,7 @@
 """The shapes of the physical plans that matter at scale."""
 
 import pytest
-from conftest import TESTDATA
+from places import TESTDATA
 
 from rollbook import fixtures
 from rollbook.operators import clean, identity, matching, profiles, quality
