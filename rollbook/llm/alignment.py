@@ -40,7 +40,9 @@ SPACE = "▁"
 # than FREQUENT of them, whatever the data.
 FREQUENT = 200_000
 # Bytes of text that are worked on at a time.
-PART_BYTES = 8_000_000
+PART_BYTES = 3_000_000
+# Units of texts that are put together again at a time.
+CHUNK_UNITS = 50_000
 
 # Where texts are cut; the last character never stands alone.
 _CUT = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
@@ -342,21 +344,34 @@ def _align(pair: Pair, texts: pa.Array, first: bool, into: list[_Document]) -> N
     found = align_units(pair, coded.dictionary)
     codes = np.asarray(coded.indices, dtype=np.int64)
 
-    stops = np.cumsum(counts)
-    offsets = pa.array(np.concatenate(([0], stops)), pa.int32())
-    names = found.texts.cast(pa.large_string()).take(pa.array(codes))
-    joined = pc.binary_join(pa.ListArray.from_arrays(offsets, names), pa.scalar(";", pa.large_string()))
-    each = found.counts[codes]
-    starts = np.cumsum(found.counts[:, 3]) - found.counts[:, 3]
-    met = found.pairs[ranges(starts[codes], each[:, 3])]
-    sums = np.column_stack([_sums(each[:, k], counts) for k in range(4)]).reshape(-1, 4)
+    sums = np.column_stack([_sums(found.counts[codes, k], counts) for k in range(4)]).reshape(-1, 4)
     wrong = _sums(~found.valid[codes], counts)
-    keys = len(pair.left.lengths) * len(pair.right.lengths)
-    numbered, times = np.unique(np.repeat(np.arange(len(rows)), sums[:, 3]) * keys + met, return_counts=True)
-    edges = np.searchsorted(numbered, np.arange(len(rows) + 1) * keys)
-    for k, row in enumerate(rows.tolist()):
-        mine = slice(edges[k], edges[k + 1])
-        into[row].add(sums[k], joined[k].as_py(), numbered[mine] - k * keys, times[mine], not wrong[k])
+    starts = np.cumsum(found.counts[:, 3]) - found.counts[:, 3]
+    names, keys = found.texts.cast(pa.large_string()), len(pair.left.lengths) * len(pair.right.lengths)
+    stops = np.cumsum(counts)
+    for low, high in _chunks(counts, CHUNK_UNITS):
+        begin = stops[low] - counts[low]
+        mine = codes[begin : stops[high - 1]]
+        offsets = pa.array(np.concatenate(([0], stops[low:high] - begin)), pa.int32())
+        joined = pc.binary_join(pa.ListArray.from_arrays(offsets, names.take(pa.array(mine))), pa.scalar(";", pa.large_string()))
+        met = found.pairs[ranges(starts[mine], found.counts[mine, 3])]
+        numbered, times = np.unique(np.repeat(np.arange(high - low), sums[low:high, 3]) * keys + met, return_counts=True)
+        edges = np.searchsorted(numbered, np.arange(high - low + 1) * keys)
+        for k in range(low, high):
+            own = slice(edges[k - low], edges[k - low + 1])
+            into[rows[k]].add(sums[k], joined[k - low].as_py(), numbered[own] - (k - low) * keys, times[own], not wrong[k])
+
+
+def _chunks(counts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` units together, one text at least."""
+    low, held = 0, 0
+    for high, n in enumerate(counts.tolist()):
+        if high > low and held + n > most:
+            yield low, high
+            low, held = high, 0
+        held += n
+    if len(counts):
+        yield low, len(counts)
 
 
 def aligned_documents(
