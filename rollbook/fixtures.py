@@ -115,6 +115,7 @@ def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     used = [t for t in _TABLES if f" {t} " in f"{sql} ".replace("\n", " ")]
     ctes = ", ".join(f"{t} AS (SELECT * FROM {{{t}}})" for t in used)
     tables = {t: table(spark, sf_dir, t) for t in used}
+    sql = sql.replace("{", "{{").replace("}", "}}")  # only the tables are to be filled in
     return spark.sql(f"WITH {ctes} {sql}" if used else sql, **tables)
 
 
@@ -204,6 +205,41 @@ from orders
 """
 
 
+# --- files with records of every shape, each line made from a known row -----------
+
+_ID = "cast(s_suppkey as string)"
+JSON_LINES = f"""
+select case s_suppkey % 8
+       when 0 then '{{"employee_identifier": "' || {_ID} || '", "name": {{"first": "' || s_name || '", "last": 7}}, "assignment": {{"department": "d", "role": {{"a": 1}}}}, "extra": [1]}}'
+       when 1 then '{{"employee_identifier": "' || {_ID} || '", "name": "' || s_name || '", "contact": {{"email": "e@x"}}}}'
+       when 2 then '{{"employee_identifier": ' || {_ID} || ', "name": {{"first": ["f"], "full": null}}, "contact": ["e"]}}'
+       when 3 then '{{"employees": [{{"employee_identifier": "' || {_ID} || '", "assignment": true}}, {{"name": 5}}, ' || {_ID} || ']}}'
+       when 4 then '{{"employee_identifier": "' || {_ID} || '", "name": '
+       when 5 then '{{"staff": "' || {_ID} || '"}}'
+       when 6 then '{{"employees": "' || {_ID} || '"}}'
+       else '[{{"contact": null, "name": {{"full": "' || s_name || '"}}}}, {{"employee_identifier": null}}]' end as value
+from supplier
+"""
+
+_KEY = "cast(c_custkey as string)"
+# for the header employee_id, first_name, last_name
+CSV_LINES = f"""
+select {_KEY} || case c_custkey % 6
+       when 0 then ',' || c_mktsegment || ',Last' when 1 then ',' || c_mktsegment when 2 then ',A,B,' || c_mktsegment
+       when 3 then ',"A, ""' || c_mktsegment || '""' || '",B' when 4 then ',"A,B' else ',' || c_mktsegment || ',' end as value
+from customer
+"""
+# for the header base_salary, employee_id
+PAYROLL_LINES = f"""
+select case c_custkey % 4 when 0 then '"1,000",' || {_KEY} when 1 then {_KEY} when 2 then '1,000,' || {_KEY} else ',' || {_KEY} end as value
+from customer
+"""
+
+def lines(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """One text column, ``value``, from one of the statements above."""
+    return _derive(spark, sf_dir, sql)
+
+
 def messy_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, MESSY_IDS)
 

@@ -390,6 +390,15 @@ _SEG = "(upper(c_mktsegment[1]) || lower(c_mktsegment[2:]))"
 _MESSY_LAST = f"case c_custkey % 3 when 0 then null when 1 then {_SEG} else 'X_' || {_SEG} end"
 
 
+_PEOPLE = (
+    "select employee_identifier, first_name as name_first, last_name as name_last, "
+    "first_name || ' ' || last_name as name_full, email as contact_email, "
+    "department as assignment_department, role as assignment_role, "
+    "location as assignment_location, hire_timestamp as assignment_hire_timestamp, "
+    "type as employment_type, 'active' as employment_status, manager_employee_id, "
+    "'acquiredco_hris' as source_system from fx_b"
+)
+
 # Files hold the rows of the query they are written from.
 _READ_BACK = {
     "q_sink_duplicate_emails": "q_duplicate_emails",
@@ -589,14 +598,60 @@ from orders""",
         "q_source_csv": _final(
             "fx_a", f"select {', '.join(_A)}, 'globaltech_hris' as source_system from fx_a"
         ),
-        "q_source_json": _final(
-            "fx_b",
-            "select employee_identifier, first_name as name_first, last_name as name_last, "
-            "first_name || ' ' || last_name as name_full, email as contact_email, "
-            "department as assignment_department, role as assignment_role, "
-            "location as assignment_location, hire_timestamp as assignment_hire_timestamp, "
-            "type as employment_type, 'active' as employment_status, manager_employee_id, "
-            "'acquiredco_hris' as source_system from fx_b",
+        "q_source_json": _final("fx_b", _PEOPLE),
+        "q_source_json_documents": _final("fx_b", _PEOPLE),
+        "q_source_json_shapes": f"""
+with shaped as (select s_suppkey % 8 as k, cast(s_suppkey as varchar) as id, s_name from supplier), found as (
+    select id, case k when 0 then s_name when 2 then '["f"]' end as first, case k when 0 then '7' end as last, null as full_name,
+           case k when 1 then 'e@x' end as email, case k when 0 then 'd' end as department, case k when 0 then '{{"a":1}}' end as role
+    from shaped where k in (0, 1, 2, 3)
+    union all select null, null, null, case k when 7 then s_name end, null, null, null from shaped where k in (3, 7)
+)
+select id as employee_identifier, first as name_first, last as name_last, full_name as name_full, email as contact_email,
+       department as assignment_department, role as assignment_role, cast(null as varchar) as assignment_location,
+       cast(null as varchar) as assignment_hire_timestamp, cast(null as varchar) as employment_type,
+       cast(null as varchar) as employment_status, cast(null as varchar) as manager_employee_id,
+       'acquiredco_hris' as source_system from found""",
+        "q_source_csv_ragged": """
+with people as (select c_custkey % 6 as k, cast(c_custkey as varchar) as id, c_mktsegment as seg from customer),
+pay as (select c_custkey % 4 as k, cast(c_custkey as varchar) as id from customer)
+select 'globaltech_hris' as source_system, id as employee_id,
+       case k when 3 then 'A, "' || seg || '"' when 4 then 'A,B' else seg end as first_name,
+       case k when 0 then 'Last' when 3 then 'B' end as last_name, cast(null as varchar) as base_salary
+from people where k <> 2
+union all
+select 'payroll', case when k in (0, 3) then id end, null, null, case k when 0 then '1,000' when 1 then id end
+from pay where k <> 2""",
+        "q_source_rejects": """
+with people as (select c_custkey % 6 as k, cast(c_custkey as varchar) as id, c_mktsegment as seg from customer),
+pay as (select c_custkey % 4 as k, cast(c_custkey as varchar) as id from customer),
+documents_read as (select s_suppkey % 8 as k, cast(s_suppkey as varchar) as id from supplier)
+select 'globaltech_hris' as source_system, case k when 1 then 'too few values' when 2 then 'too many values' else 'open quote' end as reason,
+       id || case k when 1 then ',' || seg when 2 then ',A,B,' || seg else ',"A,B' end as record, true as has_file
+from people where k in (1, 2, 4)
+union all
+select 'payroll', case k when 1 then 'too few values' else 'too many values' end, case k when 1 then id else '1,000,' || id end, true
+from pay where k in (1, 2)
+union all
+select 'acquiredco_hris', case k when 3 then 'not a record' when 4 then 'unreadable' when 6 then 'unreadable' else 'no records' end,
+       case k when 3 then id when 4 then '{"employee_identifier": "' || id || '", "name": ' when 6 then '{"employees": "' || id || '"}' end, true
+from documents_read where k between 3 and 7""",
+        "q_source_all": _final(
+            "fx_a fx_b fx_pay fx_ben",
+            "select source_system, count(*) as n, count(distinct employee_id) as ids, max(employee_id) as last_id from ("
+            "select 'globaltech_hris' as source_system, employee_id from fx_a "
+            "union all select 'acquiredco_hris', employee_identifier from fx_b "
+            "union all select 'payroll', employee_id from fx_pay "
+            "union all select 'benefits', employee_id from fx_ben) group by 1",
+        ),
+        "q_source_missing": _final(
+            "fx_pay",
+            "select 'payroll' as source_system, employee_id, source as company_origin, base_salary as salary_original, "
+            "currency, effective_date as compensation_effective_date from fx_pay",
+        ),
+        "q_source_lookup": _final(
+            "cleaned_hris",
+            "select source_system, department, department_standardized, count(*) as n from cleaned_hris group by 1, 2, 3",
         ),
         "q_source_xml": _final(
             "fx_ben", "select employee_id, enrollment_date, 'benefits' as source_system from fx_ben"

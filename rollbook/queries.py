@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollbook import fixtures
 from rollbook.config import IDENTITY_SOURCES
@@ -341,14 +341,15 @@ def dq_series(spark, sf_dir):
 # --- sources and sinks, through files in the shared folder ------------------------
 
 
+# blanks around a value are part of it
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 @query
 def source_csv(spark, sf_dir):
     path = Stage(spark).path("hris.csv")
     raw = fixtures.raw_sources(spark, sf_dir, "globaltech_hris")["globaltech_hris"]
-    # blanks around a value are part of it
-    raw.drop(ORDINAL).write.options(
-        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    ).csv(path)
+    raw.drop(ORDINAL).write.options(**_CSV).csv(path)
     return readers.read_csv_identity(spark, path)
 
 
@@ -370,6 +371,113 @@ def source_json(spark, sf_dir):
     return people.selectExpr(*[f"{c} AS {c.replace('.', '_')}" for c in _PERSON])
 
 
+def _untidy_files(spark: SparkSession, sf_dir: str) -> dict[str, readers.SourceSpec]:
+    """Files whose records have every shape; feeds by name."""
+    stage = Stage(spark)
+
+    def lines(name: str, sql: str, header: str | None = None) -> str:
+        rows = fixtures.lines(spark, sf_dir, sql)
+        if header is None:
+            rows.write.text(stage.path(name))
+        else:  # one column of whole lines, under a header line
+            rows.toDF(header).write.options(header=True, sep="\x01", quote="").csv(stage.path(name))
+        return stage.path(name)
+
+    spec = readers.SourceSpec
+    return {
+        "acquiredco_hris": spec(lines("people.json", fixtures.JSON_LINES), "json_lines"),
+        "globaltech_hris": spec(lines("people.csv", fixtures.CSV_LINES, "employee_id,first_name,last_name"), "csv"),
+        "payroll": spec(lines("pay.csv", fixtures.PAYROLL_LINES, "base_salary,employee_id"), "csv"),
+    }
+
+
+@query
+def source_json_shapes(spark, sf_dir):
+    """Records whose fields are not of the shape expected, pages and lists of records."""
+    people = readers.load_sources(spark, _untidy_files(spark, sf_dir))["acquiredco_hris"]
+    return people.selectExpr(*[f"{c} AS {c.replace('.', '_')}" for c in _PERSON])
+
+
+@query
+def source_json_documents(spark, sf_dir):
+    """Whole documents, one file each: the people of a company below one key."""
+    path = Stage(spark).path("people")
+    raw = fixtures.raw_sources(spark, sf_dir, "acquiredco_hris")["acquiredco_hris"]
+    pages = raw.groupBy("assignment.location").agg(F.collect_list(F.struct(*raw.columns)).alias("employees"))
+    pages.select("location", F.to_json(F.struct("employees")).alias("value")).write.partitionBy("location").text(path)
+    people = readers.read_json_identity(spark, path)
+    return people.selectExpr(*[f"{c} AS {c.replace('.', '_')}" for c in _PERSON])
+
+
+@query
+def source_csv_ragged(spark, sf_dir):
+    """Rows with too few values, with quotes, and with too many, which are left out."""
+    feeds = readers.load_sources(spark, _untidy_files(spark, sf_dir))
+    people = feeds["globaltech_hris"].select("source_system", "employee_id", "first_name", "last_name", F.lit(None).cast("string").alias("base_salary"))
+    pay = feeds["payroll"].select("source_system", "employee_id", F.lit(None).cast("string").alias("first_name"), F.lit(None).cast("string").alias("last_name"), "base_salary")
+    return people.unionByName(pay)
+
+
+@query
+def source_rejects(spark, sf_dir):
+    """Every record that a reader left out or read in part, and whether its file is known."""
+    listed = readers.malformed_records(spark, _untidy_files(spark, sf_dir))
+    return listed.select("source_system", "reason", "record", F.col("file").isNotNull().alias("has_file"))
+
+
+@query
+def source_all(spark, sf_dir):
+    """All feeds from their files at once, by the formats the run names: rows of each."""
+    stage = Stage(spark)
+    raw = fixtures.raw_sources(spark, sf_dir)
+    raw["globaltech_hris"].drop(ORDINAL).write.options(**_CSV).csv(stage.path("hris"))
+    raw["acquiredco_hris"].write.json(stage.path("people"))
+    raw["payroll"].drop(ORDINAL).write.parquet(stage.path("payroll"))
+    raw["benefits"].drop(ORDINAL).write.format("xml").options(rowTag="enrollment", rootTag="enrollments").save(stage.path("benefits"))
+    spec = readers.SourceSpec
+    feeds = readers.load_sources(
+        spark,
+        {
+            "globaltech_hris": spec(stage.path("hris"), "csv"),
+            "acquiredco_hris": spec(stage.path("people"), "json_lines"),
+            "payroll": spec(stage.path("payroll"), "parquet"),
+            "benefits": spec(stage.path("benefits"), "xml"),
+            "unknown": spec(stage.path("hris"), "csv"),
+        },
+    )
+    aligned = clean.combine_sources(align.align_sources(feeds))
+    return aligned.groupBy("source_system").agg(
+        F.count("*").alias("n"), F.count_distinct("employee_id").alias("ids"), F.max("employee_id").alias("last_id")
+    )
+
+
+@query
+def source_missing(spark, sf_dir):
+    """A feed whose file is not there is empty, and the run goes on with the others."""
+    stage = Stage(spark)
+    raw = fixtures.raw_sources(spark, sf_dir, "payroll")["payroll"]
+    raw.drop(ORDINAL).write.options(**_CSV).csv(stage.path("payroll"))
+    spec = readers.SourceSpec
+    sources = {
+        "globaltech_hris": spec(stage.path("gone"), "csv"),
+        "acquiredco_hris": spec(stage.path("gone"), "json"),
+        "payroll": spec(stage.path("payroll"), "csv"),
+        "benefits": spec(stage.path("gone"), "xml"),
+    }
+    aligned = clean.combine_sources(align.align_sources(readers.load_sources(spark, sources)))
+    return aligned.select("source_system", "employee_id", "company_origin", "salary_original", "currency", "compensation_effective_date")
+
+
+@query
+def source_lookup(spark, sf_dir):
+    """The department lookup read from its file, applied to the identity feeds."""
+    path = Stage(spark).path("department_mapping.csv")
+    fixtures.department_mapping(spark).write.options(header=True).csv(path)
+    mapping = readers.read_department_mapping(spark, path)
+    mapped = clean.map_departments(_aligned(spark, sf_dir, *IDENTITY_SOURCES), mapping)
+    return mapped.groupBy("source_system", "department", "department_standardized").agg(F.count("*").alias("n"))
+
+
 @query
 def source_xml(spark, sf_dir):
     path = Stage(spark).path("benefits.xml")

@@ -3,6 +3,9 @@
 Nothing is inferred from the data: all fields are text (CSV reads the header line for
 the column order). Each reader stamps ``source_system``. A path that does not exist
 gives an empty frame of the right shape, and the run goes on.
+
+No record is lost in silence: what a reader leaves out, and what it could read in part only,
+is listed by ``malformed_records`` with its file and the reason.
 """
 
 from __future__ import annotations
@@ -107,22 +110,38 @@ def read_json_identity(
 
     One document per file, or one per line (``lines=True``; a line may also be a single
     record). A document is one unit of work, so a large export should come as lines,
-    which Spark splits, or as a folder of pages. A malformed document gives no rows;
-    ``malformed_records`` lists it.
+    which Spark splits, or as a folder of pages. Fields are read as variants, whatever
+    their shape: where a nested object is something else, the fields in it are null and
+    the rest of the record stays. A malformed document gives no rows.
     """
     loaded = _load_documents(spark, path, lines)
-    fields = [F.col(f.name) for f in JSON_IDENTITY_SCHEMA]
-    filled = F.coalesce(*[F.when(c.isNotNull(), F.lit(True)) for c in fields])
-    records = F.when(F.col("employees").isNotNull(), F.col("employees")).when(
-        F.col("_malformed").isNull() & filled, F.array(F.struct(*fields))
+    nested = {f.name: f.dataType.names for f in JSON_IDENTITY_SCHEMA if isinstance(f.dataType, T.StructType)}
+
+    def record(field) -> Column:
+        """The record as text fields, from the expression and path of each of its fields."""
+        columns = []
+        for f in JSON_IDENTITY_SCHEMA:
+            if f.name in nested:
+                parts = [F.try_variant_get(*field(f.name, n), "string").alias(n) for n in nested[f.name]]
+                columns.append(F.struct(*parts).alias(f.name))
+            else:
+                columns.append(F.try_variant_get(*field(f.name), "string").alias(f.name))
+        return F.struct(*columns)
+
+    def listed(element: Column) -> Column:
+        return record(lambda *names: (element, "$." + ".".join(names)))
+
+    own = record(lambda name, *inner: (F.col(name), ".".join(("$", *inner))))
+    records = F.when(F.col("employees").isNotNull(), F.transform(F.filter("employees", _is_object), listed)).when(
+        _has_fields(), F.array(own)
     )
     return _stamp(loaded.select(F.inline(records)), name)
 
 
 def _load_documents(spark: SparkSession, path: str, lines: bool) -> DataFrame:
     document = T.StructType(
-        [T.StructField("employees", T.ArrayType(JSON_IDENTITY_SCHEMA))]
-        + JSON_IDENTITY_SCHEMA.fields
+        [T.StructField("employees", T.ArrayType(T.VariantType()))]
+        + [T.StructField(f.name, T.VariantType()) for f in JSON_IDENTITY_SCHEMA]
         + [T.StructField(_MALFORMED, T.StringType())]
     )
     return _load(
@@ -130,28 +149,94 @@ def _load_documents(spark: SparkSession, path: str, lines: bool) -> DataFrame:
     )
 
 
+def _has_fields() -> Column:
+    """Whether a document is a record itself: it has one of the fields, not just as null."""
+    has = [F.col(f.name).isNotNull() & ~F.is_variant_null(f.name) for f in JSON_IDENTITY_SCHEMA]
+    return reduce(Column.__or__, has)
+
+
+def _is_object(value: Column) -> Column:
+    return F.schema_of_variant(value).startswith("OBJECT<")
+
+
 def malformed_records(spark: SparkSession, sources: Mapping[str, SourceSpec]) -> DataFrame:
-    """(source_system, record): the JSON and XML records that could not be read, as text."""
-    found = spark.createDataFrame([], "source_system string, record string")
+    """(source_system, file, reason, record): what could not be read, or only in part.
+
+    The feeds hold what could be read of records listed as ``unreadable``, ``too few values``
+    or ``open quote``; they do not hold the others. ``record`` is the record's text; it is
+    null for a document without records.
+    """
+    found = spark.createDataFrame([], "source_system string, file string, reason string, record string")
     for name, spec in sources.items():
         if spec.format in ("json", "json_lines"):
-            loaded = _load_documents(spark, spec.path, spec.format == "json_lines")
-            field = "employee_identifier"
+            listed = _malformed_json(spark, spec)
         elif spec.format == "xml":
-            schema = T.StructType([*BENEFITS_SCHEMA.fields, T.StructField(_MALFORMED, T.StringType())])
-            loaded = _load(
-                spark, schema, "xml", spec.path, rowTag="enrollment", columnNameOfCorruptRecord=_MALFORMED
-            )
-            field = "employee_id"
+            listed = _malformed_xml(spark, spec)
+        elif spec.format == "csv":
+            schema = PAYROLL_SCHEMA if name == "payroll" else CSV_IDENTITY_SCHEMA
+            listed = _malformed_csv(spark, spec, schema)
         else:
             continue
-        # Spark parses records only if it is asked for a field of theirs too: no part of one
-        record = F.concat(F.col(_MALFORMED), F.substring(F.coalesce(field, F.lit("")), 1, 0))
-        broken = loaded.select(F.lit(name).alias("source_system"), record.alias("record"))
-        found = found.unionByName(broken.filter("record IS NOT NULL"))
+        found = found.unionByName(listed.select(F.lit(name).alias("source_system"), "file", "reason", "record"))
     return found
 
 
+def _malformed_json(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    loaded = _with_file(_load_documents(spark, spec.path, spec.format == "json_lines"))
+    empty = F.col("employees").isNull() & ~_has_fields()
+    others = F.transform(
+        F.filter("employees", lambda e: ~_is_object(e)), lambda e: F.struct(F.lit("not a record").alias("reason"), F.to_json(e).alias("record"))
+    )
+    whole = F.struct(
+        F.when(F.col(_MALFORMED).isNotNull(), "unreadable").otherwise("no records").alias("reason"),
+        F.col(_MALFORMED).alias("record"),
+    )
+    kinds = F.when(F.col(_MALFORMED).isNotNull() | empty, F.array(whole)).otherwise(others)
+    return loaded.select("file", F.inline(kinds))
+
+
+def _malformed_xml(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+    schema = T.StructType([*BENEFITS_SCHEMA.fields, T.StructField(_MALFORMED, T.StringType())])
+    loaded = _with_file(
+        _load(spark, schema, "xml", spec.path, rowTag="enrollment", columnNameOfCorruptRecord=_MALFORMED)
+    )
+    listed = loaded.select("file", F.lit("unreadable").alias("reason"), _text_of("employee_id").alias("record"))
+    return listed.filter("record IS NOT NULL")
+
+
+def _text_of(field: str) -> Column:
+    """The text of a malformed record. Spark parses records only if it is asked for a field of
+    theirs too: no part of one."""
+    return F.concat(F.col(_MALFORMED), F.substring(F.coalesce(F.col(f"`{field}`"), F.lit("")), 1, 0))
+
+
+def _malformed_csv(spark: SparkSession, spec: SourceSpec, schema: T.StructType) -> DataFrame:
+    frames = [
+        _with_file(rows).select("file", _csv_fault(record := _text_of(rows.columns[0]), width).alias("reason"), record.alias("record"))
+        for rows, width in _csv_by_header(spark, spec.path, schema, spec.multi_line)
+    ]
+    return reduce(DataFrame.unionByName, frames).filter("reason IS NOT NULL")
+
+
+def _csv_fault(record: Column, width: int) -> Column:
+    """What is wrong with a record that does not have ``width`` values; null for no record."""
+    unquoted = F.regexp_replace(record, '"[^"]*"', "")
+    values = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+    return (
+        F.when(record.isNull(), None)
+        .when(F.contains(unquoted, F.lit('"')), "open quote")
+        .when(values > width, "too many values")
+        .otherwise("too few values")
+    )
+
+
+def _with_file(df: DataFrame) -> DataFrame:
+    """The rows and the file of each; an empty frame that stands for a missing path has none."""
+    if not df.inputFiles():
+        return df.withColumn("file", F.lit(None).cast("string"))
+    return df.withColumn("file", F.col("_metadata.file_path"))
+
+
 def read_payroll(
     spark: SparkSession,
     path: str,
@@ -228,19 +313,35 @@ def _read_csv(
     """Columns are found by header name, in whatever order each file has them.
 
     The files of a folder may have different headers: those with the same one are read
-    together, and each header by itself.
+    together, and each header by itself. A row with too few values has nulls for the rest; one
+    with too many is left out, as its values cannot be told apart.
     """
+    frames = [
+        _by_header(rows.filter(~_csv_fault(_text_of(rows.columns[0]), width).eqNullSafe("too many values")), schema)
+        for rows, width in _csv_by_header(spark, path, schema, multi_line)
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _csv_by_header(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool
+) -> list[tuple[DataFrame, int]]:
+    """For each header below the path, the rows under it, with the text of those that do not
+    fit it in a column of its own, and how many values the header has."""
     options = {"header": True, "encoding": "UTF-8", "escape": '"', "multiLine": multi_line}
     try:
         first = spark.read.options(**options).csv(path)
     except AnalysisException as error:
-        return _empty(spark, schema, path, error)
-    frames = [
-        _by_header(spark.read.options(**options).csv(files), schema)
-        for files in _files_by_header(first, spark, path)
-    ]
-    frames = frames or [_by_header(first, schema)]
-    return reduce(DataFrame.unionByName, frames)
+        missing = T.StructType([*schema.fields, T.StructField(_MALFORMED, T.StringType())])
+        return [(_empty(spark, missing, path, error), len(schema))]
+    out = []
+    for files in _files_by_header(first, spark, path) or [path]:
+        names = first.columns if files == path else spark.read.options(**options).csv(files).columns
+        wide = _texts(*names, _MALFORMED)
+        # all values are parsed: fewer than all would hide how many there are
+        rows = spark.read.schema(wide).options(**options, columnNameOfCorruptRecord=_MALFORMED, columnPruning=False)
+        out.append((rows.csv(files), len(names)))
+    return out
 
 
 def _files_by_header(first: DataFrame, spark: SparkSession, path: str) -> list[list[str]]:

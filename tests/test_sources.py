@@ -172,7 +172,73 @@ def test_malformed_json_lines_are_listed(spark, tmp_path):
     rows = readers.load_sources(spark, sources)["acquiredco_hris"].collect()
     assert [r["employee_identifier"] for r in rows] == ["1", "3"]
     rejected = readers.malformed_records(spark, sources).collect()
-    assert [tuple(r) for r in rejected] == [("acquiredco_hris", '{"employee_identifier": ')]
+    assert [(r["source_system"], r["reason"], r["record"]) for r in rejected] == [
+        ("acquiredco_hris", "unreadable", '{"employee_identifier": ')
+    ]
+    assert rejected[0]["file"].endswith("/a.json")
+
+
+ODD_PEOPLE = [
+    {"employee_identifier": "1", "name": "Bob"},
+    {"employee_identifier": "2", "name": ["x"], "contact": 5, "assignment": None, "employment": True},
+    {"employee_identifier": 3, "name": {"first": {"a": 1}, "last": 1.5}, "contact": {"email": None}},
+]
+ODD_ROWS = [("1", None, None), ("2", None, None), ("3", '{"a":1}', "1.5")]
+
+
+@pytest.mark.parametrize("form", ["lines", "line of a page", "document", "list"])
+def test_json_records_of_any_shape_stay(spark, tmp_path, form):
+    text = {
+        "lines": "\n".join(map(json.dumps, ODD_PEOPLE)),
+        "line of a page": json.dumps({"employees": ODD_PEOPLE}),
+        "document": json.dumps({"employees": ODD_PEOPLE}, indent=1),
+        "list": json.dumps(ODD_PEOPLE, indent=1),
+    }[form]
+    path = write(tmp_path, "people.json", text)
+    lines = form.startswith("line")
+    people = readers.read_json_identity(spark, path, lines=lines)
+    rows = people.select("employee_identifier", "name.first", "name.last").collect()
+    assert sorted(tuple(r) for r in rows) == ODD_ROWS
+    # the same records whatever columns are asked for
+    assert people.count() == len([r for r in people.select("contact.email").collect()]) == 3
+    spec = {"acquiredco_hris": SourceSpec(path, "json_lines" if lines else "json")}
+    assert readers.malformed_records(spark, spec).count() == 0
+
+
+def test_json_elements_that_are_no_records_are_listed(spark, tmp_path):
+    path = write(tmp_path, "people.json", json.dumps({"employees": [PERSON, 5, None, ["x"], "y"]}))
+    spec = {"acquiredco_hris": SourceSpec(path, "json")}
+    assert readers.load_sources(spark, spec)["acquiredco_hris"].count() == 1
+    rows = readers.malformed_records(spark, spec).collect()
+    assert sorted((r["reason"], r["record"]) for r in rows) == [("not a record", t) for t in ('"y"', "5", '["x"]', "null")]
+
+
+def test_csv_rows_that_do_not_fit_their_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        'employee_id,first_name,last_name\n1,Ann\n2,Bob,Lee,EXTRA\n3,"Cy,Fox\n4,"a ""q"", b",Z\n5,x,\n\n6,x,y,\n'
+    )
+    (tmp_path / "b.csv").write_text("last_name,employee_id\nRay,7\nRay\n")
+    spec = {"globaltech_hris": SourceSpec(str(tmp_path), "csv")}
+    feed = readers.load_sources(spark, spec)["globaltech_hris"]
+    rows = feed.select("employee_id", "first_name", "last_name").collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(
+        [("1", "Ann", None), ("3", "Cy,Fox", None), ("4", 'a "q", b', "Z"), ("5", "x", None), ("7", None, "Ray"), (None, None, "Ray")],
+        key=repr,
+    )
+    assert feed.count() == feed.select("source_system").count() == len(rows)
+    listed = readers.malformed_records(spark, spec).collect()
+    assert sorted((r["file"][-5:], r["reason"], r["record"]) for r in listed) == [
+        ("a.csv", "open quote", '3,"Cy,Fox'), ("a.csv", "too few values", "1,Ann"),
+        ("a.csv", "too many values", "2,Bob,Lee,EXTRA"), ("a.csv", "too many values", "6,x,y,"),
+        ("b.csv", "too few values", "Ray"),
+    ]
+    assert readers.malformed_records(spark, spec).groupBy("reason").count().count() == 3
+
+
+def test_missing_files_list_nothing(spark, tmp_path):
+    gone = str(tmp_path / "gone")
+    spec = {n: SourceSpec(gone, f) for n, f in (("globaltech_hris", "csv"), ("acquiredco_hris", "json"), ("benefits", "xml"))}
+    assert readers.malformed_records(spark, spec).count() == 0
 
 
 def test_rejected_values_are_counted(spark):
