@@ -12,10 +12,11 @@ small set therefore counts as several, at a level that depends on the size of th
 near the bound of two levels are summarised at both, so any two alike sets share a level.
 
 Documents with the same set are one document to all this. Within a group of candidates the
-pairs are not listed: every document is first compared with few others, the links found
-make components, and only candidates that are still in different components are compared
-with the rest. What is left out lies within one component, where it changes nothing, or
-has so many shingles of its own that no link is possible.
+pairs are not listed: every document is first compared with the most central one of its
+groups, the links found make components, and groups that lie within one component are done.
+In the others, the largest component's most central document is the measure: two documents
+can only be linked if what each has beyond and lacks of it has enough in common, so the
+rarest part of that, the prefix, shares an element. Only such pairs are compared.
 """
 
 from __future__ import annotations
@@ -32,17 +33,14 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollbook.llm.tables import join_groups, stage, texts
+from rollbook.llm.tables import HOT_PARTS, HOT_SHARE, join_groups, stage, texts
 from rollbook.llm.words import NOWHERE, parts, split_white
+from rollbook.operators.pairs import join_pairs
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MANTISSA_BITS = 10
 _BAND_BYTES = 8  # four registers of 16 bits
-# Rounds before all candidates in different components are compared in any case.
-_MOST_STARS = 3
-# Pairs left to weigh, for each row in a candidate group, at which this is done at once.
-_PAIRS_A_ROW = 256
 
 
 @dataclass(frozen=True)
@@ -156,7 +154,7 @@ def estimate(
 
 
 def signatures(docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:
-    """doc_id, n_shingles, set_id (a digest of the set; null if empty), times, registers.
+    """doc_id, text_id, n_shingles, set_id (a digest of the set; null if empty), times, registers.
 
     ``times`` and ``registers`` are arrays with an element for each level.
     """
@@ -177,17 +175,18 @@ def signatures(docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(rows)),
+                        batch.column("text_id").take(pa.array(rows)),
                         pa.array(sizes, pa.int64()),
                         pa.array(names, pa.binary()),
                         pa.array(times, pa.list_(pa.int32())),
                         pa.array(found, pa.list_(pa.binary())),
                     ],
-                    ["doc_id", "n_shingles", "set_id", "times", "registers"],
+                    ["doc_id", "text_id", "n_shingles", "set_id", "times", "registers"],
                 )
 
     doc_id = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {doc_id}, n_shingles long, set_id binary, times array<int>, registers array<binary>"
-    return docs.select("doc_id", "text").mapInArrow(signed, schema)
+    schema = f"doc_id {doc_id}, text_id long, n_shingles long, set_id binary, times array<int>, registers array<binary>"
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_id")).mapInArrow(signed, schema)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, likeness: Likeness = Likeness()) -> DataFrame:
@@ -197,66 +196,76 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, likeness: Likeness = L
     if 100 * common shingles >= percent * shingles of either; every link between candidates
     is confirmed on the full sets. ``component_id`` is the smallest doc_id that links lead
     to; ``kept`` marks it. A document without words (a null or empty text too) is linked
-    with nothing. Rows that repeat a doc_id are one document; rows without an id are linked
-    with nothing and kept. Other columns of ``docs`` are not read.
+    with nothing. Rows that repeat a doc_id are one document: one of its texts, that with the
+    smallest hash, stands for all; rows without an id are linked with nothing and kept. Texts are taken whole, however long:
+    a task holds the shingles of one of them. Other columns of ``docs`` are not read.
     """
     staged = stage(spark)
     signed = staged.table("signed", signatures(docs, likeness))
+    real = signed.filter("set_id IS NOT NULL AND doc_id IS NOT NULL")
+    several = (
+        real.groupBy("doc_id")
+        .agg(F.count("*").alias("n"), F.min("text_id").alias("first"), F.max_by("set_id", -F.col("text_id")).alias("own_set"), F.max("text_id").alias("last"))
+        .filter("first <> last")
+        .drop("last")
+    )
+    marked = join_groups(signed, staged.table("several", several), ["doc_id"], F.col("text_id"), "left").drop("n")
     sets = staged.table(
         "sets",
-        signed.filter("set_id IS NOT NULL AND doc_id IS NOT NULL")
+        marked.filter("set_id IS NOT NULL AND doc_id IS NOT NULL AND coalesce(text_id = first, true)")
         .groupBy("set_id")
         .agg(
             F.min("doc_id").alias("id"),
+            F.min_by("text_id", "doc_id").alias("text_id"),
             F.count("*").alias("n"),
             F.max("n_shingles").alias("size"),
             F.first("times").alias("times"),
             F.first("registers").alias("registers"),
         ),
     )
-    labels = _labels(staged, docs, sets, likeness)
+    labels = _labels(staged, docs, signed, sets, likeness)
     named = sets.join(labels, "id", "left").select(
         "set_id", "n", F.coalesce("label", "id").alias("component_id")
     )
-    joined = join_groups(signed.drop("times", "registers"), named, ["set_id"], F.col("doc_id"), "left")
-    component = F.coalesce("component_id", "doc_id")
-    # equal ids may have come with different texts: the smallest component holds for all
+    of_id = marked.select("doc_id", "n_shingles", F.coalesce("own_set", "set_id").alias("set_id"))
+    joined = join_groups(of_id, named, ["set_id"], F.col("doc_id"), "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return joined.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
 
-def _labels(staged, docs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
-    """(id, label): the component of every document that some link joins to another."""
+def _labels(staged, docs: DataFrame, signed: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
+    """(id, label): the component of every set's document that some link joins to another."""
     grouped = _candidate_groups(staged, sets, likeness)
     ids = staged.table("ids", grouped.select("id").distinct())
-    alike = staged.table(
-        "texts", texts(docs).join(ids, F.col("doc_id") == F.col("id"), "inner").select("id", "text")
-    )
+    alike = staged.table("texts", _texts_of(docs, signed, sets.join(ids, "id").select("id", "text_id")))
     live = staged.table("live", _linkable(ids, alike, sets, likeness))
     rows = staged.table("rows", grouped.join(live, "id").withColumn("label", F.col("id")))
 
     def compare(name: str, pairs: DataFrame) -> DataFrame:
-        return staged.table(f"links_{name}", _confirmed(_possible(pairs, sets, likeness), alike, likeness))
+        possible = staged.table(f"possible_{name}", _possible(staged, name, pairs, sets, likeness))
+        return staged.table(f"links_{name}", _confirmed(staged, name, possible, alike, likeness))
 
     # Every document with the most central candidate of all its groups.
     star = _star(rows, likeness).groupBy("id").agg(F.min(F.struct("own", "hub")).alias("best"))
     tested = staged.table("pairs_0", star.select("id", "best.hub").select(*_pair("id", "hub")).distinct())
     links = compare("0", tested)
-    for number in range(1, _MOST_STARS + 1):
-        labels = _components(staged, str(number), links)
-        left = staged.table(f"open_{number}", _open(rows.drop("label"), labels))
-        n, rest = left.agg(F.count("*"), F.coalesce(F.sum("others"), F.lit(0))).first()
-        if not n:
-            return labels
-        last = rest <= _PAIRS_A_ROW * n or number == _MOST_STARS
-        pairs = _across(left, likeness) if last else _star(left, likeness).select(*_pair("id", "hub")).distinct()
-        fresh = staged.table(f"pairs_{number}", pairs.join(tested, ["a", "b"], "left_anti"))
-        found = compare(str(number), fresh)
-        if last:
-            return labels if found.isEmpty() else _components(staged, "all", links.unionByName(found))
-        links, tested = links.unionByName(found), tested.unionByName(fresh)
-    return labels
+    labels = _components(staged, "stars", links)
+    left = staged.table("open", _open(staged, rows.drop("label"), labels))
+    if left.isEmpty():
+        return labels
+    pairs = _across(staged, left, alike, likeness)
+    found = compare("1", staged.table("pairs_1", pairs.join(tested, ["a", "b"], "left_anti")))
+    return labels if found.isEmpty() else _components(staged, "all", links.unionByName(found))
+
+
+def _texts_of(docs: DataFrame, signed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, text) for the rows of ``docs`` with these ids and texts, each once."""
+    counts = signed.groupBy(F.col("doc_id").alias("id"), "text_id").agg(F.count("*").alias("n"))
+    own = docs.select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("text_id"))
+    met = join_groups(own, counts.join(wanted, ["id", "text_id"]), ["id", "text_id"], F.rand(7), "inner")
+    return met.groupBy("id").agg(F.min("text").alias("text"))
 
 
 def _candidate_groups(staged, sets: DataFrame, likeness: Likeness) -> DataFrame:
@@ -272,27 +281,123 @@ def _candidate_groups(staged, sets: DataFrame, likeness: Likeness) -> DataFrame:
     groups = staged.table(
         "groups", banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     )
-    return staged.table("grouped", join_groups(banded, groups, ["key"], F.col("id"), "inner").select("key", "id"))
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    part, parts_of = _parts("key", _hot(groups, "key", total), F.col("id"))
+    spread = groups.select("key", F.explode(parts_of).alias("part"))
+    return staged.table("grouped", banded.withColumn("part", part).join(spread, ["key", "part"]).select("key", "id"))
 
 
-def _open(grouped: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of the groups that hold several components, with (label, first, others).
+def _hot(groups: DataFrame, column: str, total: int) -> list:
+    """The values with more than 1 in HOT_SHARE of ``total`` rows. There are fewer than
+    HOT_SHARE of them, so they can be part of an expression."""
+    return [r[0] for r in groups.filter(F.col("n") * HOT_SHARE > total).select(column).collect()]
 
-    ``first`` is the largest component of a group; ``others`` is, for a document outside
-    it, the number of documents in the group.
-    """
+
+def _parts(column: str, hot: list, deal):
+    """The part a row goes to, dealt by ``deal`` if its value is hot, and the parts of a value."""
+    is_hot = F.col(column).isin(hot) if hot else F.lit(False)
+    part = F.when(is_hot, F.pmod(F.xxhash64(deal), F.lit(HOT_PARTS))).otherwise(0).cast("int")
+    return part, F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0)))
+
+
+def _with(rows: DataFrame, column: str, table: DataFrame, deal) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has ``column`` once; many rows may hold one
+    value of it, which are then dealt by ``deal``. ``rows`` are read to count them first."""
+    counts = rows.groupBy(column).agg(F.count("*").alias("n"))
+    part, parts_of = _parts(column, _hot(counts, column, rows.count()), deal)
+    spread = table.withColumn("_part", F.explode(parts_of))
+    return rows.withColumn("_part", part).join(spread, [column, "_part"]).drop("_part")
+
+
+def _open(staged, grouped: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the groups that hold several components, with their label and the group's
+    ``hub``, the most central document of its largest component, ``hub_label``."""
     labelled = grouped.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     spread = (
         labelled.groupBy("key", "label")
         .agg(F.count("*").alias("m"))
         .groupBy("key")
-        .agg(F.sum("m").alias("n"), F.count("*").alias("labels"), F.max_by("label", F.struct("m", "label")).alias("first"))
+        .agg(F.sum("m").alias("n"), F.count("*").alias("labels"), F.max_by("label", F.struct("m", "label")).alias("label"))
         .filter("labels > 1")
-        .drop("labels")
     )
-    others = F.when(F.col("label") != F.col("first"), F.col("n")).otherwise(0)
-    joined = join_groups(labelled, spread, ["key"], F.col("id"), "inner")
-    return joined.withColumn("others", others).drop("n")
+    spread = staged.table("spread", spread)
+    central = labelled.groupBy("label").agg(F.min(F.struct("own", "id")).alias("hub"))
+    hubs = _with(spread.drop("n"), "label", central.select("label", F.col("hub.id").alias("hub")), F.col("key"))
+    hubs = staged.table("hubs", hubs.withColumnRenamed("label", "hub_label"))
+    total = spread.agg(F.sum("n")).first()[0] or 0
+    part, parts_of = _parts("key", _hot(spread, "key", total), F.col("id"))
+    return labelled.withColumn("_part", part).join(hubs.withColumn("_part", F.explode(parts_of)), ["key", "_part"]).drop("_part", "labels")
+
+
+def _across(staged, rows: DataFrame, alike: DataFrame, likeness: Likeness) -> DataFrame:
+    """The pairs of open groups in different components that may be linked, by their prefixes.
+
+    Sets A and B are linked if they differ in at most s * (|A| + |B|) shingles, where s is
+    (100 - percent) / (100 + percent). Each is given by its difference to the hub's set, what
+    it has beyond it and what it lacks; A and B differ in |dA| + |dB| - 2 * |dA and dB|
+    shingles. So the differences of linked sets have at least a number of elements in common,
+    and in one order of all elements, the prefixes that leave out one less of them than that
+    share one already. Elements beyond the hub's set, which are rare, come first. The bound is
+    one or more unless both are linked to the hub: with A that is not, |dA| is more than
+    s * (|A| + |hub|), and the size of dB at least the difference of |B| and |hub|.
+    """
+    size, percent = likeness.shingle_words, likeness.percent
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, batch.num_rows // max(1, batch.nbytes // 8_000_000))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                at, elements = [], []
+                mine, measures = (shingle_sets(part.column(c), size) for c in ("text", "hub_text"))
+                for row, (a, hub) in enumerate(zip(mine, measures)):
+                    beyond = np.setdiff1d(a, hub, assume_unique=True)
+                    lacking = np.setdiff1d(hub, a, assume_unique=True)
+                    found = np.concatenate([beyond, lacking])
+                    n = len(found)
+                    missing = 100 - percent
+                    if 100 * (len(a) - len(beyond)) >= percent * (len(a) + len(lacking)):
+                        # linked to the hub, so what is looked for is a partner that is not
+                        common = (n * (100 + percent) + missing * (len(hub) - len(a))) // (2 * (100 + percent)) + 1
+                    else:  # the partner is larger by a share of this one's size at most
+                        common = n - missing * len(a) // percent
+                    prefix = found[: max(0, n - max(common, 1) + 1)]
+                    at.append(np.full(len(prefix), row))
+                    elements.append(prefix)
+                at = pa.array(np.concatenate(at))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c).take(at) for c in ("id", "label", "size", "own", "hub")),
+                        pa.array(np.concatenate(elements).view(np.int64)),
+                    ],
+                    ["id", "label", "size", "own", "hub", "element"],
+                )
+
+    kind = dict(rows.dtypes)["id"]
+    measures = staged.table("measures", rows.select("id", "label", "size", "own", "hub", "hub_label").distinct())
+    hub_texts = alike.select(F.col("id").alias("hub"), F.col("text").alias("hub_text"))
+    # an id has a hub for each of its groups at most; a hub has any number of ids
+    measured = _with(measures, "hub", hub_texts, F.col("id")).join(alike, "id").select("id", "label", "size", "own", "hub", "text", "hub_text")
+    elements = staged.table(
+        "prefixes",
+        measured.mapInArrow(listed, f"id {kind}, label {kind}, size long, own long, hub {kind}, element long"),
+    )
+    # elements of several components; the smaller of two linked documents has few shingles of
+    # its own for its size, so it takes one side alone
+    mixed = (
+        elements.groupBy("hub", "element")
+        .agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter("low < high")
+        .select("hub", "element", "n")
+    )
+    met = staged.table("met", join_groups(elements, staged.table("mixed", mixed), ["hub", "element"], F.col("id"), "inner").drop("n"))
+    strong = met.filter(f"100 * (size - own) >= {percent} * (size + own)")
+    other = met.select("hub", "element", *[F.col(c).alias(f"o_{c}") for c in ("id", "label", "size", "own")])
+    wanted = f"size <= o_size AND label <> o_label AND {_allowed('', 'o_', likeness)}"
+    pairs = join_pairs(strong, other, ["hub", "element"], "id", "o_id", wanted).select(*_pair("o_id", "id"))
+    # and each with the hub itself, where that was not its star
+    stars = measures.filter("label <> hub_label")
+    return pairs.union(stars.select(*_pair("id", "hub"))).distinct()
 
 
 def _linkable(ids: DataFrame, alike: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
@@ -346,27 +451,15 @@ def _star(rows: DataFrame, likeness: Likeness) -> DataFrame:
     return wanted.select("id", F.col("hub.id").alias("hub"), F.col("hub.own").alias("own"))
 
 
-def _across(rows: DataFrame, likeness: Likeness) -> DataFrame:
-    """All pairs of a group in different components: the few outside its largest one with all.
+def _sides(staged, name: str, pairs: DataFrame, side: Callable[[str], DataFrame]) -> DataFrame:
+    """Pairs with what ``side`` has for their two documents, either of which many may share."""
+    first = _with(pairs, "a", side("a"), F.col("b"))
+    counts = staged.table(f"counts_{name}", pairs.groupBy("b").agg(F.count("*").alias("n")))
+    part, parts_of = _parts("b", _hot(counts, "b", pairs.count()), F.col("a"))
+    return first.withColumn("_part", part).join(side("b").withColumn("_part", F.explode(parts_of)), ["b", "_part"])
 
-    A pair that shares several groups is listed in the one with the smallest key only.
-    """
-    keys = rows.groupBy("id").agg(F.collect_set("key").alias("keys"))  # one a band and level
-    earlier = F.filter("keys", lambda k: k < F.col("key")).alias("earlier")
-    rows = rows.join(keys, "id").select("key", "id", "label", "first", "size", "own", earlier)
-    outside = rows.filter("label <> first").select(
-        "key", *[F.col(c).alias(f"o_{c}") for c in ("id", "label", "size", "own", "earlier")]
-    )
-    met = outside.join(rows, "key")
-    wanted = (
-        met.filter("label <> o_label AND (label = first OR id < o_id)")
-        .filter(_allowed("", "o_", likeness))
-        .filter("NOT arrays_overlap(earlier, o_earlier)")
-    )
-    return wanted.select(*_pair("o_id", "id"))
 
-
-def _possible(pairs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
+def _possible(staged, name: str, pairs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
     """The pairs whose registers allow the threshold."""
     least = likeness.least_estimate
 
@@ -384,16 +477,16 @@ def _possible(pairs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFram
             yield batch.filter(pa.array(stays, pa.bool_())).select([0, 1])
 
     def side(name: str) -> DataFrame:
-        return sets.select(*[F.col(c).alias(f"{c}_{name}") for c in ("id", "size", "times", "registers")])
+        return sets.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("size", "times", "registers")])
 
-    joined = pairs.join(side("a"), F.expr("a = id_a")).drop("id_a").join(side("b"), F.expr("b = id_b")).drop("id_b")
+    joined = _sides(staged, f"possible_{name}", pairs, side).select("a", "b", *[f"{c}_{x}" for x in "ab" for c in ("size", "times", "registers")])
     # sizes further apart than the threshold allows need no registers
     near = f"100 * least(size_a, size_b) >= {likeness.percent} * greatest(size_a, size_b)"
     kind = dict(pairs.dtypes)["a"]
     return joined.filter(near).mapInArrow(kept, f"a {kind}, b {kind}")
 
 
-def _confirmed(pairs: DataFrame, alike: DataFrame, likeness: Likeness) -> DataFrame:
+def _confirmed(staged, name: str, pairs: DataFrame, alike: DataFrame, likeness: Likeness) -> DataFrame:
     """The pairs that reach the threshold on their full sets."""
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,16 +503,18 @@ def _confirmed(pairs: DataFrame, alike: DataFrame, likeness: Likeness) -> DataFr
                 yield part.filter(pa.array(stays, pa.bool_())).select([0, 1])
 
     def side(name: str) -> DataFrame:
-        return alike.select(F.col("id").alias(f"id_{name}"), F.col("text").alias(f"text_{name}"))
+        return alike.select(F.col("id").alias(name), F.col("text").alias(f"text_{name}"))
 
-    joined = pairs.join(side("a"), F.expr("a = id_a")).drop("id_a").join(side("b"), F.expr("b = id_b")).drop("id_b")
+    joined = _sides(staged, f"links_{name}", pairs, side).select("a", "b", "text_a", "text_b")
     kind = dict(pairs.dtypes)["a"]
     return joined.mapInArrow(kept, f"a {kind}, b {kind}")
 
 
 def _components(staged, name: str, links: DataFrame) -> DataFrame:
     """(id, label): the smallest id that links lead to, for every id in a link."""
-    ways = links.select(F.col("a").alias("id"), F.col("b").alias("to")).union(links.select("b", "a"))
+    ways = staged.table(
+        f"ways_{name}", links.select(F.col("a").alias("id"), F.col("b").alias("to")).union(links.select("b", "a"))
+    )
     labels = staged.table(
         f"labels_{name}_0", ways.groupBy("id").agg(F.min("to").alias("to")).select("id", F.least("id", "to").alias("label"))
     )
@@ -428,13 +523,11 @@ def _components(staged, name: str, links: DataFrame) -> DataFrame:
         number += 1
         # the smallest label beside each id, and one step further, the label of that label
         beside = labels.select(F.col("id").alias("to"), F.col("label").alias("beside"))
-        lowest = ways.join(beside, "to").groupBy("id").agg(F.min("beside").alias("beside"))
+        lowest = _with(ways, "to", beside, F.col("id")).groupBy("id").agg(F.min("beside").alias("beside"))
         lower = labels.join(lowest, "id").select("id", F.col("label").alias("old"), F.least("label", "beside").alias("label"))
+        lower = staged.table(f"lower_{name}_{number}", lower)
+        if lower.filter("old <> label").isEmpty():
+            return labels
         jump = labels.select(F.col("id").alias("label"), F.col("label").alias("next"))
-        labels = staged.table(
-            f"labels_{name}_{number}",
-            lower.join(jump, "label").select("id", "old", F.least("label", "next").alias("label")),
-        )
-        if labels.filter("old <> label").isEmpty():
-            return labels.select("id", "label")
-        labels = labels.select("id", "label")
+        jumped = _with(lower, "label", jump, F.col("id")).select("id", F.least("label", "next").alias("label"))
+        labels = staged.table(f"labels_{name}_{number}", jumped)

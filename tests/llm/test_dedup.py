@@ -141,3 +141,44 @@ def test_alike_sizes_share_a_level():
     for small in range(1, 1200):
         for large in range(small, small * 100 // 85 + 1):
             assert set(likeness.levels(small)) & set(likeness.levels(large))
+
+
+def test_near_duplicates_of_variants(spark):
+    """Variants of one text with a few changed, dropped or added words each, and of another."""
+    import random
+
+    rng = random.Random(11)
+    corpus = []
+    for base, n in ((150, 160), (90, 60)):
+        words = [f"b{base}w{i}" for i in range(base)]
+        for _ in range(n):
+            text = list(words)
+            for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 4])):
+                at = rng.randrange(len(text))
+                kind = rng.random()
+                if kind < 0.5:
+                    text[at] = rng.choice([f"x{rng.randrange(10**6)}", "same"])
+                elif kind < 0.75:
+                    del text[at]
+                else:
+                    text.insert(at, f"y{rng.randrange(9)}")
+            if rng.random() < 0.1:
+                text = text[: -rng.randrange(1, 12)]
+            corpus.append(" ".join(text))
+    corpus = list(enumerate(corpus))
+    docs = spark.createDataFrame(corpus, "doc_id long, text string").repartition(4)
+    assert found(near_duplicates(spark, docs)) == sorted(near(corpus), key=repr)
+
+
+def test_near_duplicates_with_many_repeated_rows(spark):
+    """Each id stands for one document, however often its rows repeat, also with other texts."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text)] * 150 + [(2, text + " end")] * 150 + [(3, "another text of a few words only"), (None, text), (None, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [(r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(spark, docs).collect()]
+    assert sorted(got, key=repr) == sorted(
+        [(1, 1, True)] * 150 + [(2, 1, False)] * 150 + [(3, 3, True)] + [(None, None, True)] * 2, key=repr
+    )
+    mixed = spark.createDataFrame([(1, text), (2, text), (2, "quite another text of the id two"), (2, "")], "doc_id long, text string")
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_duplicates(spark, mixed).collect()]
+    assert {g[2] for g in got if g[0] == 2 and g[1]} in ({1}, {2}) and (2, 0, 2) in got and (1, 56, 1) in got
