@@ -48,11 +48,19 @@ def key_hashes(docs: DataFrame, sharing: Sharing) -> DataFrame:
 
 
 def shared_lines(docs: DataFrame, sharing: Sharing = Sharing()) -> DataFrame:
-    """a, b (a key's hash), n (its documents), keep_id (the largest of them)."""
+    """a, b (a key's hash), n (its documents), keep_id (the largest of them).
+
+    Documents are ids: where ids repeat, their keys are made distinct first. The table of
+    repeated ids is empty or small as a rule, and the keys of all others are counted as they
+    come. Rows without an id are no documents.
+    """
     once = F.array_distinct(F.transform("keys", lambda k: k["key"]))
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("_rows")).filter("_rows > 1 AND doc_id IS NOT NULL")
+    keys = key_hashes(docs, sharing).filter("doc_id IS NOT NULL").select("doc_id", F.inline(once))
+    marked = keys.join(repeated, "doc_id", "left")
+    again = marked.filter("_rows IS NOT NULL").select("doc_id", "a", "b").distinct()
     return (
-        key_hashes(docs, sharing)
-        .select("doc_id", F.inline(once))
+        marked.filter("_rows IS NULL").select("doc_id", "a", "b").unionByName(again)
         .groupBy("a", "b")
         .agg(F.count("*").alias("n"), F.max("doc_id").alias("keep_id"))
         .filter(F.col("n") >= sharing.documents)
@@ -66,9 +74,8 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sharing: Sharing = S
     at least ``least_length`` code points that ``documents`` documents or more hold, all
     lines go except those in the largest doc_id. A line repeated within a document counts
     as one document, and goes or stays with all its repetitions. Rows that repeat a doc_id
-    count as documents of their own; those with the largest id all keep the line. A row
-    without an id counts too and loses every shared line, as its id cannot be the largest,
-    unless all rows with the line lack one. Other columns of ``docs`` are not read.
+    count as one document, and those with the largest id all keep the line. A row without an
+    id is none, but loses every shared line. Other columns of ``docs`` are not read.
     """
     staged = stage(spark)
     shared = staged.table("shared", shared_lines(docs, sharing))

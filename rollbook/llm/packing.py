@@ -1,10 +1,12 @@
 """Documents packed into sequences of a fixed number of tokens, by exact complements.
 
 Packing is planned on the counts of lengths, a table no longer than the capacity, however
-many documents there are: a plan fills a sequence from lengths, not from documents. The
-plan indexes the sums of one, two and three available lengths, takes as many sequences of
-lengths that fill the capacity exactly as the counts allow, and places what remains best
-fit. Pieces then find their places by their rank among the pieces of their length.
+many documents there are: a plan fills a sequence from lengths, not from documents. The plan
+indexes the sums of one, two and three available lengths, looks up for each length the
+combinations that fill the rest of the capacity exactly, takes as many of them as the counts
+allow, and places what remains best fit. Exact sequences early on can leave lengths that fit
+each other badly, so best fit alone is planned too, and the plan with fewer sequences holds.
+Pieces then find their places by their rank among the pieces of their length.
 """
 
 from __future__ import annotations
@@ -41,8 +43,10 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
     left = {length: n for length, n in counts.items() if n}
     if any(length < 1 or length > capacity for length in left):
         raise ValueError("lengths must lie between 1 and the capacity")
-    patterns = _exact(left, capacity)
-    return patterns + _best_fit(left, capacity)
+    plain = _best_fit(dict(left), capacity)
+    exact = _exact(left, capacity)
+    exact += _best_fit(left, capacity)
+    return min(exact, plain, key=lambda patterns: sum(p.times for p in patterns))
 
 
 def _take(left: dict[int, int], lengths: tuple[int, ...], patterns: list[Pattern]) -> None:
@@ -57,43 +61,68 @@ def _take(left: dict[int, int], lengths: tuple[int, ...], patterns: list[Pattern
                 del left[length]
 
 
+class _Sums:
+    """The sums of one, two and three available lengths, each with its combinations.
+
+    Pairs are filed under their sum, the one with the smallest larger length last. A triple is
+    a length and a pair no longer than it, so its sum is found by the pair's. Combinations
+    with a length that is used up are dropped as they are met; none ever comes back.
+    """
+
+    def __init__(self, left: dict[int, int], capacity: int):
+        self._left = left
+        self._lengths = sorted(left, reverse=True)
+        self._pairs: dict[int, list[tuple[int, int]]] = {}
+        for k, a in enumerate(self._lengths):
+            for b in self._lengths[k:]:
+                if a + b < capacity:
+                    self._pairs.setdefault(a + b, []).append((a, b))
+
+    def singles(self, total: int, most: int) -> Iterator[tuple[int, ...]]:
+        """The combinations of one length with this sum, none longer than ``most``."""
+        if total <= most and total in self._left:
+            yield (total,)
+
+    def pairs(self, total: int, most: int) -> Iterator[tuple[int, ...]]:
+        filed, left = self._pairs.get(total, []), self._left
+        at = len(filed) - 1
+        while at >= 0:
+            a, b = filed[at]
+            if a not in left or b not in left:
+                del filed[at]
+            elif a > most:
+                return
+            else:
+                yield a, b
+            at = min(at, len(filed)) - 1
+
+    def triples(self, total: int, most: int) -> Iterator[tuple[int, ...]]:
+        for a in self._lengths:
+            if 3 * a < total:
+                return
+            if a <= most and a in self._left and total - a in self._pairs:
+                for b, c in self.pairs(total - a, a):
+                    if a not in self._left:
+                        break
+                    yield a, b, c
+
+
 def _exact(left: dict[int, int], capacity: int) -> list[Pattern]:
     """Longest lengths first, the gaps beside them are filled exactly: by one other length,
     by two, by three. ``left`` keeps what no combination takes."""
     patterns: list[Pattern] = []
-    for length in sorted(left, reverse=True):
-        gap = capacity - length
-        if not gap:
-            _take(left, (length,), patterns)
-        elif length in left and gap in left:
-            _take(left, (length, gap), patterns)
-    for length in sorted(left, reverse=True):
-        for pair in _pairs(left, capacity - length, length):
-            if length not in left:
-                break
-            _take(left, (length, *pair), patterns)
-    # the sums of two lengths, by sum: what a triple leaves open is looked up there
-    for length in sorted(left, reverse=True):
-        gap = capacity - length
-        for second in sorted((x for x in left if x <= min(length, gap - 2)), reverse=True):
-            if length not in left:
-                break
-            if second not in left:
-                continue
-            for pair in _pairs(left, gap - second, second):
-                if length not in left or second not in left:
+    if capacity in left:
+        _take(left, (capacity,), patterns)
+    for kind in (_Sums.singles, _Sums.pairs, _Sums.triples):
+        index = _Sums(left, capacity)
+        for length in sorted(left, reverse=True):
+            for others in kind(index, capacity - length, length):
+                if length not in left:
                     break
-                _take(left, (length, second, *pair), patterns)
+                _take(left, (length, *others), patterns)
     return patterns
 
 
-def _pairs(left: dict[int, int], total: int, most: int) -> Iterator[tuple[int, int]]:
-    """Available lengths a >= b with a + b = total, a at most ``most``."""
-    for a in range(min(most, total - 1), (total + 1) // 2 - 1, -1):
-        if a in left and total - a in left:
-            yield a, total - a
-
-
 def _best_fit(left: dict[int, int], capacity: int) -> list[Pattern]:
     """Longest first into the fullest sequences that have room; alike sequences together."""
     done: list[Pattern] = []
@@ -239,7 +268,8 @@ def pack(
     order = Window.partitionBy("_deal", "length").orderBy("doc_id", "piece", "ids_crc32")
     ranked = (
         dealt.withColumn("_rank", F.row_number().over(order) - 1)
-        .join(before, ["_deal", "length"])
+        # the window's shuffle serves this join; the table grows with the parts, so no broadcast
+        .join(before.hint("merge"), ["_deal", "length"])
         .select(*found.columns, (F.col("_before") + F.col("_rank")).alias("_rank"))
     )
 

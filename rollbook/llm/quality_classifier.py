@@ -10,7 +10,7 @@ scores every document.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,7 +43,7 @@ _USUAL = (
 N_HEURISTICS = len(MEASURES) + len(_USUAL)
 
 # Documents on whose weak labels the scorer is fitted, at most about so many.
-MOST_FITTED = 10_000
+MOST_FITTED = 20_000
 BUCKETS = 1024
 KEEP_FROM = 0.3
 _STEPS = 200
@@ -190,23 +190,31 @@ def posterior(patterns: np.ndarray, accuracy: np.ndarray) -> np.ndarray:
 
 
 def fit_scorer(features: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights of a logistic model for soft labels, by accelerated gradient steps."""
-    scale = np.sqrt((features**2).mean(axis=0)) + 1e-3
-    x = (features / scale).astype(np.float32)
-    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
-    w = ahead = np.zeros(x.shape[1], dtype=np.float32)
-    rate = 4.0 / max(1.0, float((x**2).sum(axis=1).mean()))
+    """Weights of a logistic model for soft labels, by accelerated gradient steps.
+
+    ``features`` are scaled in place: they are the only large array.
+    """
+    n = len(features)
+    scale = np.sqrt(np.einsum("ij,ij->j", features, features) / n) + 1e-3
+    features /= scale
+    w = ahead = np.zeros(features.shape[1], dtype=np.float32)
+    bias = ahead_bias = np.float32(0)
+    rate = np.float32(4.0 / max(1.0, 1 + float(np.einsum("ij,ij->", features, features)) / n))
     for step in range(_STEPS):
-        error = 1 / (1 + np.exp(-np.clip(x @ ahead, -30, 30))) - good
-        fresh = ahead - rate * (x.T @ error / len(x) + 1e-4 * ahead)
-        ahead = fresh + step / (step + 3) * (fresh - w)
-        w = fresh
-    return (w[:-1] / scale).astype(np.float32), float(w[-1])
+        error = 1 / (1 + np.exp(-np.clip(features @ ahead + ahead_bias, -30, 30))) - good
+        fresh = ahead - rate * (features.T @ error / n + np.float32(1e-4) * ahead)
+        fresh_bias = ahead_bias - rate * (error.mean() + np.float32(1e-4) * ahead_bias)
+        pace = np.float32(step / (step + 3))
+        ahead, ahead_bias = fresh + pace * (fresh - w), fresh_bias + pace * (fresh_bias - bias)
+        w, bias = fresh, fresh_bias
+    return (w / scale).astype(np.float32), float(bias)
 
 
-def train(docs: DataFrame, most_fitted: int = MOST_FITTED) -> Model:
+def train(docs: DataFrame, most_fitted: int = MOST_FITTED, seen: Callable[[int], None] | None = None) -> Model:
     """The model of a corpus. Votes of all documents are counted; the scorer is fitted on a
-    sample of about ``most_fitted`` documents at most, drawn by a hash of the id."""
+    sample of about ``most_fitted`` rows at most, each drawn by a hash of its id, its text and
+    its place, so that rows which repeat an id, or have none, are drawn like any others. ``seen`` is told how
+    many rows the scorer is fitted on."""
     rows = sorted(tuple(r) for r in vote_patterns(docs).collect())  # 2 ** heuristics at most
     if not rows:
         return Model(0.5, np.full(N_HEURISTICS, 0.5), np.zeros(BUCKETS, dtype=np.float32), 0.0)
@@ -216,7 +224,8 @@ def train(docs: DataFrame, most_fitted: int = MOST_FITTED) -> Model:
 
     parts_in = 1_000_000
     wanted = min(parts_in, int(most_fitted * parts_in / counts.sum()))
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(parts_in)) < wanted)
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(parts_in)) < wanted
+    sample = docs.select("doc_id", "text").withColumn("_drawn", drawn).filter("_drawn")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,12 +239,15 @@ def train(docs: DataFrame, most_fitted: int = MOST_FITTED) -> Model:
 
     found = sample.select("text").mapInArrow(listed, "good double, features binary").collect()
     found.sort(key=lambda r: (r["features"], r["good"]))
+    if seen:
+        seen(len(found))
     if not found:
         return Model(share, accuracy, np.zeros(BUCKETS, dtype=np.float32), float(np.log((1 - share) / share)))
     good = np.array([r["good"] for r in found], dtype=np.float32)
-    features = np.frombuffer(b"".join(r["features"] for r in found), dtype="<f2").reshape(len(found), -1)
-    del found
-    weights, bias = fit_scorer(features.astype(np.float32), good)
+    features = np.empty((len(found), len(found[0]["features"]) // 2), dtype=np.float32)
+    for at in reversed(range(len(found))):  # a row is let go once it is copied
+        features[at] = np.frombuffer(found.pop()["features"], dtype="<f2")
+    weights, bias = fit_scorer(features, good)
     return Model(share, accuracy, weights, bias)
 
 

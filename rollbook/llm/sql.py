@@ -43,7 +43,7 @@ WITH lines AS (
     SELECT key, max(doc_id) AS keep_id FROM keyed
     WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
 ), flagged AS (
-    SELECT k.*, coalesce(k.doc_id <> s.keep_id, false) AS lost
+    SELECT k.*, s.key IS NOT NULL AND k.doc_id IS DISTINCT FROM s.keep_id AS lost
     FROM keyed k LEFT JOIN shared s USING (key)
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,

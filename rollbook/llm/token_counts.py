@@ -22,6 +22,8 @@ from rollbook.llm.words import Memo, parts, per_worker, split_white
 
 TOKENIZER = "word_bpe_49k.json"
 
+# Units that are encoded as one text.
+UNITS_AT_ONCE = 50_000
 # How many units a worker remembers, about 200 bytes each.
 MOST_UNITS = 800_000
 
@@ -55,13 +57,30 @@ def unit_encoder(name: str = TOKENIZER, remembered: int = MOST_UNITS) -> Callabl
 
 def _unit_encoder(name: str, remembered: int) -> Callable[[list[str]], list[bytes]]:
     tokenizer = load_tokenizer(name)
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.special and not (t.lstrip or t.rstrip)]
 
-    def encode(units: list[str]) -> list[bytes]:
+    def one_by_one(units: list[str]) -> list[bytes]:
         return [
             np.array(e.ids, dtype="<u4").tobytes()
             for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)
         ]
 
+    def encode(units: list[str]) -> list[bytes]:
+        """Many units as one text, which takes half the time: a special token between them,
+        that none of them holds, keeps them apart."""
+        if not special or not all(units) or any(special[0] in unit for unit in units):
+            return one_by_one(units)
+        out: list[bytes] = []
+        for start in range(0, len(units), UNITS_AT_ONCE):
+            batch = units[start : start + UNITS_AT_ONCE]
+            found = tokenizer.encode_batch_fast([special[0].join(batch)], add_special_tokens=False)[0].ids
+            ids = np.array(found, dtype="<u4")
+            cuts = 4 * np.flatnonzero(ids == tokenizer.token_to_id(special[0]))
+            raw = ids.tobytes()
+            pieces = [raw[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)])]
+            out += pieces if len(pieces) == len(batch) else one_by_one(batch)
+        return out
+
     for probe in _PROBES:
         if b"".join(encode([u for w in probe.split(" ") for u in _UNITS.findall(w)])) != encode([probe])[0]:
             raise ValueError(f"{name} encodes words together; it cannot be used here")

@@ -49,19 +49,20 @@ def test_exact_duplicates_without_ids(spark):
 
 def line_dedup(corpus, least, documents):
     keys, where = {}, {}
-    for n, (i, t) in enumerate(corpus):
+    for i, t in corpus:
         for line in (t or "").split("\n"):
             key = line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
             keys[line] = key
-            where.setdefault(key, set()).add((n, i))
+            if i is not None:
+                where.setdefault(key, set()).add(i)
     out = []
     for i, t in corpus:
         lines = (t or "").split("\n")
         stay = []
         for line in lines:
             key = keys[line]
-            shared = len(key) >= least and len(where[key]) >= documents
-            if not shared or max(j for _, j in where[key]) == i:
+            shared = len(key) >= least and len(where.get(key, ())) >= documents
+            if not shared or max(where[key]) == i:
                 stay.append(line)
         out.append((i, len(lines), len(lines) - len(stay), "\n".join(stay)))
     return out
@@ -69,11 +70,22 @@ def line_dedup(corpus, least, documents):
 
 @pytest.mark.parametrize("sharing", [Sharing(), Sharing(least_length=1, documents=2)])
 def test_line_dedup(spark, docs, corpus, sharing):
-    rows = [*corpus, corpus[4]]  # the repeated row counts as a document of its own
+    rows = [*corpus, corpus[4]]
     expected = line_dedup(rows, sharing.least_length, sharing.documents)
     assert found(drop_shared_lines(spark, docs, sharing)) == sorted(expected, key=repr)
 
 
+def test_line_dedup_counts_documents_not_rows(spark):
+    """One line in three rows of one id, in rows without an id, and in three documents."""
+    a, b, c = ("line %s, which is long enough to count" % x for x in "abc")
+    rows = [(1, a)] * 3 + [(2, a), (None, b), (None, b), (5, b), (6, b)]
+    rows += [(7, c + "\nown of seven"), (8, c), (9, c), (9, c), (None, c + "\nown of none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(drop_shared_lines(spark, docs)) == sorted(line_dedup(rows, 20, 3), key=repr)
+    texts = [r[3] for r in line_dedup(rows, 20, 3)]
+    assert texts.count(a) == 4 and texts.count(b) == 4 and texts.count(c) == 2
+
+
 def test_line_dedup_of_nothing(spark, no_docs):
     assert found(drop_shared_lines(spark, no_docs)) == []
 

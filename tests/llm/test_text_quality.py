@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rollbook.llm.quality_classifier import classify, fit_votes, keep_good, measure, train, votes
+from rollbook.llm.quality_classifier import JUNK, NONE, classify, fit_votes, keep_good, measure, train, votes
 from rollbook.llm.quality_rules import RULES, Risk, Rule, apply_rules, features, levels, select_cutoffs
 from rollbook.llm.toxicity import CharacterModel, letter_triples, restore, score_texts, text_words, toxicity, train as train_toxicity, word_features
 from rollbook.llm.url_filters import PATTERN_RULES, SITE_RULES, Rule as UrlRule, file_rules, judge, parse
@@ -208,3 +208,41 @@ def test_disguises_reach_the_lattice(spark, text, clean):
     characters = CharacterModel(letter_triples(docs))
     unique, lists = text_words(pa.array([text], pa.large_string()))
     assert clean in {f for n in lists[0] for f in word_features(unique[n], characters)}
+
+
+def test_votes_are_fitted_as_in_plain_python():
+    """Expectation-maximisation a document and a heuristic at a time."""
+    import math
+
+    rng = np.random.default_rng(6)
+    patterns = rng.choice([0, 1, 2], size=(40, 11), p=[0.2, 0.6, 0.2])
+    counts = rng.integers(1, 50, 40).astype(float)
+    share, accuracy = fit_votes(patterns, counts, rounds=25)
+    right = [0.8] * 11
+
+    def junk_odds(row):
+        logs = sum((1 if v == JUNK else -1) * math.log(right[k] / (1 - right[k])) for k, v in enumerate(row) if v != NONE)
+        return 1 / (1 + math.exp(-logs))
+
+    for _ in range(25):
+        junk = [junk_odds(row) for row in patterns.tolist()]
+        fresh = []
+        for k in range(11):
+            hits = sum(n * (j if row[k] == JUNK else 1 - j) for row, n, j in zip(patterns.tolist(), counts, junk) if row[k] != NONE)
+            cast = sum(n for row, n in zip(patterns.tolist(), counts) if row[k] != NONE)
+            fresh.append((hits + 4) / (cast + 5))
+        right = fresh
+    assert np.allclose(accuracy, right, rtol=1e-9)
+    junk = [junk_odds(row) for row in patterns.tolist()]
+    assert np.isclose(share, sum(n * j for n, j in zip(counts, junk)) / counts.sum())
+
+
+def test_rows_without_ids_are_drawn_like_others(spark):
+    """One id, or none, in most rows: the sample stays within its bound, and is not empty."""
+    text = "the of and rain stone river light over under green house walk " * 6
+    rows = [(None if k % 3 else 5, f"{text} {k}" if k % 2 else "$$$ ### " * 30 + str(k % 7)) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    fitted = []
+    model = train(docs, most_fitted=200, seen=fitted.append)
+    assert 100 < fitted[0] < 320
+    assert model.weights.any()

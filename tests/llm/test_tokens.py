@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import os
 import random
 import zlib
@@ -10,9 +11,9 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 
-from rollbook.llm.packing import pack, plan
+from rollbook.llm.packing import _best_fit, _Sums, pack, plan
 from rollbook.llm.sentence_pieces import MODEL, encode_and_decode, load_model
-from rollbook.llm.token_counts import TOKENIZER, token_counts
+from rollbook.llm.token_counts import TOKENIZER, _unit_encoder, token_counts, unit_encoder
 from rollbook.llm.words import parts, split_white
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -85,6 +86,43 @@ def test_plan_uses_every_length_and_fills():
     assert [(len(p.lengths), p.times) for p in plan({2048: 3, 1024: 4, 700: 2, 648: 1})] == [(1, 3), (2, 2), (3, 1)]
 
 
+def sequences(patterns):
+    return sum(p.times for p in patterns)
+
+
+def test_plan_is_never_worse_than_best_fit():
+    rng = np.random.default_rng(8)
+    uniform = {i: int(n) for i, n in zip(range(1, 2049), rng.integers(1, 10**6, 2048))}
+    lengths = np.minimum(2048, rng.lognormal(6, 1.2, 10**5).astype(int) + 1)
+    lognormal = {int(a): int(b) for a, b in zip(*np.unique(lengths, return_counts=True))}
+    for counts in (uniform, lognormal, {700: 5, 648: 9, 1024: 3, 100: 50}, {1: 10**9}):
+        patterns = plan(dict(counts))
+        used = Counter()
+        for pattern in patterns:
+            for length in pattern.lengths:
+                used[length] += pattern.times
+        assert used == Counter(counts)
+        assert sequences(patterns) <= sequences(_best_fit(dict(counts), 2048))
+
+
+def test_sums_of_one_two_and_three_lengths():
+    left = {5: 1, 4: 1, 3: 1, 2: 1, 1: 1}
+    index = _Sums(left, 20)
+    assert list(index.singles(4, 5)) == [(4,)] and list(index.singles(4, 3)) == [] == list(index.singles(6, 9))
+    assert sorted(index.pairs(6, 4)) == [(3, 3), (4, 2)] and sorted(index.pairs(6, 9)) == [(3, 3), (4, 2), (5, 1)]
+    triples = {tuple(sorted(t)) for t in index.triples(7, 5)}
+    assert triples == {t for t in itertools.combinations_with_replacement(range(1, 6), 3) if sum(t) == 7}
+    del left[3]
+    assert (3, 3) not in list(index.pairs(6, 9)) and (4, 2) in list(index.pairs(6, 9))
+
+
+def test_units_joined_or_one_by_one():
+    encode = unit_encoder()
+    words = [*ODD[0].split(), "it's", "<|endoftext|>", "naïve,café", "日本", "'s", "x" * 50]
+    together = encode(words)
+    assert together == [b"".join(_unit_encoder(TOKENIZER, 100)([w])) for w in words]
+
+
 def test_pack(spark, docs, corpus, encode):
     got = pack(spark, docs, ranked_rows=10).collect()
     expected = []
