@@ -38,21 +38,22 @@ EMPLOYMENT_TYPES = {
     "ct": "Contractor",
 }
 
-# Date layouts tried in this order after ISO 8601: (shape of the text, Spark pattern).
-# Month comes before day; day-first is tried only where month-first cannot be parsed.
+# Date layouts tried in this order after ISO 8601, as Spark patterns. Month comes before day;
+# day-first is tried only where month-first cannot be parsed. The shape of a text, which a
+# layout follows from its letters, tells which of them can fit it.
 DATE_LAYOUTS = (
-    (r"^\d{8}$", "yyyyMMdd"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
-    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
-    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
-    (r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    "yyyyMMdd",
+    "yyyy/M/d",
+    "M/d/yyyy",
+    "d/M/yyyy",
+    "M-d-yyyy",
+    "d-M-yyyy",
+    "M/d/yyyy H:mm:ss",
+    "d-MMM-yyyy",
+    "d MMM yyyy",
+    "d MMMM yyyy",
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
 )
 
 
@@ -65,7 +66,7 @@ class Settings:
     usd_rates: dict[str, str] = field(default_factory=lambda: dict(USD_RATES))
     pay_periods: dict[str, int] = field(default_factory=lambda: dict(PAY_PERIODS))
     employment_types: dict[str, str] = field(default_factory=lambda: dict(EMPLOYMENT_TYPES))
-    date_layouts: tuple[tuple[str, str], ...] = DATE_LAYOUTS
+    date_layouts: tuple[str, ...] = DATE_LAYOUTS
     similarity_threshold: float = 88
     max_hire_date_gap_days: int = 30
     max_failed_checks: int = 2

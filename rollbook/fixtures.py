@@ -97,6 +97,9 @@ select * from (values
   ('acquiredco_hris','Building','Operations')) t(source_system, source_department, standard_department)
 """
 
+# A part's columns as one text of more than a hundred characters.
+LONG_TEXT = "lower(p_name) || ' ' || lower(p_type) || ' ' || lower(p_brand) || ' size ' || cast(p_size as string) || ' made for ' || lower(p_type) || ' of ' || lower(p_name) || ' and others'"
+
 _TABLES = ("customer", "part", "nation", "supplier", "orders", "events")
 
 

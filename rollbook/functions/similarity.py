@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-# A signed 64-bit word holds the match vector plus one carry bit.
+# A signed 64-bit word holds the match vector plus one carry bit. Longer strings take several
+# words, and the carries of one are what the next one adds.
 WORD_BITS = 61
 
 
@@ -17,47 +18,57 @@ def characters(text: str) -> str:
 
 
 def character_masks(text: str) -> str:
-    """Each distinct character of ``text`` to a bit set of the positions it occupies.
+    """For each word of ``text``, each distinct character to a bit set of the positions it
+    occupies there: an array of maps.
 
     Depends on one string only, so it is computed once per string, not once per pair.
-    Null for a string that does not fit one word.
     """
-    chars = characters(text)
+    piece = f"substring({text}, _word * {WORD_BITS} + 1, {WORD_BITS})"
+    chars = characters(piece)
     bits = f"transform({chars}, (d, i) -> IF(d = c, shiftleft(1L, i), 0L))"
     mask = f"aggregate({bits}, 0L, (m, bit) -> m | bit)"
     distinct = f"array_distinct({chars})"
     masks = f"map_from_arrays({distinct}, transform({distinct}, c -> {mask}))"
-    return f"CASE WHEN length({text}) <= {WORD_BITS} THEN {masks} END"
+    return f"transform(sequence(0, CAST(greatest(length({text}) - 1, 0) div {WORD_BITS} AS INT)), _word -> {masks})"
 
 
 def lcs_length(left: str, left_masks: str, right: str) -> str:
     """Length of the longest common subsequence.
 
-    One step per character of ``right`` on a bit vector over ``left``; strings longer
-    than a word use the row-by-row recurrence.
+    One step per character of ``right`` on a bit vector over each word of ``left``.
     """
     full = f"(shiftleft(1L, length({left})) - 1L)"
-    steps = f"transform({characters(right)}, c -> coalesce(try_element_at({left_masks}, c), 0L))"
+    steps = f"transform({characters(right)}, c -> coalesce(try_element_at(get({left_masks}, 0), c), 0L))"
     advance = f"((v + (v & m)) | (v - (v & m))) & {full}"
     in_word = f"aggregate({steps}, {full}, (v, m) -> {advance}, v -> bit_count(~v & {full}))"
-    return f"CASE WHEN {left_masks} IS NOT NULL THEN {in_word} ELSE {_lcs_by_rows(left, right)} END"
-
-
-def _lcs_by_rows(left: str, right: str) -> str:
-    other = characters(right)
-    extended = "coalesce(get(above, i - 1), 0) + 1"
-    carried = "greatest(coalesce(get(done, i - 1), 0), get(above, i))"
-    cell = f"IF(get({other}, i) = c, {extended}, {carried})"
-    places = f"transform({other}, (d, i) -> i)"
-    row = (
-        f"aggregate({places}, CAST(array() AS ARRAY<INT>), "
-        f"(done, i) -> concat(done, array({cell})))"
+    return f"CASE WHEN size({left_masks}) = 1 THEN {in_word} WHEN size({left_masks}) > 1 THEN {_lcs_by_words(left, left_masks, right)} END"
+
+
+def _lcs_by_words(left: str, left_masks: str, right: str) -> str:
+    """The same word by word. Each hands on one carry for each character of ``right``, packed
+    like the words themselves, so the work grows with the words times the characters."""
+    bits, last = WORD_BITS, WORD_BITS - 1
+    full = f"(shiftleft(1L, least(length({left}) - _sofar.word * {bits}, {bits})) - 1L)"
+    # for each character: where it stands in this word, and the carry it meets
+    steps = (
+        f"transform({characters(right)}, (c, i) -> struct("
+        f"coalesce(try_element_at(get({left_masks}, _sofar.word), c), 0L) AS m, "
+        f"shiftright(get(_sofar.carries, CAST(i div {bits} AS INT)), CAST(i % {bits} AS INT)) & 1L AS carry))"
     )
-    start = f"transform({other}, d -> 0)"
-    return (
-        f"aggregate({characters(left)}, {start}, (above, c) -> {row}, "
-        "last -> coalesce(array_max(last), 0))"
+    added = "(_state.v + (_state.v & _met.m) + _met.carry)"
+    carried = f"(_state.open | shiftleft(shiftrightunsigned({added}, {bits}) & 1L, _state.at))"
+    step = (
+        f"struct(({added} | (_state.v - (_state.v & _met.m))) & {full} AS v, IF(_state.at = {last}, 0, _state.at + 1) AS at, "
+        f"IF(_state.at = {last}, 0L, {carried}) AS open, "
+        f"IF(_state.at = {last}, concat(_state.done, array({carried})), _state.done) AS done)"
     )
+    start = f"struct({full} AS v, 0 AS at, 0L AS open, CAST(array() AS ARRAY<BIGINT>) AS done)"
+    word = (
+        f"aggregate({steps}, {start}, (_state, _met) -> {step}, "
+        f"_state -> struct(_sofar.word + 1 AS word, concat(_state.done, array(_state.open)) AS carries, _sofar.found + bit_count(~_state.v & {full}) AS found))"
+    )
+    nothing = f"struct(0 AS word, array_repeat(0L, CAST(length({right}) div {bits} AS INT) + 1) AS carries, 0 AS found)"
+    return f"aggregate({left_masks}, {nothing}, (_sofar, _masks_of_word) -> {word}, _sofar -> _sofar.found)"
 
 
 def score(total_length: str, lcs: str) -> str:

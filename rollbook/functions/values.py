@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+import re
+from collections.abc import Iterable, Mapping
 
 from rollbook.config import DEFAULT_SETTINGS, Settings
 from rollbook.functions.text import literal, strip, strip_lower
@@ -80,17 +81,46 @@ def parsed_date(stripped: str, settings: Settings = DEFAULT_SETTINGS) -> str:
     """
     text = stripped
     zoned = f"convert_timezone('UTC', CAST(try_cast({text} AS TIMESTAMP) AS TIMESTAMP_NTZ))"
-    cases = [
-        f"WHEN {text} RLIKE r'{_ISO_DATE}' THEN CASE WHEN {text} RLIKE r'{_ZONE}' "
-        f"THEN {zoned} ELSE try_cast({text} AS TIMESTAMP_NTZ) END"
-    ]
-    layouts: dict[str, list[str]] = {}
-    for shape, pattern in settings.date_layouts:
-        layouts.setdefault(shape, []).append(f"try_to_timestamp({text}, {literal(pattern)})")
-    for shape, attempts in layouts.items():
-        parsed = f"CAST(coalesce({', '.join(attempts)}) AS TIMESTAMP_NTZ)"
-        cases.append(f"WHEN {text} RLIKE r'{shape}' THEN {parsed}")
-    return f"CASE {' '.join(cases)} END"
+    shape = f"translate({text}, '{_DIGITS + _LETTERS}', '{'9' * len(_DIGITS) + 'a' * len(_LETTERS)}')"
+    # one look-up tells which layouts the shape has; equal lists share a number
+    lists: dict[tuple[str, ...], int] = {}
+    numbers = [(s, lists.setdefault(tuple(ls), len(lists))) for s, ls in shapes(settings.date_layouts).items()]
+    table = ", ".join(f"{literal(s)}, {number}" for s, number in numbers)
+    cases = " ".join(
+        f"WHEN {number} THEN CAST(coalesce({', '.join(f'try_to_timestamp({text}, {literal(p)})' for p in patterns)}) AS TIMESTAMP_NTZ)"
+        for patterns, number in lists.items()
+    )
+    listed = f"CASE try_element_at(map({table}), {shape}) {cases} END" if cases else "CAST(NULL AS TIMESTAMP_NTZ)"
+    return (
+        f"CASE WHEN {text} RLIKE r'{_ISO_DATE}' THEN CASE WHEN {text} RLIKE r'{_ZONE}' "
+        f"THEN {zoned} ELSE try_cast({text} AS TIMESTAMP_NTZ) END ELSE {listed} END"
+    )
+
+
+_DIGITS = "0123456789"
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# The lengths of what a run of pattern letters stands for; other runs are as long as written.
+_LENGTHS = {"d": (1, 2), "M": (1, 2), "H": (1, 2), "MMM": (3,), "MMMM": range(4, 10)}
+
+
+def shapes(layouts: Iterable[str]) -> dict[str, list[str]]:
+    """Each shape that a text of one of the layouts can have, to the layouts it may follow.
+
+    In a shape every digit is a 9 and every letter an a; signs and blanks are themselves.
+    """
+    found: dict[str, list[str]] = {}
+    for layout in layouts:
+        options = [""]
+        for run in re.findall(r"([A-Za-z])(\1*)|([^A-Za-z])", layout):
+            letters = run[0] + run[1]
+            if not letters:
+                options = [o + run[2] for o in options]
+                continue
+            sign = "a" if len(letters) > 2 and run[0] == "M" else "9"
+            options = [o + sign * n for o in options for n in _LENGTHS.get(letters, (len(letters),))]
+        for shape in options:
+            found.setdefault(shape, []).append(layout)
+    return found
 
 
 def bare_amount(value: str) -> str:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from rollbook.config import ENRICHMENT_SOURCES, IDENTITY_SOURCES
 from rollbook.functions.text import literal
@@ -81,24 +81,26 @@ def surviving_identities(identities: DataFrame) -> DataFrame:
 def duplicate_identity_review(
     identities: DataFrame, heavy_groups: int = HEAVY_GROUPS
 ) -> DataFrame:
-    """All rows of ids that occur more than once, and whether each equals the survivor.
+    """All rows of ids that occur more than once, and what became of them.
 
-    Equal means same source, email and hire date, so exact copies of the survivor are
-    all marked as kept.
+    ``kept_in_golden``: the row has the survivor's source, email and hire date, so several rows
+    of an id may have it. ``is_survivor``: the row is the survivor; exactly one of an id is. Of
+    rows that are equal word for word one has the mark, whichever, as nothing tells them
+    apart: equal rows are counted together and written out again.
     """
     columns = [c for c in identities.columns if c != ORDINAL]
-    groups = (
-        identities.groupBy(ID)
-        .agg(
-            F.expr("count(*) AS n"),
-            F.expr(f"min({_preference(identities, columns)}) AS _best"),
-        )
-        .selectExpr(ID, "n", *[f"_best.{c} AS _{c}" for c in _SURVIVOR_KEY])
+    groups = identities.groupBy(ID).agg(
+        F.expr("count(*) AS n"),
+        F.expr(f"min({_preference(identities, columns)}) AS _best"),
     )
-    rows = rows_of_groups(identities, groups, ID, "n > 1", heavy_groups)
-    same = " AND ".join(f"{c} <=> _{c}" for c in _SURVIVOR_KEY)
-    return rows.selectExpr(
-        *columns, "'hris_employee_id' AS duplicate_check", f"({same}) AS kept_in_golden"
+    rows = rows_of_groups(identities.select(columns), groups, ID, "n > 1", heavy_groups)
+    kept = " AND ".join(f"{c} <=> _best.{c}" for c in _SURVIVOR_KEY)
+    survives = " AND ".join(f"{c} <=> _best.{c}" for c in columns if c != ID)
+    marked = rows.selectExpr(*columns, f"({kept}) AS kept_in_golden", f"({survives}) AS _equal")
+    alike = marked.groupBy(*columns, "kept_in_golden", "_equal").agg(F.expr("count(*) AS _n"))
+    each = alike.selectExpr("*", "explode(sequence(1L, _n)) AS _copy")
+    return each.selectExpr(
+        *columns, "'hris_employee_id' AS duplicate_check", "kept_in_golden", "(_equal AND _copy = 1) AS is_survivor"
     )
 
 
@@ -186,7 +188,24 @@ def _enrichment_rows(combined: DataFrame, keep: str, heavy_groups: int) -> DataF
     return rows.drop("_known", ORDINAL)
 
 
-def assert_unique(df: DataFrame, key: str, name: str) -> None:
-    """Raise when a key occurs twice (two missing keys count as equal)."""
-    if not df.groupBy(key).count().filter("count > 1").isEmpty():
+def observed_unique(df: DataFrame, key: str) -> tuple[DataFrame, Observation]:
+    """``df``, and how many of its rows share their key with another (two missing keys are
+    equal), counted while something else writes the rows.
+
+    After an aggregate by the key the count needs no shuffle of its own.
+    """
+    seen = Observation()
+    copies = F.count("*").over(Window.partitionBy(key))
+    counted = df.withColumn("_copies", copies).observe(seen, F.expr("count_if(_copies > 1) AS repeated"))
+    return counted.drop("_copies"), seen
+
+
+def assert_unique(seen: Observation, key: str, name: str) -> None:
+    """Raise when a key occurred twice in the rows that ``seen`` watched, which are written."""
+    if seen.get["repeated"]:
         raise ValueError(f"{name} contains duplicate {key} values")
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """The keys that occur more than once, and how often."""
+    return df.groupBy(key).agg(F.expr("count(*) AS occurrences")).filter("occurrences > 1")

@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rollbook.functions.values import as_of_date
 from rollbook.staging import Stage
 
-# Cells per refinement step when an exact quantile is located.
-QUANTILE_CELLS = 65_536
+# Accuracy of the sketches that bracket quartiles: with this many items a rank is off by less
+# than a thousandth of all rows, almost always.
+SKETCH_ITEMS = 4096
+RANK_SLACK = 0.002
+# Amounts below are exact in decimals, cents and their small multiples included.
+EXACT_BELOW = 1e28
 
 
 def headcount_by_department(golden: DataFrame) -> DataFrame:
@@ -44,124 +48,142 @@ def benefits_rate_by_department(golden: DataFrame) -> DataFrame:
 def salary_box(golden: DataFrame) -> DataFrame:
     """Exact quartiles, 1.5 IQR whiskers and outlier count of salary by employment type.
 
-    Salaries are whole cents, so rows first shrink to one per (type, cents), which is
-    staged because it is read several times. Each rank a quartile needs is then located
-    by narrowing a range of cents until one value is left, with at most QUANTILE_CELLS
-    cells per rank in each step: no type's salaries are ever gathered or sorted in one
-    place, as the built-in exact percentile would. The ranks, six per type at most, stay
-    tables, joined by type, however many types there are. Amounts of 10^28 or more are
-    no salaries and left out.
+    A first pass over the salaries, which are staged, makes a sketch per type; it brackets the
+    values at the ranks that the quartiles need. A second pass counts what lies below each
+    bracket and the different values within, some thousandths of the rows, and so settles
+    the ranks. If a sketch missed, which the counts show, a further pass takes the whole side
+    that the rank lies on. No type's salaries are ever gathered or sorted in one place, and
+    the brackets stay tables, joined by type, however many types there are.
+
+    Any amount counts. Quartiles between two values are interpolated in whole cents, as
+    decimals, where all salaries of the type are below EXACT_BELOW, and as doubles otherwise.
     """
     stage = Stage(golden.sparkSession)
     salaries = stage.table(
         "salaries",
-        golden.selectExpr(
-            "employment_type", "try_cast(salary_usd_annual AS DECIMAL(30, 2)) AS _salary"
-        )
-        .filter("_salary IS NOT NULL AND employment_type IS NOT NULL")
-        .groupBy("employment_type", F.expr(f"CAST(_salary * 100 AS {_WHOLE}) AS _cents"))
-        .agg(F.expr("count(*) AS _n")),
-    )
-    spread = salaries.groupBy("employment_type").agg(
-        F.expr("sum(_n) AS employee_count"),
-        F.expr("min(_cents) AS _low"),
-        F.expr("max(_cents) AS _high"),
-    )
-    spread = stage.table("spread", spread)
-
-    # quarter cents keep the interpolated quartiles and the fences whole numbers
-    fenced = _quartiles(salaries, spread, stage).selectExpr(
-        "*",
-        "2 * _q1 - 3 * (_q3 - _q1) AS _floor",
-        "2 * _q3 + 3 * (_q3 - _q1) AS _ceiling",
-    )
-    inside = "8 * _cents BETWEEN _floor AND _ceiling"
+        golden.selectExpr("employment_type", "CAST(salary_usd_annual AS DOUBLE) AS _salary").filter(
+            "_salary IS NOT NULL AND NOT isnan(_salary) AND employment_type IS NOT NULL"
+        ),
+    )
+    sketched = salaries.groupBy("employment_type").agg(
+        F.expr("count(*) AS employee_count"),
+        F.expr("min(_salary) AS _min"),
+        F.expr("max(_salary) AS _max"),
+        F.expr(f"kll_sketch_agg_double(_salary, {SKETCH_ITEMS}) AS _sketch"),
+    )
+    fenced = stage.table("quartiles", _with_fences(_quartiles(salaries, stage.table("sketched", sketched), stage)))
+    inside = "IF(_exact, 8 * try_cast(_salary AS DECIMAL(30, 2)) BETWEEN _floor AND _ceiling, 8 * _salary BETWEEN _floor_d AND _ceiling_d)"
     box = (
         salaries.join(fenced, "employment_type")
         .groupBy("employment_type", "employee_count", "_q1", "_q2", "_q3")
         .agg(
-            F.expr(f"min(4 * _cents) FILTER (WHERE {inside}) AS _low"),
-            F.expr(f"max(4 * _cents) FILTER (WHERE {inside}) AS _high"),
-            F.expr(f"coalesce(sum(_n) FILTER (WHERE NOT ({inside})), 0) AS outlier_count"),
+            F.expr(f"min(_salary) FILTER (WHERE {inside}) AS _low"),
+            F.expr(f"max(_salary) FILTER (WHERE {inside}) AS _high"),
+            F.expr(f"count_if(NOT ({inside})) AS outlier_count"),
         )
     )
     return box.selectExpr(
         "employment_type",
         "employee_count",
-        "CAST(_q1 AS DOUBLE) / 400 AS q1",
-        "CAST(_q2 AS DOUBLE) / 400 AS median",
-        "CAST(_q3 AS DOUBLE) / 400 AS q3",
+        "_q1 AS q1",
+        "_q2 AS median",
+        "_q3 AS q3",
         # a whisker never ends inside the box
-        "CAST(least(_low, _q1) AS DOUBLE) / 400 AS whisker_low",
-        "CAST(greatest(_high, _q3) AS DOUBLE) / 400 AS whisker_high",
+        "least(_low, _q1) AS whisker_low",
+        "greatest(_high, _q3) AS whisker_high",
         "outlier_count",
     ).orderBy("employment_type")
 
 
-# Amounts in cents and their small multiples.
-_WHOLE = "DECIMAL(34, 0)"
-
-
-def _quartiles(salaries: DataFrame, spread: DataFrame, stage: Stage) -> DataFrame:
-    """Quartiles in quarter cents, by linear interpolation between neighbouring ranks."""
+def _quartiles(salaries: DataFrame, sketched: DataFrame, stage: Stage) -> DataFrame:
+    """For each type and quarter the values at the rank below it and at the next one."""
     position = "_quarter * (employee_count - 1)"
-    neighbours = f"{position} div 4, least({position} div 4 + 1, employee_count - 1)"
-    wanted = spread.selectExpr("*", "explode(array(1, 2, 3)) AS _quarter").selectExpr(
-        "*", f"{position} % 4 AS _part", f"explode(array_distinct(array({neighbours}))) AS _rank"
+    # sketches are asked for given ranks only; of few rows the whole range is the bracket
+    few = f"employee_count <= {SKETCH_ITEMS}"
+
+    def asked(sign: int, otherwise: str) -> str:
+        at = [f"kll_sketch_get_quantile_double(_sketch, {q / 4 + sign * RANK_SLACK}D)" for q in (1, 2, 3)]
+        return f"IF({few}, {otherwise}, CASE _quarter WHEN 1 THEN {at[0]} WHEN 2 THEN {at[1]} ELSE {at[2]} END)"
+
+    low, high = asked(-1, "_min"), asked(1, "_max")
+    wanted = stage.table(
+        "wanted",
+        sketched.selectExpr("*", "explode(array(1, 2, 3)) AS _quarter")
+        .selectExpr("*", f"{position} % 4 AS _part", f"{position} div 4 AS _rank", f"least({position} div 4 + 1, employee_count - 1) AS _next")
+        .selectExpr(
+            "employment_type", "employee_count", "_min", "_max", "_quarter", "_part", "_rank", "_next",
+            f"greatest({low}, _min) AS _from", f"least({high}, _max) AS _to",
+        ),
+    )
+    settled = stage.table("settled", _settle(salaries, wanted))
+    missed = settled.filter("_value IS NULL OR _value_next IS NULL")
+    if not missed.isEmpty():
+        # the whole range of the few types whose bracket missed
+        again = wanted.join(missed.select("employment_type", "_quarter"), ["employment_type", "_quarter"], "left_semi")
+        again = again.withColumn("_from", F.col("_min")).withColumn("_to", F.col("_max"))
+        found = settled.filter("_value IS NOT NULL AND _value_next IS NOT NULL")
+        settled = stage.table("settled_again", found.unionByName(_settle(salaries, again)))
+    return settled
+
+
+def _settle(salaries: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` with the values at its ranks; null for a rank outside of its bracket."""
+    brackets = wanted.groupBy("employment_type").agg(
+        F.expr("collect_list(struct(_quarter, _from, _to)) AS _brackets")  # three at most
     )
-    ranks = wanted.selectExpr(
-        "employment_type", "_rank", "_low", "_high", "0L AS _below"
-    ).distinct()
-    # each step divides the widest range by the number of cells
-    step = 0
-    while not ranks.filter("_low < _high").isEmpty():
-        step += 1
-        ranks = stage.table(f"ranks_{step}", _narrow(salaries, ranks))
-    value = "4 * min(_low) + (max(_low) - min(_low)) * max(_part)"
-    found = ranks.select("employment_type", "_rank", "_low")
-    quartiles = (
-        wanted.drop("_low", "_high")
-        .join(found, ["employment_type", "_rank"])
-        .groupBy("employment_type", "employee_count", "_quarter")
-        .agg(F.expr(f"CAST({value} AS {_WHOLE}) AS _value"))
+    cells = (
+        salaries.join(brackets, "employment_type")
+        .selectExpr("employment_type", "_salary", "inline(_brackets)")
+        .filter("_salary <= _to")
+        .groupBy("employment_type", "_quarter", F.expr("IF(_salary < _from, NULL, _salary) AS _cell"))
+        .agg(F.expr("count(*) AS _n"))
     )
-    return quartiles.groupBy("employment_type", "employee_count").agg(
-        *[F.expr(f"max(_value) FILTER (WHERE _quarter = {q}) AS _q{q}") for q in (1, 2, 3)]
+    upward = Window.partitionBy("employment_type", "_quarter").orderBy(F.asc_nulls_first("_cell"))
+    ranked = cells.withColumn("_upto", F.sum("_n").over(upward)).filter("_cell IS NOT NULL")
+    holds = "{r} < _upto AND {r} >= _upto - _n"
+    keys = ["employment_type", "_quarter"]
+    columns = wanted.columns
+    return (
+        wanted.join(ranked, keys, "left")
+        .groupBy(*columns)
+        .agg(
+            F.expr(f"max(_cell) FILTER (WHERE {holds.format(r='_rank')}) AS _value"),
+            F.expr(f"max(_cell) FILTER (WHERE {holds.format(r='_next')}) AS _value_next"),
+        )
     )
 
 
-_HOLDS_RANK = "_rank - _below < _upto AND _rank - _below >= _upto - _n"
+def _with_fences(quartiles: DataFrame) -> DataFrame:
+    """One row per type: the quartiles, and the bounds of what is no outlier, times 8.
 
-
-def _quotient(dividend: str, divisor: str) -> str:
-    """Whole division of amounts that ``div``, which gives a BIGINT, would not hold."""
-    return f"CAST((({dividend}) - ({dividend}) % {divisor}) / {divisor} AS {_WHOLE})"
-
-
-def _narrow(salaries: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Shrink each rank's range of cents to the one cell of it that holds the rank."""
-    span = ["employment_type", "_low", "_high"]
-    spans = ranks.select(span).distinct().withColumn(
-        "_width", F.expr(_quotient(f"_high - _low + {QUANTILE_CELLS}", str(QUANTILE_CELLS)))
-    )
-    cells = (
-        salaries.join(spans, "employment_type")
-        .filter("_cents BETWEEN _low AND _high")
-        .groupBy(*span, "_width", F.expr(f"{_quotient('_cents - _low', '_width')} AS _cell"))
-        .agg(F.expr("sum(_n) AS _n"))
-    )
-    upward = Window.partitionBy(span).orderBy("_cell")
-    return (
-        cells.withColumn("_upto", F.sum("_n").over(upward))
-        .join(ranks, span)
-        .filter(_HOLDS_RANK)
-        .selectExpr(
-            "employment_type",
-            "_rank",
-            f"CAST(_low + _cell * _width AS {_WHOLE}) AS _low",
-            f"CAST(least(_high, _low + (_cell + 1) * _width - 1) AS {_WHOLE}) AS _high",
-            "_below + _upto - _n AS _below",
-        )
+    In decimals the quartiles are whole quarter cents, so nothing is rounded before the end.
+    """
+    kind = "DECIMAL(33, 2)"
+    exact = f"abs(_min) < {EXACT_BELOW}D AND abs(_max) < {EXACT_BELOW}D"
+    as_cents = "CAST(try_cast({v} AS DECIMAL(30, 2)) AS DECIMAL(33, 2))"
+    quarters = (
+        f"CAST(4 * {as_cents.format(v='_value')} + ({as_cents.format(v='_value_next')} - {as_cents.format(v='_value')}) * _part AS {kind})"
+    )
+    each = quartiles.selectExpr(
+        "employment_type", "employee_count", "_quarter", f"({exact}) AS _exact",
+        f"IF({exact}, {quarters}, NULL) AS _quarters",
+        "_value + (_value_next - _value) * (_part / 4D) AS _double",
+    )
+    pick = "max({v}) FILTER (WHERE _quarter = {q}) AS {n}{q}"
+    wide = each.groupBy("employment_type", "employee_count", "_exact").agg(
+        *[F.expr(pick.format(v="_quarters", q=q, n="_k")) for q in (1, 2, 3)],
+        *[F.expr(pick.format(v="_double", q=q, n="_d")) for q in (1, 2, 3)],
+    )
+    return wide.selectExpr(
+        "employment_type",
+        "employee_count",
+        "_exact",
+        # dollars: four hundred of the whole number of quarter cents
+        *[f"IF(_exact, CAST(_k{q} * 100 AS DOUBLE) / 400, _d{q}) AS _q{q}" for q in (1, 2, 3)],
+        "2 * _k1 - 3 * (_k3 - _k1) AS _floor",
+        "2 * _k3 + 3 * (_k3 - _k1) AS _ceiling",
+        "8 * (_d1 - 1.5D * (_d3 - _d1)) AS _floor_d",
+        "8 * (_d3 + 1.5D * (_d3 - _d1)) AS _ceiling_d",
     )
 
 
@@ -171,8 +193,9 @@ def tenure_histogram(
     """Counts in ``bins`` equal-width bins of tenure years; the last bin is closed.
 
     Tenure is a whole number of days, so rows shrink to one per day of the calendar (a
-    few ten thousand for cleaned dates), and everything after that is small, one window
-    over all days included. Bin membership is decided in whole days, without rounding.
+    few ten thousand for cleaned dates); their range is an aggregate of that table, one row,
+    which meets the days by broadcast. Bin membership is decided in whole days, without
+    rounding.
     """
     # a hire later in the day leaves one whole day less
     late = "CAST(hire_date > CAST(CAST(hire_date AS DATE) AS TIMESTAMP_NTZ) AS INT)"
@@ -182,10 +205,8 @@ def tenure_histogram(
         .groupBy(F.expr(f"{days} AS _days"))
         .agg(F.expr("count(*) AS _n"))
     )
-    everything = Window.partitionBy(F.lit(0))
-    ranged = daily.withColumns(
-        {"_low": F.min("_days").over(everything), "_high": F.max("_days").over(everything)}
-    )
+    span = daily.agg(F.expr("min(_days) AS _low"), F.expr("max(_days) AS _high")).filter("_low IS NOT NULL")
+    ranged = daily.join(F.broadcast(span), F.expr("_days BETWEEN _low AND _high"))
     # with a single value the range is taken as half a year to each side of it
     place = f"IF(_low = _high, {bins // 2}, (_days - _low) * {bins} div (_high - _low))"
     filled = ranged.groupBy(

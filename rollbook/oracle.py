@@ -495,10 +495,13 @@ from orders""",
             "'hris_employee_id' as duplicate_check, "
             "(r.source_system is not distinct from s.source_system "
             "and r.email is not distinct from s.email "
-            "and r.hire_date is not distinct from s.hire_date) as kept_in_golden "
+            "and r.hire_date is not distinct from s.hire_date) as kept_in_golden, r.rn = 1 as is_survivor "
             "from ranked r join survivors s on r.employee_id is not distinct from s.employee_id "
             "where r.copies > 1",
         ),
+        "q_repeated_ids": _final(
+            "cleaned_hris", "select employee_id, count(*) as occurrences from cleaned_hris group by 1 having count(*) > 1"
+        ),
         "q_payroll_latest": _final("pay_latest", "select * from pay_latest"),
         "q_benefits_summary": _final("ben_summary", "select * from ben_summary"),
         "q_source_systems": _final("provenance", "select * from provenance"),
@@ -546,6 +549,12 @@ from orders""",
             f"m as (select *, cast({_lcs('a', 'b')} as integer) as lcs, length(a) + length(b) as n "
             f"from pairs) select p_partkey, a, b, lcs, {_SCORED} as score from m"
         ),
+        "q_token_sort_long_texts": (
+            f"with described as (select p_partkey, {fixtures.LONG_TEXT} as words from part), pairs as (select l.p_partkey, {_tokens('l.words')} as a, "
+            f"{_tokens('r.words')} as b from described l join described r on r.p_partkey = l.p_partkey + 1), "
+            f"m as (select *, cast({_lcs('a', 'b')} as integer) as lcs, length(a) + length(b) as n "
+            f"from pairs) select p_partkey, length(a) as length_a, length(b) as length_b, lcs, {_SCORED} as score from m"
+        ),
         "q_validation_report": _final("golden flags report", "select * from report"),
         "q_salary_failures": _final(
             "golden", _failed("salary_usd_annual_range", "*", "golden")

@@ -103,8 +103,9 @@ def run(
     raw = readers.load_sources(spark, sources)
     mapping = readers.read_department_mapping(spark, mapping_path)
     combined = stage.table("combined", combine(raw, mapping, settings))
-    golden = stage.table("golden", identity.golden_records(combined))
-    identity.assert_unique(golden, "employee_id", "golden table")
+    watched, unique = identity.observed_unique(identity.golden_records(combined), "employee_id")
+    golden = stage.table("golden", watched)
+    identity.assert_unique(unique, "employee_id", "golden table")
     sinks.write_review(
         readers.malformed_records(spark, sources), outputs.report("malformed_records.csv")
     )

@@ -159,6 +159,12 @@ def hris_duplicate_review(spark, sf_dir):
     return identity.duplicate_identity_review(records)
 
 
+@query
+def repeated_ids(spark, sf_dir):
+    """The ids that several identity rows have, before survivorship."""
+    return identity.repeated_keys(fixtures.identities(spark, sf_dir), "employee_id")
+
+
 @query
 def payroll_latest(spark, sf_dir):
     return identity.latest_payroll(fixtures.combined(spark, sf_dir, "payroll"))
@@ -265,6 +271,22 @@ def token_sort_scores(spark, sf_dir):
     return measured.selectExpr("*", f"{similarity.score('length(a) + length(b)', 'lcs')} AS score")
 
 
+@query
+def token_sort_long_texts(spark, sf_dir):
+    """The score of texts that take several words: descriptions of every part and the next."""
+    parts = fixtures.table(spark, sf_dir, "part").selectExpr("p_partkey", f"{fixtures.LONG_TEXT} AS words")
+    tokens = text.sorted_tokens("words")
+    left = parts.selectExpr("p_partkey", f"{tokens} AS a")
+    right = parts.selectExpr("p_partkey - 1 AS p_partkey", f"{tokens} AS b")
+    measured = (
+        left.selectExpr("*", f"{similarity.character_masks('a')} AS _masks")
+        .join(right, "p_partkey")
+        .selectExpr("p_partkey", "a", "b", f"CAST({similarity.lcs_length('a', '_masks', 'b')} AS INT) AS lcs")
+    )
+    total = "length(a) + length(b)"
+    return measured.selectExpr("p_partkey", "length(a) AS length_a", "length(b) AS length_b", "lcs", f"{similarity.score(total, 'lcs')} AS score")
+
+
 # --- quality ----------------------------------------------------------------------
 
 _REPORT_INPUT = (
@@ -501,7 +523,7 @@ def source_payroll(spark, sf_dir):
 def sink_golden(spark, sf_dir):
     path = Stage(spark).path("golden_employee_dataset")
     sinks.write_golden(_golden(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    return sinks.read_golden(spark, path)
 
 
 @query

@@ -29,6 +29,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 class Stage:
     """A fresh sub-folder for the tables of one run."""
 
@@ -39,6 +46,10 @@ class Stage:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
+    def remove(self) -> None:
+        """Deletes the tables; nothing may read them any more."""
+        remove(self._spark, self.folder)
+
     def table(self, name: str, df: DataFrame) -> DataFrame:
         path = self.path(name)
         df.write.mode("overwrite").parquet(path)

@@ -184,14 +184,15 @@ def test_sorted_tokens(evaluate):
     assert evaluate(text.sorted_tokens("v"), rows) == ["C a b", "Ann Zed", "one"]
 
 
-def test_lcs_in_a_word_and_by_rows(evaluate):
+def test_lcs_in_one_word_and_in_several(evaluate):
     rng = random.Random(5)
     rows = [
-        ("".join(rng.choices("abc é😀", k=rng.randint(1, 90))),
-         "".join(rng.choices("abc é😀", k=rng.randint(1, 90))))
+        ("".join(rng.choices("abc é😀", k=rng.choice([rng.randint(1, 90), rng.randint(100, 400)]))),
+         "".join(rng.choices("abc é😀", k=rng.choice([rng.randint(1, 90), rng.randint(100, 400)]))))
         for _ in range(150)
     ]
-    rows += [("a" * 61, "a" * 61), ("a" * 62, "a" * 61), ("a", "b"), ("ab", "")]
+    rows += [("a" * n, "a" * m) for n in (61, 62, 122, 123, 183) for m in (60, 61, 62, 122, 123, 200)]
+    rows += [("a", "b"), ("ab", ""), ("", "ab"), ("ab" * 80, ""), ("ab" * 80, "ba" * 80)]
     masks = similarity.character_masks("a")
     found = evaluate(similarity.lcs_length("a", masks, "b"), rows, "a string, b string")
     assert found == [lcs(a, b) for a, b in rows]
@@ -208,3 +209,28 @@ def test_known_scores(evaluate):
     total = f"length({a}) + length({b})"
     found = evaluate(similarity.score(total, measured), rows, "a string, b string")
     assert [round(x, 4) for x in found] == [88.8889, 91.6667, 100.0]
+
+
+def test_shapes_follow_from_the_layouts():
+    from rollbook.config import DATE_LAYOUTS
+    from rollbook.functions.values import shapes
+
+    found = shapes(DATE_LAYOUTS)
+    assert found["99/9/9999"] == ["M/d/yyyy", "d/M/yyyy"]
+    assert found["99999999"] == ["yyyyMMdd"]
+    assert found["aaa 9, 9999"] == ["MMM d, yyyy"]
+    assert found["99 aaaaaaaaa 9999"] == ["d MMMM yyyy"] and found["9 aaaa 9999"] == ["d MMMM yyyy"]
+    assert "99 aaaaaaaaaa 9999" not in found and "9/9/9999 99:99:99" in found
+
+
+def test_layouts_are_data(evaluate):
+    import datetime as dt
+
+    from rollbook.config import Settings
+    from rollbook.functions.values import parsed_date
+
+    own = Settings(date_layouts=("yyyy.MM.dd", "d. MMMM yyyy"))
+    rows = ["2020.01.05", "5. March 2021", "01/05/2020", "2020-01-05", "2020.13.01", "", "日本", "2020.01.05 "]
+    found = evaluate(parsed_date("v", own), rows)
+    assert found == [dt.datetime(2020, 1, 5), dt.datetime(2021, 3, 5), None, dt.datetime(2020, 1, 5), None, None, None, None]
+    assert evaluate(parsed_date("v", Settings(date_layouts=())), rows)[:4] == [None, None, None, dt.datetime(2020, 1, 5)]

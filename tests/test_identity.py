@@ -131,9 +131,34 @@ def test_every_part_is_unique_and_checked(combined):
         identity.benefits_summary(combined),
         identity.source_systems(combined),
     ):
-        identity.assert_unique(part, "employee_id", "part")
+        rows, seen = identity.observed_unique(part, "employee_id")
+        assert rows.columns == part.columns
+        rows.write.format("noop").mode("overwrite").save()
+        identity.assert_unique(seen, "employee_id", "part")
+        assert identity.repeated_keys(part, "employee_id").isEmpty()
+    rows, seen = identity.observed_unique(combined, "employee_id")
+    rows.write.format("noop").mode("overwrite").save()
     with pytest.raises(ValueError, match="combined contains duplicate employee_id"):
-        identity.assert_unique(combined, "employee_id", "combined")
+        identity.assert_unique(seen, "employee_id", "combined")
+
+
+def test_golden_needs_no_second_shuffle_for_the_check(combined):
+    rows, _ = identity.observed_unique(identity.golden_records(combined), "employee_id")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_exactly_one_row_of_an_id_is_the_survivor(spark, combined):
+    records = identity.identity_records(combined)
+    copies = records.unionByName(records).unionByName(records.limit(7)).drop("row_ord")
+    review = identity.duplicate_identity_review(copies)
+    per_id = review.groupBy("employee_id").agg({"*": "count", "employee_id": "max"}).count()
+    marked = review.filter("is_survivor")
+    assert marked.count() == marked.select("employee_id").distinct().count() == per_id
+    assert review.count() == copies.count()
+    best = identity.surviving_identities(copies)
+    assert marked.select(best.columns).exceptAll(best).isEmpty()
+    assert review.filter("is_survivor AND NOT kept_in_golden").isEmpty()
 
 
 @pytest.mark.parametrize("heavy", [0, 1, 1000])

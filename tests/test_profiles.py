@@ -14,9 +14,11 @@ def salaries_table(spark, groups):
     return spark.createDataFrame(rows, "employment_type string, salary_usd_annual double")
 
 
-@pytest.mark.parametrize("cells", [4, 65_536])
-def test_salary_box_against_numpy(spark, monkeypatch, cells):
-    monkeypatch.setattr(profiles, "QUANTILE_CELLS", cells)
+@pytest.mark.parametrize("items, slack", [(4096, 0.002), (8, 0.0)])
+def test_salary_box_against_numpy(spark, monkeypatch, items, slack):
+    """Also where the sketches are so small that their brackets miss."""
+    monkeypatch.setattr(profiles, "SKETCH_ITEMS", items)
+    monkeypatch.setattr(profiles, "RANK_SLACK", slack)
     rng = random.Random(3)
     groups = {
         "Full-Time": [round(rng.lognormvariate(11, 1), 2) for _ in range(501)],
@@ -52,6 +54,18 @@ def test_salary_box_of_many_types_and_large_amounts(spark):
     assert found["large"]["outlier_count"] == 1
 
 
+def test_salary_box_of_amounts_beyond_decimals(spark):
+    groups = {"a": [1.0, 2.0, 1e28], "b": [1.0, 2.0, 3.0, 1e300, -1e300], "c": [5e-324, 1.7e308]}
+    found = {r["employment_type"]: r for r in profiles.salary_box(salaries_table(spark, groups)).collect()}
+    assert {k: r["employee_count"] for k, r in found.items()} == {"a": 3, "b": 5, "c": 2}
+    # the median and the quartile above it lie between 2 and 1e28
+    assert (found["a"]["median"], found["a"]["q3"], found["a"]["outlier_count"]) == (2.0, 5e27, 0)
+    assert (found["b"]["q1"], found["b"]["median"], found["b"]["q3"], found["b"]["outlier_count"]) == (1.0, 2.0, 3.0, 2)
+    many = {"d": [float(i) for i in range(100)] + [1e28]}
+    row = profiles.salary_box(salaries_table(spark, many)).first()
+    assert (row["employee_count"], row["median"], row["outlier_count"], row["whisker_high"]) == (101, 50.0, 1, 99.0)
+
+
 def test_tenure_histogram_against_numpy(spark):
     rng = random.Random(4)
     dates = [

@@ -2,9 +2,10 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from rollbook.config import Settings
-from rollbook.plans import build
+from rollbook.plans import build, sinks
 from rollbook.operators.quality import QualityGateError
 from rollbook.schema import GOLDEN_COLUMNS
 from rollbook.sources.readers import SourceSpec
@@ -78,7 +79,7 @@ def test_full_run(spark, inputs):
     tables = build.run(spark, sources, mapping, out, SETTINGS)
     outputs = build.Outputs(out)
 
-    golden = spark.read.parquet(outputs.golden)
+    golden = sinks.read_golden(spark, outputs.golden)
     assert set(golden.columns) == set(GOLDEN_COLUMNS)
     assert dict(golden.dtypes)["salary_original"] == "double"
     rows = {r["employee_id"]: r for r in golden.collect()}
@@ -120,8 +121,37 @@ def test_gate_stops_publication_but_leaves_the_report(spark, inputs):
     outputs = build.Outputs(out)
     assert read(spark, outputs, "data_quality_validation_report.csv").count() == 14
     assert read(spark, outputs, "salary_usd_annual_range_failures.csv").count() == 1
+    with pytest.raises(FileNotFoundError):
+        sinks.read_golden(spark, outputs.golden)
+
+
+def test_a_run_that_dies_leaves_the_published_table(spark, inputs, monkeypatch):
+    sources, mapping, out = inputs
+    golden = build.run(spark, sources, mapping, out, SETTINGS)["golden"]
+    path = build.Outputs(out).golden
+    before = sorted(map(tuple, sinks.read_golden(spark, path).collect()), key=repr)
+
+    # in the middle of the files
+    broken = golden.withColumn("full_name", F.expr("IF(employee_id = 'GT-000002', raise_error('lost'), full_name)"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_golden(broken, path)
+    assert sorted(map(tuple, sinks.read_golden(spark, path).collect()), key=repr) == before
+
+    # and between the files and the list of versions
+    with monkeypatch.context() as patched:
+        patched.setattr(sinks, "_PUBLISHED", "no schema")
+        with pytest.raises(Exception):
+            sinks.write_golden(golden.limit(1), path)
+    assert sorted(map(tuple, sinks.read_golden(spark, path).collect()), key=repr) == before
+
+    sinks.write_golden(golden.limit(1), path)
+    assert sinks.read_golden(spark, path).count() == 1
+    versions = [sinks.write_golden(golden, path) for _ in range(3)]
+    assert sinks.read_golden(spark, path).count() == 3
+    # the last two are kept
+    assert spark.read.parquet(f"{path}/versions/{versions[1]}").count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        spark.read.parquet(outputs.golden)
+        spark.read.parquet(f"{path}/versions/{versions[0]}")
 
 
 def test_run_goes_on_without_a_feed(spark, inputs, tmp_path):
