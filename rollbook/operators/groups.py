@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# How many of the largest groups are joined by broadcast. It bounds the broadcast table
-# (one row per group), and every group left to the shuffle holds less than 1 in
-# HEAVY_GROUPS of the rows.
+from rollbook.staging import Stage
+
+# Groups with more than 1 in HEAVY_GROUPS of the rows are joined by broadcast: there are fewer
+# than HEAVY_GROUPS of them, whatever the data.
 HEAVY_GROUPS = 1000
+# Bits of the filter that keeps rows of other groups out of the shuffle, a megabyte.
+FILTER_BITS = 1 << 23
+# Bits of one bitmap, as Spark's bitmap functions have it.
+_BITMAP = 32_768
 
 
 def rows_of_groups(
@@ -19,22 +24,41 @@ def rows_of_groups(
 ) -> DataFrame:
     """``rows`` inner-joined with the groups for which ``keep`` holds; null is a key too.
 
-    ``groups`` is an aggregate with one row for each key in ``rows``, its row count in
-    ``n`` and the other columns to add. The largest groups are never shuffled: their
-    rows meet a broadcast of those few group records where they lie. The rest, now
-    without a large group, take an ordinary shuffle join. Both parts cover all rows
-    exactly once. The order that picks the large groups is total, so each use of it, and
-    each retry, picks the same ones. ``rows`` is read twice: stage it if it is costly.
+    ``groups`` is an aggregate with one row for each key in ``rows``, its row count in ``n``
+    and the other columns to add. The kept and the heavy groups are staged, when this is
+    called. Heavy groups are never shuffled: their rows meet a broadcast of those few group
+    records where they lie. Of the other rows, only those whose key is in a Bloom filter of
+    the kept keys are shuffled, and none if no such key is kept. Both parts cover all rows
+    exactly once. ``rows`` is read up to three times: stage it if it is costly.
     """
-    flagged = groups.selectExpr("*", f"coalesce({keep}, false) AS _keep")
-    # n and key alone make the order total; naming every column keeps all uses of the
-    # aggregate alike, so that Spark computes and shuffles it once
-    order = [F.asc_nulls_first(c) for c in (key, *flagged.columns) if c != "n"]
-    heavy = flagged.orderBy(F.desc("n"), *order).limit(heavy_groups)
+    total = rows.count()
+    flagged = groups.selectExpr("*", f"coalesce({keep}, false) AS _keep", f"n * {heavy_groups} > {total} AS _heavy")
+    picked = Stage(rows.sparkSession).table("groups", flagged.filter("_keep OR _heavy"))
+    heavy, light = picked.filter("_heavy").drop("_heavy"), picked.filter("_keep AND NOT _heavy").drop("_heavy")
 
     in_place = _join(rows, F.broadcast(heavy.filter("_keep")), key, "inner")
+    if light.isEmpty():
+        return in_place
     others = _join(rows, F.broadcast(heavy.select(key)), key, "left_anti")
-    return in_place.unionByName(_join(others, flagged.filter("_keep"), key, "inner"))
+    return in_place.unionByName(_join(_filtered(others, light, key), light, key, "inner"))
+
+
+def _filtered(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """The rows whose key may be one of the groups: a Bloom filter with one hash.
+
+    The filter is FILTER_BITS long however many keys there are, so it can be broadcast. With
+    as many keys as bits it lets most rows pass, which costs their shuffle and nothing else.
+    """
+    bit = f"pmod(xxhash64({key}), {FILTER_BITS})"
+    bitmaps = (
+        groups.selectExpr(f"{bit} AS _bit")
+        .groupBy(F.expr(f"CAST(_bit div {_BITMAP} AS INT) AS _block"))
+        .agg(F.expr(f"bitmap_construct_agg(_bit % {_BITMAP}) AS _bits"))
+    )
+    byte = "CAST(conv(hex(substring(_bits, CAST(_at div 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    placed = rows.selectExpr("*", f"CAST({bit} div {_BITMAP} AS INT) AS _block", f"{bit} % {_BITMAP} AS _at")
+    met = placed.join(F.broadcast(bitmaps), "_block")
+    return met.filter(f"shiftright({byte}, CAST(_at % 8 AS INT)) & 1 = 1").select(rows.columns)
 
 
 def _join(rows: DataFrame, groups: DataFrame, key: str, how: str) -> DataFrame:

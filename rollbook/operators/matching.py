@@ -16,7 +16,7 @@ from rollbook.config import DEFAULT_SETTINGS
 from rollbook.functions import similarity
 from rollbook.functions.text import literal, sorted_tokens
 from rollbook.functions.values import day_gap, day_number
-from rollbook.operators.pairs import CELL_ROWS, join_pairs
+from rollbook.operators.pairs import CELL_ROWS, join_counted_pairs
 from rollbook.staging import Stage
 
 SAME_NAME = "same_full_name_hire_date_window"
@@ -60,7 +60,7 @@ def same_name_matches(
 ) -> DataFrame:
     """Pairs of rows with equal full names in two companies; left is the first company."""
     people = _people(golden).selectExpr("*", "full_name AS _name")
-    pairs = join_pairs(
+    pairs = join_counted_pairs(
         _side(people.selectExpr("*", _reached_buckets(max_gap_days)), "left"),
         _side(people.selectExpr("*", _own_bucket(max_gap_days)), "right"),
         keys=["_name", "_bucket"],
@@ -107,7 +107,7 @@ def similar_name_matches(
     named = _side(left, "left").withColumnRenamed("_name", "_left")
     wanted = stage.table(
         "wanted",
-        join_pairs(
+        join_counted_pairs(
             named,
             similar,
             keys=["_bucket", "_left"],
@@ -120,7 +120,7 @@ def similar_name_matches(
         .select("_name", "_bucket", "_score", *[c for c in named.columns if c[0] != "_"]),
     )
     band = f"INTERVAL '{int(max_gap_days)}' DAY"
-    pairs = join_pairs(
+    pairs = join_counted_pairs(
         wanted,
         _side(right, "right"),
         keys=["_name", "_bucket"],
@@ -175,7 +175,7 @@ def similar_names(
     # Levenshtein distance counts a substitution once where Indel distance counts it
     # twice, so it never exceeds it; Spark stops counting at the budget and returns -1
     budget = rule.budget("length(_left)", "length(_right)")
-    candidates = join_pairs(
+    candidates = join_counted_pairs(
         left_keys,
         right_keys,
         keys=["_piece"],

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from rollbook.staging import Stage
+
 # Rows of either side per grid cell: a cell has at most its square of pairs, four million.
 CELL_ROWS = 2_000
 # Tasks for each partition that the session's shuffles have.
@@ -67,6 +69,45 @@ def join_pairs(
     return joined.drop(*cells, *[f"_right_{c}" for c in (*keys, *cells)])
 
 
+def join_counted_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_id: str,
+    right_id: str,
+    condition: str,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """The same, with the keys counted first, in jobs of their own.
+
+    Without a key that needs a grid this is a plain join, which Spark may broadcast or shuffle
+    as it sees fit; with some, only their rows go to the grid. Both sides are read twice:
+    stage them if they are costly.
+    """
+    counted = (
+        left.groupBy(*keys)
+        .agg(F.expr("count(*) AS _l"))
+        .join(right.groupBy(*keys).agg(F.expr("count(*) AS _r")), list(keys))
+        .filter(f"CAST(_l AS DOUBLE) * _r > {cell_rows}D * {cell_rows}")
+        .select(*keys)
+    )
+    large = Stage(left.sparkSession).table("large_keys", counted)
+    plain_right = right.selectExpr(*[f"{c} AS _right_{c}" if c in keys else c for c in right.columns])
+    same = " AND ".join(f"{c} = _right_{c}" for c in keys)
+
+    def plainly(some: DataFrame) -> DataFrame:
+        return some.join(plain_right, F.expr(f"{same} AND ({condition})")).drop(*[f"_right_{c}" for c in keys])
+
+    if large.isEmpty():
+        return plainly(left)
+    gridded = join_pairs(
+        left.join(large, list(keys), "left_semi"), right.join(large, list(keys), "left_semi"),
+        keys, left_id, right_id, condition, cell_rows,
+    )
+    rest = plainly(left.join(large, list(keys), "left_anti"))
+    return rest.unionByName(gridded.select(rest.columns))
+
+
 def _dealt(
     side: DataFrame, large: DataFrame, keys: Sequence[str], own: str, dealt_by: str, others: str
 ) -> DataFrame:

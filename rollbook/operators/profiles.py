@@ -193,9 +193,8 @@ def tenure_histogram(
     """Counts in ``bins`` equal-width bins of tenure years; the last bin is closed.
 
     Tenure is a whole number of days, so rows shrink to one per day of the calendar (a
-    few ten thousand for cleaned dates); their range is an aggregate of that table, one row,
-    which meets the days by broadcast. Bin membership is decided in whole days, without
-    rounding.
+    few ten thousand for cleaned dates); their range is an aggregate of that table, one row.
+    Bin membership is decided in whole days, without rounding.
     """
     # a hire later in the day leaves one whole day less
     late = "CAST(hire_date > CAST(CAST(hire_date AS DATE) AS TIMESTAMP_NTZ) AS INT)"
@@ -205,8 +204,9 @@ def tenure_histogram(
         .groupBy(F.expr(f"{days} AS _days"))
         .agg(F.expr("count(*) AS _n"))
     )
-    span = daily.agg(F.expr("min(_days) AS _low"), F.expr("max(_days) AS _high")).filter("_low IS NOT NULL")
-    ranged = daily.join(F.broadcast(span), F.expr("_days BETWEEN _low AND _high"))
+    ranged = daily.withColumns(
+        {"_low": daily.agg(F.min("_days")).scalar(), "_high": daily.agg(F.max("_days")).scalar()}
+    )
     # with a single value the range is taken as half a year to each side of it
     place = f"IF(_low = _high, {bins // 2}, (_days - _low) * {bins} div (_high - _low))"
     filled = ranged.groupBy(

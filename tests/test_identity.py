@@ -76,7 +76,7 @@ def test_survivor_is_fullest_then_first(spark, combined):
 def test_duplicate_review_marks_rows_equal_to_the_survivor(combined, heavy):
     records = identity.identity_records(combined)
     review = identity.duplicate_identity_review(records, heavy)
-    assert review.columns == [*IDENTITY_COLUMNS, "duplicate_check", "kept_in_golden"]
+    assert review.columns == [*IDENTITY_COLUMNS, "duplicate_check", "kept_in_golden", "is_survivor"]
     rows = review.collect()
     assert len(rows) == 7
     kept = [(r["employee_id"], r["email"], r["kept_in_golden"]) for r in rows]

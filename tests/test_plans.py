@@ -2,9 +2,10 @@
 
 import pytest
 from places import TESTDATA
+from pyspark.sql import functions as F
 
 from rollbook import fixtures
-from rollbook.operators import clean, identity, matching, profiles, quality
+from rollbook.operators import clean, duplicates, groups, identity, matching, profiles, quality
 from rollbook.plans import build
 from rollbook.staging import Stage
 
@@ -67,11 +68,27 @@ def test_scans_read_only_what_a_profile_needs(golden):
     assert "TakeOrderedAndProject" in text
 
 
-def test_groups_are_shuffled_once(combined):
-    ghosts = identity.ghost_records(combined)
-    ghosts.collect()
-    text = ghosts._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert text.count("ReusedExchange") >= 2
+def test_no_row_is_shuffled_where_no_group_is_kept(golden):
+    text = plan(duplicates.duplicate_ids(golden))
+    assert "Exchange hashpartitioning" not in text
+
+
+def test_rows_of_other_groups_stay_out_of_the_shuffle(spark, combined, monkeypatch):
+    """The filter lets the rows of kept groups pass, and hardly any others."""
+    monkeypatch.setattr(groups, "HEAVY_GROUPS", 0)
+    ids = combined.groupBy("employee_id").agg(F.count("*").alias("n"))
+    kept = ids.filter("n = 3").select("employee_id", "n")
+    let_through = groups._filtered(combined, kept, "employee_id")
+    wanted = combined.join(kept, combined["employee_id"].eqNullSafe(kept["employee_id"]), "left_semi").count()
+    assert wanted <= let_through.count() <= wanted * 1.1 + 3
+    assert let_through.columns == combined.columns
+    text = plan(identity.ghost_records(combined, heavy_groups=0))
+    assert "bitmap_construct_agg" in text
+
+
+def test_keys_without_a_grid_are_joined_plainly(golden):
+    text = plan(matching.same_name_matches(golden))
+    assert "_row" not in text and "Generate explode(sequence" not in text
 
 
 def test_name_and_date_bucket_are_the_join_key(golden):
