@@ -10,6 +10,7 @@ scores every document.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -47,6 +48,8 @@ MOST_FITTED = 20_000
 BUCKETS = 1024
 KEEP_FROM = 0.3
 _STEPS = 200
+# Rows of the fitted sample that are in 32 bits at a time.
+_BLOCK_ROWS = 2_000
 
 # Kinds of bytes; features are the kinds of three bytes in a row, and how the heuristics'
 # values lie. Both are hashed into the same buckets.
@@ -192,18 +195,25 @@ def posterior(patterns: np.ndarray, accuracy: np.ndarray) -> np.ndarray:
 def fit_scorer(features: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights of a logistic model for soft labels, by accelerated gradient steps.
 
-    ``features`` are scaled in place: they are the only large array.
+    ``features`` may be in 16 bits: they are widened a block of rows at a time.
     """
     n = len(features)
-    scale = np.sqrt(np.einsum("ij,ij->j", features, features) / n) + 1e-3
-    features /= scale
+    blocks = [slice(k, k + _BLOCK_ROWS) for k in range(0, n, _BLOCK_ROWS)]
+    squares = sum(np.einsum("ij,ij->j", x, x) for x in (features[b].astype(np.float32) for b in blocks))
+    scale = np.sqrt(squares / n) + np.float32(1e-3)
     w = ahead = np.zeros(features.shape[1], dtype=np.float32)
     bias = ahead_bias = np.float32(0)
-    rate = np.float32(4.0 / max(1.0, 1 + float(np.einsum("ij,ij->", features, features)) / n))
+    rate = np.float32(4.0 / max(1.0, 1 + float((squares / scale**2).sum()) / n))
     for step in range(_STEPS):
-        error = 1 / (1 + np.exp(-np.clip(features @ ahead + ahead_bias, -30, 30))) - good
-        fresh = ahead - rate * (features.T @ error / n + np.float32(1e-4) * ahead)
-        fresh_bias = ahead_bias - rate * (error.mean() + np.float32(1e-4) * ahead_bias)
+        slope, slope_bias = np.zeros_like(w), 0.0
+        scaled = ahead / scale
+        for b in blocks:
+            x = features[b].astype(np.float32)
+            error = 1 / (1 + np.exp(-np.clip(x @ scaled + ahead_bias, -30, 30))) - good[b]
+            slope += error @ x
+            slope_bias += float(error.sum())
+        fresh = ahead - rate * (slope / scale / n + np.float32(1e-4) * ahead)
+        fresh_bias = ahead_bias - rate * np.float32(slope_bias / n + 1e-4 * ahead_bias)
         pace = np.float32(step / (step + 3))
         ahead, ahead_bias = fresh + pace * (fresh - w), fresh_bias + pace * (fresh_bias - bias)
         w, bias = fresh, fresh_bias
@@ -234,7 +244,7 @@ def train(docs: DataFrame, most_fitted: int = MOST_FITTED, seen: Callable[[int],
                 cast = votes(values)
                 voted = (cast != NONE).any(axis=1)  # without a vote there is nothing to learn
                 good = 1 - posterior(cast[voted], accuracy)
-                packed = [x.astype("<f2").tobytes() for x in features[voted]]
+                packed = [zlib.compress(x.astype("<f2").tobytes(), 1) for x in features[voted]]
                 yield pa.RecordBatch.from_arrays([pa.array(good), pa.array(packed, pa.binary())], ["good", "features"])
 
     found = sample.select("text").mapInArrow(listed, "good double, features binary").collect()
@@ -244,9 +254,9 @@ def train(docs: DataFrame, most_fitted: int = MOST_FITTED, seen: Callable[[int],
     if not found:
         return Model(share, accuracy, np.zeros(BUCKETS, dtype=np.float32), float(np.log((1 - share) / share)))
     good = np.array([r["good"] for r in found], dtype=np.float32)
-    features = np.empty((len(found), len(found[0]["features"]) // 2), dtype=np.float32)
+    features = np.empty((len(found), len(zlib.decompress(found[0]["features"])) // 2), dtype=np.float16)
     for at in reversed(range(len(found))):  # a row is let go once it is copied
-        features[at] = np.frombuffer(found.pop()["features"], dtype="<f2")
+        features[at] = np.frombuffer(zlib.decompress(found.pop()["features"]), dtype="<f2")
     weights, bias = fit_scorer(features, good)
     return Model(share, accuracy, weights, bias)
 
