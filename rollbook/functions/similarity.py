@@ -24,11 +24,11 @@ def character_masks(text: str) -> str:
     Depends on one string only, so it is computed once per string, not once per pair.
     """
     piece = f"substring({text}, _word * {WORD_BITS} + 1, {WORD_BITS})"
-    chars = characters(piece)
-    bits = f"transform({chars}, (d, i) -> IF(d = c, shiftleft(1L, i), 0L))"
-    mask = f"aggregate({bits}, 0L, (m, bit) -> m | bit)"
-    distinct = f"array_distinct({chars})"
-    masks = f"map_from_arrays({distinct}, transform({distinct}, c -> {mask}))"
+    # from the last character to the first, each moves the bits one place up
+    mask = "aggregate(_chars, 0L, (m, d) -> shiftleft(m, 1) + IF(d = c, 1L, 0L))"
+    masks = f"map_from_arrays(array_distinct(_chars), transform(array_distinct(_chars), c -> {mask}))"
+    # an array of one gives the characters a name, so that they are taken apart once
+    masks = f"get(transform(array(reverse({characters(piece)})), _chars -> {masks}), 0)"
     return f"transform(sequence(0, CAST(greatest(length({text}) - 1, 0) div {WORD_BITS} AS INT)), _word -> {masks})"
 
 
@@ -47,28 +47,36 @@ def lcs_length(left: str, left_masks: str, right: str) -> str:
 def _lcs_by_words(left: str, left_masks: str, right: str) -> str:
     """The same word by word. Each hands on one carry for each character of ``right``, packed
     like the words themselves, so the work grows with the words times the characters."""
-    bits, last = WORD_BITS, WORD_BITS - 1
-    full = f"(shiftleft(1L, least(length({left}) - _sofar.word * {bits}, {bits})) - 1L)"
+    bits = WORD_BITS
+    full = f"shiftleft(1L, least(length({left}) - _at * {bits}, {bits})) - 1L"
+    words = f"transform({left_masks}, (_masks_of_word, _at) -> struct(_masks_of_word AS masks, {full} AS full))"
+    # the characters by as many as there are carries in a word
+    last = f"CAST(greatest(length({right}) - 1, 0) div {bits} AS INT)"
+    run = characters(f"substring({right}, _number * {bits} + 1, {bits})")
+    runs = f"transform(sequence(0, {last}), _number -> {run})"
     # for each character: where it stands in this word, and the carry it meets
     steps = (
-        f"transform({characters(right)}, (c, i) -> struct("
-        f"coalesce(try_element_at(get({left_masks}, _sofar.word), c), 0L) AS m, "
-        f"shiftright(get(_sofar.carries, CAST(i div {bits} AS INT)), CAST(i % {bits} AS INT)) & 1L AS carry))"
+        "transform(_run.chars, (c, i) -> struct(coalesce(try_element_at(_word.masks, c), 0L) AS m, "
+        "shiftright(_run.carries, i) & 1L AS carry))"
     )
     added = "(_state.v + (_state.v & _met.m) + _met.carry)"
-    carried = f"(_state.open | shiftleft(shiftrightunsigned({added}, {bits}) & 1L, _state.at))"
+    # carries come in at the top and move down, so that the first ends at the bottom
     step = (
-        f"struct(({added} | (_state.v - (_state.v & _met.m))) & {full} AS v, IF(_state.at = {last}, 0, _state.at + 1) AS at, "
-        f"IF(_state.at = {last}, 0L, {carried}) AS open, "
-        f"IF(_state.at = {last}, concat(_state.done, array({carried})), _state.done) AS done)"
+        f"struct(({added} | (_state.v - (_state.v & _met.m))) & _word.full AS v, "
+        f"shiftrightunsigned(_state.open + ({added} & {1 << bits}L), 1) AS open)"
     )
-    start = f"struct({full} AS v, 0 AS at, 0L AS open, CAST(array() AS ARRAY<BIGINT>) AS done)"
+    one_run = (
+        f"aggregate({steps}, struct(_past.v AS v, 0L AS open), (_state, _met) -> {step}, _state -> struct(_state.v AS v, "
+        f"concat(_past.carries, array(shiftrightunsigned(_state.open, {bits} - size(_run.chars)))) AS carries))"
+    )
+    met = "transform(_runs, (_chars, _number) -> struct(_chars AS chars, get(_sofar.carries, _number) AS carries))"
     word = (
-        f"aggregate({steps}, {start}, (_state, _met) -> {step}, "
-        f"_state -> struct(_sofar.word + 1 AS word, concat(_state.done, array(_state.open)) AS carries, _sofar.found + bit_count(~_state.v & {full}) AS found))"
+        f"aggregate({met}, struct(_word.full AS v, CAST(array() AS ARRAY<BIGINT>) AS carries), (_past, _run) -> {one_run}, "
+        "_past -> struct(_past.carries AS carries, _sofar.found + bit_count(~_past.v & _word.full) AS found))"
     )
-    nothing = f"struct(0 AS word, array_repeat(0L, CAST(length({right}) div {bits} AS INT) + 1) AS carries, 0 AS found)"
-    return f"aggregate({left_masks}, {nothing}, (_sofar, _masks_of_word) -> {word}, _sofar -> _sofar.found)"
+    nothing = "struct(array_repeat(0L, size(_runs)) AS carries, 0 AS found)"
+    every = f"aggregate({words}, {nothing}, (_sofar, _word) -> {word}, _sofar -> _sofar.found)"
+    return f"get(transform(array({runs}), _runs -> {every}), 0)"
 
 
 def score(total_length: str, lcs: str) -> str:

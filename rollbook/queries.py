@@ -254,37 +254,39 @@ def match_export(spark, sf_dir):
     return export.match_export(_matches(spark, sf_dir))
 
 
+def _next_part_scores(spark: SparkSession, texts: DataFrame) -> DataFrame:
+    """The score of every text (p_partkey, words) against the next one's.
+
+    A score costs far more than the bytes it is made from, and by bytes the reader, a broadcast
+    and adaptive execution would all leave the texts to one task; so they are dealt to as many
+    tasks as shuffles have, and what costs is worked out after the join.
+    """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left = texts.select("p_partkey", "words").repartition(tasks, "p_partkey")
+    right = texts.selectExpr("p_partkey - 1 AS p_partkey", "words AS next_words")
+    pairs = left.join(right.hint("merge"), "p_partkey").selectExpr(
+        "p_partkey", f"{text.sorted_tokens('words')} AS a", f"{text.sorted_tokens('next_words')} AS b"
+    )
+    lcs = similarity.lcs_length("a", "_masks", "b")
+    measured = pairs.selectExpr("*", f"{similarity.character_masks('a')} AS _masks").selectExpr(
+        "p_partkey", "a", "b", f"CAST({lcs} AS INT) AS lcs"
+    )
+    return measured.selectExpr("*", f"{similarity.score('length(a) + length(b)', 'lcs')} AS score")
+
+
 @query
 def token_sort_scores(spark, sf_dir):
     """The score itself, for every part name against the next one."""
     parts = fixtures.table(spark, sf_dir, "part")
-    tokens = text.sorted_tokens("p_name")
-    left = parts.selectExpr("p_partkey", f"{tokens} AS a")
-    right = parts.selectExpr("p_partkey - 1 AS p_partkey", f"{tokens} AS b")
-    masks = similarity.character_masks("a")
-    lcs = similarity.lcs_length("a", "_masks", "b")
-    measured = (
-        left.selectExpr("*", f"{masks} AS _masks")
-        .join(right, "p_partkey")
-        .selectExpr("p_partkey", "a", "b", f"CAST({lcs} AS INT) AS lcs")
-    )
-    return measured.selectExpr("*", f"{similarity.score('length(a) + length(b)', 'lcs')} AS score")
+    return _next_part_scores(spark, parts.selectExpr("p_partkey", "p_name AS words"))
 
 
 @query
 def token_sort_long_texts(spark, sf_dir):
     """The score of texts that take several words: descriptions of every part and the next."""
     parts = fixtures.table(spark, sf_dir, "part").selectExpr("p_partkey", f"{fixtures.LONG_TEXT} AS words")
-    tokens = text.sorted_tokens("words")
-    left = parts.selectExpr("p_partkey", f"{tokens} AS a")
-    right = parts.selectExpr("p_partkey - 1 AS p_partkey", f"{tokens} AS b")
-    measured = (
-        left.selectExpr("*", f"{similarity.character_masks('a')} AS _masks")
-        .join(right, "p_partkey")
-        .selectExpr("p_partkey", "a", "b", f"CAST({similarity.lcs_length('a', '_masks', 'b')} AS INT) AS lcs")
-    )
-    total = "length(a) + length(b)"
-    return measured.selectExpr("p_partkey", "length(a) AS length_a", "length(b) AS length_b", "lcs", f"{similarity.score(total, 'lcs')} AS score")
+    scores = _next_part_scores(spark, parts)
+    return scores.selectExpr("p_partkey", "length(a) AS length_a", "length(b) AS length_b", "lcs", "score")
 
 
 # --- quality ----------------------------------------------------------------------

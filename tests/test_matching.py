@@ -3,10 +3,11 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from test_functions import score
+from test_functions import lcs, score
 
 from rollbook.operators import export, matching
 from rollbook.operators.pairs import join_pairs
+from rollbook.queries import REGISTRY
 from rollbook.staging import Stage
 
 SCHEMA = (
@@ -202,3 +203,19 @@ def test_candidates_are_an_equi_join(spark):
     names = spark.createDataFrame([(1, "ann lee")], "_bucket int, _name string")
     plan = matching.similar_names(names, names, 88, stage)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_scores_of_next_parts_are_spread_over_tasks(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(k, "".join(rng.choices("abc", k=rng.randint(1, 90))), "t" * rng.randint(1, 9), "Brand#1", k % 50) for k in range(200)]
+    parts = spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string, p_brand string, p_size int")
+    parts.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    for name in ("q_token_sort_scores", "q_token_sort_long_texts"):
+        found = REGISTRY[name](spark, str(tmp_path)).withColumn("_task", F.spark_partition_id()).collect()
+        assert len(found) == 199
+        sizes = [sum(r["_task"] == task for r in found) for task in {r["_task"] for r in found}]
+        assert len(sizes) >= 3 and max(sizes) < 100  # the shuffles of this session have four tasks
+    names = {k: name for k, name, *_ in rows}
+    for r in REGISTRY["q_token_sort_scores"](spark, str(tmp_path)).collect():
+        a, b = names[r["p_partkey"]], names[r["p_partkey"] + 1]
+        assert (r["a"], r["b"], r["lcs"], r["score"]) == (a, b, lcs(a, b), score(a, b))
