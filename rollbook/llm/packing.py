@@ -202,9 +202,7 @@ def pieces(
 def _encoded(texts: pa.Array, encode) -> list[bytes]:
     """The ids of each text, four bytes each."""
     words = split_white(texts)
-    known = encode(words.unique.to_pylist())
-    lengths = np.array([len(ids) // 4 for ids in known], dtype=np.int64)
-    flat = np.frombuffer(b"".join(known), dtype="<u4")
+    flat, lengths = encode.ids(words.unique)
     starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
     each = lengths[words.codes]
     stream = flat[ranges(starts[words.codes], each)]

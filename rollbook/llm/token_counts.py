@@ -1,15 +1,14 @@
 """Token counts of whole texts, encoded in Arrow batches that hand back lengths only.
 
 A batch is worked on in parts of bounded bytes; long texts are cut at white space, which no
-token crosses. Within a part each different word is counted once. Words that a worker has
-not met before go to the tokenizer in one batch, cut further at places that no token
-crosses either, so that a word with a comma costs a look-up, not an encoding.
+token crosses. Within a part each different word is counted once, cut further at a place that no
+token crosses either, so that a word with a comma costs a look-up, not an encoding. Units
+that a worker has not met before go to the tokenizer in one batch.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from rollbook.llm.words import Memo, parts, per_worker, split_white
+from rollbook.llm.words import Memo, parts, per_worker, ranges, split_white
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -27,10 +26,10 @@ UNITS_AT_ONCE = 50_000
 # How many units a worker remembers, about 200 bytes each.
 MOST_UNITS = 800_000
 
-# Where a word may be cut: after a run of Latin letters, before ASCII punctuation or a
-# digit. The tokenizer's pattern takes letters on their own, and no character combines
-# with an ASCII one that follows it. Whatever is written otherwise stays in one piece.
-_UNITS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-@\[-`{-~])|[^\t-\r ]+")
+# Where a word may be cut: after a run of Latin letters that it begins with, before ASCII
+# punctuation or a digit. The tokenizer's pattern takes letters on their own, and no character
+# combines with an ASCII one that follows it. Whatever is written otherwise stays in one piece.
+_CUT = r"^([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-@\[-`{-~])"
 # What shows that texts meet at white space and at such places, token for token.
 _PROBES = (
     "A test's word, 12ab re-read #'s it's. naïve café! <|endoftext|>x y<|startoftext|>,z",
@@ -46,16 +45,38 @@ def load_tokenizer(name: str = TOKENIZER):
     return Tokenizer.from_file(public_tokenizers.path(name))
 
 
-def unit_encoder(name: str = TOKENIZER, remembered: int = MOST_UNITS) -> Callable[[list[str]], list[bytes]]:
-    """Encodes white-space-free words: the ids of each as little-endian unsigned 32-bit.
+class UnitEncoder:
+    """Encodes words without white space by their units."""
 
-    One encoder serves all tasks of a worker process. It remembers ``remembered`` units at
-    most, and three words for every eight units.
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], remembered: int):
+        self._units = Memo(encode, remembered)
+
+    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, unsigned 32-bit, and how many each word has."""
+        cut = split_white(pc.replace_substring_regex(words, _CUT, r"\1 \2"))
+        known = self._units(cut.unique.to_pylist())
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
+        each = lengths[cut.codes]
+        ids = np.frombuffer(b"".join(known), dtype="<u4")[ranges(starts[cut.codes], each)]
+        return ids, np.diff(np.concatenate(([0], np.cumsum(each)))[cut.bounds])
+
+    def __call__(self, words: list[str]) -> list[bytes]:
+        """The ids of each word as little-endian unsigned 32-bit."""
+        ids, lengths = self.ids(pa.array(words, pa.large_string()))
+        ends = np.cumsum(lengths)
+        return [ids[a:b].tobytes() for a, b in zip(ends - lengths, ends)]
+
+
+def unit_encoder(name: str = TOKENIZER, remembered: int = MOST_UNITS) -> UnitEncoder:
+    """The encoder that serves all tasks of a worker process.
+
+    Once it remembers more than ``remembered`` units, it forgets them before the next part.
     """
     return per_worker(f"encoder {name} {remembered}", lambda: _unit_encoder(name, remembered))
 
 
-def _unit_encoder(name: str, remembered: int) -> Callable[[list[str]], list[bytes]]:
+def _unit_encoder(name: str, remembered: int) -> UnitEncoder:
     tokenizer = load_tokenizer(name)
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.special and not (t.lstrip or t.rstrip)]
 
@@ -81,17 +102,11 @@ def _unit_encoder(name: str, remembered: int) -> Callable[[list[str]], list[byte
             out += pieces if len(pieces) == len(batch) else one_by_one(batch)
         return out
 
+    units = UnitEncoder(encode, remembered)
     for probe in _PROBES:
-        if b"".join(encode([u for w in probe.split(" ") for u in _UNITS.findall(w)])) != encode([probe])[0]:
+        if b"".join(units(probe.split(" "))) != encode([probe])[0]:
             raise ValueError(f"{name} encodes words together; it cannot be used here")
-    units = Memo(encode, remembered)
-
-    def words(batch: list[str]) -> list[bytes]:
-        cut = [_UNITS.findall(word) for word in batch]
-        ids = iter(units([unit for word in cut for unit in word]))
-        return [b"".join([next(ids) for _ in word]) for word in cut]
-
-    return Memo(words, 3 * remembered // 8)
+    return units
 
 
 def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -109,7 +124,7 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
             n_tokens = np.zeros(batch.num_rows, dtype=np.int64)
             for rows, texts in parts(batch.column("text")):
                 words = split_white(texts)
-                lengths = np.array([len(ids) // 4 for ids in encode(words.unique.to_pylist())], dtype=np.int64)
+                _, lengths = encode.ids(words.unique)
                 running = np.concatenate(([0], np.cumsum(lengths[words.codes])))
                 np.add.at(n_tokens, rows, np.diff(running[words.bounds]))
                 np.add.at(n_bytes, rows, np.asarray(pc.binary_length(texts)))

@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import os
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -13,7 +14,7 @@ import sentencepiece
 
 from rollbook.llm.packing import _best_fit, _Sums, pack, plan
 from rollbook.llm.sentence_pieces import MODEL, encode_and_decode, load_model
-from rollbook.llm.token_counts import TOKENIZER, _unit_encoder, token_counts, unit_encoder
+from rollbook.llm.token_counts import TOKENIZER, UnitEncoder, _unit_encoder, token_counts, unit_encoder
 from rollbook.llm.words import parts, split_white
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -123,6 +124,21 @@ def test_units_joined_or_one_by_one():
     assert together == [b"".join(_unit_encoder(TOKENIZER, 100)([w])) for w in words]
 
 
+def test_words_are_cut_once_a_part():
+    """Different words of the same units cost no call of the tokenizer and no Python step each."""
+    pattern = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[!-@\[-`{-~])|[^\t-\r ]+")
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcZéß,.'3中\u0301-_", k=rng.randint(1, 6))) for _ in range(2000)]
+    met = []
+    encoder = UnitEncoder(lambda units: [met.append(u) or np.array([len(u)], "<u4").tobytes() for u in units], 10_000)
+    ids, lengths = encoder.ids(pa.array(words, pa.large_string()))
+    cut = [pattern.findall(w) for w in words]
+    assert ids.tolist() == [len(u) for units in cut for u in units] and lengths.tolist() == [len(u) for u in cut]
+    assert sorted(met) == sorted({u for units in cut for u in units})
+    ids, lengths = encoder.ids(pa.array([], pa.large_string()))
+    assert len(ids) == len(lengths) == 0 and encoder([]) == []
+
+
 def test_pack(spark, docs, corpus, encode):
     got = pack(spark, docs, ranked_rows=10).collect()
     expected = []
