@@ -61,6 +61,8 @@ def review_tables(
     matches = matching.probable_matches(
         matching.same_name_matches(golden, gap),
         matching.similar_name_matches(golden, settings.similarity_threshold, gap),
+        golden,
+        gap,
     )
     return {
         "ghost_employee_records.csv": identity.ghost_records(combined),

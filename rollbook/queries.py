@@ -240,7 +240,7 @@ def fuzzy_matches(spark, sf_dir):
 def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = _people(spark, sf_dir)
     return matching.probable_matches(
-        matching.same_name_matches(people), matching.similar_name_matches(people)
+        matching.same_name_matches(people), matching.similar_name_matches(people), people
     )
 
 

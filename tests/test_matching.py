@@ -190,6 +190,26 @@ def test_probable_matches_keep_one_row_per_pair(spark):
     ]
 
 
+@pytest.mark.parametrize("repeat", [None, "A-1", "G-2", ""])
+def test_probable_matches_with_their_golden_table(spark, repeat):
+    """Same rows as without it, also where an id comes twice or is missing twice."""
+    rows = random_people(5, 60, letters="ab", length=4)
+    rows += [(f"G-{i}x", "GlobalTech", n, None, d) for i, (_, _, n, _, d) in enumerate(rows[:20])]
+    rows += [(None, "AcquiredCo", *rows[0][2:]), ("X-1", None, *rows[0][2:]), ("Z-1", "Zeta", *rows[0][2:])]
+    if repeat is not None:
+        for company, days in (("AcquiredCo", 0), ("AcquiredCo", 2), ("GlobalTech", 1), ("GlobalTech", 1)):
+            rows.append((repeat or None, company, rows[0][2], None, rows[0][4] + dt.timedelta(days=days)))
+    golden = people(spark, rows)
+    for days in (3, 30):
+        found = matching.same_name_matches(golden, days), matching.similar_name_matches(golden, 70, days)
+        wanted = matching.probable_matches(*found)
+        got = matching.probable_matches(*found, golden, days)
+        assert got.columns == wanted.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+        assert 0 < got.count() < found[0].count() + found[1].count()
+        assert ("Window" in got._jdf.queryExecution().toString()) == (repeat is not None)
+
+
 def test_no_people_no_matches(spark):
     golden = people(spark, [])
     both = matching.probable_matches(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rollbook import fixtures
 from rollbook.operators import clean, duplicates, groups, identity, matching, profiles, quality
 from rollbook.plans import build
+from rollbook.queries import REGISTRY
 from rollbook.staging import Stage
 
 FOLDER = str(TESTDATA / "sf0.001")
@@ -96,6 +97,12 @@ def test_name_and_date_bucket_are_the_join_key(golden):
     assert "SortMergeJoin [_name" in text
 
 
+def test_pairs_of_records_are_not_shuffled(combined, golden):
+    matches = build.review_tables(combined, golden)["probable_match_review.csv"]
+    assert "Window" not in plan(matches)
+    assert "Window" not in plan(REGISTRY["q_match_export"](combined.sparkSession, FOLDER))
+
+
 def test_feeds_keep_every_customer_supplier_and_order(spark):
     raw = fixtures.raw_sources(spark, FOLDER, "globaltech_hris", "payroll")
     ids = {r[0].removesuffix(".0") for r in raw["globaltech_hris"].select("employee_id").collect()}
