@@ -6,10 +6,17 @@ Both joins are band joins on the hire date. The date axis is cut into buckets tw
 wide as the band, so a left row reaches at most two buckets while a right row lies in
 one, and a pair meets exactly once. Bucket and name together are the key of an
 equi-join; a key with many rows on both sides is split (see ``pairs``).
+
+Pairs grow with the square of a name's rows. ``sorted_matches`` puts them in the order of
+their ids without shuffling them: rows equal in company, name and hire date have the same
+partners, so it sends each task the partners of such a class once, in order, and unfolds
+them beside each left row.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rollbook.config import DEFAULT_SETTINGS
@@ -23,8 +30,19 @@ from rollbook.staging import Stage
 SAME_NAME = "same_full_name_hire_date_window"
 SIMILAR_NAME = "fuzzy_name_hire_date_window"
 
+# Partners of one left class in a row of its list.
+LIST_ROWS = 1_000
+# Pairs that make another task worth while, until there is one for each partition that the
+# session's shuffles have, and pairs at which a task is full.
+TASK_PAIRS, FULL_TASK_PAIRS = 250_000, 2_000_000
+# Lists are sent instead of pairs if on average so many left rows share one.
+SHARED_BY = 2
+
 _KEYS = ("employee_id", "company_origin", "full_name")
 _DETAILS = ("email", "hire_date")
+# What a match depends on.
+_CLASS = ("company_origin", "full_name", "hire_date")
+_IDS = ("left_employee_id", "right_employee_id")
 _GAP = day_gap("left_hire_date", "right_hire_date")
 
 
@@ -299,3 +317,110 @@ def _found_by_name(max_gap_days: int) -> str:
         "left_full_name = right_full_name AND left_company_origin < right_company_origin "
         f"AND hire_date_gap_days <= {max_gap_days}"
     )
+
+
+def sorted_matches(
+    golden: DataFrame,
+    threshold: float = DEFAULT_SETTINGS.similarity_threshold,
+    max_gap_days: int = DEFAULT_SETTINGS.max_hire_date_gap_days,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """``probable_matches`` of both kinds in ``golden``, by left and right id across partitions.
+
+    Matches are found between classes: rows equal in company, full name and hire date, on
+    which alone a match depends. Lists of partners are shuffled, and no pair is. Only if an
+    id comes twice are pairs themselves compared and sorted.
+
+    Runs jobs when called. ``golden`` is read several times: stage it if it is costly.
+    """
+
+    def found(rows: DataFrame) -> DataFrame:
+        return probable_matches(
+            same_name_matches(rows, max_gap_days, cell_rows),
+            similar_name_matches(rows, threshold, max_gap_days, cell_rows=cell_rows),
+            rows,
+            max_gap_days,
+        )
+
+    stage = Stage(golden.sparkSession)
+    people = _people(golden)
+    if not repeated_keys(people, "employee_id").isEmpty():
+        return found(golden).orderBy(*_IDS)
+    classes = people.select(*_CLASS).distinct().withColumn("_class", F.monotonically_increasing_id())
+    classes = stage.table("classes", classes)
+    pairs = stage.table(
+        "class_pairs",
+        found(classes.selectExpr("CAST(_class AS STRING) AS employee_id", *_CLASS, "CAST(NULL AS STRING) AS email")),
+    )
+    of_class = [c for c in pairs.columns if not c.startswith("left_") and c not in ("right_employee_id", "right_email")]
+    linked = pairs.selectExpr(
+        "CAST(left_employee_id AS BIGINT) AS _left",
+        "CAST(right_employee_id AS BIGINT) AS _right",
+        f"struct({', '.join(of_class)}) AS _match",
+    )
+    members = stage.table("members", people.join(classes, list(_CLASS)))
+    lists = stage.table("lists", _partner_lists(linked, members))
+    return _unfolded(lists, members, stage).select(pairs.columns)
+
+
+def _partner_lists(linked: DataFrame, members: DataFrame) -> DataFrame:
+    """The partners of each left class by their ids, LIST_ROWS a row, numbered by ``_chunk``.
+
+    What all members of a partner's class share is held once, in ``_matches``: a partner has
+    its place there, from 1, in ``_at``.
+    """
+    partners = members.selectExpr("employee_id AS right_employee_id", "email AS right_email", "_class AS _right")
+    by_id = Window.partitionBy("_left").orderBy("right_employee_id")
+    # as many tasks as shuffles have: adaptive execution would go by bytes sent, which are few
+    partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = (
+        linked.join(partners, "_right")
+        .repartition(partitions, "_left")
+        .withColumn("_number", F.row_number().over(by_id))
+        .withColumn("_chunk", F.expr(f"CAST((_number - 1) div {LIST_ROWS} AS INT)"))
+    )
+    rows = numbered.groupBy("_left", "_chunk").agg(
+        F.expr("count(*) AS _size"),
+        F.expr("sort_array(collect_list(struct(right_employee_id, right_email, _right))) AS _partners"),
+        F.expr("sort_array(collect_set(struct(_right, _match))) AS _classes"),
+    )
+    rows = rows.withColumn("_rights", F.expr("_classes._right"))
+    at = "CAST(array_position(_rights, p._right) AS INT)"
+    placed = f"transform(_partners, p -> struct(p.right_employee_id, p.right_email, {at} AS _at))"
+    return rows.selectExpr(
+        "_left", "_chunk", "_size", f"struct({placed} AS _partners, _classes._match AS _matches) AS _list"
+    )
+
+
+def _unfolded(lists: DataFrame, members: DataFrame, stage: Stage) -> DataFrame:
+    """Every left row with every partner, by their ids; a task holds a range of them.
+
+    Left rows come once for each row of their class's list, which ranges of ids and row
+    numbers deal to the tasks. Each task is sent every list row it needs once, fills it in at
+    its left rows, sorts these and unfolds the list rows, whose partners are in order.
+    """
+    lengths = lists.groupBy("_left").agg(F.expr("max(_chunk) AS _last"), F.expr("sum(_size) AS _size"))
+    lefts = _side(members, "left").withColumnRenamed("_class", "_left")
+    left_columns = [c for c in lefts.columns if c != "_left"]
+    lefts = lefts.join(lengths, "_left")
+    pairs = lefts.selectExpr("coalesce(sum(CAST(_size AS DOUBLE)), 0)").first()[0]
+    partitions = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(partitions, ceil(pairs / TASK_PAIRS)), ceil(pairs / FULL_TASK_PAIRS))
+    needed = stage.table(
+        "needed",
+        lefts.selectExpr(*left_columns, "_left", "explode(sequence(0, _last)) AS _chunk")
+        .repartitionByRange(tasks, "left_employee_id", "_chunk")
+        .withColumn("_task", F.spark_partition_id()),
+    )
+    keys = ["_task", "_left", "_chunk"]
+    sent = lists.drop("_size").join(needed.select(keys).distinct(), ["_left", "_chunk"])
+    both = needed.unionByName(sent, allowMissingColumns=True).repartitionById(tasks, "_task")
+    list_first = Window.partitionBy(*keys).orderBy(F.expr("_list IS NULL"))
+    so_far = list_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = both.withColumn("_found", F.first("_list", ignorenulls=True).over(so_far)).filter("_list IS NULL")
+    return (
+        filled.sortWithinPartitions("left_employee_id", "_chunk")
+        .selectExpr(*left_columns, "_found._matches AS _matches", "inline(_found._partners)")
+        .selectExpr(*left_columns, "right_employee_id", "right_email", "_matches[_at - 1] AS _match")
+        .select(*left_columns, "right_employee_id", "right_email", "_match.*")
+    )

@@ -23,10 +23,8 @@ from rollbook.sources import align, readers
 
 
 # Order of the rows in the review files; the others keep the order they come in.
-REVIEW_ORDER = {
-    "duplicate_email_records.csv": ("email", "employee_id"),
-    "probable_match_review.csv": ("record_1_id", "record_2_id"),
-}
+REVIEW_ORDER = {"duplicate_email_records.csv": ("email", "employee_id")}
+MATCH_REVIEW = "probable_match_review.csv"
 
 
 @dataclass(frozen=True)
@@ -53,10 +51,28 @@ def combine(
     return clean.clean(aligned, department_mapping, settings)
 
 
+def exception_tables(combined: DataFrame, golden: DataFrame) -> dict[str, DataFrame]:
+    """Every exception table but the match candidates, by the name of its file."""
+    return {
+        "ghost_employee_records.csv": identity.ghost_records(combined),
+        "duplicate_hris_records.csv": identity.duplicate_identity_review(
+            identity.identity_records(combined)
+        ),
+        "duplicate_employee_id_records.csv": duplicates.duplicate_ids(golden),
+        "duplicate_email_records.csv": duplicates.duplicate_emails(golden),
+    }
+
+
+def match_review(golden: DataFrame, settings: Settings = DEFAULT_SETTINGS) -> DataFrame:
+    """The match candidates as they are published, by the ids of both records."""
+    threshold, gap = settings.similarity_threshold, settings.max_hire_date_gap_days
+    return export.match_export(matching.sorted_matches(golden, threshold, gap))
+
+
 def review_tables(
     combined: DataFrame, golden: DataFrame, settings: Settings = DEFAULT_SETTINGS
 ) -> dict[str, DataFrame]:
-    """Every exception table, by the name of its file."""
+    """Every exception table, by the name of its file; match candidates in no order."""
     gap = settings.max_hire_date_gap_days
     matches = matching.probable_matches(
         matching.same_name_matches(golden, gap),
@@ -64,15 +80,7 @@ def review_tables(
         golden,
         gap,
     )
-    return {
-        "ghost_employee_records.csv": identity.ghost_records(combined),
-        "duplicate_hris_records.csv": identity.duplicate_identity_review(
-            identity.identity_records(combined)
-        ),
-        "duplicate_employee_id_records.csv": duplicates.duplicate_ids(golden),
-        "duplicate_email_records.csv": duplicates.duplicate_emails(golden),
-        "probable_match_review.csv": export.match_export(matches),
-    }
+    return {**exception_tables(combined, golden), MATCH_REVIEW: export.match_export(matches)}
 
 
 def profile_tables(
@@ -130,7 +138,8 @@ def run(
 
     sinks.write_golden(golden, outputs.golden)
     tables = {"combined": combined, "golden": golden, "report": report}
-    for name, table in review_tables(combined, golden, settings).items():
+    reviews = {**exception_tables(combined, golden), MATCH_REVIEW: match_review(golden, settings)}
+    for name, table in reviews.items():
         sinks.write_review(table, outputs.report(name), REVIEW_ORDER.get(name, ()))
         tables[name.removesuffix(".csv")] = table
     for name, table in profile_tables(golden, report, settings).items():

@@ -19,7 +19,7 @@ from rollbook.operators import (
     profiles,
     quality,
 )
-from rollbook.plans import sinks
+from rollbook.plans import build, sinks
 from rollbook.staging import Stage
 from rollbook.schema import ORDINAL
 from rollbook.sources import align, readers
@@ -560,8 +560,7 @@ def sink_duplicate_hris(spark, sf_dir):
 
 @query
 def sink_matches(spark, sf_dir):
-    table = REGISTRY["q_match_export"](spark, sf_dir)
-    return _read_back(spark, "probable_match_review.csv", table, "record_1_id", "record_2_id")
+    return _read_back(spark, build.MATCH_REVIEW, build.match_review(_people(spark, sf_dir)))
 
 
 @query

@@ -210,6 +210,42 @@ def test_probable_matches_with_their_golden_table(spark, repeat):
         assert ("Window" in got._jdf.queryExecution().toString()) == (repeat is not None)
 
 
+@pytest.mark.parametrize("repeat", [None, "A-1", ""])
+def test_sorted_matches_are_the_matches_in_order(spark, monkeypatch, repeat):
+    """In lists of a few rows and tasks of a few pairs, with rows equal but for id and email."""
+    monkeypatch.setattr(matching, "LIST_ROWS", 3)
+    monkeypatch.setattr(matching, "FULL_TASK_PAIRS", 150)
+    rows = random_people(5, 24, letters="ab", length=4)
+    rows += [(f"{r[0]}-{i}", *r[1:3], None if i else "c@x", r[4]) for r in rows for i in range(5)]
+    rows += [(f"G-{i}x", "GlobalTech", n, None, d) for i, (_, _, n, _, d) in enumerate(rows[:12])]
+    rows += [(None, "AcquiredCo", *rows[0][2:]), ("X-1", None, *rows[0][2:]), ("Z-1", "Zeta", *rows[0][2:])]
+    rows += [("X-2", "AcquiredCo", None, None, DAY), ("X-3", "GlobalTech", rows[0][2], None, None)]
+    if repeat is not None:
+        for company, days in (("AcquiredCo", 3), ("AcquiredCo", 2), ("GlobalTech", 1)):
+            rows.append((repeat or None, company, rows[0][2], None, rows[0][4] + dt.timedelta(days=days)))
+    golden = people(spark, rows)
+    both = matching.same_name_matches(golden, 20), matching.similar_name_matches(golden, 70, 20)
+    wanted = matching.probable_matches(*both, golden, 20)
+    got = matching.sorted_matches(golden, 70, 20)
+    assert got.columns == wanted.columns
+    found = got.withColumn("_task", F.spark_partition_id()).collect()
+    assert sorted(str(r[:-1]) for r in found) == sorted(str(tuple(r)) for r in wanted.collect())
+    ids = [tuple(x or "" for x in (r["left_employee_id"], r["right_employee_id"])) for r in found]
+    assert ids == sorted(ids) and len(ids) > 200
+    if repeat is None:
+        assert len(set(ids)) == len(ids) and len({r["_task"] for r in found}) >= 3
+
+
+def test_sorted_matches_shuffle_lists_instead_of_pairs(spark, monkeypatch):
+    """A hundred equal rows of either company make ten thousand pairs, and lists of ten rows."""
+    monkeypatch.setattr(matching, "LIST_ROWS", 10)
+    rows = [(f"{c[:1]}-{i:03d}", c, "Jo Doe", None, DAY) for c in ("AcquiredCo", "GlobalTech") for i in range(100)]
+    got = matching.sorted_matches(people(spark, rows))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange rangepartitioning" not in plan and "Python" not in plan and "NestedLoop" not in plan
+    assert len(got.collect()) == 100 * 100
+
+
 def test_no_people_no_matches(spark):
     golden = people(spark, [])
     both = matching.probable_matches(
