@@ -25,6 +25,9 @@ from rollbook.sources import align, readers
 # Order of the rows in the review files; the others keep the order they come in.
 REVIEW_ORDER = {"duplicate_email_records.csv": ("email", "employee_id")}
 MATCH_REVIEW = "probable_match_review.csv"
+# Its rows grow with the square of a name's and tell of each record many times over, so its files
+# are compressed. The other review files stay plain.
+REVIEW_COMPRESSION = {MATCH_REVIEW: "gzip"}
 
 
 @dataclass(frozen=True)
@@ -140,7 +143,8 @@ def run(
     tables = {"combined": combined, "golden": golden, "report": report}
     reviews = {**exception_tables(combined, golden), MATCH_REVIEW: match_review(golden, settings)}
     for name, table in reviews.items():
-        sinks.write_review(table, outputs.report(name), REVIEW_ORDER.get(name, ()))
+        codec = REVIEW_COMPRESSION.get(name, "none")
+        sinks.write_review(table, outputs.report(name), REVIEW_ORDER.get(name, ()), codec)
         tables[name.removesuffix(".csv")] = table
     for name, table in profile_tables(golden, report, settings).items():
         sinks.write_review(table, outputs.report(f"figures/{name}"))

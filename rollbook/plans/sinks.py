@@ -52,15 +52,18 @@ def _published(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     return [tuple(r) for r in rows]
 
 
-def write_review(review: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
+def write_review(
+    review: DataFrame, path: str, order_by: Sequence[str] = (), compression: str = "none"
+) -> None:
     """A review table as CSV with a header, which an empty table has too.
 
     ``order_by`` sorts the rows across the files; end it with a column that differs
     from row to row, so that equal leading values can be spread over several files.
+    ``compression`` is a codec of Spark's CSV writer, whose readers tell it by the file name.
     """
     rows = review.orderBy(*order_by) if order_by else review
     # blanks are part of a value, and quotes are doubled, not escaped
-    options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "compression": compression}
     rows.write.mode("overwrite").options(header=True, escape='"', **options).csv(path)
 
 

@@ -541,7 +541,7 @@ def sink_review(spark, sf_dir):
 def _read_back(spark: SparkSession, name: str, table: DataFrame, *order_by: str) -> DataFrame:
     """A review table as its file gives it, every column of it."""
     path = Stage(spark).path(name)
-    sinks.write_review(table, path, order_by)
+    sinks.write_review(table, path, order_by, build.REVIEW_COMPRESSION.get(name, "none"))
     blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     return spark.read.schema(table.schema).options(header=True, escape='"', **blanks).csv(path)
 

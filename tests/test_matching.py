@@ -1,10 +1,13 @@
 import datetime as dt
+import gzip
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 from test_functions import lcs, score
 
+from rollbook import queries
 from rollbook.operators import export, matching
 from rollbook.operators.pairs import join_pairs
 from rollbook.queries import REGISTRY
@@ -246,6 +249,28 @@ def test_sorted_matches_shuffle_lists_instead_of_pairs(spark, monkeypatch):
     assert len(got.collect()) == 100 * 100
 
 
+def test_sink_of_matches_writes_all_pairs_in_few_bytes(spark, monkeypatch):
+    """The file has every pair, in order, in a tenth of the two hundred bytes a plain line takes."""
+    monkeypatch.setattr(matching, "TASK_PAIRS", 500)
+    rows = [(f"{c[:1]}-{i:03d}", c, "Jo  Doe, \"x\"", f" {i}@x.com", DAY) for c in ("AcquiredCo", "GlobalTech") for i in range(40)]
+    golden = people(spark, rows)
+    monkeypatch.setattr(queries, "_people", lambda *_: golden)
+    back = REGISTRY["q_sink_matches"](spark, "")
+    files = sorted(f.removeprefix("file://") for f in back.inputFiles())
+    assert len(files) >= 3 and all(f.endswith(".csv.gz") for f in files)
+    lines = []
+    for f in files:
+        with gzip.open(f, "rt") as text:
+            header, *of_file = text.read().splitlines()
+        assert header.split(",") == list(export.MATCH_EXPORT_COLUMNS)
+        lines += [tuple(line.split(",")[:2]) for line in of_file]
+    assert lines == [(f"A-{i:03d}", f"G-{j:03d}") for i in range(40) for j in range(40)]
+    assert sum(os.path.getsize(f) for f in files) < 20 * len(lines)
+    wanted = REGISTRY["q_match_export"](spark, "")
+    assert back.dtypes == wanted.dtypes
+    assert sorted(map(str, back.collect())) == sorted(map(str, wanted.collect()))
+
+
 def test_no_people_no_matches(spark):
     golden = people(spark, [])
     both = matching.probable_matches(
@@ -254,6 +279,11 @@ def test_no_people_no_matches(spark):
     assert export.match_export(both).collect() == []
 
 
+def test_no_people_no_sorted_matches(spark):
+    found = matching.sorted_matches(people(spark, []))
+    assert found.collect() == [] and export.match_export(found).columns == list(export.MATCH_EXPORT_COLUMNS)
+
+
 def test_candidates_are_an_equi_join(spark):
     stage = Stage(spark)
     names = spark.createDataFrame([(1, "ann lee")], "_bucket int, _name string")
